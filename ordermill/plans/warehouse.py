@@ -120,6 +120,17 @@ class Warehouse:
         finally:
             self.spark.catalog.setCurrentDatabase(before)
 
+    @contextmanager
+    def _overwrite_mode(self, mode: str):
+        """``dynamic``: an overwrite replaces the partitions it has rows for; ``static``: the table."""
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, mode)
+        try:
+            yield
+        finally:
+            self.spark.conf.set(setting, before)
+
     # -- definition ---------------------------------------------------------------------------
 
     def create_tables(self) -> None:
@@ -130,6 +141,8 @@ class Warehouse:
                 continue
             columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema.fields)
             keys = TABLE_PARTITIONS[table]
+            empty = self.spark.createDataFrame([], schema)
+            empty.write.mode("ignore").partitionBy(*keys).parquet(f"{self.root}/{table}")
             partitioned = f"PARTITIONED BY ({', '.join(keys)})" if keys else ""
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self._name(table)} ({columns}) USING parquet "
@@ -245,7 +258,8 @@ class Warehouse:
         ordered = df.select(*self.table(table).columns)
         if keys:
             ordered = ordered.hint("rebalance", *keys)
-        ordered.write.insertInto(self._name(table), overwrite=overwrite)
+        with self._overwrite_mode("static"):
+            ordered.write.insertInto(self._name(table), overwrite=overwrite)
 
     # -- summary ------------------------------------------------------------------------------
 
@@ -272,9 +286,8 @@ class Warehouse:
                 current = self._in_months_of(self.table(SUMMARY), batch)
                 merged = stage(merge_summary(current, batch), "merged")
                 ordered = merged.select(*self.table(SUMMARY).columns).hint("rebalance", *MONTH_KEYS)
-                ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(
-                    self._name(SUMMARY), overwrite=True
-                )
+                with self._overwrite_mode("dynamic"):
+                    ordered.write.insertInto(self._name(SUMMARY), overwrite=True)
         return rows
 
     def refresh_summary(self, batch: DataFrame, refresh: str = "batch") -> int:

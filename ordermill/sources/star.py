@@ -50,12 +50,12 @@ def raw_sales(spark: SparkSession, folder: str, blank_keys: bool = False) -> Dat
 
     region = (
         F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("  "), F.col("r_name")))
-        .when(F.col("l_linenumber") % 3 == 1, F.concat(F.lower("r_name"), F.lit("\t ")))
+        .when(F.col("l_linenumber") % 3 == 1, F.concat(F.lower("r_name"), F.lit("\t\u00a0")))
         .otherwise(F.initcap("r_name"))
     )
     category, product, payment = F.col("p_type"), F.concat(F.lit(" "), F.col("p_name")), F.col("o_orderpriority")
     if blank_keys:
-        region = F.when(_every("o_custkey", 47), " 　").otherwise(region)
+        region = F.when(_every("o_custkey", 47), " \u3000").otherwise(region)
         category = F.when(_every("l_partkey", 43), "nan").otherwise(category)
         product = F.when(_every("l_suppkey", 27), "").otherwise(product)
         payment = F.when(_every("o_custkey", 59), F.lit(None)).otherwise(payment)
