@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,22 +24,40 @@ def transaction_rules() -> dict[str, Column]:
     for name, longest in TEXT_LIMITS.items():
         rules[f"{name}_length"] = F.length(name) > longest
     for name, bound in NUMBER_LIMITS.items():
-        stored = F.round(F.abs(F.col(name).cast("double")), _SCALE[name])
-        rules[f"{name}_range"] = F.isnan(stored) | (stored >= float(bound))
+        # A value within half a unit of the bound would be rounded up to it on storing.
+        value = F.abs(F.col(name).cast("double"))
+        rules[f"{name}_range"] = F.isnan(value) | (value >= bound - 0.5 * 10.0 ** -_SCALE[name])
     return rules
 
 
 def constraint_violations(df: DataFrame) -> DataFrame:
     """One row, one count of offending rows per rule."""
-    return df.agg(*[F.count_if(test).alias(rule) for rule, test in transaction_rules().items()])
+    return df.agg(*_violation_counts())
+
+
+def _violation_counts() -> list[Column]:
+    return [F.count_if(test).alias(rule) for rule, test in transaction_rules().items()]
+
+
+class BatchProfile(NamedTuple):
+    """Row count and range of order ids of a batch; the ids are None for an empty one."""
+
+    rows: int
+    low_id: str | None
+    high_id: str | None
+
 
+def check_constraints(df: DataFrame) -> BatchProfile:
+    """Raise ``ConstraintError`` naming every broken rule and its number of rows.
 
-def check_constraints(df: DataFrame) -> None:
-    """Raise ``ConstraintError`` naming every broken rule and its number of rows."""
-    counts = constraint_violations(df).first().asDict()
-    broken = {rule: n for rule, n in counts.items() if n}
+    The same job yields what a load needs to know of the batch.
+    """
+    size = [F.count(F.lit(1)), F.min("order_id"), F.max("order_id")]
+    *counts, rows, low_id, high_id = df.agg(*_violation_counts(), *size).first()
+    broken = {rule: n for rule, n in zip(transaction_rules(), counts, strict=True) if n}
     if broken:
         raise ConstraintError(f"rows violate the table constraints: {broken}")
+    return BatchProfile(rows, low_id, high_id)
 
 
 def check_status(status: str) -> None:

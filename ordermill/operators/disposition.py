@@ -70,13 +70,24 @@ def dispose_rows(
     return per_order.withColumn("disposition", disposition).drop("_missing")
 
 
+def with_derived(disposed: DataFrame) -> DataFrame:
+    """Disposed rows with the derived columns, which are empty on rows not kept."""
+    kept = F.col("disposition") == KEPT
+    return derive(disposed.withColumn("quantity", F.when(kept, F.col("quantity"))))
+
+
 def kept_rows(disposed: DataFrame) -> DataFrame:
-    """The clean rows among the disposed ones, with the derived columns."""
-    return derive(disposed.where(F.col("disposition") == KEPT)).select(*LOAD_COLUMNS)
+    """The clean rows among disposed rows with derived columns."""
+    return disposed.where(F.col("disposition") == KEPT).select(*LOAD_COLUMNS)
 
 
 def cleaning_stats(disposed: DataFrame) -> DataFrame:
     """One row with the seven stage counts."""
+    return count_dispositions(disposed).select(*STAT_COLUMNS)
+
+
+def count_dispositions(disposed: DataFrame) -> DataFrame:
+    """The stage counts and the number of bad numbers, in one aggregate."""
 
     def rows(condition, value):
         return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("bigint")
@@ -89,5 +100,6 @@ def cleaning_stats(disposed: DataFrame) -> DataFrame:
         rows(what == BAD_QUANTITY, F.lit(1)).alias("rows_dropped_bad_quantity"),
         rows(what == BAD_PRICE, F.lit(1)).alias("rows_dropped_bad_price"),
         rows(what == KEPT, F.lit(1)).alias("rows_cleaned"),
+        rows(F.lit(True), F.col("bad_numbers")).alias("bad_numbers"),
     )
     return counted.withColumn("rows_rejected", F.col("rows_read") - F.col("rows_cleaned"))

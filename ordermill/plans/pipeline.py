@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from ordermill.functions import ISO_DATE
 from ordermill.operators.cleaning import validate_schema
-from ordermill.operators.disposition import cleaning_stats, dispose_rows, kept_rows
+from ordermill.operators.disposition import count_dispositions, dispose_rows, kept_rows, with_derived
 from ordermill.plans.audit import log_run
 from ordermill.plans.reports import write_report_marts
 from ordermill.plans.warehouse import Warehouse
@@ -47,10 +47,10 @@ def ingest(
             counts["rows_read"] = raw.count()
             raise
         with warehouse.staging() as stage:
-            disposed = stage(dispose_rows(raw, order_by, layouts), "disposed")
-            stats = cleaning_stats(disposed).first().asDict()
+            disposed = stage(with_derived(dispose_rows(raw, order_by, layouts)), "disposed")
+            stats = count_dispositions(disposed).first().asDict()
             counts["rows_read"] = stats["rows_read"]
-            bad_numbers = disposed.agg({"bad_numbers": "sum"}).first()[0]
+            bad_numbers = stats.pop("bad_numbers")
             if bad_numbers and on_bad_number == "fail":
                 raise ValueError(f"{bad_numbers} values of number columns are not numbers")
             counts["rows_cleaned"] = stats["rows_cleaned"]

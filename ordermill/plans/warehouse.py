@@ -61,17 +61,16 @@ def summary_projection(df: DataFrame) -> DataFrame:
     return df.select(*[value.cast(stored[name]).alias(name) for name, value in values.items()])
 
 
-def known_orders(stored: DataFrame, batch: DataFrame) -> DataFrame:
+def known_orders(stored: DataFrame, batch: DataFrame, low_id: str | None = None, high_id: str | None = None) -> DataFrame:
     """Ids of the batch that the stored rows already have.
 
     The batch is on the right, so a batch under the broadcast threshold is sent to the stored rows
-    and these, the large side, are not shuffled.  The range of batch ids goes to the parquet scan.
+    and these, the large side, are not shuffled.  The range of batch ids, where the caller knows it,
+    goes to the parquet scan.
     """
-    low, high = batch.agg(F.min("order_id"), F.max("order_id")).first()
-    if low is None:
-        return batch.select("order_id").limit(0)
-    in_range = stored.where(F.col("order_id").between(low, high)).select("order_id")
-    return in_range.join(batch.select("order_id"), "order_id", "left_semi")
+    if low_id is not None and high_id is not None:
+        stored = stored.where(F.col("order_id").between(low_id, high_id))
+    return stored.select("order_id").join(batch.select("order_id"), "order_id", "left_semi")
 
 
 def new_orders(batch: DataFrame, known: DataFrame) -> DataFrame:
@@ -210,16 +209,18 @@ class Warehouse:
         """
         if on_conflict not in ("error", "ignore"):
             raise ValueError(f"on_conflict must be 'error' or 'ignore', not {on_conflict!r}")
-        check_constraints(batch)
+        profile = check_constraints(batch)
+        if not profile.rows:
+            return 0
         with self.staging() as stage:
-            known = stage(known_orders(self.table(TRANSACTIONS), batch), "known")
+            known = stage(known_orders(self.table(TRANSACTIONS), batch, profile.low_id, profile.high_id), "known")
             conflicts = known.count()
             if conflicts and on_conflict == "error":
                 some = [row.order_id for row in known.limit(5).collect()]
                 raise DuplicateOrderError(f"{conflicts} orders are already stored, for example {some}")
             fresh = new_orders(batch, known) if conflicts else batch
             self.append(load_projection(fresh).withColumn("loaded_at", F.current_timestamp()), TRANSACTIONS)
-        return batch.count() - conflicts
+        return profile.rows - conflicts
 
     def load_dataframe(self, df: DataFrame, table: str, if_exists: str = "append") -> int:
         """Write any frame to a table: ``append``, ``replace``, or ``fail`` when the table exists.
@@ -284,7 +285,7 @@ class Warehouse:
             rows = batch.count()
             if rows:
                 current = self._in_months_of(self.table(SUMMARY), batch)
-                merged = stage(merge_summary(current, batch), "merged")
+                merged = merge_summary(current, batch)
                 ordered = merged.select(*self.table(SUMMARY).columns).hint("rebalance", *MONTH_KEYS)
                 with self._overwrite_mode("dynamic"):
                     ordered.write.insertInto(self._name(SUMMARY), overwrite=True)
