@@ -58,7 +58,9 @@ def finish_csv(df: DataFrame, columns: list[str], multi_line: bool) -> DataFrame
     line_options = {"escape": '"', "multiLine": str(multi_line).lower()}
     surplus = F.from_csv(F.col(_BROKEN), one_more, line_options)[f"c{len(columns)}"]
     too_long = F.col(_BROKEN).isNotNull() & surplus.isNotNull()
-    message = F.concat(F.lit("line has more fields than the header: "), F.col(_BROKEN))
+    # Spark refuses a scan of the broken-line column alone, hence the first column in the message.
+    start = F.coalesce(F.col(f"`{columns[0]}`"), F.lit(""))
+    message = F.concat(F.lit("line has more fields than the header, at "), start, F.lit(": "), F.col(_BROKEN))
     numbered = df.withColumn("_row", F.monotonically_increasing_id())
     checked = numbered.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     return checked.select(
@@ -79,12 +81,14 @@ def _read_csv(spark: SparkSession, path, multi_line: bool) -> DataFrame:
 
 
 def _files_by_header(spark: SparkSession, path) -> list[list[str]]:
-    """File names grouped by header line.  Grows with the number of files, as Spark's own listing does."""
+    """File names grouped by header line: one name per file, as in Spark's own listing of the path."""
     lines = spark.read.text(path).select("value", *place_columns()).where("_block = 0")
-    first_line = F.min_by("value", F.monotonically_increasing_id())
-    per_file = lines.groupBy("_file").agg(first_line.alias("header"))
-    groups = per_file.groupBy("header").agg(F.sort_array(F.collect_list("_file")).alias("files"))
-    return [[unquote(name) for name in row.files] for row in groups.orderBy("header").collect()]
+    numbered = lines.withColumn("_row", F.monotonically_increasing_id())
+    per_file = numbered.groupBy("_file").agg(F.min_by("value", "_row").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for file, header in per_file.orderBy("header", "_file").toLocalIterator():
+        groups.setdefault(header, []).append(unquote(file))
+    return list(groups.values())
 
 
 def read_raw(

@@ -1,0 +1,219 @@
+from __future__ import annotations
+
+import uuid
+from decimal import Decimal
+
+import pytest
+from conftest import row
+
+from ordermill.operators.constraints import ConstraintError
+from ordermill.plans import pipeline
+from ordermill.plans.pipeline import run_all, run_pipeline
+from ordermill.plans.warehouse import DuplicateOrderError, Warehouse
+from ordermill.schemas import REQUIRED_COLUMNS, RUN_LOG, SUMMARY, TRANSACTIONS
+from ordermill.streaming import run_incremental
+
+
+@pytest.fixture
+def warehouse(spark, tmp_path):
+    return Warehouse(spark, str(tmp_path / "mart"), f"mart_{uuid.uuid4().hex}")
+
+
+def write(path, *rows, columns=REQUIRED_COLUMNS):
+    lines = [",".join(columns)] + [",".join(r[name] or "" for name in columns) for r in rows]
+    path.parent.mkdir(exist_ok=True)
+    path.write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+DIRTY = [
+    row(order_id="1"),
+    row(order_id="1", product_name="copy"),
+    row(order_id="2", customer_name=None),
+    row(order_id="3", quantity="-1"),
+    row(order_id="4", unit_price="-1"),
+    row(order_id="5", order_date="soon"),
+    row(order_id="6", region="east", discount="7"),
+]
+
+
+def log(warehouse):
+    keep = ["rows_read", "rows_cleaned", "rows_rejected", "rows_loaded", "status"]
+    return [tuple(r[k] for k in keep) for r in warehouse.table(RUN_LOG).orderBy("started_at").collect()]
+
+
+def summary(warehouse):
+    return {(r.order_month, r.region): (r.total_orders, r.total_revenue) for r in warehouse.table(SUMMARY).collect()}
+
+
+def test_run(warehouse, tmp_path):
+    source = write(tmp_path / "a.csv", *DIRTY)
+    result = run_pipeline(warehouse, source)
+    assert result.pop("duration_seconds") > 0
+    assert result == {"rows_read": 7, "rows_cleaned": 2, "rows_rejected": 5, "rows_loaded": 2, "status": "SUCCESS"}
+    assert sorted(r.order_id for r in warehouse.table(TRANSACTIONS).collect()) == ["1", "6"]
+    assert summary(warehouse) == {(5, "West"): (1, Decimal("30.00")), (5, "East"): (1, Decimal("0.00"))}
+    assert log(warehouse) == [(7, 2, 5, 2, "SUCCESS")]
+    assert warehouse.table(RUN_LOG).first().source_file == source
+    assert warehouse.spark.catalog.listTables(f"{warehouse.database}_staging") == []
+
+
+def test_second_run_over_the_same_file_fails_or_adds_nothing(warehouse, tmp_path):
+    source = write(tmp_path / "a.csv", *DIRTY)
+    run_pipeline(warehouse, source)
+    before = summary(warehouse)
+    with pytest.raises(DuplicateOrderError):
+        run_pipeline(warehouse, source)
+    assert run_pipeline(warehouse, source, on_conflict="ignore", refresh="recompute")["rows_loaded"] == 0
+    assert warehouse.table(TRANSACTIONS).count() == 2 and summary(warehouse) == before
+    assert log(warehouse) == [(7, 2, 5, 2, "SUCCESS"), (7, 2, 5, 0, "FAILED"), (7, 2, 5, 0, "SUCCESS")]
+
+
+def test_dates_in_another_layout(warehouse, tmp_path):
+    rows = [row(order_id="1", order_date="05/14/2023"), row(order_id="2", order_date="2023-05-14")]
+    source = write(tmp_path / "a.csv", *rows)
+    assert run_pipeline(warehouse, source)["rows_cleaned"] == 1
+    both = Warehouse(warehouse.spark, str(tmp_path / "both"), f"mart_{uuid.uuid4().hex}")
+    assert run_pipeline(both, source, layouts=["M/d/yyyy", "iso"])["rows_cleaned"] == 2
+
+
+def test_absent_source_is_logged(warehouse, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        run_pipeline(warehouse, str(tmp_path / "none.csv"))
+    assert log(warehouse) == [(0, 0, 0, 0, "FAILED")]
+    assert "none.csv" in warehouse.table(RUN_LOG).first().error_message
+
+
+def test_missing_column_is_logged_with_the_rows_read(warehouse, tmp_path):
+    source = write(tmp_path / "a.csv", *DIRTY, columns=[c for c in REQUIRED_COLUMNS if c != "region"])
+    with pytest.raises(ValueError, match=r"\['region'\]"):
+        run_pipeline(warehouse, source)
+    assert log(warehouse) == [(7, 0, 0, 0, "FAILED")]
+
+
+def test_bad_number_fails_the_run_even_on_a_row_that_would_go(warehouse, tmp_path):
+    source = write(tmp_path / "a.csv", row(), row(customer_name=None, quantity="many"))
+    with pytest.raises(ValueError, match="1 values"):
+        run_pipeline(warehouse, source)
+    assert log(warehouse) == [(2, 0, 0, 0, "FAILED")]
+    assert run_pipeline(warehouse, source, on_bad_number="null")["rows_loaded"] == 1
+
+
+def test_broken_constraint_loads_nothing(warehouse, tmp_path):
+    source = write(tmp_path / "a.csv", row(), row(order_id="2", region=None))
+    with pytest.raises(ConstraintError, match="region_not_null"):
+        run_pipeline(warehouse, source)
+    assert warehouse.table(TRANSACTIONS).count() == 0
+    assert log(warehouse) == [(2, 1 + 1, 0, 0, "FAILED")]
+
+
+def test_failure_after_the_load_keeps_the_rows(warehouse, tmp_path, monkeypatch):
+    def broken(*_):
+        raise RuntimeError("summary failed")
+
+    monkeypatch.setattr(Warehouse, "upsert_monthly_summary", broken)
+    with pytest.raises(RuntimeError, match="summary failed"):
+        run_pipeline(warehouse, write(tmp_path / "a.csv", *DIRTY))
+    assert warehouse.table(TRANSACTIONS).count() == 2
+    assert log(warehouse) == [(7, 2, 5, 2, "FAILED")]
+
+
+def test_failing_log_does_not_hide_the_outcome(warehouse, tmp_path, monkeypatch, caplog):
+    def broken(*_, **__):
+        raise RuntimeError("log failed")
+
+    monkeypatch.setattr(pipeline, "log_run", broken)
+    assert run_pipeline(warehouse, write(tmp_path / "a.csv", *DIRTY))["status"] == "SUCCESS"
+    assert "log failed" in caplog.text
+
+
+def test_unknown_options(warehouse, tmp_path):
+    with pytest.raises(ValueError):
+        run_pipeline(warehouse, str(tmp_path), on_bad_number="skip")
+
+
+def test_run_and_reports(spark, warehouse, tmp_path):
+    result = run_all(warehouse, write(tmp_path / "a.csv", *DIRTY), str(tmp_path / "reports"), top_n=1)
+    assert result["status"] == "SUCCESS"
+    assert spark.read.csv(result["reports"]["top_products"], header=True).count() == 1
+    with pytest.raises(FileNotFoundError):
+        run_all(warehouse, str(tmp_path / "none"), str(tmp_path / "reports2"))
+    assert not (tmp_path / "reports2").exists()
+
+
+def test_parquet_source(spark, warehouse, frame, tmp_path):
+    path = str(tmp_path / "p")
+    frame(*DIRTY).coalesce(1).write.parquet(path)
+    assert run_pipeline(warehouse, path, fmt="parquet")["rows_loaded"] == 2
+
+
+# -- file stream ------------------------------------------------------------------------------
+
+
+def take(warehouse, tmp_path, **options):
+    return run_incremental(warehouse, str(tmp_path / "drop"), str(tmp_path / "checkpoint"), **options)
+
+
+def test_only_new_files_are_taken(spark, warehouse, tmp_path):
+    write(tmp_path / "drop" / "1.csv", *DIRTY)
+    assert take(warehouse, tmp_path) == 1
+    write(tmp_path / "drop" / "2.csv", row(order_id="1"), row(order_id="7"), row(order_id="8", order_date="2024-01-02"))
+    assert take(warehouse, tmp_path, report_folder=str(tmp_path / "reports")) == 1
+    assert take(warehouse, tmp_path) == 0
+    assert sorted(r.order_id for r in warehouse.table(TRANSACTIONS).collect()) == ["1", "6", "7", "8"]
+    assert summary(warehouse) == {
+        (5, "West"): (2, Decimal("60.00")),
+        (5, "East"): (1, Decimal("0.00")),
+        (1, "West"): (1, Decimal("30.00")),
+    }
+    assert log(warehouse) == [(7, 2, 5, 2, "SUCCESS"), (3, 3, 0, 2, "SUCCESS")]
+    assert len(list((tmp_path / "reports").glob("batch=1/run_ts=*/summary"))) == 1
+
+
+def test_files_can_be_taken_in_several_batches(warehouse, tmp_path):
+    for i in range(3):
+        write(tmp_path / "drop" / f"{i}.csv", row(order_id="same"), row(order_id=f"o{i}"))
+    assert take(warehouse, tmp_path, max_files=1) == 3
+    assert warehouse.table(TRANSACTIONS).count() == 4
+    assert summary(warehouse) == {(5, "West"): (4, Decimal("120.00"))}
+
+
+def test_layout_of_each_batch(warehouse, tmp_path):
+    write(tmp_path / "drop" / "1.csv", row(order_id="1", order_date="05/14/2023"))
+    take(warehouse, tmp_path, layouts=None)
+    write(tmp_path / "drop" / "2.csv", row(order_id="2", order_date="2023-05-15"))
+    take(warehouse, tmp_path, layouts=None)
+    assert warehouse.table(TRANSACTIONS).count() == 2
+
+
+def test_failed_batch_is_taken_again(warehouse, tmp_path, monkeypatch):
+    write(tmp_path / "drop" / "1.csv", *DIRTY)
+
+    def broken(*_):
+        raise RuntimeError("summary failed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "upsert_monthly_summary", broken)
+        with pytest.raises(Exception, match="summary failed"):
+            take(warehouse, tmp_path)
+    assert warehouse.table(TRANSACTIONS).count() == 2
+    assert take(warehouse, tmp_path) == 1
+    assert warehouse.table(TRANSACTIONS).count() == 2
+    assert summary(warehouse) == {(5, "West"): (1, Decimal("30.00")), (5, "East"): (1, Decimal("0.00"))}
+    assert log(warehouse) == [(7, 2, 5, 2, "FAILED"), (7, 2, 5, 0, "SUCCESS")]
+
+
+def test_batch_done_but_not_recorded_by_the_stream_is_not_run_twice(spark, warehouse, tmp_path):
+    write(tmp_path / "drop" / "1.csv", *DIRTY)
+    take(warehouse, tmp_path)
+    for commit in (tmp_path / "checkpoint" / "commits").glob("*0*"):
+        commit.rename(tmp_path / commit.name)
+    assert take(warehouse, tmp_path) == 0
+    assert log(warehouse) == [(7, 2, 5, 2, "SUCCESS")]
+
+
+def test_other_header_fails_the_batch(warehouse, tmp_path):
+    write(tmp_path / "drop" / "1.csv", row(), columns=list(reversed(REQUIRED_COLUMNS)))
+    with pytest.raises(Exception, match="header"):
+        take(warehouse, tmp_path)
+    assert take(warehouse, tmp_path, columns=list(reversed(REQUIRED_COLUMNS))) == 1

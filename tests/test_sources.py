@@ -1,0 +1,187 @@
+from __future__ import annotations
+
+import pandas as pd
+import pytest
+from conftest import GOOD, row
+from pyspark.errors import PySparkException
+
+from ordermill.functions import ISO_DATE
+from ordermill.functions.dates import DATE_LAYOUTS
+from ordermill.operators.cleaning import clean_sales
+from ordermill.schemas import NA_TOKENS, REQUIRED_COLUMNS
+from ordermill.sources import SOURCE_ORDER, infer_layouts, read_raw
+from ordermill.sources import jdbc
+
+HEADER = ",".join(REQUIRED_COLUMNS)
+
+
+def line(**changes):
+    return ",".join(row(**changes)[name] or "" for name in REQUIRED_COLUMNS)
+
+
+def write(path, *lines, header=HEADER):
+    path.write_text("\n".join([header, *lines]) + "\n", encoding="utf-8")
+    return str(path)
+
+
+def test_absent_path(spark, tmp_path):
+    for fmt in ("csv", "parquet"):
+        with pytest.raises(FileNotFoundError, match="nowhere"):
+            read_raw(spark, str(tmp_path / "nowhere.csv"), fmt)
+    with pytest.raises(FileNotFoundError):
+        read_raw(spark, str(tmp_path / "nowhere"), mixed_headers=True)
+    with pytest.raises(ValueError):
+        read_raw(spark, str(tmp_path), "xlsx")
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_no_value_texts_match_pandas(spark, tmp_path, multi_line):
+    texts = [*NA_TOKENS, " NA ", "na", "Null", "-", "0", "None "]
+    path = write(tmp_path / "a.csv", *[line(order_id=f"o{i}", customer_name=t) for i, t in enumerate(texts)])
+    expected = pd.read_csv(path, dtype=str)["customer_name"]
+    got = read_raw(spark, path, multi_line=multi_line).orderBy(*SOURCE_ORDER).collect()
+    assert [r.customer_name for r in got] == [None if pd.isna(v) else v for v in expected]
+
+
+def test_quotes_and_line_breaks_match_pandas(spark, tmp_path):
+    lines = [line(product_name='"a ""big"" rake"'), line(product_name='"two\nlines, one field"'), "", line()]
+    path = write(tmp_path / "a.csv", *lines)
+    expected = list(pd.read_csv(path)["product_name"])
+    got = read_raw(spark, path).orderBy(*SOURCE_ORDER).collect()
+    assert [r.product_name for r in got] == expected == ['a "big" rake', "two\nlines, one field", "Rake"]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_short_lines_are_filled_and_long_ones_refused(spark, tmp_path, multi_line):
+    short = write(tmp_path / "short.csv", "o1,2023-01-01,Ann", line(order_id="o2"))
+    got = read_raw(spark, short, multi_line=multi_line).orderBy(*SOURCE_ORDER).collect()
+    assert [(r.order_id, r.region) for r in got] == [("o1", None), ("o2", "west")]
+    long = write(tmp_path / "long.csv", line(), line() + ",surplus")
+    with pytest.raises(PySparkException, match="more fields than the header"):
+        read_raw(spark, long, multi_line=multi_line).select("order_id").collect()
+
+
+def test_columns_go_by_name(spark, tmp_path):
+    names = list(reversed(REQUIRED_COLUMNS)) + ["note"]
+    path = write(tmp_path / "a.csv", ",".join([GOOD[n] for n in names[:-1]] + ["extra"]), header=",".join(names))
+    got = read_raw(spark, path).first()
+    assert {n: got[n] for n in REQUIRED_COLUMNS} == GOOD and got.note == "extra"
+
+
+def test_byte_order_mark(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_bytes(b"\xef\xbb\xbf" + f"{HEADER}\n{line()}\n".encode())
+    for multi_line in (True, False):
+        assert read_raw(spark, str(path), multi_line=multi_line).first().order_id == "N-1"
+
+
+def test_folder_with_different_headers(spark, tmp_path):
+    write(tmp_path / "a.csv", line(order_id="a"))
+    names = list(reversed(REQUIRED_COLUMNS))
+    values = row(order_id="b")
+    write(tmp_path / "b c.csv", ",".join(values[n] for n in names), header=",".join(names))
+    write(tmp_path / "d.csv", line(order_id="d"))
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_raw(spark, str(tmp_path)).collect()
+    got = read_raw(spark, str(tmp_path), mixed_headers=True).orderBy(*SOURCE_ORDER).collect()
+    assert [(r.order_id, r.region) for r in got] == [("a", "west"), ("b", "west"), ("d", "west")]
+
+
+def test_input_order_is_file_then_line(spark, tmp_path):
+    # The larger file is planned first by Spark, yet the rows of the first by name come first.
+    write(tmp_path / "1.csv", line(product_name="one"))
+    write(tmp_path / "2.csv", *[line(product_name=f"two{i}") for i in range(500)])
+    raw = read_raw(spark, str(tmp_path))
+    assert clean_sales(raw, SOURCE_ORDER).first().product_name == "one"
+    names = [r.product_name for r in raw.orderBy(*SOURCE_ORDER).collect()]
+    assert names == ["one"] + [f"two{i}" for i in range(500)]
+
+
+def test_input_order_over_the_parts_of_a_split_file(spark, tmp_path):
+    path = write(tmp_path / "a.csv", *[line(product_name=f"p{i}") for i in range(3000)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        raw = read_raw(spark, path, multi_line=False)
+        assert raw.select("_block").distinct().count() > 3
+        assert [r.product_name for r in raw.orderBy(*SOURCE_ORDER).collect()] == [f"p{i}" for i in range(3000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_parquet_input(spark, frame, tmp_path):
+    path = str(tmp_path / "p")
+    frame(row(product_name="x"), row(product_name="y")).coalesce(1).write.parquet(path)
+    assert clean_sales(read_raw(spark, path, "parquet"), SOURCE_ORDER).first().product_name == "x"
+
+
+@pytest.mark.parametrize(
+    "dates, layouts",
+    [
+        (["2023-05-04"], [ISO_DATE]),
+        (["", "05/04/2023"], ["M/d/yyyy"]),
+        (["25/04/2023"], ["d/M/yyyy"]),
+        (["soon", "2023-05-04"], DATE_LAYOUTS),
+        ([""], [ISO_DATE]),
+    ],
+)
+def test_layout_comes_from_the_first_date(spark, tmp_path, dates, layouts):
+    path = write(tmp_path / "a file.csv", *[line(order_date=d) for d in dates])
+    assert infer_layouts(read_raw(spark, path)) == layouts
+
+
+def test_later_files_are_looked_at_only_without_a_date(spark, tmp_path):
+    write(tmp_path / "1.csv", line(order_date=""))
+    write(tmp_path / "2.csv", line(order_date="05/14/2023"))
+    assert infer_layouts(read_raw(spark, str(tmp_path))) == ["M/d/yyyy"]
+
+
+class _Recorder:
+    """Stands in for a reader or writer and keeps what it was told."""
+
+    def __init__(self):
+        self.seen = {}
+
+    def mode(self, value):
+        return self.option("mode", value)
+
+    def format(self, value):
+        return self.option("format", value)
+
+    def option(self, key, value):
+        self.seen[key] = value
+        return self
+
+    def options(self, **values):
+        self.seen.update(values)
+        return self
+
+    def save(self):
+        self.seen["saved"] = True
+
+    def load(self):
+        return self.seen
+
+
+def test_jdbc_options():
+    class Frame:
+        write = _Recorder()
+
+    class Session:
+        read = _Recorder()
+
+    jdbc.write_jdbc(Frame, "jdbc:x:y", "t", "replace", chunk_size=100, connections=3, properties={"user": "u"})
+    assert Frame.write.seen == {
+        "mode": "overwrite",
+        "format": "jdbc",
+        "url": "jdbc:x:y",
+        "dbtable": "t",
+        "batchsize": "100",
+        "numPartitions": "3",
+        "user": "u",
+        "saved": True,
+    }
+    got = jdbc.read_jdbc(Session, "jdbc:x:y", "t", "id", ("1", "100"))
+    assert (got["partitionColumn"], got["lowerBound"], got["upperBound"]) == ("id", "1", "100")
+    with pytest.raises(ValueError):
+        jdbc.read_jdbc(Session, "jdbc:x:y", "t", "id")
