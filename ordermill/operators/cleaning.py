@@ -27,9 +27,9 @@ def validate_schema(df: DataFrame) -> None:
 
 def normalize_text(df: DataFrame) -> DataFrame:
     """Strip the text columns, null the blank ones and title-case the region."""
-    normal = {name: blank_to_null(F.col(name)) for name in TEXT_COLUMNS}
-    normal["region"] = title_case(normal["region"])
-    return df.withColumns(normal)
+    stripped = df.withColumns({name: blank_to_null(F.col(name)) for name in TEXT_COLUMNS})
+    # A projection of its own: the stripped region is used several times and computed once.
+    return stripped.withColumn("region", title_case(F.col("region")))
 
 
 def parse_dates(df: DataFrame, layouts: Sequence[str] = (ISO_DATE,)) -> DataFrame:

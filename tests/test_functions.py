@@ -32,7 +32,7 @@ def apply(spark, expression, values, kind="string"):
 def test_strip_removes_every_kind_of_space(spark):
     every = [chr(c) for c in range(0x110000) if chr(c).isspace()]
     assert sorted(WHITE_SPACE) == every
-    values = [f"{s}a{s}b{s}{s}" for s in every] + ["", "   ", "x", None]
+    values = [f"{s}a{s}b{s}{s}" for s in every] + [f"a{s}" for s in every] + ["", "   ", "x", "a\nb", None]
     assert apply(spark, strip_space, values) == [v if v is None else v.strip() for v in values]
 
 

@@ -22,6 +22,12 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def scanned(df):
+    """Columns the file scan hands on."""
+    columns = re.search(r"FileScan parquet \S*\[([^\]]*)\]", plan(df)).group(1)
+    return {column.split("#")[0] for column in columns.split(",")}
+
+
 def shuffles(text):
     return text.count("Exchange hashpartitioning") + text.count("Exchange rangepartitioning")
 
@@ -81,9 +87,8 @@ def test_top_products_needs_no_full_sort(raw, warehouse):
 
 
 def test_only_needed_columns_are_read(raw):
-    text = plan(aggregates.top_products(clean_sales(raw, ["pos"])))
-    read = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
-    assert "payment_method" not in read and "product_category" not in read and "region" not in read
+    read = scanned(aggregates.top_products(clean_sales(raw, ["pos"])))
+    assert read == set(raw.columns) - {"payment_method", "product_category", "region"}
 
 
 def test_no_python_in_the_plans(spark, raw, tmp_path):
@@ -127,6 +132,6 @@ def test_months_prune_partitions(warehouse, raw):
     assert re.search(r"PartitionFilters: \[[^\]]*order_month", text)
 
 
-def test_reports_read_the_summary_once_grouped(warehouse):
-    text = plan(reports.revenue_by_month(warehouse.table(SUMMARY)))
-    assert "total_quantity" not in re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
+def test_reports_read_only_their_columns(warehouse):
+    read = scanned(reports.revenue_by_month(warehouse.table(SUMMARY)))
+    assert read == {"total_revenue", "order_year", "order_month"}
