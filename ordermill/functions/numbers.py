@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 _NUMBER_TEXT = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
 
 
-def is_bad_number(text: Column) -> Column:
-    """True for a text that holds something other than a number."""
-    return text.isNotNull() & ~text.rlike(_NUMBER_TEXT)
-
-
 def parse_number(text: Column, on_bad: str = "fail") -> Column:
     """Read a text as a double.
 
@@ -24,7 +19,7 @@ def parse_number(text: Column, on_bad: str = "fail") -> Column:
     value = F.when(text.rlike(_NUMBER_TEXT), text.try_cast("double"))
     if on_bad == "null":
         return value
-    return F.when(is_bad_number(text), F.raise_error(F.concat(F.lit("not a number: "), text))).otherwise(value)
+    return value.when(text.isNotNull(), F.raise_error(F.concat(F.lit("not a number: "), text)))
 
 
 def round2(value: Column) -> Column:

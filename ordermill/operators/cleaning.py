@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.functions import ISO_DATE, blank_to_null, parse_date, parse_number, round2, title_case
+from ordermill.functions import ISO_DATE, blank_to_null, in_range, parse_date, parse_number, round2, title_case
 from ordermill.schemas import MANDATORY_VALUES, NUMBER_COLUMNS, REQUIRED_COLUMNS, TEXT_COLUMNS
 
 
@@ -35,10 +35,8 @@ def normalize_text(df: DataFrame) -> DataFrame:
 def parse_dates(df: DataFrame, layouts: Sequence[str] = (ISO_DATE,)) -> DataFrame:
     """Make ``order_date`` a date; a text no layout reads becomes null."""
     kind = df.schema["order_date"].dataType
-    if isinstance(kind, T.DateType):
-        return df
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return df.withColumn("order_date", F.col("order_date").cast("date"))
+    if not isinstance(kind, T.StringType):
+        return df.withColumn("order_date", in_range(F.col("order_date").cast("date")))
     return df.withColumn("order_date", parse_date(F.col("order_date"), layouts))
 
 

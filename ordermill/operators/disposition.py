@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.functions import ISO_DATE
-from ordermill.functions.numbers import is_bad_number
-from ordermill.operators.cleaning import conform, derive, is_missing, price_ok, quantity_ok
+from ordermill.functions import ISO_DATE, parse_number
+from ordermill.operators.cleaning import conform, derive, is_missing, price_ok, quantity_ok, validate_schema
 from ordermill.schemas import LOAD_COLUMNS, NUMBER_COLUMNS, REQUIRED_COLUMNS
 
 KEPT = "kept"
@@ -46,11 +45,14 @@ def dispose_rows(
     Rows with a missing mandatory value collapse into one row.  The single shuffle is an aggregate
     with partial results on the map side, so frequent ids and missing rows do not gather in one task.
     """
+    validate_schema(df)
+    texts = [name for name in NUMBER_COLUMNS if isinstance(df.schema[name].dataType, T.StringType)]
+    parsed = df.withColumns({f"_{name}": parse_number(F.col(name), "null") for name in texts})
     bad = F.lit(0)
-    for name in NUMBER_COLUMNS:
-        if isinstance(df.schema[name].dataType, T.StringType):
-            bad = bad + is_bad_number(F.col(name)).cast("int")
-    flagged = conform(df.withColumn("_bad", bad), layouts, "null").withColumn("_missing", is_missing())
+    for name in texts:
+        bad = bad + (F.col(name).isNotNull() & F.col(f"_{name}").isNull()).cast("int")
+    numbered = parsed.withColumns({"_bad": bad, **{name: F.col(f"_{name}") for name in texts}})
+    flagged = conform(numbered, layouts).withColumn("_missing", is_missing())
     first = F.min_by(
         F.when(~F.col("_missing"), F.struct(*[F.col(name) for name in carry if name != "order_id"])),
         F.struct(*[F.col(name) for name in order_by]),
