@@ -60,12 +60,12 @@ def _parse_one(text: Column, layout: str) -> Column:
 def parse_date(text: Column, layouts: Sequence[str] = (ISO_DATE,)) -> Column:
     """The date in a text by the first layout that fits, null when none does.  The time of day is dropped."""
     parsed = [_parse_one(text, layout) for layout in layouts]
-    return in_range(parsed[0] if len(parsed) == 1 else F.coalesce(*parsed))
+    return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
 
 
 def in_range(date: Column) -> Column:
-    """The date, or null outside of what a 64-bit nanosecond clock holds: such dates count as unreadable."""
-    return F.when(date.between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")), date)
+    """True for a date a 64-bit nanosecond clock holds; others count as unreadable."""
+    return date.between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date"))
 
 
 def pick_date_formats(first_value: Column) -> Column:

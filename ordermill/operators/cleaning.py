@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +36,7 @@ def parse_dates(df: DataFrame, layouts: Sequence[str] = (ISO_DATE,)) -> DataFram
     """Make ``order_date`` a date; a text no layout reads becomes null."""
     kind = df.schema["order_date"].dataType
     if not isinstance(kind, T.StringType):
-        return df.withColumn("order_date", in_range(F.col("order_date").cast("date")))
+        return df.withColumn("order_date", F.col("order_date").cast("date"))
     return df.withColumn("order_date", parse_date(F.col("order_date"), layouts))
 
 
@@ -59,9 +59,16 @@ def conform(df: DataFrame, layouts: Sequence[str] = (ISO_DATE,), on_bad_number:
     return parse_numbers(parse_dates(normalize_text(df), layouts), on_bad_number)
 
 
+def _presence() -> list[Column]:
+    """One test per mandatory value.  A date out of range counts as none, as an unreadable one does."""
+    return [
+        in_range(F.col(name)) if name == "order_date" else F.col(name).isNotNull() for name in MANDATORY_VALUES
+    ]
+
+
 def is_missing() -> Column:
     """True where a mandatory value is absent."""
-    return reduce(or_, [F.col(name).isNull() for name in MANDATORY_VALUES])
+    return ~reduce(and_, [F.coalesce(present, F.lit(False)) for present in _presence()])
 
 
 def quantity_ok() -> Column:
@@ -76,8 +83,8 @@ def price_ok() -> Column:
 
 def drop_missing(df: DataFrame) -> DataFrame:
     """One filter per value, so that each can move to the scan or join side that supplies it."""
-    for name in MANDATORY_VALUES:
-        df = df.where(F.col(name).isNotNull())
+    for present in _presence():
+        df = df.where(present)
     return df
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from conftest import row
 from pyspark.errors import PySparkException
@@ -133,6 +134,16 @@ def test_typed_dates_are_kept(frame):
     assert clean(df)["N-1"].order_date == date(2022, 12, 31)
 
 
+def test_dates_out_of_range_count_as_unreadable(frame):
+    dates = ["9999-12-31", "1677-09-21", "1677-09-22", "2262-04-11", "2262-04-12", "0203-01-01"]
+    df = frame(*[row(order_id=d, order_date=d) for d in dates])
+    as_pandas = pd.to_datetime(pd.Series(dates), errors="coerce", format="%Y-%m-%d")
+    kept = {d for d, parsed in zip(dates, as_pandas) if not pd.isna(parsed)}
+    assert set(clean(df)) == kept == {"1677-09-22", "2262-04-11"}
+    assert set(clean(df.withColumn("order_date", F.to_date("order_date")))) == kept
+    assert stats(df)["rows_dropped_missing_required"] == 4
+
+
 def test_extra_columns_stay(frame):
     df = frame(row()).withColumn("note", F.lit("x"))
     assert clean(df)["N-1"].note == "x"
