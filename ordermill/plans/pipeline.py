@@ -86,14 +86,15 @@ def ingest(
 
 def run_pipeline(
     warehouse: Warehouse,
-    source: str,
+    source: str | list[str],
     fmt: str = "csv",
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     mixed_headers: bool = False,
     layouts: Sequence[str] | None = None,
+    source_name: str | None = None,
     **options,
 ) -> dict:
-    """One run over a file or folder.
+    """One run over a file, a folder or several files.
 
     Without ``layouts`` the date layout is taken from the first date of a CSV source.  Further
     options are those of ``ingest``.
@@ -103,9 +104,9 @@ def run_pipeline(
         raw = read_raw(warehouse.spark, source, fmt, multi_line, mixed_headers)
         if layouts is not None:
             return raw, layouts
-        return raw, infer_layouts(raw, multi_line) if fmt == "csv" else [ISO_DATE]
+        return raw, infer_layouts(raw) if fmt == "csv" else [ISO_DATE]
 
-    return ingest(warehouse, extract, source, **options)
+    return ingest(warehouse, extract, source_name or str(source), **options)
 
 
 def run_all(warehouse: Warehouse, source: str, report_folder: str, top_n: int = 10, **options) -> dict:

@@ -6,6 +6,8 @@ Three extra columns record where a row stood, so that "first" has a meaning afte
 
 from __future__ import annotations
 
+import re
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -20,6 +22,11 @@ from ordermill.schemas import NA_TOKENS
 # Ascending order of these three is input order: file by name, part of the file, row of the part.
 SOURCE_ORDER = ["_file", "_block", "_row"]
 
+# Size from which it pays to find out whether a CSV file can be split.
+SPLIT_ABOVE = 256 * 1024 * 1024
+
+Paths = str | list[str]
+
 _BROKEN = "_broken_line"
 
 
@@ -45,7 +52,7 @@ def csv_schema(columns: list[str]) -> T.StructType:
 
 
 def place_columns() -> list[Column]:
-    """File and offset of a row; the row number is added outside of streaming plans."""
+    """File of a row and the offset of the part of the file it was read with."""
     return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
 
 
@@ -69,78 +76,120 @@ def finish_csv(df: DataFrame, columns: list[str], multi_line: bool) -> DataFrame
     )
 
 
-def _header(spark: SparkSession, path, multi_line: bool) -> list[str]:
-    options = {"header": "true", "escape": '"', "multiLine": str(multi_line).lower()}
-    return spark.read.options(**options).csv(path).columns
+def _header(spark: SparkSession, path: Paths) -> list[str]:
+    """Column names of the first file, taken from its first line."""
+    return spark.read.options(header="true", escape='"').csv(path).columns
+
+
+def list_files(spark: SparkSession, path: Paths) -> DataFrame:
+    """Name and length of every file; contents are not read."""
+    return spark.read.format("binaryFile").load(path).select("path", "length")
+
 
+def literal_path(name: str) -> str:
+    """A file name safe from being taken for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", name)
 
-def _read_csv(spark: SparkSession, path, multi_line: bool) -> DataFrame:
-    columns = _header(spark, path, multi_line)
-    scan = spark.read.schema(csv_schema(columns)).options(**csv_options(multi_line)).csv(path)
-    return finish_csv(scan.select("*", *place_columns()), columns, multi_line)
 
+def _files_with_odd_quotes(spark: SparkSession, path: Paths) -> set[str]:
+    """Files with a line holding an odd number of quotes: only these can have line breaks inside fields.
 
-def _files_by_header(spark: SparkSession, path) -> list[list[str]]:
+    Lines are read in splits, whatever the size of a file, and what is collected are file names.
+    """
+    lines = spark.read.text(path).select("value", *place_columns())
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    files = lines.where(quotes % 2 == 1).select("_file").distinct()
+    return {unquote(row._file) for row in files.toLocalIterator()}
+
+
+def _by_line_breaks(spark: SparkSession, path: Paths, split_above: int) -> list[tuple[Paths, bool]]:
+    """Paths to read, each with whether its fields may hold line breaks.
+
+    A file with such fields has to be read by one task.  That is no matter up to ``split_above``
+    bytes; with larger files around, only those that need it are read so.
+    """
+    largest = list_files(spark, path).agg(F.max("length")).first()[0]
+    if largest is None or largest <= split_above:
+        return [(path, True)]
+    whole = _files_with_odd_quotes(spark, path)
+    if not whole:
+        return [(path, False)]
+    names = [row.path for row in list_files(spark, path).select("path").toLocalIterator()]
+    split = [literal_path(name) for name in names if name not in whole]
+    groups = [([literal_path(name) for name in names if name in whole], True)]
+    return groups + [(split, False)] if split else groups
+
+
+def _read_csv(spark: SparkSession, path: Paths, multi_line: bool | None, split_above: int) -> DataFrame:
+    columns = _header(spark, path)
+    groups = _by_line_breaks(spark, path, split_above) if multi_line is None else [(path, multi_line)]
+    parts = []
+    for files, breaks in groups:
+        scan = spark.read.schema(csv_schema(columns)).options(**csv_options(breaks)).csv(files)
+        parts.append(finish_csv(scan.select("*", *place_columns()), columns, breaks))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _files_by_header(spark: SparkSession, path: Paths) -> list[list[str]]:
     """File names grouped by header line: one name per file, as in Spark's own listing of the path."""
     lines = spark.read.text(path).select("value", *place_columns()).where("_block = 0")
     numbered = lines.withColumn("_row", F.monotonically_increasing_id())
     per_file = numbered.groupBy("_file").agg(F.min_by("value", "_row").alias("header"))
     groups: dict[str, list[str]] = {}
     for file, header in per_file.orderBy("header", "_file").toLocalIterator():
-        groups.setdefault(header, []).append(unquote(file))
+        groups.setdefault(header, []).append(literal_path(unquote(file)))
     return list(groups.values())
 
 
 def read_raw(
     spark: SparkSession,
-    path: str,
+    path: Paths,
     fmt: str = "csv",
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     mixed_headers: bool = False,
+    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
-    """Raw rows of a file or directory, with the ``SOURCE_ORDER`` columns.
+    """Raw rows of files or folders, with the ``SOURCE_ORDER`` columns.
 
-    ``multi_line=False`` lets Spark split large CSV files, provided no quoted field holds a line
-    break.  ``mixed_headers=True`` admits files whose columns stand in different orders; it costs a
-    look at the start of every file.  Raises ``FileNotFoundError`` for an absent path.
+    ``multi_line`` says whether quoted CSV fields may hold line breaks, which keeps Spark from
+    splitting a file; None looks for such fields when a file is larger than ``split_above`` bytes.
+    ``mixed_headers=True`` admits files whose columns stand in different orders; it costs a look at
+    the start of every file.  Raises ``FileNotFoundError`` for an absent path.
     """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"fmt must be 'csv' or 'parquet', not {fmt!r}")
     try:
         if fmt == "parquet":
-            return spark.read.parquet(path).select(
+            return spark.read.parquet(*([path] if isinstance(path, str) else path)).select(
                 "*",
                 F.col("_metadata.file_path").alias("_file"),
                 F.lit(0).cast("bigint").alias("_block"),
                 F.col("_metadata.row_index").alias("_row"),
             )
-        if not mixed_headers:
-            return _read_csv(spark, path, multi_line)
-        parts = [_read_csv(spark, files, multi_line) for files in _files_by_header(spark, path)]
+        groups = [path]
+        if mixed_headers:
+            groups = _files_by_header(spark, path) or groups
+        return reduce(
+            DataFrame.unionByName, [_read_csv(spark, files, multi_line, split_above) for files in groups]
+        )
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
             raise FileNotFoundError(f"Source file not found: {path}") from error
         raise
-    if not parts:
-        return _read_csv(spark, path, multi_line)
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
 
 
-def infer_layouts(raw: DataFrame, multi_line: bool = True) -> list[str]:
+def infer_layouts(raw: DataFrame) -> list[str]:
     """Date layouts of a CSV source: the one that reads its first date, or all when none does.
 
     Looks at the first file only, and at later ones only while no date was found.
     """
     spark = raw.sparkSession
     for name in sorted(raw.inputFiles()):
-        file = unquote(name)
-        columns = _header(spark, file, multi_line)
+        file = literal_path(unquote(name))
+        columns = _header(spark, file)
         if "order_date" not in columns:
             continue
-        scan = spark.read.schema(csv_schema(columns)).options(**csv_options(multi_line)).csv(file)
+        scan = spark.read.schema(csv_schema(columns)).options(**csv_options(True)).csv(file)
         dates = scan.where(F.col("order_date").isNotNull() & ~F.col("order_date").isin(NA_TOKENS))
         found = dates.select(pick_date_formats(F.col("order_date")).alias("layout")).first()
         if found is not None:

@@ -1,9 +1,9 @@
 """The pipeline as a file stream: each call takes the files that arrived since the last one.
 
-A scheduler outside (cron, an orchestrator) decides when to call.  The stream's checkpoint remembers
-which files were taken.  A batch that failed, or whose end was not recorded, is taken again; orders
-it had already stored are skipped and the months it touches are totalled anew, so taking it again
-changes nothing.
+A scheduler outside (cron, an orchestrator) decides when to call.  The stream carries file names
+only; its checkpoint remembers which were taken, and every batch of names is run as a batch job.  A
+batch that failed, or whose end was not recorded, is taken again: orders it had already stored are
+skipped and the months it touches are totalled anew, so taking it again changes nothing.
 """
 
 from __future__ import annotations
@@ -12,63 +12,54 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ordermill.functions import ISO_DATE, pick_date_formats
-from ordermill.functions.dates import DATE_LAYOUTS
 from ordermill.plans.audit import has_succeeded
-from ordermill.plans.pipeline import ingest
+from ordermill.plans.pipeline import run_pipeline
 from ordermill.plans.reports import write_report_marts
 from ordermill.plans.warehouse import Warehouse
-from ordermill.schemas import REQUIRED_COLUMNS
-from ordermill.sources.files import SOURCE_ORDER, csv_options, csv_schema, finish_csv, place_columns
+from ordermill.sources.files import literal_path
 
-
-def _layouts_of(raw: DataFrame) -> list[str]:
-    dated = raw.where(F.col("order_date").isNotNull())
-    first = dated.orderBy(*SOURCE_ORDER).limit(1)
-    found = first.select(pick_date_formats(F.col("order_date")).alias("layout")).first()
-    if found is None:
-        return [ISO_DATE]
-    return DATE_LAYOUTS if found.layout is None else [found.layout]
+# The columns of Spark's file listing source.
+LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
 def run_incremental(
     warehouse: Warehouse,
     folder: str,
     checkpoint: str,
-    columns: Sequence[str] = tuple(REQUIRED_COLUMNS),
-    multi_line: bool = True,
-    layouts: Sequence[str] | None = (ISO_DATE,),
+    fmt: str = "csv",
+    multi_line: bool | None = None,
+    mixed_headers: bool = False,
+    layouts: Sequence[str] | None = None,
     on_bad_number: str = "fail",
     max_files: int | None = None,
     report_folder: str | None = None,
     top_n: int = 10,
 ) -> int:
-    """Take the new CSV files of ``folder`` and return the number of batches run.
+    """Take the new files of ``folder`` and return the number of batches run.
 
-    ``columns`` is the header the files have, in their order; a file with another one fails the
-    batch.  ``layouts=None`` takes the date layout from each batch's first date.  ``max_files``
-    bounds the files of one batch.  With ``report_folder`` the reports follow every batch.
+    ``max_files`` bounds the files of one batch.  Without ``layouts`` each batch is read with the
+    date layout of its first date, so deliver files of different layouts one to a batch.  With
+    ``report_folder`` the reports follow every batch.
     """
-    columns = list(columns)
     done = []
     stream_id = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
 
     def take(batch: DataFrame, batch_id: int) -> None:
         target = Warehouse(batch.sparkSession, warehouse.root, warehouse.database)
         run_id = f"{stream_id}-{batch_id}"
-        if has_succeeded(target, run_id):
+        # Names only, as many as the stream's own file log holds for the batch; it may repeat some.
+        files = sorted({literal_path(row.path) for row in batch.toLocalIterator()})
+        if not files or has_succeeded(target, run_id):
             return
-
-        def extract():
-            raw = finish_csv(batch, columns, multi_line)
-            return raw, layouts if layouts is not None else _layouts_of(raw)
-
-        ingest(
+        run_pipeline(
             target,
-            extract,
-            folder,
+            files,
+            fmt,
+            multi_line,
+            mixed_headers,
+            layouts,
+            source_name=folder,
             on_bad_number=on_bad_number,
             on_conflict="ignore",
             refresh="recompute",
@@ -78,12 +69,13 @@ def run_incremental(
             write_report_marts(target, f"{report_folder.rstrip('/')}/batch={batch_id}", top_n)
         done.append(batch_id)
 
-    reader = warehouse.spark.readStream.schema(csv_schema(columns)).options(**csv_options(multi_line))
+    reader = warehouse.spark.readStream.format("binaryFile").schema(LISTING)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    scan = reader.csv(folder).select("*", *place_columns())
     query = (
-        scan.writeStream.foreachBatch(take)
+        reader.load(folder)
+        .select("path")
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 from conftest import GOOD, row
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from ordermill.functions import ISO_DATE
 from ordermill.functions.dates import DATE_LAYOUTS
@@ -34,7 +35,7 @@ def test_absent_path(spark, tmp_path):
         read_raw(spark, str(tmp_path), "xlsx")
 
 
-@pytest.mark.parametrize("multi_line", [True, False])
+@pytest.mark.parametrize("multi_line", [None, True, False])
 def test_no_value_texts_match_pandas(spark, tmp_path, multi_line):
     texts = [*NA_TOKENS, " NA ", "na", "Null", "-", "0", "None "]
     path = write(tmp_path / "a.csv", *[line(order_id=f"o{i}", customer_name=t) for i, t in enumerate(texts)])
@@ -109,6 +110,38 @@ def test_input_order_over_the_parts_of_a_split_file(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_large_files_are_split_unless_they_hold_line_breaks(spark, tmp_path):
+    many = [line(order_id=f"o{i}") for i in range(2000)]
+    write(tmp_path / "plain [1].csv", *many)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        def parts_per_file():
+            raw = read_raw(spark, str(tmp_path), split_above=1000)
+            return {r["_file"].rsplit("/", 1)[-1]: r["n"] for r in blocks(raw)}, raw.count()
+
+        def blocks(raw):
+            return raw.groupBy("_file").agg(F.count_distinct("_block").alias("n")).collect()
+
+        found, rows = parts_per_file()
+        assert len(found) == 1 and min(found.values()) > 3 and rows == 2000
+        write(tmp_path / "broken.csv", *many, line(order_id="last", product_name='"two\nlines"'))
+        found, rows = parts_per_file()
+        assert found.pop("broken.csv") == 1 and min(found.values()) > 3 and rows == 4001
+        write(tmp_path / "inch.csv", *many, line(order_id="inch", product_name='5" pipe'))
+        raw = read_raw(spark, str(tmp_path), split_above=1000)
+        got = {r.order_id: r.product_name for r in raw.where("order_id in ('inch', 'last')").collect()}
+        assert got == {"last": "two\nlines", "inch": '5" pipe'} and raw.count() == 6002
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_small_files_are_not_looked_through(spark, tmp_path, monkeypatch):
+    path = write(tmp_path / "a.csv", line(product_name='"two\nlines"'))
+    monkeypatch.setattr("ordermill.sources.files._files_with_odd_quotes", None)
+    assert read_raw(spark, path).first().product_name == "two\nlines"
+
+
 def test_parquet_input(spark, frame, tmp_path):
     path = str(tmp_path / "p")
     frame(row(product_name="x"), row(product_name="y")).coalesce(1).write.parquet(path)
