@@ -236,3 +236,21 @@ def test_run_log(warehouse):
     assert has_succeeded(warehouse, run_id) and not has_succeeded(warehouse, "other")
     with pytest.raises(ConstraintError):
         log_run(warehouse, "f.csv", 0, 0, 0, 0, "DONE", start, end)
+
+
+def test_month_holding_most_rows_is_written_by_several_tasks(spark, warehouse, clean):
+    ids = spark.range(60000).select(F.sha2(F.col("id").cast("string"), 256).substr(1, 50).alias("order_id"))
+    batch = clean(row()).drop("order_id").crossJoin(ids)
+    first_third = F.col("order_id") < "5"
+    late = batch.withColumn("order_month", F.when(first_third, F.ascii("order_id") % 7 + 6).otherwise(5))
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "500k")
+    try:
+        assert warehouse.load_transactions(late) == 60000
+    finally:
+        spark.conf.set(setting, before)
+    stored = warehouse.table(TRANSACTIONS)
+    files = stored.select("order_month", F.input_file_name().alias("f")).distinct().groupBy("order_month").count()
+    count = {r.order_month: r["count"] for r in files.collect()}
+    assert count[5] > 3 and stored.count() == 60000
