@@ -240,7 +240,7 @@ def test_run_log(warehouse):
 
 def test_month_holding_most_rows_is_written_by_several_tasks(spark, warehouse, clean):
     ids = spark.range(60000).select(F.sha2(F.col("id").cast("string"), 256).substr(1, 50).alias("order_id"))
-    batch = clean(row()).drop("order_id").crossJoin(ids)
+    batch = ids.crossJoin(F.broadcast(clean(row()).drop("order_id")))
     first_third = F.col("order_id") < "5"
     late = batch.withColumn("order_month", F.when(first_third, F.ascii("order_id") % 7 + 6).otherwise(5))
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
