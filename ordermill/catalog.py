@@ -95,7 +95,7 @@ def _loaded_in_two_batches(spark: SparkSession, folder: str, refresh: str) -> Wa
     return warehouse
 
 
-def _write_csv(df: DataFrame, folder: str, mode: str = "errorifexists") -> None:
+def write_csv(df: DataFrame, folder: str, mode: str = "errorifexists") -> None:
     """Raw columns as CSV files whose rows, over all files, stand in input order."""
     in_order = df.orderBy("order_id", *STAR_ORDER).select(*REQUIRED_COLUMNS)
     keep_space = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -109,7 +109,7 @@ def _write_csv(df: DataFrame, folder: str, mode: str = "errorifexists") -> None:
 def read_raw(spark: SparkSession, folder: str) -> DataFrame:
     """The raw rows written to CSV files and read back, no-value texts nulled."""
     drop = new_folder(spark, "csv")
-    _write_csv(_dirty(spark, folder), drop)
+    write_csv(_dirty(spark, folder), drop)
     return cleaning.parse_numbers(read_files(spark, drop)).select(*REQUIRED_COLUMNS)
 
 
@@ -354,7 +354,7 @@ def report_labels(spark: SparkSession, folder: str) -> DataFrame:
 def pipeline_run(spark: SparkSession, folder: str) -> DataFrame:
     """CSV files through the whole pipeline; the stored transactions."""
     drop = new_folder(spark, "csv")
-    _write_csv(raw_sales(spark, folder), drop)
+    write_csv(raw_sales(spark, folder), drop)
     warehouse = _new_warehouse(spark)
     run_pipeline(warehouse, drop)
     return warehouse.table(TRANSACTIONS).select(*LOAD_COLUMNS)
@@ -367,6 +367,6 @@ def incremental_run(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _new_warehouse(spark)
     raw = raw_sales(spark, folder)
     for delivery in (_in_first_batch(), _in_second_batch()):
-        _write_csv(raw.where(delivery), drop, mode="append")
+        write_csv(raw.where(delivery), drop, mode="append")
         run_incremental(warehouse, drop, checkpoint)
     return warehouse.table(SUMMARY).drop("refreshed_at")

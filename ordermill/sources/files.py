@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ordermill.functions import ISO_DATE, pick_date_formats
 from ordermill.functions.dates import DATE_LAYOUTS
+from ordermill.operators.cleaning import validate_schema
 from ordermill.schemas import NA_TOKENS
 
 # Ascending order of these three is input order: file by name, part of the file, row of the part.
@@ -30,7 +31,7 @@ Paths = str | list[str]
 _BROKEN = "_broken_line"
 
 
-def csv_options(multi_line: bool) -> dict[str, str]:
+def csv_options(multi_line: bool, check_header: bool = True) -> dict[str, str]:
     """Reader options: header by name, doubled quotes, optionally line breaks inside quotes.
 
     ``enforceSchema=false`` makes Spark compare every file's header with the schema and fail on a
@@ -41,7 +42,7 @@ def csv_options(multi_line: bool) -> dict[str, str]:
         "header": "true",
         "escape": '"',
         "multiLine": str(multi_line).lower(),
-        "enforceSchema": "false",
+        "enforceSchema": str(not check_header).lower(),
         "columnPruning": "false",
         "columnNameOfCorruptRecord": _BROKEN,
     }
@@ -76,9 +77,16 @@ def finish_csv(df: DataFrame, columns: list[str], multi_line: bool) -> DataFrame
     )
 
 
-def _header(spark: SparkSession, path: Paths) -> list[str]:
-    """Column names of the first file, taken from its first line."""
-    return spark.read.options(header="true", escape='"').csv(path).columns
+def _header(spark: SparkSession, path: Paths) -> tuple[list[str], bool]:
+    """Column names of the first file, taken from its first line, and whether Spark can compare them.
+
+    It cannot where a heading is blank, as that of a saved row index is, or occurs twice: such
+    columns go by the names Spark makes up for them.
+    """
+    reader = spark.read.option("escape", '"')
+    columns = reader.option("header", "true").csv(path).columns
+    first = reader.option("header", "false").csv(path).first()
+    return columns, first is not None and columns == list(first)
 
 
 def list_files(spark: SparkSession, path: Paths) -> DataFrame:
@@ -121,11 +129,13 @@ def _by_line_breaks(spark: SparkSession, path: Paths, split_above: int) -> list[
 
 
 def _read_csv(spark: SparkSession, path: Paths, multi_line: bool | None, split_above: int) -> DataFrame:
-    columns = _header(spark, path)
+    columns, comparable = _header(spark, path)
+    if not comparable and len(_files_by_header(spark, path)) > 1:
+        raise ValueError("the files have different headers; read them with mixed_headers=True")
     groups = _by_line_breaks(spark, path, split_above) if multi_line is None else [(path, multi_line)]
     parts = []
     for files, breaks in groups:
-        scan = spark.read.schema(csv_schema(columns)).options(**csv_options(breaks)).csv(files)
+        scan = spark.read.schema(csv_schema(columns)).options(**csv_options(breaks, comparable)).csv(files)
         parts.append(finish_csv(scan.select("*", *place_columns()), columns, breaks))
     return reduce(DataFrame.unionByName, parts)
 
@@ -141,6 +151,13 @@ def _files_by_header(spark: SparkSession, path: Paths) -> list[list[str]]:
     return list(groups.values())
 
 
+def _union(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Rows of both; a column only one of them has is empty in the other, unless it is required."""
+    for df in (one, other):
+        validate_schema(df)
+    return one.unionByName(other, allowMissingColumns=True)
+
+
 def read_raw(
     spark: SparkSession,
     path: Paths,
@@ -170,7 +187,7 @@ def read_raw(
         if mixed_headers:
             groups = _files_by_header(spark, path) or groups
         return reduce(
-            DataFrame.unionByName, [_read_csv(spark, files, multi_line, split_above) for files in groups]
+            _union, [_read_csv(spark, files, multi_line, split_above) for files in groups]
         )
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
@@ -186,10 +203,10 @@ def infer_layouts(raw: DataFrame) -> list[str]:
     spark = raw.sparkSession
     for name in sorted(raw.inputFiles()):
         file = literal_path(unquote(name))
-        columns = _header(spark, file)
+        columns, comparable = _header(spark, file)
         if "order_date" not in columns:
             continue
-        scan = spark.read.schema(csv_schema(columns)).options(**csv_options(True)).csv(file)
+        scan = spark.read.schema(csv_schema(columns)).options(**csv_options(True, comparable)).csv(file)
         dates = scan.where(F.col("order_date").isNotNull() & ~F.col("order_date").isin(NA_TOKENS))
         found = dates.select(pick_date_formats(F.col("order_date")).alias("layout")).first()
         if found is not None:

@@ -69,6 +69,25 @@ def test_columns_go_by_name(spark, tmp_path):
     assert {n: got[n] for n in REQUIRED_COLUMNS} == GOOD and got.note == "extra"
 
 
+def test_saved_row_index_and_repeated_headings(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "0," + line() + ",x,y", header=f",{HEADER},note,note")
+    got = read_raw(spark, path).first()
+    assert {n: got[n] for n in REQUIRED_COLUMNS} == GOOD
+    assert infer_layouts(read_raw(spark, path)) == [ISO_DATE]
+    write(tmp_path / "b.csv", line(order_id="b"))
+    with pytest.raises(ValueError, match="mixed_headers"):
+        read_raw(spark, str(tmp_path))
+    both = read_raw(spark, str(tmp_path), mixed_headers=True).collect()
+    assert sorted(r.order_id for r in both) == ["N-1", "b"]
+
+
+def test_files_together_must_all_have_the_required_columns(spark, tmp_path):
+    write(tmp_path / "a.csv", line())
+    write(tmp_path / "b.csv", "x", header="order_id")
+    with pytest.raises(ValueError, match="missing required columns"):
+        read_raw(spark, str(tmp_path), mixed_headers=True)
+
+
 def test_byte_order_mark(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_bytes(b"\xef\xbb\xbf" + f"{HEADER}\n{line()}\n".encode())
