@@ -56,4 +56,4 @@ def title_case(col: Column) -> Column:
 
 def display_label(name: str) -> str:
     """Report heading of a column name: ``total_revenue`` becomes ``Total Revenue``."""
-    return name.replace("_", " ").title()
+    return " ".join(word.capitalize() for word in name.split("_"))

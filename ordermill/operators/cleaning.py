@@ -22,7 +22,7 @@ def validate_schema(df: DataFrame) -> None:
     """Raise ``ValueError`` naming, sorted, the required columns the input lacks."""
     missing = sorted(set(REQUIRED_COLUMNS) - set(df.columns))
     if missing:
-        raise ValueError(f"Input data is missing required columns: {missing}")
+        raise ValueError(f"columns absent from the input: {missing}")
 
 
 def normalize_text(df: DataFrame) -> DataFrame:

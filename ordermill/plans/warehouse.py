@@ -231,7 +231,7 @@ class Warehouse:
             raise ValueError(f"if_exists must be 'append', 'replace' or 'fail', not {if_exists!r}")
         exists = self.spark.catalog.tableExists(self._name(table))
         if exists and if_exists == "fail":
-            raise ValueError(f"Table '{table}' already exists.")
+            raise ValueError(f"table {table} already exists")
         with self.staging() as stage:
             staged = stage(df, "load")
             rows = staged.count()

@@ -191,7 +191,7 @@ def read_raw(
         )
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            raise FileNotFoundError(f"Source file not found: {path}") from error
+            raise FileNotFoundError(f"no source at {path}") from error
         raise
 
 
