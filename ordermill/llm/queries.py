@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ordermill.llm.bpe import decode_batches, encode_documents
 from ordermill.llm.quality import score_quality
 from ordermill.llm.sharding import shard_documents
 from ordermill.llm.token_counts import context_report, encoded_lengths, length_histogram
@@ -51,3 +54,23 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Totals, quantiles and truncated totals for every context limit."""
     lengths = encoded_lengths(_documents(spark, folder), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     return context_report(length_histogram(lengths))
+
+
+@_register
+def op2_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of each document's ids and of the bytes they decode to."""
+    path = public_tokenizers.path(RANKS)
+    encoded = encode_documents(_documents(spark, folder), path, public_tokenizers.PATTERN)
+
+    def digests(doc_ids, ids, decoded):
+        names = [" ".join(map(str, each)).encode() for each in ids]
+        columns = [
+            doc_ids,
+            pa.array([len(each) for each in ids], pa.int64()),
+            pa.array([hashlib.sha256(each).hexdigest() for each in names], pa.string()),
+            pa.array([hashlib.sha256(each).hexdigest() for each in decoded], pa.string()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encoded.mapInArrow(decode_batches(path, digests), schema)
