@@ -51,14 +51,17 @@ class _Numbers(dict):
         return number
 
 
+_COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(numbers: np.ndarray) -> bytes:
     """Word numbers as compressed bytes: all low bytes first, so that the high ones compress away."""
     planes = np.ascontiguousarray(numbers, np.int32).view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return _COMPRESSOR.compress(planes.tobytes())
 
 
 def unpack(payload: bytes) -> np.ndarray:
-    data = zstandard.ZstdDecompressor().decompress(payload)
+    data = _DECOMPRESSOR.decompress(payload)
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
 
 
@@ -104,6 +107,18 @@ class _Block:
             yield self._batch(len(word), word=word, idx=idx, n=pa.array(n[start : start + ROWS]))
 
 
+def store_by_block(rows: DataFrame, purpose: str) -> DataFrame:
+    """``rows`` written to the shared folder in buckets by ``block``: grouping by block moves nothing then."""
+    spark = rows.sparkSession
+    path = new_path(spark, purpose)
+    name = "blocks_" + path.rsplit("-", 1)[-1]
+    writer = rows.write.bucketBy(partitions(spark), "block").option("path", path).option("compression", "zstd")
+    writer.format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay; the frame knows them and their buckets
+    return table
+
+
 def write_blocks(
     docs: DataFrame,
     make_split: Callable[[], Split],
@@ -130,13 +145,6 @@ def write_blocks(
             yield from current.document_rows()
         yield from current.word_rows()
 
-    spark = docs.sparkSession
-    path = new_path(spark, "blocks")
-    name = "blocks_" + path.rsplit("-", 1)[-1]
-    built = doc_texts(docs).mapInArrow(build, SCHEMA)
-    writer = built.write.bucketBy(partitions(spark), "block").option("path", path).option("compression", "zstd")
-    writer.format("parquet").saveAsTable(name)
-    table = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")  # the files stay; the frame knows them and their buckets
+    table = store_by_block(doc_texts(docs).mapInArrow(build, SCHEMA), "blocks")
     documents = table.where(F.col("payload").isNotNull()).select("block", "doc_id", "payload")
     return documents, table.where(F.col("word").isNotNull()).select("block", "word", "idx", "n")

@@ -8,8 +8,10 @@ from collections.abc import Callable
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermill.llm.bpe import decode_batches, encode_documents
+from ordermill.llm.decontamination import contamination
 from ordermill.llm.quality import score_quality
 from ordermill.llm.sharding import shard_documents
 from ordermill.llm.token_counts import context_report, encoded_lengths, length_histogram
@@ -74,3 +76,17 @@ def op2_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return encoded.mapInArrow(decode_batches(path, digests), schema)
+
+
+@_register
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of each document inside windows of benchmark items."""
+    judged = contamination(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
