@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.bpe import decode_batches, encode_documents
 from ordermill.llm.decontamination import contamination
+from ordermill.llm.jaccard_join import jaccard_classes
 from ordermill.llm.quality import score_quality
 from ordermill.llm.sharding import shard_documents
 from ordermill.llm.token_counts import context_report, encoded_lengths, length_histogram
@@ -90,3 +91,9 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@_register
+def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Set size and class of each document, 4-word shingles, similarity of 0.85."""
+    return jaccard_classes(_documents(spark, folder))
