@@ -3,21 +3,25 @@
 One pass splits each text and writes two kinds of rows to a table in the shared folder:
 
 * a *document* row holds the words of one document in order, each as a number within its block;
-* a *word* row holds one distinct word of a block, its number and how often counted documents hold it.
+* a *word* row holds the distinct words of a block that fall to one part by their hash, packed: their numbers
+  in the block, their bytes, and how often counted documents hold them.
 
-Whatever is to be known of a word (its code, its count in the corpus) is worked out over word rows, a small
-share of all words, and joined back by block.  The table is bucketed by block, so that joining back does
-not move the documents.  It is written once: a lost executor costs a repeated task, not another numbering.
+Whatever is to be known of a word (its code, its count in the corpus) is worked out part by part, where all
+blocks' rows of a word meet, and sent back by block.  The table is bucketed by block, so that joining back
+does not move the documents.  It is written once: a lost executor costs a repeated task, not another
+numbering.  A word that every document holds is one entry per block, so no word is hot.
 
 A block ends after WORDS words or with its input partition; a longer document is a block of its own.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -25,18 +29,16 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.shared import doc_texts, new_path, partitions
 
-WORDS = 4_000_000
-ROWS = 50_000  # word rows handed on at once
+WORDS = 2_000_000
 
-SCHEMA = "block long, doc_id long, payload binary, word binary, idx int, n long"
+SCHEMA = "block long, doc_id long, payload binary, part int, words binary"
 _ARROW = pa.schema(
     [
         ("block", pa.int64()),
         ("doc_id", pa.int64()),
         ("payload", pa.binary()),
-        ("word", pa.binary()),
-        ("idx", pa.int32()),
-        ("n", pa.int64()),
+        ("part", pa.int32()),
+        ("words", pa.binary()),
     ]
 )
 
@@ -65,11 +67,29 @@ def unpack(payload: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
 
 
+def pack_words(numbers: np.ndarray, words: list[bytes], n: np.ndarray) -> bytes:
+    columns = np.concatenate([[len(words)], numbers, [len(w) for w in words], n]).astype(np.int64)
+    planes = np.ascontiguousarray(columns).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return _COMPRESSOR.compress(len(planes).to_bytes(8, "little") + planes + b"".join(words))
+
+
+def unpack_words(data: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """The numbers, words and counts of a word row."""
+    data = _DECOMPRESSOR.decompress(data)
+    end = 8 + int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(data, np.uint8, end - 8, 8).reshape(8, -1)
+    columns = np.ascontiguousarray(planes.T).view(np.int64).ravel()
+    size = int(columns[0])
+    numbers, lengths, n = columns[1 : 1 + size], columns[1 + size : 1 + 2 * size], columns[1 + 2 * size :]
+    ends = (end + np.cumsum(lengths)).tolist()
+    return numbers, [data[a:b] for a, b in zip([end, *ends], ends)], n
+
+
 class _Block:
     """The block that is being filled: its words so far, and the documents not yet handed on."""
 
-    def __init__(self, block: int):
-        self.block, self.size = block, 0
+    def __init__(self, block: int, parts: int):
+        self.block, self.parts, self.size = block, parts, 0
         self.numbers, self.counts = _Numbers(), np.zeros(0, np.int64)
         self.ids: list = []
         self.payloads: list[bytes] = []
@@ -98,13 +118,19 @@ class _Block:
         self.ids, self.payloads, self.counted = [], [], []
 
     def word_rows(self) -> Iterator[pa.RecordBatch]:
-        listed = [w.encode() if isinstance(w, str) else w for w in self.numbers]
-        n = np.zeros(len(listed), np.int64)
+        if not self.numbers:
+            return
+        words = [w.encode() if isinstance(w, str) else w for w in self.numbers]
+        n = np.zeros(len(words), np.int64)
         n[: len(self.counts)] = self.counts
-        for start in range(0, len(listed), ROWS):
-            word = pa.array(listed[start : start + ROWS], pa.binary())
-            idx = pa.array(np.arange(start, start + len(word), dtype=np.int32))
-            yield self._batch(len(word), word=word, idx=idx, n=pa.array(n[start : start + ROWS]))
+        self.numbers = _Numbers()
+        part = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % self.parts
+        by_word = pc.sort_indices(pa.array(words, pa.binary())).to_numpy()  # neighbours alike: packs better
+        order = by_word[np.argsort(part[by_word], kind="stable")]
+        first = np.flatnonzero(np.diff(part[order], prepend=-1))
+        packed = [pack_words(some, [words[i] for i in some], n[some]) for some in np.split(order, first[1:])]
+        parts = pa.array(part[order[first]], pa.int32())
+        yield self._batch(len(packed), part=parts, words=pa.array(packed, pa.binary()))
 
 
 def store_by_block(rows: DataFrame, purpose: str) -> DataFrame:
@@ -125,26 +151,42 @@ def write_blocks(
     counted: Callable[[int | None], bool] = lambda _: True,
     words: int = WORDS,
 ) -> tuple[DataFrame, DataFrame]:
-    """The document rows (block, doc_id, payload) and word rows (block, word, idx, n) of ``docs``.
+    """The document rows (block, doc_id, payload) and word rows (block, part, words) of ``docs``.
 
     ``make_split()`` gives, once per task, the function from a text to its words (str or bytes).
     ``n`` counts only documents whose id satisfies ``counted``.
     """
 
+    parts = partitions(docs.sparkSession)
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = make_split()
-        current = _Block(TaskContext.get().partitionId() << 32)
+        current = _Block(TaskContext.get().partitionId() << 32, parts)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = split(text)
                 if current.size and current.size + len(found) > words:
                     yield from current.document_rows()
                     yield from current.word_rows()
-                    current = _Block(current.block + 1)
+                    current = _Block(current.block + 1, parts)
                 current.add(doc_id, found, counted(doc_id))
             yield from current.document_rows()
         yield from current.word_rows()
 
     table = store_by_block(doc_texts(docs).mapInArrow(build, SCHEMA), "blocks")
     documents = table.where(F.col("payload").isNotNull()).select("block", "doc_id", "payload")
-    return documents, table.where(F.col("word").isNotNull()).select("block", "word", "idx", "n")
+    return documents, table.where(F.col("words").isNotNull()).select("block", "part", "words")
+
+
+def send_back(words: DataFrame, value_of: Callable) -> DataFrame:
+    """Rows (block, payload) for the blocks: what ``value_of`` makes of each part of the word rows.
+
+    ``value_of(rows)`` gets [(idx, words, n)] of all blocks that have words of one part, and gives one packed
+    value for each of them.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = [unpack_words(data) for data in table.column("words").to_pylist()]
+        return pa.table({"block": table.column("block"), "payload": pa.array(value_of(rows), pa.binary())})
+
+    return words.groupBy("part").applyInArrow(run, "block long, payload binary")

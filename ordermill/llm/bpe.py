@@ -1,10 +1,9 @@
 """Byte-level BPE by distinct words: each distinct pre-token of the corpus is encoded once.
 
 Texts are split into pre-tokens, whose positions are kept per block of documents (see blocks.py).  The
-distinct pre-tokens of all blocks are shuffled by their bytes and sorted, so that equal ones meet and are
-encoded once; their ids go back to the blocks that hold them and are put in place of the positions.
-A frequent pre-token is one row per block, a share of the rows that shrinks as the vocabulary grows, so
-none is hot.  Decoding looks ids up in the token-byte table, which is as large as the vocabulary file.
+distinct pre-tokens of all blocks are shuffled by hash, so that equal ones meet and are encoded once;
+their ids go back to the blocks that hold them and are put in place of the positions.  Decoding joins the
+token-byte table, which is as large as the vocabulary file and goes to every task.
 
 Cases: a null or empty text has no ids and decodes to no bytes; rows with equal ids or texts stay
 separate rows; an empty table gives an empty result; other columns are ignored; texts are encoded whole,
@@ -14,12 +13,13 @@ with one pre-token of any length; null ids decode to null.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ordermill.llm.blocks import unpack, write_blocks
+from ordermill.llm.blocks import pack, send_back, unpack, write_blocks
 from ordermill.llm.token_counts import encoder, read_ranks
 
 # Matches any pre-token as a whole, so that the merges run within it and nowhere else.
@@ -35,44 +35,48 @@ def token_bytes(path: str) -> list[bytes]:
     return table
 
 
-def _encode_words(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encode_part(path: str):
+    """Ids for the words of one part, each distinct word encoded once, packed for every block that has it."""
+
+    def run(rows: list[tuple[np.ndarray, list[bytes], np.ndarray]]) -> list[bytes]:
         encode = encoder(path, WHOLE).encode_ordinary
-        last, last_ids = None, []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            words = batch.column(2).dictionary_encode()
-            coded = []
-            for word in words.dictionary.to_pylist():
-                if word != last:
-                    last, last_ids = word, encode(word.decode())
-                coded.append(last_ids)
-            ids = pa.array(coded, pa.list_(pa.int32())).take(words.indices)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], ["block", "idx", "ids"])
+        ids_of = {word: encode(word.decode()) for word in {word for _, words, _ in rows for word in words}}
+        return [_pack_ids(numbers, [ids_of[word] for word in words]) for numbers, words, _ in rows]
 
     return run
 
 
-def _reassemble(documents: pa.Table, words: pa.Table) -> pa.Table:
+def _pack_ids(numbers: np.ndarray, ids: list[list[int]]) -> bytes:
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, lengths.sum())
+    return pack(np.concatenate([[len(ids)], numbers, lengths, flat]))
+
+
+def _unpack_ids(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data = unpack(payload)
+    size = data[0]
+    return data[1 : 1 + size], data[1 + size : 1 + 2 * size], data[1 + 2 * size :]
+
+
+def _reassemble(documents: pa.Table, coded: pa.Table) -> pa.Table:
     """The ids of each document of a block, its word numbers replaced by the words' ids."""
-    words = words.sort_by("idx")
-    ids = words.column("ids").combine_chunks()
-    ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
-    flat, ends = ids.flatten().to_numpy(zero_copy_only=False), ids.value_lengths().to_numpy(zero_copy_only=False)
-    lengths = ends.astype(np.int64)
-    starts = np.cumsum(lengths) - lengths
-    parts, sizes = [], []
-    for payload in documents.column("payload").to_pylist():
+    parts = [_unpack_ids(payload) for payload in coded.column("payload").to_pylist()]
+    numbers, sizes, flat = (np.concatenate(x) if parts else np.zeros(0, np.int32) for x in (zip(*parts) if parts else [[]] * 3))
+    starts, lengths = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+    lengths[numbers] = sizes
+    starts[numbers] = np.cumsum(sizes, dtype=np.int64) - sizes
+    payloads = documents.column("payload").to_pylist()
+    out, totals = [], []
+    for payload in payloads:
         at = unpack(payload)
         size = lengths[at]
         total = int(size.sum())
         shift = np.repeat(starts[at] - (np.cumsum(size) - size), size)
-        parts.append(flat[shift + np.arange(total)])
-        sizes.append(total)
-    offsets = np.zeros(len(sizes) + 1, np.int32)
-    np.cumsum(sizes, out=offsets[1:])
-    values = np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32)
+        out.append(flat[shift + np.arange(total)])
+        totals.append(total)
+    offsets = np.zeros(len(totals) + 1, np.int32)
+    np.cumsum(totals, out=offsets[1:])
+    values = np.concatenate(out).astype(np.int32) if out else np.zeros(0, np.int32)
     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
     return pa.table([documents.column("doc_id"), lists], names=["doc_id", "ids"])
 
@@ -86,8 +90,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         return regex.compile(pattern).findall
 
     documents, words = write_blocks(docs, splitter)
-    by_word = words.select("block", "idx", "word").repartition("word").sortWithinPartitions("word")
-    coded = by_word.mapInArrow(_encode_words(path), "block long, idx int, ids array<int>")
+    coded = send_back(words, _encode_part(path))
     return documents.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_reassemble, "doc_id long, ids array<int>")
 
 

@@ -65,8 +65,10 @@ def op2_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
     encoded = encode_documents(_documents(spark, folder), path, public_tokenizers.PATTERN)
 
+    numerals = list(map(str, range(60_000)))
+
     def digests(doc_ids, ids, decoded):
-        names = [" ".join(map(str, each)).encode() for each in ids]
+        names = [" ".join(map(numerals.__getitem__, each)).encode() for each in ids]
         columns = [
             doc_ids,
             pa.array([len(each) for each in ids], pa.int64()),
