@@ -49,13 +49,15 @@ def _encode_part(path: str):
 def _pack_ids(numbers: np.ndarray, ids: list[list[int]]) -> bytes:
     lengths = np.fromiter(map(len, ids), np.int64, len(ids))
     flat = np.fromiter(chain.from_iterable(ids), np.int64, lengths.sum())
-    return pack(np.concatenate([[len(ids)], numbers, lengths, flat]))
+    head = pack(np.concatenate([np.diff(numbers, prepend=0), lengths]))
+    return len(head).to_bytes(4, "little") + head + pack(flat)
 
 
 def _unpack_ids(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    data = unpack(payload)
-    size = data[0]
-    return data[1 : 1 + size], data[1 + size : 1 + 2 * size], data[1 + 2 * size :]
+    """Word numbers of a block, how many ids each has, and the ids."""
+    end = 4 + int.from_bytes(payload[:4], "little")
+    steps, lengths = unpack(payload[4:end]).reshape(2, -1)
+    return np.cumsum(steps), lengths, unpack(payload[end:])
 
 
 def _reassemble(documents: pa.Table, coded: pa.Table) -> pa.Table:
