@@ -16,6 +16,7 @@ from ordermill.llm.jaccard_join import jaccard_classes
 from ordermill.llm.quality import score_quality
 from ordermill.llm.sharding import shard_documents
 from ordermill.llm.token_counts import context_report, encoded_lengths, length_histogram
+from ordermill.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -99,3 +100,9 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Set size and class of each document, 4-word shingles, similarity of 0.85."""
     return jaccard_classes(_documents(spark, folder))
+
+
+@_register
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Score and verdict of every document, learnt from the labels outside the held-out fold."""
+    return toxicity(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))

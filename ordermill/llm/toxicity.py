@@ -35,10 +35,10 @@ PASSAGE = 6
 SHORTEST = 6  # a passage's mean is over this many words at least
 TRAIN_TOXIC = 3_000
 TRAIN_CLEAN = 8_000
-STEPS = 90
-WARM_UP = 20  # first steps, over whole documents instead of highest passages
+STEPS = 70
+WARM_UP = 5  # first steps, over whole documents instead of highest passages
 RATE = 0.1
-DECAY = 0.02
+DECAY = 0.002
 REJECT_FROM = 0.7
 
 _WORDS = re.compile(r"\w+")
