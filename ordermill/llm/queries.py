@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ordermill.llm.bpe import decode_batches, encode_documents
 from ordermill.llm.decontamination import contamination
 from ordermill.llm.jaccard_join import jaccard_classes
+from ordermill.llm.pii import KINDS, find_spans
+from ordermill.llm.pii import fit as fit_pii
 from ordermill.llm.quality import score_quality
 from ordermill.llm.sharding import shard_documents
 from ordermill.llm.token_counts import context_report, encoded_lengths, length_histogram
@@ -106,3 +108,19 @@ def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Score and verdict of every document, learnt from the labels outside the held-out fold."""
     return toxicity(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@_register
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the pattern matches, and all spans."""
+    docs = _documents(spark, folder)
+    found = find_spans(docs, fit_pii(docs))
+    as_text = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    matched = F.filter("spans", lambda s: s["matched"])
+    counts = [F.size(F.array_remove(F.transform(matched, lambda s: s["kind"] == F.lit(kind)), False)) for kind in KINDS]
+    return found.select(
+        "doc_id",
+        *[n.cast("long").alias(f"n_{kind}") for n, kind in zip(counts, KINDS)],
+        F.sha2(F.concat_ws(",", F.transform(matched, as_text)), 256).alias("base_sha256"),
+        F.concat_ws(",", F.transform("spans", as_text)).alias("spans"),
+    )
