@@ -17,6 +17,7 @@ from ordermill.llm.pii import KINDS, find_spans
 from ordermill.llm.pii import fit as fit_pii
 from ordermill.llm.quality import score_quality
 from ordermill.llm.sharding import shard_documents
+from ordermill.llm.substring_dedup import remove_repeats
 from ordermill.llm.token_counts import context_report, encoded_lengths, length_histogram
 from ordermill.llm.toxicity import toxicity
 
@@ -124,3 +125,10 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.transform(matched, as_text)), 256).alias("base_sha256"),
         F.concat_ws(",", F.transform("spans", as_text)).alias("spans"),
     )
+
+
+@_register
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of each document in repeated 20-word windows, and a digest of the rest."""
+    left = remove_repeats(_documents(spark, folder))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
