@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ordermill.llm.bpe import decode_batches, encode_documents
 from ordermill.llm.decontamination import contamination
 from ordermill.llm.jaccard_join import jaccard_classes
+from ordermill.llm.lm_score import score_documents
 from ordermill.llm.pii import KINDS, find_spans
 from ordermill.llm.pii import fit as fit_pii
 from ordermill.llm.quality import score_quality
@@ -132,3 +133,9 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words of each document in repeated 20-word windows, and a digest of the rest."""
     left = remove_repeats(_documents(spark, folder))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_register
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and model log10 probability of every document, learnt from the training folds."""
+    return score_documents(_documents(spark, folder))
