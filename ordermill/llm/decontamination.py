@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.blocks import pack, store_by_block, unpack
-from ordermill.llm.shared import doc_texts, text_of
+from ordermill.llm.shared import doc_texts, stage, text_of
 
 WINDOW = 13
 WORDS = 1_000_000  # per block
@@ -319,3 +319,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         ((n_hit > 0) & (CONTAMINATED_FROM * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with all its columns, without contaminated documents.
+
+    Rows that share an id are one document here, and so are rows without one: they go if any of them must.
+    """
+    bad = contamination(docs, items, window).where("contaminated").select(F.col("doc_id").alias("__left_out"))
+    bad = stage(bad.distinct(), "contaminated")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__left_out")), "left_anti")

@@ -220,6 +220,21 @@ def score_texts(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     return doc_texts(docs).mapInArrow(run, "doc_id long, score double")
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with all its columns, without the rows that score REJECT_FROM or more."""
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    where = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line, bias = sent.value
+        scores = WordScores(line)
+        for batch in batches:
+            kept = [text_score(text, scores, bias) < REJECT_FROM for text in batch.column(where).to_pylist()]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every document row."""
     scored = score_texts(docs, fit(docs, labels))
