@@ -169,7 +169,29 @@ def _log_row(source: str, name: str, where: str, loaded: str) -> str:
            'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error_message"""
 
 
-def _violations() -> str:
+def _months(period: str, revenue: str) -> str:
+    return f"""SELECT CAST(order_year AS VARCHAR) || '-' || lpad(CAST(order_month AS VARCHAR), 2, '0') AS {period},
+                      {_revenue("total_revenue", 32)} AS {revenue}
+               FROM summary GROUP BY order_year, order_month"""
+
+
+def _stretched() -> str:
+    """CTE of clean rows of which some outgrow what the transactions table admits."""
+    every = {"order_id": 3, "customer_name": 4, "region": 5, "product_category": 6, "product_name": 7, "payment_method": 8}
+
+    def some(n: int) -> str:
+        return f"CAST(quantity AS BIGINT) % {n} = 0"
+
+    texts = [f"CASE WHEN {some(n)} THEN repeat({name}, 60) ELSE {name} END AS {name}" for name, n in every.items()]
+    numbers = [
+        f"CASE WHEN {some(11)} THEN unit_price * 1000000 ELSE unit_price END AS unit_price",
+        f"CASE WHEN {some(13)} THEN CAST(total_amount AS DOUBLE) * 1e9 ELSE CAST(total_amount AS DOUBLE) END AS total_amount",
+        f"CASE WHEN {some(17)} THEN quantity * 1e9 ELSE quantity END AS quantity",
+    ]
+    return f" stretched AS (SELECT * REPLACE ({', '.join([*texts, *numbers])}) FROM clean)\n"
+
+
+def _violations(source: str) -> str:
     counts = [f"count(*) FILTER (WHERE {name.strip()} IS NULL) AS {name.strip()}_not_null" for name in _LOAD.split(",")]
     lengths = {
         "order_id": 50,
@@ -190,7 +212,7 @@ def _violations() -> str:
         f"count(*) FILTER (WHERE round(abs(CAST({name} AS DOUBLE)), {places}) >= {n}) AS {name}_range"
         for name, (n, places) in bounds.items()
     ]
-    return "SELECT " + ", ".join(counts) + " FROM clean"
+    return "SELECT " + ", ".join(counts) + f" FROM {source}"
 
 
 def all_oracles() -> dict[str, str]:
@@ -216,10 +238,30 @@ def all_oracles() -> dict[str, str]:
         + "\nUNION ALL\n"
         + _log_row("second", "two", _SECOND, "fresh"),
         "param_query": _LOADED
-        + f"""SELECT product_name, CAST(sum(quantity) AS BIGINT) AS units_sold, {_revenue(digits=22)} AS total_revenue
-              FROM stored WHERE order_year = 1998 AND region = 'Asia'
-              GROUP BY product_name ORDER BY total_revenue DESC, product_name LIMIT 10""",
-        "constraint_violations": _CLEAN + _violations(),
+        + f"""SELECT payment_method, count(*) AS orders,
+                     CAST(avg(CAST(quantity AS DOUBLE)) AS DECIMAL(12,4)) AS mean_quantity, {_revenue(digits=22)} AS paid
+              FROM stored WHERE order_date BETWEEN DATE '1997-03-01' AND DATE '1998-08-31' AND discount < 0.05
+              GROUP BY payment_method""",
+        "constraint_violations": _CLEAN + "," + _stretched() + _violations("stretched"),
+        "summary_constraints": _CLEAN
+        + """, totals AS (SELECT order_year, order_month, region, count(order_id) AS total_orders,
+                          sum(quantity) AS total_quantity, sum(total_amount) AS total_revenue
+                          FROM clean WHERE region IS NOT NULL GROUP BY order_year, order_month, region),
+               faulty AS (SELECT * REPLACE (CASE WHEN order_month = 4 THEN NULL WHEN order_month = 6
+                                            THEN repeat(region, 60) ELSE region END AS region)
+                          FROM (SELECT * FROM totals UNION ALL SELECT * FROM totals WHERE order_month % 5 = 0))
+             SELECT count(*) FILTER (WHERE order_year IS NULL) AS order_year_not_null,
+                    count(*) FILTER (WHERE order_month IS NULL) AS order_month_not_null,
+                    count(*) FILTER (WHERE region IS NULL) AS region_not_null,
+                    count(*) FILTER (WHERE total_orders IS NULL) AS total_orders_not_null,
+                    count(*) FILTER (WHERE total_quantity IS NULL) AS total_quantity_not_null,
+                    count(*) FILTER (WHERE total_revenue IS NULL) AS total_revenue_not_null,
+                    count(*) FILTER (WHERE length(region) > 100) AS region_length,
+                    (SELECT count(*) FROM (SELECT 1 FROM faulty GROUP BY order_year, order_month, region
+                                           HAVING count(*) > 1)) AS key_unique
+             FROM faulty""",
+        "load_replace": _CLEAN
+        + "SELECT payment_method, order_year, count(order_id) AS orders FROM clean GROUP BY payment_method, order_year",
         # cleaning
         "normalize_text": _with(_DIRTY)
         + "SELECT order_id, "
@@ -321,4 +363,30 @@ def all_oracles() -> dict[str, str]:
         # pipelines
         "pipeline_run": _LOADED + "SELECT * FROM stored",
         "incremental_run": _TWO + "SELECT * FROM summary",
+        "incremental_redelivery": _with(
+            _raw(False),
+            _clean_steps("one", where=_FIRST),
+            _clean_steps("every"),
+            _stored("stored_one", "one"),
+            _stored("stored_every", "every"),
+        )
+        + """SELECT * FROM stored_one UNION ALL
+             SELECT * FROM stored_every WHERE order_id NOT IN (SELECT order_id FROM stored_one)""",
+        # report sheets as exported
+        "report_sheet_summary": _SUMMARY
+        + f"""SELECT coalesce({_revenue("total_revenue", 32)}, 0) AS "Total Revenue",
+                     CAST(coalesce(sum(total_orders), 0) AS BIGINT) AS "Total Orders" FROM summary""",
+        "report_sheet_by_region": _SUMMARY
+        + f"""SELECT region AS "Region", CAST(sum(total_orders) AS BIGINT) AS "Total Orders",
+                     CAST(sum(total_quantity) AS BIGINT) AS "Total Quantity",
+                     {_revenue("total_revenue", 32)} AS "Total Revenue" FROM summary GROUP BY region""",
+        "report_sheet_top_products": _LOADED
+        + f"""SELECT product_name AS "Product Name", CAST(sum(quantity) AS BIGINT) AS "Units Sold",
+                     {_revenue(digits=22)} AS "Total Revenue"
+              FROM stored GROUP BY product_name ORDER BY "Total Revenue" DESC, "Product Name" LIMIT 10""",
+        "report_sheet_monthly_trend": _SUMMARY + _months('"Period"', '"Total Revenue"'),
+        "report_sheet_chart_revenue_by_region": _SUMMARY
+        + f"""SELECT region AS "Region", {_revenue("total_revenue", 32)} AS "Total Revenue"
+              FROM summary GROUP BY region""",
+        "report_sheet_chart_monthly_revenue": _SUMMARY + _months('"Period"', '"Total Revenue"'),
     }

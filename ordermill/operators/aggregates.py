@@ -63,8 +63,12 @@ def monthly_trend(df: DataFrame) -> DataFrame:
     return months.select(period, "total_orders", "total_revenue").orderBy("period")
 
 
-def monthly_region_summary(df: DataFrame) -> DataFrame:
-    """Orders, quantity, revenue and average order value per month and region, in key order."""
-    keys = ["order_year", "order_month", "region"]
+def monthly_totals(df: DataFrame) -> DataFrame:
+    """Orders, quantity, revenue and average order value per month and region, in no order."""
     average = average_order_value(F.col("total_revenue"), F.col("total_orders"))
-    return _totals(df, keys, "total_quantity").withColumn("avg_order_value", average).orderBy(*keys)
+    return _totals(df, ["order_year", "order_month", "region"], "total_quantity").withColumn("avg_order_value", average)
+
+
+def monthly_region_summary(df: DataFrame) -> DataFrame:
+    """The monthly totals in key order."""
+    return monthly_totals(df).orderBy("order_year", "order_month", "region")

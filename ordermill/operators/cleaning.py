@@ -115,7 +115,7 @@ def clip_discount(df: DataFrame) -> DataFrame:
 def add_total_amount(df: DataFrame) -> DataFrame:
     """Line total in cents precision, held as a decimal so that later sums do not depend on order."""
     amount = F.col("quantity") * F.col("unit_price") * (F.lit(1.0) - F.col("discount"))
-    return df.withColumn("total_amount", round2(amount).cast("decimal(18,2)"))
+    return df.withColumn("total_amount", round2(amount).try_cast("decimal(18,2)"))
 
 
 def add_date_parts(df: DataFrame) -> DataFrame:

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 
 from ordermill.functions import ISO_DATE
 from ordermill.operators.cleaning import validate_schema
 from ordermill.operators.disposition import count_dispositions, dispose_rows, kept_rows, with_derived
-from ordermill.plans.audit import log_run
+from ordermill.plans.audit import AuditedRun
 from ordermill.plans.reports import write_report_marts
 from ordermill.plans.warehouse import Warehouse
+from ordermill.schemas import LONGEST_SOURCE, REQUIRED_COLUMNS
 from ordermill.sources import SOURCE_ORDER, infer_layouts, read_raw
 
 logger = logging.getLogger(__name__)
@@ -36,52 +36,28 @@ def ingest(
     """
     if on_bad_number not in ("fail", "null"):
         raise ValueError(f"on_bad_number must be 'fail' or 'null', not {on_bad_number!r}")
-    started_at = datetime.now(timezone.utc)
-    counts = {"rows_read": 0, "rows_cleaned": 0, "rows_rejected": 0, "rows_loaded": 0}
-    status, error_message = "FAILED", None
-    try:
+    with AuditedRun(warehouse, source_name, run_id) as run, warehouse.staging() as stage:
         raw, layouts = extract()
-        try:
-            validate_schema(raw)
-        except ValueError:
-            counts["rows_read"] = raw.count()
-            raise
-        with warehouse.staging() as stage:
-            disposed = stage(with_derived(dispose_rows(raw, order_by, layouts)), "disposed")
-            stats = count_dispositions(disposed).first().asDict()
-            counts["rows_read"] = stats["rows_read"]
-            bad_numbers = stats.pop("bad_numbers")
-            if bad_numbers and on_bad_number == "fail":
-                raise ValueError(f"{bad_numbers} values of number columns are not numbers")
-            counts["rows_cleaned"] = stats["rows_cleaned"]
-            counts["rows_rejected"] = stats["rows_rejected"]
-            logger.info("cleaning counts of %s: %s", source_name, stats)
-
-            clean = kept_rows(disposed)
-            counts["rows_loaded"] = warehouse.load_transactions(clean, on_conflict)
-            groups = warehouse.refresh_summary(clean, refresh)
-            logger.info("refreshed %s summary rows", groups)
-        status = "SUCCESS"
-    except Exception as error:
-        error_message = str(error)
-        logger.error("run over %s failed: %s", source_name, error_message)
-        raise
-    finally:
-        finished_at = datetime.now(timezone.utc)
-        try:
-            log_run(
-                warehouse,
-                source_name,
-                **counts,
-                status=status,
-                started_at=started_at,
-                finished_at=finished_at,
-                error_message=error_message,
-                run_id=run_id,
-            )
-        except Exception as error:  # the run's own outcome must not be hidden by its log
-            logger.warning("could not write the run log: %s", error)
-    return {**counts, "status": status, "duration_seconds": (finished_at - started_at).total_seconds()}
+        if set(REQUIRED_COLUMNS) - set(raw.columns):
+            run.rows["rows_read"] = raw.count()
+        validate_schema(raw)
+        disposed = stage(with_derived(dispose_rows(raw, order_by, layouts)), "disposed")
+        stats = count_dispositions(disposed).first().asDict()
+        run.rows["rows_read"] = stats["rows_read"]
+        if stats["bad_numbers"] and on_bad_number == "fail":
+            raise ValueError(f"{stats['bad_numbers']} values of number columns are not numbers")
+        run.rows |= {name: stats[name] for name in ("rows_cleaned", "rows_rejected")}
+        logger.info("%s: %s", source_name, stats)
+        clean = kept_rows(disposed)
+        run.rows["rows_loaded"] = warehouse.load_transactions(clean, on_conflict)
+        warehouse.refresh_summary(clean, refresh)
+    return run.result()
+
+
+def _label(source: str | list[str]) -> str:
+    """A source's name for the run log: one path, or the first of several and their number."""
+    name = source if isinstance(source, str) else f"{source[0]} and {len(source) - 1} more" if len(source) > 1 else source[0]
+    return name if len(name) <= LONGEST_SOURCE else f"{name[:100]}...{name[-100:]}"
 
 
 def run_pipeline(
@@ -106,10 +82,12 @@ def run_pipeline(
             return raw, layouts
         return raw, infer_layouts(raw) if fmt == "csv" else [ISO_DATE]
 
-    return ingest(warehouse, extract, source_name or str(source), **options)
+    return ingest(warehouse, extract, source_name or _label(source), **options)
 
 
-def run_all(warehouse: Warehouse, source: str, report_folder: str, top_n: int = 10, **options) -> dict:
+def run_all(
+    warehouse: Warehouse, source: str, report_folder: str, top_n: int = 10, lenient: bool = False, **options
+) -> dict:
     """A run and, when it succeeded, the reports."""
     result = run_pipeline(warehouse, source, **options)
-    return {**result, "reports": write_report_marts(warehouse, report_folder, top_n)}
+    return {**result, "reports": write_report_marts(warehouse, report_folder, top_n, lenient=lenient)}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -115,25 +116,49 @@ def write_report_marts(
 ) -> dict[str, str]:
     """Write every report dataset under ``folder/run_ts=<stamp>``; returns the folder of each.
 
-    The five report sheets are always written, the two chart series only when they have rows.
+    The five report sheets are always written, the two chart series only when they have rows.  The
+    transactions are scanned once: both sheets from them come from totals per category and product, and
+    regions and months are totalled once for sheet and chart.  Without ``stamp`` each call has a folder of its own.
     """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"fmt must be 'csv' or 'parquet', not {fmt!r}")
-    summary, transactions = warehouse.table(SUMMARY), warehouse.table(TRANSACTIONS)
-    sheets = {
-        "summary": headline(summary),
-        "by_region": revenue_by_region(summary, lenient),
-        "by_category": revenue_by_category(transactions, lenient),
-        "top_products": best_products(transactions, top_n, lenient),
-        "monthly_trend": revenue_by_month(summary),
-    }
-    if not summary.isEmpty():
-        sheets["chart_revenue_by_region"] = region_series(summary, lenient)
-        sheets["chart_monthly_revenue"] = month_series(summary)
-    stamp = stamp or datetime.now(timezone.utc)
-    target = f"{folder.rstrip('/')}/run_ts={stamp.strftime('%Y%m%d_%H%M%S')}"
+    if top_n < 0:
+        raise ValueError(f"top_n must not be negative: {top_n}")
+    name = stamp.strftime("%Y%m%d_%H%M%S") if stamp else f"{datetime.now(timezone.utc):%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
+    target = f"{folder.rstrip('/')}/run_ts={name}"
+    summary = warehouse.table(SUMMARY)
     written = {}
-    for name, sheet in sheets.items():
-        written[name] = f"{target}/{name}"
-        with_labels(sheet).write.format(fmt).option("header", "true").save(written[name])
+    with warehouse.staging() as stage:
+        pairs = stage(_category_product_totals(warehouse.table(TRANSACTIONS)), "pairs")
+        regions = stage(revenue_by_region(summary, lenient), "regions")
+        months = stage(revenue_by_month(summary), "months")
+        sheets = {
+            "summary": headline(summary),
+            "by_region": regions.orderBy(F.desc("total_revenue"), "region"),
+            "by_category": _regroup(pairs, "product_category", lenient, "total_orders").orderBy(
+                F.desc("total_revenue"), "product_category"
+            ),
+            "top_products": _regroup(pairs, "product_name", lenient).orderBy(F.desc("total_revenue"), "product_name").limit(top_n),
+            "monthly_trend": months.orderBy("period"),
+        }
+        if not months.isEmpty():
+            sheets["chart_revenue_by_region"] = sheets["by_region"].select("region", "total_revenue")
+            sheets["chart_monthly_revenue"] = sheets["monthly_trend"]
+        for sheet, df in sheets.items():
+            written[sheet] = f"{target}/{sheet}"
+            with_labels(df).write.format(fmt).option("header", "true").save(written[sheet])
     return written
+
+
+def _category_product_totals(transactions: DataFrame) -> DataFrame:
+    """One row per category and product: all that the sheets over transactions need."""
+    return transactions.groupBy("product_category", "product_name").agg(
+        F.count(F.lit(1)).alias("total_orders"), _sum("quantity", "units_sold"), _sum("total_amount", "total_revenue")
+    )
+
+
+def _regroup(pairs: DataFrame, key: str, lenient: bool, *counts: str) -> DataFrame:
+    """Totals per category or per product from those of their pairs, in the types of the direct totals."""
+    measures = [_sum(name, name) for name in (*counts, "units_sold")]
+    revenue = F.sum("total_revenue").cast(pairs.schema["total_revenue"].dataType).alias("total_revenue")
+    return _totals_by(pairs, key, lenient, *measures, revenue)

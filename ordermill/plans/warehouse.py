@@ -7,6 +7,7 @@ staging table before touching a target, and change targets last.  One writer at
 
 from __future__ import annotations
 
+import re
 import uuid
 from contextlib import contextmanager
 from functools import reduce
@@ -15,9 +16,10 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ordermill.operators.aggregates import monthly_region_summary
-from ordermill.operators.constraints import check_constraints
+from ordermill.operators.aggregates import monthly_totals
+from ordermill.operators.constraints import ConstraintError, check_constraints, check_summary
 from ordermill.plans.scratch import scratch_root
 from ordermill.schemas import (
     LOAD_COLUMNS,
@@ -33,9 +35,6 @@ from ordermill.schemas import (
 SUMMARY_KEYS = [*MONTH_KEYS, "region"]
 SUMMARY_MEASURES = ["total_orders", "total_quantity", "total_revenue", "avg_order_value"]
 
-# Up to this many months are named in the partition filter; beyond it a semi join does the same.
-MONTHS_IN_FILTER = 1200
-
 
 class DuplicateOrderError(ValueError):
     """A batch holds an order the transactions table already has."""
@@ -99,7 +98,10 @@ def merge_summary(current: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 class Warehouse:
-    """The three tables under one folder, as a catalog database."""
+    """The three tables under one folder, as a catalog database.
+
+    A database of this name whose tables lie elsewhere is refused.
+    """
 
     def __init__(self, spark: SparkSession, root: str, database: str = "order_mart"):
         self.spark = spark
@@ -136,19 +138,34 @@ class Warehouse:
         """Create what is absent; data already in the folder is kept and its partitions are found."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
         for table, schema in TABLE_SCHEMAS.items():
-            if self.spark.catalog.tableExists(self._name(table)):
-                continue
-            columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema.fields)
-            keys = TABLE_PARTITIONS[table]
-            empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("ignore").partitionBy(*keys).parquet(f"{self.root}/{table}")
-            partitioned = f"PARTITIONED BY ({', '.join(keys)})" if keys else ""
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self._name(table)} ({columns}) USING parquet "
-                f"{partitioned} LOCATION '{self.root}/{table}'"
-            )
-            if keys:
-                self.spark.catalog.recoverPartitions(self._name(table))
+            self.create_table(table, schema, TABLE_PARTITIONS[table])
+
+    def create_table(self, table: str, schema: StructType, keys: list[str]) -> None:
+        """A table in the folder, if it is absent; one of this name elsewhere is an error."""
+        if self.spark.catalog.tableExists(self._name(table)):
+            found = self._location(table)
+            if found != _plain_path(f"{self.root}/{table}"):
+                raise ValueError(f"{self._name(table)} lies in {found}, not in {self.root}; give the database another name")
+            return
+        columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema.fields)
+        empty = self.spark.createDataFrame([], schema)
+        empty.write.mode("ignore").partitionBy(*keys).parquet(f"{self.root}/{table}")
+        partitioned = f"PARTITIONED BY ({', '.join(keys)})" if keys else ""
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self._name(table)} ({columns}) USING parquet "
+            f"{partitioned} LOCATION '{self.root}/{table}'"
+        )
+        if keys:
+            self.spark.catalog.recoverPartitions(self._name(table))
+
+    def _location(self, table: str) -> str:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._name(table)}").where("col_name = 'Location'")
+        return _plain_path(rows.first()["data_type"])
+
+    def drop(self) -> None:
+        """Forget the tables and the database; the files stay."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
+        self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}_staging` CASCADE")
 
     def ready(self) -> bool:
         """True when all three tables exist with the declared columns."""
@@ -225,36 +242,70 @@ class Warehouse:
     def load_dataframe(self, df: DataFrame, table: str, if_exists: str = "append") -> int:
         """Write any frame to a table: ``append``, ``replace``, or ``fail`` when the table exists.
 
-        Rows for the transactions table are held to its constraints and its unique key.
+        Rows for the transactions and the summary are held to the table's constraints and unique key.  ``append``
+        refuses columns the table lacks; ``replace`` makes the table anew where the frame's columns are others.
         """
         if if_exists not in ("append", "replace", "fail"):
             raise ValueError(f"if_exists must be 'append', 'replace' or 'fail', not {if_exists!r}")
         exists = self.spark.catalog.tableExists(self._name(table))
         if exists and if_exists == "fail":
             raise ValueError(f"table {table} already exists")
+        if exists and if_exists == "append":
+            self._refuse_unknown(df, table)
         with self.staging() as stage:
             staged = stage(df, "load")
             rows = staged.count()
-            if not exists:
-                staged.write.format("parquet").option("path", f"{self.root}/{table}").saveAsTable(self._name(table))
-                return rows
-            if table == TRANSACTIONS:
-                repeated = staged.groupBy("order_id").count().where("count > 1").count()
-                if repeated:
-                    raise DuplicateOrderError(f"{repeated} orders occur more than once in the batch")
-                if if_exists == "append":
-                    return self.load_transactions(staged)
-                check_constraints(staged)
-                staged = load_projection(staged).withColumn("loaded_at", F.current_timestamp())
-            self.append(staged, table, overwrite=if_exists == "replace")
+            if not exists or if_exists == "replace" and not self._fits(df, table):
+                self._make_anew(staged, table)
+            elif table == TRANSACTIONS:
+                self._load_orders(staged, append=if_exists == "append")
+            elif table == SUMMARY:
+                self._load_summary(staged, append=if_exists == "append")
+            else:
+                self.append(staged, table, overwrite=if_exists == "replace")
         return rows
 
+    def _refuse_unknown(self, df: DataFrame, table: str) -> None:
+        unknown = sorted(set(df.columns) - set(self.table(table).columns))
+        if unknown:
+            raise ValueError(f"table {table} has no columns {unknown}")
+
+    def _fits(self, df: DataFrame, table: str) -> bool:
+        """Whether the frame has the table's columns, but for those the load fills in."""
+        wanted = {name for name in self.table(table).columns if name not in ("loaded_at", "refreshed_at")}
+        return wanted <= set(df.columns) <= set(self.table(table).columns)
+
+    def _make_anew(self, staged: DataFrame, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(table)}")
+        path = f"{self.root}/{table}"
+        staged.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(self._name(table))
+
+    def _load_orders(self, staged: DataFrame, append: bool) -> None:
+        repeated = staged.groupBy("order_id").count().where("count > 1").count()
+        if repeated:
+            raise DuplicateOrderError(f"{repeated} orders occur more than once in the batch")
+        if append:
+            self.load_transactions(staged)
+            return
+        check_constraints(staged)
+        self.append(load_projection(staged).withColumn("loaded_at", F.current_timestamp()), TRANSACTIONS, overwrite=True)
+
+    def _load_summary(self, staged: DataFrame, append: bool) -> None:
+        check_summary(staged)
+        if append:
+            stored = self.table(SUMMARY).join(staged.select(*SUMMARY_KEYS), SUMMARY_KEYS, "left_semi").count()
+            if stored:
+                raise ConstraintError(f"{stored} keys of the summary are already stored")
+        rows = summary_projection(staged).withColumn("refreshed_at", F.current_timestamp())
+        self.append(rows, SUMMARY, overwrite=not append)
+
     def append(self, df: DataFrame, table: str, overwrite: bool = False) -> None:
         """Insert by column name.
 
         Rows are brought together by partition first so that no task writes to every month; the
         hint lets adaptive execution split a month that holds much of the data and merge small ones.
         """
+        self._refuse_unknown(df, table)
         keys = TABLE_PARTITIONS.get(table, [])
         ordered = df.select(*self.table(table).columns)
         if keys:
@@ -264,14 +315,14 @@ class Warehouse:
 
     # -- summary ------------------------------------------------------------------------------
 
-    def _in_months_of(self, df: DataFrame, batch: DataFrame) -> DataFrame:
-        """Rows of ``df`` in the months the batch touches, as a partition filter where they are few."""
-        months = batch.select(*MONTH_KEYS).distinct()
-        named = months.limit(MONTHS_IN_FILTER + 1).collect()
-        if len(named) > MONTHS_IN_FILTER:
-            return df.join(months, MONTH_KEYS, "left_semi")
+    def _in_months_of(self, df: DataFrame, months: DataFrame) -> DataFrame:
+        """Rows of ``df`` in the given months, as a filter on its partition columns.
+
+        There are twelve months to a year and the dates that cleaning admits span 585 years, so the months'
+        numbers are at most 7,020, whatever the batch holds.
+        """
         by_year: dict[int, list[int]] = {}
-        for year, month in named:
+        for year, month in months.select(*MONTH_KEYS).distinct().collect():
             by_year.setdefault(year, []).append(month)
         return df.where(_month_filter(by_year))
 
@@ -282,6 +333,7 @@ class Warehouse:
         """
         with self.staging() as stage:
             batch = stage(summary_projection(summary), "summary")
+            check_summary(batch)
             rows = batch.count()
             if rows:
                 current = self._in_months_of(self.table(SUMMARY), batch)
@@ -298,13 +350,18 @@ class Warehouse:
         first one's totals.  ``"recompute"`` totals the stored transactions of the months touched.
         """
         if refresh == "batch":
-            return self.upsert_monthly_summary(monthly_region_summary(batch))
+            return self.upsert_monthly_summary(monthly_totals(batch))
         if refresh == "recompute":
             rows = self._in_months_of(self.table(TRANSACTIONS), batch)
-            return self.upsert_monthly_summary(monthly_region_summary(rows))
+            return self.upsert_monthly_summary(monthly_totals(rows))
         raise ValueError(f"refresh must be 'batch' or 'recompute', not {refresh!r}")
 
 
+def _plain_path(path: str) -> str:
+    """A path in one spelling: local ones without their scheme, without a slash at the end."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
 def _month_filter(by_year: dict[int, list[int]]) -> Column:
     if not by_year:
         return F.lit(False)

@@ -18,10 +18,10 @@ REQUIRED_COLUMNS = [
     "payment_method",
 ]
 
+# Input columns by kind, and those a row must have a value in.
 TEXT_COLUMNS = ["region", "product_category", "product_name", "payment_method", "customer_name"]
 NUMBER_COLUMNS = ["quantity", "unit_price", "discount"]
 
-# A row without one of these cannot be reported on.
 MANDATORY_VALUES = ["order_date", "customer_name", "unit_price"]
 
 # Columns of the transactions table that the load supplies, in table order.
@@ -50,6 +50,7 @@ NA_TOKENS = [
     "null",
 ]
 
+# Names of the stored tables.
 TRANSACTIONS = "sales_transactions"
 SUMMARY = "monthly_region_summary"
 RUN_LOG = "etl_run_log"
@@ -127,4 +128,18 @@ NUMBER_LIMITS = {
     "total_amount": 10000000000,
 }
 
+# Outcomes of a run, and the longest source name its log row admits.
 RUN_STATUSES = ["SUCCESS", "FAILED", "PARTIAL"]
+LONGEST_SOURCE = 255
+
+# Which files a folder has brought; beside the three tables, for recurring runs.
+TAKEN_FILES = "taken_files"
+TAKEN_FILES_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("outcome", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+    ]
+)

@@ -90,8 +90,9 @@ def _header(spark: SparkSession, path: Paths) -> tuple[list[str], bool]:
 
 
 def list_files(spark: SparkSession, path: Paths) -> DataFrame:
-    """Name and length of every file; contents are not read."""
-    return spark.read.format("binaryFile").load(path).select("path", "length")
+    """Name, length and modification time of every file; contents are not read."""
+    listed = spark.read.format("binaryFile").load(path)
+    return listed.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
 def literal_path(name: str) -> str:

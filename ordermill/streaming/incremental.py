@@ -1,84 +1,131 @@
-"""The pipeline as a file stream: each call takes the files that arrived since the last one.
+"""The pipeline over whatever a folder has received since the last call.
 
-A scheduler outside (cron, an orchestrator) decides when to call.  The stream carries file names
-only; its checkpoint remembers which were taken, and every batch of names is run as a batch job.  A
-batch that failed, or whose end was not recorded, is taken again: orders it had already stored are
-skipped and the months it touches are totalled anew, so taking it again changes nothing.
+A scheduler outside (cron, an orchestrator) decides when to call.  A table in the warehouse holds the files taken
+so far by path, length and modification time; a call lists the folder and takes every file that is not in it.  So a
+file counts as new whenever it is new or was written again, however old its date is and whatever was called
+before.  A file that arrives while a call runs is left to the next one.
+
+A batch is loaded first and noted after.  If the noting is lost, the batch is taken again: orders it had already
+stored are skipped and the months it touches are totalled anew, so taking it again changes nothing.
+
+A delivery that cannot be loaded is logged as FAILED and noted as such, with the others of its batch loaded one
+by one; it is not tried again unless asked for, or written anew, and holds nothing up.
 """
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ordermill.plans.audit import has_succeeded
 from ordermill.plans.pipeline import run_pipeline
 from ordermill.plans.reports import write_report_marts
 from ordermill.plans.warehouse import Warehouse
-from ordermill.sources.files import literal_path
+from ordermill.schemas import TAKEN_FILES, TAKEN_FILES_SCHEMA
+from ordermill.sources.files import list_files, literal_path
+
+logger = logging.getLogger(__name__)
+
+# What a noted file came to.  REPORTED notes a run whose reports were written.
+LOADED, FAILED, REPORTED = "LOADED", "FAILED", "REPORTED"
+
+FILE_KEY = ["path", "length", "modified"]
+MAX_FILES = 1000
+
+
+class Taken(NamedTuple):
+    """Batches loaded by a call, and the files it could not load."""
+
+    batches: int
+    failed: list[str]
+
 
-# The columns of Spark's file listing source.
-LISTING = "path string, modificationTime timestamp, length long, content binary"
+def new_files(warehouse: Warehouse, folder: str, retry_failed: bool = False) -> DataFrame:
+    """Path, length and modification time of the files not taken yet."""
+    noted = warehouse.table(TAKEN_FILES).where(F.col("path").isNotNull())
+    if retry_failed:
+        noted = noted.where(F.col("outcome") != FAILED)
+    return list_files(warehouse.spark, folder).join(noted, FILE_KEY, "left_anti")
 
 
 def run_incremental(
     warehouse: Warehouse,
     folder: str,
-    checkpoint: str,
     fmt: str = "csv",
     multi_line: bool | None = None,
     mixed_headers: bool = False,
     layouts: Sequence[str] | None = None,
     on_bad_number: str = "fail",
-    max_files: int | None = None,
+    max_files: int = MAX_FILES,
     report_folder: str | None = None,
     top_n: int = 10,
-) -> int:
-    """Take the new files of ``folder`` and return the number of batches run.
+    retry_failed: bool = False,
+    lenient: bool = False,
+) -> Taken:
+    """Take the new files of ``folder``, at most ``max_files`` in one batch, oldest first.
 
-    ``max_files`` bounds the files of one batch.  Without ``layouts`` each batch is read with the
-    date layout of its first date, so deliver files of different layouts one to a batch.  With
-    ``report_folder`` the reports follow every batch.
+    Without ``layouts`` each batch is read with the date layout of its first date, so deliver files of different
+    layouts one to a batch.  With ``report_folder`` the reports follow, also those that a failure left out last time.
     """
-    done = []
-    stream_id = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
-
-    def take(batch: DataFrame, batch_id: int) -> None:
-        target = Warehouse(batch.sparkSession, warehouse.root, warehouse.database)
-        run_id = f"{stream_id}-{batch_id}"
-        # Names only, as many as the stream's own file log holds for the batch; it may repeat some.
-        files = sorted({literal_path(row.path) for row in batch.toLocalIterator()})
-        if not files or has_succeeded(target, run_id):
+    if max_files < 1:
+        raise ValueError(f"max_files must be positive: {max_files}")
+    warehouse.create_table(TAKEN_FILES, TAKEN_FILES_SCHEMA, [])
+    options = {"fmt": fmt, "multi_line": multi_line, "mixed_headers": mixed_headers, "layouts": layouts}
+    options |= {"on_bad_number": on_bad_number, "on_conflict": "ignore", "refresh": "recompute"}
+
+    with warehouse.staging() as stage:
+        waiting = stage(new_files(warehouse, folder, retry_failed), "waiting")
+        batches, failed = 0, []
+        while batch := _next(waiting, max_files):
+            loaded, bad = _take(warehouse, folder, batch, options)
+            batches += loaded
+            failed += bad
+            waiting = stage(waiting.join(_as_rows(warehouse, batch), FILE_KEY, "left_anti"), "waiting")
+    if report_folder is not None:
+        _report(warehouse, report_folder, top_n, lenient)
+    return Taken(batches, failed)
+
+
+def _next(waiting: DataFrame, max_files: int) -> list[tuple]:
+    """The next files to take: names of one batch are all that comes to the driver."""
+    return [tuple(row) for row in waiting.orderBy("modified", "path").limit(max_files).collect()]
+
+
+def _as_rows(warehouse: Warehouse, batch: list[tuple], outcome: str | None = None, run_id: str | None = None) -> DataFrame:
+    rows = warehouse.spark.createDataFrame([(*file, outcome, run_id) for file in batch], TAKEN_FILES_SCHEMA).coalesce(1)
+    return rows if outcome else rows.select(*FILE_KEY)
+
+
+def _take(warehouse: Warehouse, folder: str, batch: list[tuple], options: dict) -> tuple[int, list[str]]:
+    """Load a batch, or its files one by one where it cannot be loaded as a whole."""
+    run_id = uuid.uuid4().hex
+    paths = [literal_path(path) for path, *_ in batch]
+    try:
+        run_pipeline(warehouse, paths, source_name=folder[-255:], run_id=run_id, **options)
+    except Exception as error:
+        if len(batch) > 1:
+            parts = [_take(warehouse, folder, [file], options) for file in batch]
+            return sum(n for n, _ in parts), [path for _, bad in parts for path in bad]
+        logger.warning("%s could not be loaded: %s", paths[0], error)
+        warehouse.append(_as_rows(warehouse, batch, FAILED, run_id), TAKEN_FILES)
+        return 0, [batch[0][0]]
+    warehouse.append(_as_rows(warehouse, batch, LOADED, run_id), TAKEN_FILES)
+    return 1, []
+
+
+def _report(warehouse: Warehouse, folder: str, top_n: int, lenient: bool) -> None:
+    """The reports, when a run was loaded since they were last written."""
+    noted = warehouse.table(TAKEN_FILES)
+    done = noted.where(F.col("outcome") == REPORTED).select("run_id")
+    open_runs = noted.where(F.col("outcome") == LOADED).join(done, "run_id", "left_anti").select("run_id").distinct()
+    with warehouse.staging() as stage:
+        runs = stage(open_runs, "open_runs")
+        if runs.isEmpty():
             return
-        run_pipeline(
-            target,
-            files,
-            fmt,
-            multi_line,
-            mixed_headers,
-            layouts,
-            source_name=folder,
-            on_bad_number=on_bad_number,
-            on_conflict="ignore",
-            refresh="recompute",
-            run_id=run_id,
-        )
-        if report_folder is not None:
-            write_report_marts(target, f"{report_folder.rstrip('/')}/batch={batch_id}", top_n)
-        done.append(batch_id)
-
-    reader = warehouse.spark.readStream.format("binaryFile").schema(LISTING)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    query = (
-        reader.load(folder)
-        .select("path")
-        .writeStream.foreachBatch(take)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return len(done)
+        write_report_marts(warehouse, folder, top_n, lenient=lenient)
+        marks = [F.lit(None).cast(f.dataType).alias(f.name) for f in TAKEN_FILES_SCHEMA.fields[:3]]
+        warehouse.append(runs.select(*marks, F.lit(REPORTED).alias("outcome"), "run_id"), TAKEN_FILES)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+import shutil
 import uuid
 from decimal import Decimal
 
@@ -7,11 +9,11 @@ import pytest
 from conftest import row
 
 from ordermill.operators.constraints import ConstraintError
-from ordermill.plans import pipeline
+from ordermill.plans import audit
 from ordermill.plans.pipeline import run_all, run_pipeline
 from ordermill.plans.warehouse import DuplicateOrderError, Warehouse
-from ordermill.schemas import REQUIRED_COLUMNS, RUN_LOG, SUMMARY, TRANSACTIONS
-from ordermill.streaming import run_incremental
+from ordermill.schemas import REQUIRED_COLUMNS, RUN_LOG, SUMMARY, TAKEN_FILES, TRANSACTIONS
+from ordermill.streaming import incremental, run_incremental
 
 
 @pytest.fixture
@@ -122,7 +124,7 @@ def test_failing_log_does_not_hide_the_outcome(warehouse, tmp_path, monkeypatch,
     def broken(*_, **__):
         raise RuntimeError("log failed")
 
-    monkeypatch.setattr(pipeline, "log_run", broken)
+    monkeypatch.setattr(audit, "log_run", broken)
     assert run_pipeline(warehouse, write(tmp_path / "a.csv", *DIRTY))["status"] == "SUCCESS"
     assert "log failed" in caplog.text
 
@@ -151,15 +153,23 @@ def test_parquet_source(spark, warehouse, frame, tmp_path):
 
 
 def take(warehouse, tmp_path, **options):
-    return run_incremental(warehouse, str(tmp_path / "drop"), str(tmp_path / "checkpoint"), **options)
+    return run_incremental(warehouse, str(tmp_path / "drop"), **options)
+
+
+def orders(warehouse):
+    return sorted(r.order_id for r in warehouse.table(TRANSACTIONS).collect())
+
+
+NOTHING = (0, [])
+ONE = (1, [])
 
 
 def test_only_new_files_are_taken(spark, warehouse, tmp_path):
     write(tmp_path / "drop" / "1.csv", *DIRTY)
-    assert take(warehouse, tmp_path) == 1
+    assert take(warehouse, tmp_path) == ONE
     write(tmp_path / "drop" / "2.csv", row(order_id="1"), row(order_id="7"), row(order_id="8", order_date="2024-01-02"))
-    assert take(warehouse, tmp_path, report_folder=str(tmp_path / "reports")) == 1
-    assert take(warehouse, tmp_path) == 0
+    assert take(warehouse, tmp_path, report_folder=str(tmp_path / "reports")) == ONE
+    assert take(warehouse, tmp_path) == NOTHING
     assert sorted(r.order_id for r in warehouse.table(TRANSACTIONS).collect()) == ["1", "6", "7", "8"]
     assert summary(warehouse) == {
         (5, "West"): (2, Decimal("60.00")),
@@ -167,13 +177,13 @@ def test_only_new_files_are_taken(spark, warehouse, tmp_path):
         (1, "West"): (1, Decimal("30.00")),
     }
     assert log(warehouse) == [(7, 2, 5, 2, "SUCCESS"), (3, 3, 0, 2, "SUCCESS")]
-    assert len(list((tmp_path / "reports").glob("batch=1/run_ts=*/summary"))) == 1
+    assert len(list((tmp_path / "reports").glob("run_ts=*/summary"))) == 1
 
 
 def test_files_can_be_taken_in_several_batches(warehouse, tmp_path):
     for i in range(3):
         write(tmp_path / "drop" / f"{i}.csv", row(order_id="same"), row(order_id=f"o{i}"))
-    assert take(warehouse, tmp_path, max_files=1) == 3
+    assert take(warehouse, tmp_path, max_files=1) == (3, [])
     assert warehouse.table(TRANSACTIONS).count() == 4
     assert summary(warehouse) == {(5, "West"): (4, Decimal("120.00"))}
 
@@ -194,41 +204,92 @@ def test_failed_batch_is_taken_again(warehouse, tmp_path, monkeypatch):
 
     with monkeypatch.context() as patch:
         patch.setattr(Warehouse, "upsert_monthly_summary", broken)
-        with pytest.raises(Exception, match="summary failed"):
-            take(warehouse, tmp_path)
+        batches, failed = take(warehouse, tmp_path)
+    assert batches == 0 and [path.rsplit("/", 1)[-1] for path in failed] == ["1.csv"]
     assert warehouse.table(TRANSACTIONS).count() == 2
-    assert take(warehouse, tmp_path) == 1
+    assert take(warehouse, tmp_path) == NOTHING
+    assert take(warehouse, tmp_path, retry_failed=True) == ONE
+    assert take(warehouse, tmp_path, retry_failed=True) == NOTHING
     assert warehouse.table(TRANSACTIONS).count() == 2
     assert summary(warehouse) == {(5, "West"): (1, Decimal("30.00")), (5, "East"): (1, Decimal("0.00"))}
     assert log(warehouse) == [(7, 2, 5, 2, "FAILED"), (7, 2, 5, 0, "SUCCESS")]
 
 
-def test_batch_done_but_not_recorded_by_the_stream_is_not_run_twice(spark, warehouse, tmp_path):
+def test_batch_loaded_but_not_noted_changes_nothing_when_taken_again(warehouse, tmp_path):
     write(tmp_path / "drop" / "1.csv", *DIRTY)
     take(warehouse, tmp_path)
-    for commit in (tmp_path / "checkpoint" / "commits").glob("*0*"):
-        commit.rename(tmp_path / commit.name)
-    assert take(warehouse, tmp_path) == 0
-    assert log(warehouse) == [(7, 2, 5, 2, "SUCCESS")]
+    before = orders(warehouse), summary(warehouse)
+    warehouse.execute(f"DROP TABLE {TAKEN_FILES}")
+    shutil.rmtree(tmp_path / "mart" / TAKEN_FILES)
+    assert take(warehouse, tmp_path) == ONE
+    assert (orders(warehouse), summary(warehouse)) == before
+
+
+def test_old_dated_file_is_taken(warehouse, tmp_path):
+    write(tmp_path / "drop" / "1.csv", row(order_id="1"))
+    take(warehouse, tmp_path)
+    late = write(tmp_path / "drop" / "0.csv", row(order_id="2"))
+    os.utime(late, (1.5e9, 1.5e9))
+    assert take(warehouse, tmp_path) == ONE
+    assert orders(warehouse) == ["1", "2"]
+
+
+def test_overwritten_file_is_taken_again(warehouse, tmp_path):
+    write(tmp_path / "drop" / "sales.csv", row(order_id="a"))
+    take(warehouse, tmp_path)
+    write(tmp_path / "drop" / "sales.csv", row(order_id="a"), row(order_id="b"))
+    assert take(warehouse, tmp_path) == ONE
+    assert orders(warehouse) == ["a", "b"]
+    assert summary(warehouse) == {(5, "West"): (2, Decimal("60.00"))}
+
+
+def test_bad_delivery_holds_up_nothing(warehouse, tmp_path):
+    write(tmp_path / "drop" / "1.csv", row(order_id="1"))
+    write(tmp_path / "drop" / "2.csv", row(order_id="2", quantity="many"))
+    write(tmp_path / "drop" / "3.csv", row(order_id="3"))
+    batches, failed = take(warehouse, tmp_path)
+    assert batches == 2 and [path.rsplit("/", 1)[-1] for path in failed] == ["2.csv"]
+    write(tmp_path / "drop" / "4.csv", row(order_id="4"))
+    assert take(warehouse, tmp_path) == ONE
+    assert orders(warehouse) == ["1", "3", "4"]
+    assert sorted(entry[-1] for entry in log(warehouse)) == ["FAILED", "FAILED", "SUCCESS", "SUCCESS", "SUCCESS"]
+    write(tmp_path / "drop" / "2.csv", row(order_id="2", quantity="12"))
+    assert take(warehouse, tmp_path) == ONE
+    assert orders(warehouse) == ["1", "2", "3", "4"]
+
+
+def test_reports_that_failed_are_written_by_the_next_call(warehouse, tmp_path, monkeypatch):
+    write(tmp_path / "drop" / "1.csv", *DIRTY)
+    reports = str(tmp_path / "reports")
+
+    def broken(*_, **__):
+        raise RuntimeError("no space")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "write_report_marts", broken)
+        with pytest.raises(RuntimeError, match="no space"):
+            take(warehouse, tmp_path, report_folder=reports)
+    assert take(warehouse, tmp_path, report_folder=reports) == NOTHING
+    assert len(list((tmp_path / "reports").glob("run_ts=*/summary"))) == 1
+    assert take(warehouse, tmp_path, report_folder=reports) == NOTHING
+    assert len(list((tmp_path / "reports").glob("run_ts=*/summary"))) == 1
 
 
 def test_different_headers_in_a_batch(warehouse, tmp_path):
     write(tmp_path / "drop" / "1.csv", row(), columns=list(reversed(REQUIRED_COLUMNS)))
     write(tmp_path / "drop" / "2.csv", row(order_id="N-2"))
-    with pytest.raises(Exception, match="header"):
-        take(warehouse, tmp_path)
-    assert take(warehouse, tmp_path, mixed_headers=True) == 1
+    assert take(warehouse, tmp_path) == (2, [])  # not as one batch, but one by one
     assert {r.region for r in warehouse.table(TRANSACTIONS).collect()} == {"West"}
 
 
 def test_file_names_with_special_characters(warehouse, tmp_path):
     for i, name in enumerate(["a b.csv", "c%20d.csv", "é [1]{x}.csv", "e?*.csv"]):
         write(tmp_path / "drop" / name, row(order_id=f"o{i}"))
-    assert take(warehouse, tmp_path) == 1
+    assert take(warehouse, tmp_path) == ONE
     assert log(warehouse) == [(4, 4, 0, 4, "SUCCESS")]
 
 
 def test_stream_of_parquet_files(spark, warehouse, frame, tmp_path):
     frame(*DIRTY).coalesce(1).write.parquet(str(tmp_path / "drop"))
-    assert take(warehouse, tmp_path, fmt="parquet") == 1
+    assert take(warehouse, tmp_path, fmt="parquet") == ONE
     assert log(warehouse) == [(7, 2, 5, 2, "SUCCESS")]
