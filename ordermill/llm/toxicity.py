@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,7 @@ BUCKETS = 1 << 17
 DIMENSIONS = 8
 NGRAMS = (3, 4, 5)
 PASSAGE = 6
+CHUNK = 50_000  # words or passages worked on at once while training
 SHORTEST = 6  # a passage's mean is over this many words at least
 TRAIN_TOXIC = 3_000
 TRAIN_CLEAN = 8_000
@@ -74,6 +76,11 @@ def _adam(value: np.ndarray, slope: np.ndarray, state: list, step: int) -> None:
     value -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
 def train(texts: Iterator[str | None], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Embeddings, softmax weights and bias from texts and 0/1 labels."""
     dice = np.random.default_rng(11)
@@ -89,11 +96,18 @@ def train(texts: Iterator[str | None], labels: np.ndarray) -> tuple[np.ndarray,
         share = labels.mean() if len(labels) else 0.0
         return table * 0, weights * 0, np.array([0, np.log((share + 1e-3) / (1 - share + 1e-3))], np.float32)
 
-    parts = [subwords(word) for word in numbers]
-    sizes = np.array([len(part) for part in parts])
-    buckets = np.fromiter((b for part in parts for b in part), np.int32, sizes.sum())
+    packed, counts = array("i"), array("i")  # a list of numbers per word would take gigabytes
+    for word in numbers:
+        found = subwords(word)
+        packed.extend(found)
+        counts.append(len(found))
+    del numbers
+    buckets, sizes = np.frombuffer(packed, np.int32), np.frombuffer(counts, np.int32).astype(np.int64)
     first = np.cumsum(sizes) - sizes
-    del parts, numbers
+    chunks = []  # of words, with the places of their buckets
+    for lo in range(0, len(sizes), CHUNK):
+        part = slice(lo, min(lo + CHUNK, len(sizes)))
+        chunks.append((part, slice(int(first[lo]), int(first[part][-1] + sizes[part][-1]))))
 
     lengths = np.array([len(doc) for doc in docs])
     flat = np.concatenate(docs)
@@ -110,7 +124,8 @@ def train(texts: Iterator[str | None], labels: np.ndarray) -> tuple[np.ndarray,
     weight_of = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())) ** 0.5
     for step in range(1, STEPS + 1):
         toward = weights[:, 1] - weights[:, 0]
-        score = np.add.reduceat((table @ toward)[buckets], first) / sizes
+        line = table @ toward
+        score = np.concatenate([np.add.reduceat(line[buckets[at]], first[part] - at.start) for part, at in chunks]) / sizes
         score_of = np.add.reduceat(score[flat], starts) / spans
         if step <= WARM_UP:
             chosen, share = np.arange(len(doc_of)), (1 / per_doc)[doc_of]
@@ -120,20 +135,21 @@ def train(texts: Iterator[str | None], labels: np.ndarray) -> tuple[np.ndarray,
             chosen = at[np.unique(doc_of[at], return_index=True)[1]]
             share = np.ones(len(chosen))
         doc = doc_of[chosen]
-        # Mean vectors of what was chosen, by document, through the words' counts in it.
-        token_at = np.concatenate([np.arange(s, e) for s, e in zip(starts[chosen], ends[chosen])])
-        token_doc = np.repeat(doc, (ends - starts)[chosen])
-        token_weight = np.repeat(share / spans[chosen], (ends - starts)[chosen])
-        logit = np.bincount(token_doc, token_weight * score[flat[token_at]], len(docs)) + bias[1] - bias[0]
+        logit = np.bincount(doc, share * score_of[chosen], len(docs)) + bias[1] - bias[0]
         good = 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
         error = (np.stack([1 - good, good], 1) - target) * weight_of[:, None] / len(docs)
         pull = error[:, 1]
-        by_word = np.bincount(flat[token_at], token_weight * pull[token_doc], len(sizes))
-        used = np.flatnonzero(by_word)
-        at = np.concatenate([np.arange(f, f + n) for f, n in zip(first[used], sizes[used])])
-        by_bucket = np.bincount(buckets[at], np.repeat(by_word[used] / sizes[used], sizes[used]), BUCKETS)
-        slope = np.outer(by_bucket, toward).astype(np.float32)
+        by_word = np.zeros(len(sizes))
+        for lo in range(0, len(chosen), CHUNK):
+            some = chosen[lo : lo + CHUNK]
+            n = (ends - starts)[some]
+            weight = np.repeat(share[lo : lo + CHUNK] / spans[some] * pull[doc[lo : lo + CHUNK]], n)
+            by_word += np.bincount(flat[_ranges(starts[some], n)], weight, len(sizes))
+        by_bucket = np.zeros(BUCKETS)
+        for part, at in chunks:
+            by_bucket += np.bincount(buckets[at], np.repeat(by_word[part] / sizes[part], sizes[part]), BUCKETS)
         down = (table.T @ by_bucket).astype(np.float32)
+        slope = np.outer(by_bucket, toward).astype(np.float32)
         slope += DECAY / len(docs) * table
         _adam(weights, np.stack([-down, down], 1), states[1], step)
         _adam(table, slope, states[0], step)
