@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ordermill.llm.blocks import pack, send_back, unpack, write_blocks
+from ordermill.llm.blocks import WORDS, pack, send_back, unpack, write_blocks
 from ordermill.llm.token_counts import encoder, read_ranks
 
 # Matches any pre-token as a whole, so that the merges run within it and nowhere else.
@@ -83,16 +83,19 @@ def _reassemble(documents: pa.Table, coded: pa.Table) -> pa.Table:
     return pa.table([documents.column("doc_id"), lists], names=["doc_id", "ids"])
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id and ids (array of int) of every whole text, as the rank file at ``path`` has it."""
+def encode_documents(docs: DataFrame, path: str, pattern: str, words: int = WORDS) -> DataFrame:
+    """doc_id and ids (array of int) of every whole text, as the rank file at ``path`` has it.
+
+    ``words`` is the size of a block: smaller ones need less memory and send more.
+    """
 
     def splitter():
         import regex
 
         return regex.compile(pattern).findall
 
-    documents, words = write_blocks(docs, splitter)
-    coded = send_back(words, _encode_part(path))
+    documents, distinct = write_blocks(docs, splitter, words=words)
+    coded = send_back(distinct, _encode_part(path))
     return documents.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_reassemble, "doc_id long, ids array<int>")
 
 

@@ -20,7 +20,7 @@ ODD = [None, "", " ", "\n\n\n", "a", "don't  stop\n\n now ", "x" * 9000, "é漢
 @pytest.fixture(params=[50, 10**6])
 def block_words(request, monkeypatch):
     plain = write_blocks
-    monkeypatch.setattr(bpe, "write_blocks", lambda docs, split: plain(docs, split, words=request.param))
+    monkeypatch.setattr(bpe, "write_blocks", lambda docs, split, words: plain(docs, split, words=request.param))
 
 
 def test_round_trip(spark, docs, as_dicts, block_words):
