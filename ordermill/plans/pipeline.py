@@ -80,7 +80,7 @@ def run_pipeline(
         raw = read_raw(warehouse.spark, source, fmt, multi_line, mixed_headers)
         if layouts is not None:
             return raw, layouts
-        return raw, infer_layouts(raw) if fmt == "csv" else [ISO_DATE]
+        return raw, infer_layouts(warehouse.spark, source) if fmt == "csv" else [ISO_DATE]
 
     return ingest(warehouse, extract, source_name or _label(source), **options)
 

@@ -11,7 +11,7 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,9 +23,6 @@ from ordermill.schemas import NA_TOKENS
 # Ascending order of these three is input order: file by name, part of the file, row of the part.
 SOURCE_ORDER = ["_file", "_block", "_row"]
 
-# Size from which it pays to find out whether a CSV file can be split.
-SPLIT_ABOVE = 256 * 1024 * 1024
-
 Paths = str | list[str]
 
 _BROKEN = "_broken_line"
@@ -69,7 +66,7 @@ def finish_csv(df: DataFrame, columns: list[str], multi_line: bool) -> DataFrame
     # Spark refuses a scan of the broken-line column alone, hence the first column in the message.
     start = F.coalesce(F.col(f"`{columns[0]}`"), F.lit(""))
     message = F.concat(F.lit("line has more fields than the header, at "), start, F.lit(": "), F.col(_BROKEN))
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    numbered = df if "_row" in df.columns else df.withColumn("_row", F.monotonically_increasing_id())
     checked = numbered.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     return checked.select(
         *[F.when(~F.col(f"`{name}`").isin(NA_TOKENS), F.col(f"`{name}`")).alias(name) for name in columns],
@@ -100,44 +97,115 @@ def literal_path(name: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", name)
 
 
-def _files_with_odd_quotes(spark: SparkSession, path: Paths) -> set[str]:
-    """Files with a line holding an odd number of quotes: only these can have line breaks inside fields.
+def _pieces(spark: SparkSession, path: Paths) -> DataFrame:
+    """The text between line ends of any kind, in splits whatever the size of a file.
 
-    Lines are read in splits, whatever the size of a file, and what is collected are file names.
+    ``_row`` and ``_part`` order the pieces of a block; ``odd`` is 1 where the piece holds an odd number of quotes.
+    A quote in the middle of an unquoted field (``5" pipe``) has letters on both sides and does not count.
     """
-    lines = spark.read.text(path).select("value", *place_columns())
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    files = lines.where(quotes % 2 == 1).select("_file").distinct()
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", *place_columns())
+    numbered = lines.withColumn("_row", F.monotonically_increasing_id())
+    cut = numbered.select("_file", "_block", "_row", F.posexplode(F.split("value", "\r")).alias("_part", "text"))
+    without = F.regexp_replace("text", r'(?<=[^",])"(?=[^",])', "")
+    quotes = F.length(without) - F.length(F.replace(without, F.lit('"'), F.lit("")))
+    return cut.withColumn("odd", (quotes % 2).cast("int"))
+
+
+def _files_with_line_breaks(spark: SparkSession, path: Paths) -> set[str]:
+    """Files that have line breaks inside quoted fields; what is collected are their names."""
+    files = _pieces(spark, path).where("odd = 1").select("_file").distinct()
     return {unquote(row._file) for row in files.toLocalIterator()}
 
 
-def _by_line_breaks(spark: SparkSession, path: Paths, split_above: int) -> list[tuple[Paths, bool]]:
-    """Paths to read, each with whether its fields may hold line breaks.
+def _records(pieces: DataFrame) -> DataFrame:
+    """Records (_file, _block, _row, text, heading) of files with line breaks inside quotes, put together in parallel.
 
-    A file with such fields has to be read by one task.  That is no matter up to ``split_above``
-    bytes; with larger files around, only those that need it are read so.
+    Whether a piece begins inside quotes is the parity of all quotes before it.  Each block's own parity is one
+    small row; running over a file's blocks it gives the state each block begins with, and within a block the
+    state runs over its pieces.  A record begins at a piece outside quotes.  What a block has before its
+    first record belongs to the last record of the blocks before.
     """
-    largest = list_files(spark, path).agg(F.max("length")).first()[0]
-    if largest is None or largest <= split_above:
-        return [(path, True)]
-    whole = _files_with_odd_quotes(spark, path)
-    if not whole:
+    block = Window.partitionBy("_file", "_block")
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = block.orderBy("_row", "_part")
+    zero = F.lit(0).cast("bigint")
+
+    parity = pieces.groupBy("_file", "_block").agg(F.sum("odd").alias("odds"))
+    opened = parity.select("_file", "_block", F.coalesce(F.sum("odds").over(before), zero).alias("_opened"))
+    seen = F.coalesce(F.sum("odd").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), zero)
+    begins = ((F.col("_opened") + seen) % 2 == 0).cast("int")
+    blank = F.col("text").rlike("^[ \t\ufeff]*$")
+    lines = pieces.join(opened, ["_file", "_block"]).withColumn("begins", begins).withColumn("blank", blank)
+    lines = lines.withColumn("number", F.sum("begins").over(in_order)).drop("_opened")
+    heading = F.min(F.when((F.col("begins") == 1) & ~F.col("blank"), F.col("number"))).over(block)
+    lines = lines.withColumn("_heading", F.when(F.col("_block") == 0, heading))
+
+    ends = lines.groupBy("_file", "_block").agg(F.max("number").alias("_last"))
+    holder = F.last(F.when(F.col("_last") > 0, F.struct("_block", "_last")), ignorenulls=True).over(before)
+    owners = ends.select("_file", "_block", holder.alias("_owner"))
+    placed = lines.join(owners, ["_file", "_block"]).select(
+        "_file",
+        F.when(F.col("number") > 0, F.col("_block")).otherwise(F.col("_owner._block")).alias("_of_block"),
+        F.when(F.col("number") > 0, F.col("number")).otherwise(F.col("_owner._last")).alias("_of_row"),
+        F.coalesce(F.col("number") == F.col("_heading"), F.lit(False)).alias("heading"),
+        F.struct("_block", "_row", "_part", "text").alias("piece"),
+    )
+    together = placed.groupBy("_file", "_of_block", "_of_row").agg(
+        F.array_sort(F.collect_list("piece")).alias("pieces"), F.max("heading").alias("heading")
+    )
+    text = F.array_join(
+        F.transform(
+            "pieces",
+            lambda p, i: F.when(i == 0, p["text"]).otherwise(F.concat(F.when(p["_part"] == 0, "\n").otherwise("\r"), p["text"])),
+        ),
+        "",
+    )
+    records = together.select("_file", F.col("_of_block").alias("_block"), F.col("_of_row").alias("_row"), text.alias("text"), "heading")
+    return records.where(~F.col("text").rlike("^[ \t\r\n\ufeff]*$"))
+
+
+def _read_records(spark: SparkSession, path: Paths, columns: list[str], comparable: bool) -> DataFrame:
+    """Rows of files with line breaks inside quoted fields; their headings must be ``columns``."""
+    options = {"escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": _BROKEN}
+    records = _records(_pieces(spark, path))
+    if comparable:
+        names = ", ".join(f"c{i} string" for i in range(len(columns)))
+        found = F.from_csv(F.ltrim(F.col("text"), F.lit("\ufeff")), names, options)
+        same = F.array(*[found[f"c{i}"] for i in range(len(columns))]) == F.array(*map(F.lit, columns))
+        refused = F.raise_error(F.concat(F.lit("CSV header does not conform to that of the first file: "), F.col("_file"))).cast("boolean")
+        records = records.where(F.when(F.col("heading") & ~F.coalesce(same, F.lit(False)), refused).otherwise(~F.col("heading")))
+    else:
+        records = records.where(~F.col("heading"))
+    fields = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(columns))] + [T.StructField(_BROKEN, T.StringType())])
+    parsed = F.from_csv("text", ", ".join(f"`{f.name}` string" for f in fields), options)
+    rows = records.withColumn("r", parsed).select(
+        *[F.col(f"r.c{i}").alias(name) for i, name in enumerate(columns)], F.col(f"r.{_BROKEN}").alias(_BROKEN), *SOURCE_ORDER
+    )
+    return finish_csv(rows, columns, True)
+
+
+def _by_line_breaks(spark: SparkSession, path: Paths) -> list[tuple[Paths, bool]]:
+    """Paths to read, each with whether its fields hold line breaks."""
+    broken = _files_with_line_breaks(spark, path)
+    if not broken:
         return [(path, False)]
     names = [row.path for row in list_files(spark, path).select("path").toLocalIterator()]
-    split = [literal_path(name) for name in names if name not in whole]
-    groups = [([literal_path(name) for name in names if name in whole], True)]
-    return groups + [(split, False)] if split else groups
+    plain = [literal_path(name) for name in names if name not in broken]
+    groups: list[tuple[Paths, bool]] = [([literal_path(name) for name in names if name in broken], True)]
+    return groups + [(plain, False)] if plain else groups
 
 
-def _read_csv(spark: SparkSession, path: Paths, multi_line: bool | None, split_above: int) -> DataFrame:
+def _read_csv(spark: SparkSession, path: Paths, multi_line: bool | None) -> DataFrame:
     columns, comparable = _header(spark, path)
     if not comparable and len(_files_by_header(spark, path)) > 1:
         raise ValueError("the files have different headers; read them with mixed_headers=True")
-    groups = _by_line_breaks(spark, path, split_above) if multi_line is None else [(path, multi_line)]
     parts = []
-    for files, breaks in groups:
-        scan = spark.read.schema(csv_schema(columns)).options(**csv_options(breaks, comparable)).csv(files)
-        parts.append(finish_csv(scan.select("*", *place_columns()), columns, breaks))
+    for files, breaks in [(path, False)] if multi_line is False else _by_line_breaks(spark, path):
+        if breaks:
+            parts.append(_read_records(spark, files, columns, comparable))
+        else:
+            scan = spark.read.schema(csv_schema(columns)).options(**csv_options(False, comparable)).csv(files)
+            parts.append(finish_csv(scan.select("*", *place_columns()), columns, False))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -165,12 +233,12 @@ def read_raw(
     fmt: str = "csv",
     multi_line: bool | None = None,
     mixed_headers: bool = False,
-    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """Raw rows of files or folders, with the ``SOURCE_ORDER`` columns.
 
-    ``multi_line`` says whether quoted CSV fields may hold line breaks, which keeps Spark from
-    splitting a file; None looks for such fields when a file is larger than ``split_above`` bytes.
+    A line of blanks is no row, and a line feed, a return or both end a line outside quotes, in a file of any
+    size.  Files are read in splits; one pass over the text finds those with line breaks inside quoted fields, whose records
+    are put together in parallel.  ``multi_line=False`` says that there are none and saves the pass.
     ``mixed_headers=True`` admits files whose columns stand in different orders; it costs a look at
     the start of every file.  Raises ``FileNotFoundError`` for an absent path.
     """
@@ -188,7 +256,7 @@ def read_raw(
         if mixed_headers:
             groups = _files_by_header(spark, path) or groups
         return reduce(
-            _union, [_read_csv(spark, files, multi_line, split_above) for files in groups]
+            _union, [_read_csv(spark, files, multi_line) for files in groups]
         )
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
@@ -196,14 +264,17 @@ def read_raw(
         raise
 
 
-def infer_layouts(raw: DataFrame) -> list[str]:
+def infer_layouts(spark: SparkSession, path: Paths) -> list[str]:
     """Date layouts of a CSV source: the one that reads its first date, or all when none does.
 
-    Looks at the first file only, and at later ones only while no date was found.
+    Looks at the first file only, and at later ones only while no date was found; one name at a time.
     """
-    spark = raw.sparkSession
-    for name in sorted(raw.inputFiles()):
-        file = literal_path(unquote(name))
+    files, last = list_files(spark, path), ""
+    while row := files.where(F.col("path") > last).agg(F.min("path").alias("path")).first():
+        if row.path is None:
+            break
+        last = row.path
+        file = literal_path(last)
         columns, comparable = _header(spark, file)
         if "order_date" not in columns:
             continue

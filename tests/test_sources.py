@@ -73,7 +73,7 @@ def test_saved_row_index_and_repeated_headings(spark, tmp_path):
     path = write(tmp_path / "a.csv", "0," + line() + ",x,y", header=f",{HEADER},note,note")
     got = read_raw(spark, path).first()
     assert {n: got[n] for n in REQUIRED_COLUMNS} == GOOD
-    assert infer_layouts(read_raw(spark, path)) == [ISO_DATE]
+    assert infer_layouts(spark, path) == [ISO_DATE]
     write(tmp_path / "b.csv", line(order_id="b"))
     with pytest.raises(ValueError, match="mixed_headers"):
         read_raw(spark, str(tmp_path))
@@ -136,7 +136,7 @@ def test_large_files_are_split_unless_they_hold_line_breaks(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
         def parts_per_file():
-            raw = read_raw(spark, str(tmp_path), split_above=1000)
+            raw = read_raw(spark, str(tmp_path))
             return {r["_file"].rsplit("/", 1)[-1]: r["n"] for r in blocks(raw)}, raw.count()
 
         def blocks(raw):
@@ -146,19 +146,65 @@ def test_large_files_are_split_unless_they_hold_line_breaks(spark, tmp_path):
         assert len(found) == 1 and min(found.values()) > 3 and rows == 2000
         write(tmp_path / "broken.csv", *many, line(order_id="last", product_name='"two\nlines"'))
         found, rows = parts_per_file()
-        assert found.pop("broken.csv") == 1 and min(found.values()) > 3 and rows == 4001
+        assert min(found.values()) > 3 and rows == 4001
         write(tmp_path / "inch.csv", *many, line(order_id="inch", product_name='5" pipe'))
-        raw = read_raw(spark, str(tmp_path), split_above=1000)
+        raw = read_raw(spark, str(tmp_path))
         got = {r.order_id: r.product_name for r in raw.where("order_id in ('inch', 'last')").collect()}
         assert got == {"last": "two\nlines", "inch": '5" pipe'} and raw.count() == 6002
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-def test_small_files_are_not_looked_through(spark, tmp_path, monkeypatch):
-    path = write(tmp_path / "a.csv", line(product_name='"two\nlines"'))
-    monkeypatch.setattr("ordermill.sources.files._files_with_odd_quotes", None)
-    assert read_raw(spark, path).first().product_name == "two\nlines"
+ODD_LINES = [
+    line(order_id="1", product_name='"two\nlines"'),
+    "   ",
+    "",
+    line(order_id="2", customer_name='"a ""quoted"" name,\r\nand more"', product_name='"x\r\ry"'),
+    line(order_id="3", product_name='5" pipe'),
+    line(order_id="4", product_name='"' + "\n" * 700 + '"'),
+    line(order_id="5"),
+]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_one_answer_at_any_split(spark, tmp_path, end):
+    texts = [HEADER, *ODD_LINES] + [line(order_id=f"n{i}") if i % 7 else line(order_id=f"n{i}", product_name=f'"a\n{i}"') for i in range(60)]
+    (tmp_path / "a.csv").write_bytes(("\ufeff" + end.join(texts) + end).encode())
+    rows = {}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("134217728", "300", "97"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            raw = read_raw(spark, str(tmp_path / "a.csv")).orderBy(*SOURCE_ORDER)
+            rows[size] = [(r.order_id, r.customer_name, r.product_name) for r in raw.collect()]
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    found = rows["134217728"]
+    assert [r[0] for r in found] == [str(i) for i in range(1, 6)] + [f"n{i}" for i in range(60)]
+    assert [r[2] for r in found[:4]] == ["two\nlines", "x\r\ry", '5" pipe', "\n" * 700]
+    assert found[1][1] == 'a "quoted" name,\r\nand more'
+    assert rows["300"] == found and rows["97"] == found
+
+
+@pytest.mark.parametrize("breaks", [False, True])
+def test_blank_lines_and_returns_are_the_same_with_and_without_breaks(spark, tmp_path, breaks):
+    last = line(order_id="z", product_name='"a\nb"') if breaks else line(order_id="z")
+    text = "\n".join([HEADER, line(order_id="x"), " \t", "", line(order_id="y") + "\r" + line(order_id="q"), last])
+    (tmp_path / "a.csv").write_text(text, newline="")
+    assert [r.order_id for r in read_raw(spark, str(tmp_path / "a.csv")).orderBy(*SOURCE_ORDER).collect()] == ["x", "y", "q", "z"]
+
+
+def test_headers_of_files_with_breaks_are_compared(spark, tmp_path):
+    write(tmp_path / "a.csv", line(order_id="a", product_name='"1\n2"'))
+    names = list(reversed(REQUIRED_COLUMNS))
+    values = row(order_id="b", product_name='"3\n4"')
+    write(tmp_path / "b.csv", ",".join(values[n] for n in names), header=",".join(names))
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_raw(spark, str(tmp_path)).collect()
+    got = read_raw(spark, str(tmp_path), mixed_headers=True).orderBy(*SOURCE_ORDER).collect()
+    assert [(r.order_id, r.product_name) for r in got] == [("a", "1\n2"), ("b", "3\n4")]
 
 
 def test_parquet_input(spark, frame, tmp_path):
@@ -179,13 +225,13 @@ def test_parquet_input(spark, frame, tmp_path):
 )
 def test_layout_comes_from_the_first_date(spark, tmp_path, dates, layouts):
     path = write(tmp_path / "a file.csv", *[line(order_date=d) for d in dates])
-    assert infer_layouts(read_raw(spark, path)) == layouts
+    assert infer_layouts(spark, path) == layouts
 
 
 def test_later_files_are_looked_at_only_without_a_date(spark, tmp_path):
     write(tmp_path / "1.csv", line(order_date=""))
     write(tmp_path / "2.csv", line(order_date="05/14/2023"))
-    assert infer_layouts(read_raw(spark, str(tmp_path))) == ["M/d/yyyy"]
+    assert infer_layouts(spark, str(tmp_path)) == ["M/d/yyyy"]
 
 
 class _Recorder:
