@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.shared import doc_texts, new_path, partitions
+from ordermill.llm.shared import doc_texts, each, new_path, partitions
 
 WORDS = 2_000_000
 
@@ -162,7 +162,7 @@ def write_blocks(
         split = make_split()
         current = _Block(TaskContext.get().partitionId() << 32, parts)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in zip(batch.column(0).to_pylist(), each(batch.column(1))):
                 found = split(text)
                 if current.size and current.size + len(found) > words:
                     yield from current.document_rows()

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.blocks import pack, store_by_block, unpack
-from ordermill.llm.shared import doc_texts, stage, text_of
+from ordermill.llm.shared import doc_texts, each, stage, text_of
 
 WINDOW = 13
 WORDS = 1_000_000  # per block
@@ -117,7 +117,7 @@ def build_index(docs: DataFrame, items: DataFrame | None = None, words: int = WO
 
         current = _Postings(TaskContext.get().partitionId() << 32)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in zip(batch.column(0).to_pylist(), each(batch.column(1))):
                 found = words_of(text)
                 if current.documents and current.next + len(found) > words:
                     yield from current.batches(names)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.shared import doc_texts
+from ordermill.llm.shared import doc_texts, each
 
 # Fixed values of the contract: kinds in the order of listing, and the patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -166,7 +166,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of (shape, label), of neighbouring labels and of repeats that agree or not, as keys of numbers."""
     counts: Counter = Counter()
     for batch in batches:
-        for text in batch.column(1).to_pylist():
+        for text in each(batch.column(1)):
             if not text or not _PRIVATE.search(text):
                 continue
             nodes = nodes_of(text, base_spans(text))
@@ -292,7 +292,7 @@ def find_spans(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("kind", "start", "end", "matched")
         for batch in batches:
-            found = [[dict(zip(names, s)) for s in spans_of(t, sent.value)] for t in batch.column(1).to_pylist()]
+            found = [[dict(zip(names, s)) for s in spans_of(t, sent.value)] for t in each(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _SPANS)], ["doc_id", "spans"])
 
     return doc_texts(docs).mapInArrow(run, f"doc_id long, spans {SPANS}")
@@ -317,7 +317,7 @@ def mask_documents(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [masked(text, spans_of(text, sent.value)) for text in batch.column(where).to_pylist()]
+            texts = [masked(text, spans_of(text, sent.value)) for text in each(batch.column(where))]
             yield batch.set_column(where, batch.schema.field(where), pa.array(texts, batch.schema.field(where).type))
 
     return docs.mapInArrow(run, docs.schema)

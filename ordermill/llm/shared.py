@@ -6,7 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +52,9 @@ def text_of(df: DataFrame) -> Column:
 def doc_texts(docs: DataFrame) -> DataFrame:
     """Only doc_id and text, whatever other columns the documents have."""
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
+
+
+def each(column: pa.Array, rows: int = 128) -> Iterator:
+    """The values of a column, few of them Python objects at a time."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.blocks import store_by_block
-from ordermill.llm.shared import doc_texts, partitions
+from ordermill.llm.shared import doc_texts, each, partitions
 
 WINDOW = 20
 GRAM = 5
@@ -64,7 +64,7 @@ class _WordHashes(dict):
     """64-bit hashes of words, kept for the words seen last."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
@@ -166,8 +166,7 @@ def _write_blocks(docs: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             at = 0
             numbers: list[int] = []
-            texts = batch.column(1).to_pylist()
-            for i, text in enumerate(texts):
+            for i, text in enumerate(each(batch.column(1))):
                 words_here = words_of(text)
                 if size and size + len(words_here) > words:
                     yield rows(block, i - at, ord=pa.array(numbers, pa.int32()), doc_id=batch.column(0)[at:i], text=batch.column(1)[at:i])
@@ -179,7 +178,7 @@ def _write_blocks(docs: DataFrame, words: int) -> DataFrame:
                 size += len(words_here)
                 numbers.append(number)
                 number += 1
-            rest = len(texts) - at
+            rest = batch.num_rows - at
             yield rows(block, rest, ord=pa.array(numbers, pa.int32()), doc_id=batch.column(0)[at:], text=batch.column(1)[at:])
         yield from minimiser_rows(block, found)
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ordermill.llm.shared import doc_texts
+from ordermill.llm.shared import doc_texts, each
 
 BLOCK = 512  # lengths per block of the two-level sums
 
@@ -43,7 +43,7 @@ def encoded_lengths(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, pattern).encode_ordinary
         for batch in batches:
-            lengths = [len(encode(text)) for text in batch.column(1).to_pylist()]
+            lengths = [len(encode(text)) for text in each(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int64())], ["doc_id", "n_tokens"])
 
     return doc_texts(docs).mapInArrow(count, "doc_id long, n_tokens long")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.shared import doc_texts
+from ordermill.llm.shared import doc_texts, each
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
@@ -81,17 +81,21 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
-def train(texts: Iterator[str | None], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Embeddings, softmax weights and bias from texts and 0/1 labels."""
+def train(rows: Iterator[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Embeddings, softmax weights and bias from texts and their 0/1 labels."""
     dice = np.random.default_rng(11)
     table = dice.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weights = dice.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.array([2.0, -2.0], np.float32)  # one passage is rarely toxic
 
     numbers: dict[str, int] = {}
-    docs = [np.array([numbers.setdefault(w, len(numbers)) for w in words_of(text)], np.int32) for text in texts]
-    some = np.array([len(doc) > 0 for doc in docs], bool)
-    docs, labels = [doc for doc in docs if len(doc)], np.asarray(labels)[some]
+    docs, given = [], []
+    for text, label in rows:
+        doc = np.array([numbers.setdefault(w, len(numbers)) for w in words_of(text)], np.int32)
+        if len(doc):
+            docs.append(doc)
+            given.append(label)
+    labels = np.array(given, np.int64)
     if not docs or labels.min() == labels.max():
         share = labels.mean() if len(labels) else 0.0
         return table * 0, weights * 0, np.array([0, np.log((share + 1e-3) / (1 - share + 1e-3))], np.float32)
@@ -173,15 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     rows = doc_texts(docs).join(sample, "doc_id").repartition(1).sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels: list[int] = []
-
-        def texts() -> Iterator[str | None]:
-            for batch in batches:
-                labels.extend(batch.column("toxic").to_pylist())
-                yield from batch.column("text").to_pylist()
-
-        read = list(texts())
-        table, weights, bias = train(iter(read), np.array(labels, np.int64))
+        labelled = (row for batch in batches for row in zip(each(batch.column("text")), batch.column("toxic").to_pylist()))
+        table, weights, bias = train(labelled)
         line = (table @ (weights[:, 1] - weights[:, 0])).astype(np.float32)
         yield pa.RecordBatch.from_arrays(
             [pa.array([line.tobytes()], pa.binary()), pa.array([float(bias[1] - bias[0])])], ["line", "bias"]
@@ -204,7 +201,7 @@ class WordScores(dict):
         self.line = line
 
     def __missing__(self, word: str) -> float:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = value = float(self.line[subwords(word)].mean())
         return value
@@ -230,7 +227,7 @@ def score_texts(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
         line, bias = sent.value
         scores = WordScores(line)
         for batch in batches:
-            found = [text_score(text, scores, bias) for text in batch.column(1).to_pylist()]
+            found = [text_score(text, scores, bias) for text in each(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
 
     return doc_texts(docs).mapInArrow(run, "doc_id long, score double")
@@ -245,7 +242,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         line, bias = sent.value
         scores = WordScores(line)
         for batch in batches:
-            kept = [text_score(text, scores, bias) < REJECT_FROM for text in batch.column(where).to_pylist()]
+            kept = [text_score(text, scores, bias) < REJECT_FROM for text in each(batch.column(where))]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
