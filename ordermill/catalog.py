@@ -88,6 +88,21 @@ def _new_warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(spark, root, "mart_" + root.rsplit("-", 1)[-1])
 
 
+def _stored(warehouse: Warehouse, table: str) -> DataFrame:
+    """A table's files, after the warehouse's names are gone from the catalog: a query leaves none behind."""
+    rows = warehouse.spark.read.schema(warehouse.table(table).schema).parquet(f"{warehouse.root}/{table}")
+    warehouse.drop()
+    return rows
+
+
+def _kept(warehouse: Warehouse, result: DataFrame) -> DataFrame:
+    """A result over the tables, written out before their names go."""
+    folder = new_folder(warehouse.spark, "result")
+    result.write.parquet(folder)
+    warehouse.drop()
+    return warehouse.spark.read.parquet(folder)
+
+
 def _load(warehouse: Warehouse, raw: DataFrame, name: str, **options) -> dict:
     return ingest(warehouse, lambda: (raw, [ISO_DATE]), name, order_by=STAR_ORDER, **options)
 
@@ -127,7 +142,7 @@ def load_projection(spark: SparkSession, folder: str) -> DataFrame:
 def append_load(spark: SparkSession, folder: str) -> DataFrame:
     """The transactions table after two overlapping batches."""
     warehouse = _loaded_in_two_batches(spark, folder, "batch")
-    return warehouse.table(TRANSACTIONS).select(*LOAD_COLUMNS)
+    return _stored(warehouse, TRANSACTIONS).select(*LOAD_COLUMNS)
 
 
 @_register
@@ -138,21 +153,21 @@ def load_new_orders_only(spark: SparkSession, folder: str) -> DataFrame:
     _load(warehouse, raw.where(_in_first_batch()), "first")
     batch = cleaning.clean_sales(raw.where(_in_second_batch()), STAR_ORDER)
     fresh = new_orders(batch, known_orders(warehouse.table(TRANSACTIONS), batch))
-    return project_for_load(fresh)
+    return _kept(warehouse, project_for_load(fresh))
 
 
 @_register
 def summary_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """The summary after two batches, the second replacing the months and regions it has."""
     warehouse = _loaded_in_two_batches(spark, folder, "batch")
-    return warehouse.table(SUMMARY).drop("refreshed_at")
+    return _stored(warehouse, SUMMARY).drop("refreshed_at")
 
 
 @_register
 def summary_recompute(spark: SparkSession, folder: str) -> DataFrame:
     """The summary after two batches, the months they touch totalled from the transactions."""
     warehouse = _loaded_in_two_batches(spark, folder, "recompute")
-    return warehouse.table(SUMMARY).drop("refreshed_at")
+    return _stored(warehouse, SUMMARY).drop("refreshed_at")
 
 
 @_register
@@ -160,7 +175,7 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
     """What the log says of the two runs; run ids and times differ from run to run."""
     warehouse = _loaded_in_two_batches(spark, folder, "batch")
     counts = ["rows_read", "rows_cleaned", "rows_rejected", "rows_loaded"]
-    return warehouse.table(RUN_LOG).select("source_file", *counts, "status", "error_message")
+    return _stored(warehouse, RUN_LOG).select("source_file", *counts, "status", "error_message")
 
 
 @_register
@@ -168,7 +183,7 @@ def param_query(spark: SparkSession, folder: str) -> DataFrame:
     """A query text with named parameters over the loaded tables."""
     warehouse = _new_warehouse(spark)
     _load(warehouse, raw_sales(spark, folder), "all")
-    return warehouse.run_query(
+    paid = warehouse.run_query(
         f"""
         SELECT payment_method, COUNT(*) AS orders, CAST(AVG(CAST(quantity AS DOUBLE)) AS DECIMAL(12, 4)) AS mean_quantity,
                SUM(total_amount) AS paid
@@ -178,6 +193,7 @@ def param_query(spark: SparkSession, folder: str) -> DataFrame:
         """,
         {"since": date(1997, 3, 1), "until": date(1998, 8, 31), "below": 0.05},
     )
+    return _kept(warehouse, paid)
 
 
 def _stretched(clean: DataFrame) -> DataFrame:
@@ -222,7 +238,7 @@ def load_replace(spark: SparkSession, folder: str) -> DataFrame:
     warehouse.load_dataframe(clean.select("order_id", "region"), "orders_by_method")
     by_method = clean.groupBy("payment_method", "order_year").agg(F.count("order_id").alias("orders"))
     warehouse.load_dataframe(by_method, "orders_by_method", if_exists="replace")
-    return warehouse.table("orders_by_method")
+    return _stored(warehouse, "orders_by_method")
 
 
 # -- cleaning ---------------------------------------------------------------------------------
@@ -388,6 +404,7 @@ def report_labels(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _new_warehouse(spark)
     _load(warehouse, raw_sales(spark, folder), "all")
     written = reports.write_report_marts(warehouse, new_folder(spark, "reports"), fmt="parquet")
+    warehouse.drop()
     return spark.read.parquet(written["by_category"])
 
 
@@ -401,7 +418,7 @@ def pipeline_run(spark: SparkSession, folder: str) -> DataFrame:
     write_csv(raw_sales(spark, folder), drop)
     warehouse = _new_warehouse(spark)
     run_pipeline(warehouse, drop)
-    return warehouse.table(TRANSACTIONS).select(*LOAD_COLUMNS)
+    return _stored(warehouse, TRANSACTIONS).select(*LOAD_COLUMNS)
 
 
 @_register
@@ -413,7 +430,7 @@ def incremental_run(spark: SparkSession, folder: str) -> DataFrame:
     for delivery in (_in_first_batch(), _in_second_batch()):
         write_csv(raw.where(delivery), drop, mode="append")
         run_incremental(warehouse, drop)
-    return warehouse.table(SUMMARY).drop("refreshed_at")
+    return _stored(warehouse, SUMMARY).drop("refreshed_at")
 
 
 @_register
@@ -427,7 +444,7 @@ def incremental_redelivery(spark: SparkSession, folder: str) -> DataFrame:
     write_csv(raw, drop, mode="overwrite")
     for _ in range(2):
         run_incremental(warehouse, drop)
-    return warehouse.table(TRANSACTIONS).select(*LOAD_COLUMNS)
+    return _stored(warehouse, TRANSACTIONS).select(*LOAD_COLUMNS)
 
 
 def _sheet(name: str) -> Query:
@@ -435,7 +452,9 @@ def _sheet(name: str) -> Query:
         """A report sheet as exported: loaded, reported, written and read back."""
         warehouse = _new_warehouse(spark)
         _load(warehouse, raw_sales(spark, folder), "all")
-        return spark.read.parquet(reports.write_report_marts(warehouse, new_folder(spark, "reports"), fmt="parquet")[name])
+        written = reports.write_report_marts(warehouse, new_folder(spark, "reports"), fmt="parquet")
+        warehouse.drop()
+        return spark.read.parquet(written[name])
 
     query.__name__ = f"report_sheet_{name}"
     return query

@@ -136,7 +136,7 @@ class Warehouse:
 
     def create_tables(self) -> None:
         """Create what is absent; data already in the folder is kept and its partitions are found."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
         for table, schema in TABLE_SCHEMAS.items():
             self.create_table(table, schema, TABLE_PARTITIONS[table])
 
@@ -163,7 +163,7 @@ class Warehouse:
         return _plain_path(rows.first()["data_type"])
 
     def drop(self) -> None:
-        """Forget the tables and the database; the files stay."""
+        """Forget the tables and the database.  The tables have paths of their own, so their files stay."""
         self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
         self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}_staging` CASCADE")
 
