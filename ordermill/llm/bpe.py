@@ -24,6 +24,7 @@ from ordermill.llm.token_counts import encoder, read_ranks
 
 # Matches any pre-token as a whole, so that the merges run within it and nowhere else.
 WHOLE = r"(?s:.+)"
+DECODED = 256  # documents decoded at once
 
 
 def token_bytes(path: str) -> list[bytes]:
@@ -83,20 +84,41 @@ def _reassemble(documents: pa.Table, coded: pa.Table) -> pa.Table:
     return pa.table([documents.column("doc_id"), lists], names=["doc_id", "ids"])
 
 
+def _code_blocks(docs: DataFrame, path: str, pattern: str, words: int, finish, schema: str) -> DataFrame:
+    def splitter():
+        import regex
+
+        return regex.compile(pattern).findall
+
+    documents, distinct = write_blocks(docs, splitter, words=words)
+    coded = send_back(distinct, _encode_part(path))
+    return documents.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(finish, schema)
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, words: int = WORDS) -> DataFrame:
     """doc_id and ids (array of int) of every whole text, as the rank file at ``path`` has it.
 
     ``words`` is the size of a block: smaller ones need less memory and send more.
     """
+    return _code_blocks(docs, path, pattern, words, _reassemble, "doc_id long, ids array<int>")
 
-    def splitter():
-        import regex
 
-        return regex.compile(pattern).findall
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, finish, schema: str, words: int = WORDS) -> DataFrame:
+    """Encodes every text and decodes its ids again where they are put together, so that ids travel once.
 
-    documents, distinct = write_blocks(docs, splitter, words=words)
-    coded = send_back(distinct, _encode_part(path))
-    return documents.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_reassemble, "doc_id long, ids array<int>")
+    ``finish(doc_ids, ids, bytes)`` makes the output rows of some documents, which have the given schema.
+    """
+    decode = decode_batches(path, finish)
+
+    def run(documents: pa.Table, coded: pa.Table) -> pa.Table:
+        batches = _reassemble(documents, coded).to_batches(max_chunksize=DECODED)
+        return pa.Table.from_batches(decode(iter(batches))) if batches else decode_nothing(finish)
+
+    return _code_blocks(docs, path, pattern, words, run, schema)
+
+
+def decode_nothing(finish) -> pa.Table:
+    return pa.Table.from_batches([finish(pa.array([], pa.int64()), [], [])])
 
 
 def decode_batches(path: str, finish):
@@ -105,8 +127,8 @@ def decode_batches(path: str, finish):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look_up = token_bytes(path).__getitem__
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, DECODED):
+                part = batch.slice(at, DECODED)
                 ids = part.column(1).to_pylist()
                 decoded = [None if each is None else b"".join(map(look_up, each)) for each in ids]
                 yield finish(part.column(0), ids, decoded)

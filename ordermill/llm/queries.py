@@ -10,13 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm.bpe import decode_batches, encode_documents
+from ordermill.llm.bpe import encode_and_decode
 from ordermill.llm.decontamination import contamination
 from ordermill.llm.jaccard_join import jaccard_classes
 from ordermill.llm.lm_score import score_documents
 from ordermill.llm.pii import KINDS, find_spans
 from ordermill.llm.pii import fit as fit_pii
 from ordermill.llm.quality import score_quality
+from ordermill.llm.shared import short_batches
 from ordermill.llm.sharding import shard_documents
 from ordermill.llm.substring_dedup import remove_repeats
 from ordermill.llm.token_counts import context_report, encoded_lengths, length_histogram
@@ -43,6 +44,7 @@ def all_oracles() -> dict[str, str]:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
@@ -68,7 +70,6 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op2_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of each document's ids and of the bytes they decode to."""
     path = public_tokenizers.path(RANKS)
-    encoded = encode_documents(_documents(spark, folder), path, public_tokenizers.PATTERN)
 
     numerals = list(map(str, range(60_000)))
 
@@ -83,7 +84,7 @@ def op2_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return encoded.mapInArrow(decode_batches(path, digests), schema)
+    return encode_and_decode(_documents(spark, folder), path, public_tokenizers.PATTERN, digests, schema)
 
 
 @_register

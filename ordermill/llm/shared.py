@@ -40,6 +40,14 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def short_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """At most ``rows`` rows to an Arrow batch of this session: texts are long, and a batch is held several times over."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(setting))
+    if not 0 < now <= rows:
+        spark.conf.set(setting, str(rows))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
