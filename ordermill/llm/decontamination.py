@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.blocks import pack, store_by_block, unpack
-from ordermill.llm.shared import doc_texts, each, stage, text_of
+from ordermill.llm.shared import doc_texts, each, stage, text_of, without_ids
 
 WINDOW = 13
 WORDS = 1_000_000  # per block
@@ -326,6 +326,5 @@ def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW
 
     Rows that share an id are one document here, and so are rows without one: they go if any of them must.
     """
-    bad = contamination(docs, items, window).where("contaminated").select(F.col("doc_id").alias("__left_out"))
-    bad = stage(bad.distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__left_out")), "left_anti")
+    bad = contamination(docs, items, window).where("contaminated").select("doc_id").distinct()
+    return without_ids(docs, stage(bad, "contaminated"))

@@ -62,6 +62,20 @@ def doc_texts(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
 
 
+SENT_ROWS = 1_000_000  # rows of a few numbers that may be sent to all tasks
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id, null included, is in ``ids`` (a written table of one column doc_id).
+
+    Up to SENT_ROWS ids are sent to the documents, so that texts do not move; more are joined by shuffle.
+    """
+    left_out = ids.select(F.col("doc_id").alias("__left_out"))
+    if left_out.count() <= SENT_ROWS:
+        left_out = F.broadcast(left_out)
+    return docs.join(left_out, docs["doc_id"].eqNullSafe(F.col("__left_out")), "left_anti")
+
+
 def each(column: pa.Array, rows: int = 128) -> Iterator:
     """The values of a column, few of them Python objects at a time."""
     for at in range(0, len(column), rows):
