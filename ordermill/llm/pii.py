@@ -12,7 +12,8 @@ of all documents are counted (tables of bounded size), unary weights are a softm
 and skip weights log odds of the pair counts.  Each node has at most three edges, so a document of any
 length costs time in proportion to its nodes.
 
-A token gets a label when its probability is at least ADD_FROM; matches of the patterns always stay.
+A token gets a label when its probability is at least ADD_FROM, in documents without any pattern match too;
+matches of the patterns always stay.
 
 Cases: a null or empty text has no spans; equal texts get equal spans; rows that share an id stay separate; an
 empty table gives an empty result; other columns are ignored; texts of any length are read whole, in
@@ -263,7 +264,7 @@ def spans_of(text: str | None, model: dict[str, np.ndarray]) -> list[tuple[str,
     found = [(start, kind, end, True) for start, kind, end in base]
     nodes = nodes_of(text, base)
     open_nodes = [i for i, node in enumerate(nodes) if node[2] == OTHER]
-    if base and open_nodes:
+    if open_nodes:
         edges = edges_of(text, nodes)
         features = np.stack([_one_hot(_shape(text[start:end])) for start, end, _ in nodes])
         unary = features @ model["unary"]

@@ -87,6 +87,17 @@ def test_repeats_in_other_spelling_are_added_and_clean_texts_left_alone(docs, as
     assert P.find_spans(docs(), P.fit(docs())).count() == 0
 
 
+def test_documents_without_a_match_are_judged_too(docs, as_dicts):
+    texts = corpus()
+    model = P.fit(docs(*texts))
+    odd = ["mail \u00fc@mail.example.com now", "mail \u00fc@mail.example.com now, from 10.20.30.40", "in 1999 and 2024, v22"]
+    assert [len(P.base_spans(text)) for text in odd] == [0, 1, 0]
+    got = as_dicts(P.find_spans(docs(*odd), model))
+    added = [[(s["kind"], s["start"], s["end"]) for s in got[i]["spans"] if not s["matched"]] for i in range(3)]
+    assert added == [[("email", 5, 23)], [("email", 5, 23)], []]
+    assert P.mask_documents(docs(odd[0]), model).first()["text"] == "mail [EMAIL] now"
+
+
 def test_masking(docs):
     frame = docs("mail a@b.c, ip 1.2.3.4", "none", None).withColumn("source", F.lit("s"))
     got = {r["doc_id"]: (r["text"], r["source"]) for r in P.mask_documents(frame, P.fit(frame)).collect()}
