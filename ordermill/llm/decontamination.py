@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.blocks import pack, store_by_block, unpack
-from ordermill.llm.shared import doc_texts, each, stage, text_of, without_ids
+from ordermill.llm.shared import doc_texts, each, row_key, stage, text_of, without_rows
 
 WINDOW = 13
 WORDS = 1_000_000  # per block
@@ -322,9 +322,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with all its columns, without contaminated documents.
-
-    Rows that share an id are one document here, and so are rows without one: they go if any of them must.
-    """
-    bad = contamination(docs, items, window).where("contaminated").select("doc_id").distinct()
-    return without_ids(docs, stage(bad, "contaminated"))
+    """``docs`` with all its columns, without contaminated rows: those that share an id, or have none, are judged one by one."""
+    keyed = docs.select(row_key(docs).alias("doc_id"), "text")
+    bad = contamination(keyed, items, window).where("contaminated").select("doc_id").distinct()
+    return without_rows(docs, stage(bad, "contaminated"))

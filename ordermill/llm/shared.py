@@ -76,6 +76,22 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(left_out, docs["doc_id"].eqNullSafe(F.col("__left_out")), "left_anti")
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A 64-bit hash of a row's doc_id and text: rows of one key are copies under one id, or under none."""
+    return F.xxhash64(docs["doc_id"].cast("long"), text_of(docs))
+
+
+def without_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose row_key is in ``keys`` (a written table of one column).
+
+    Up to SENT_ROWS keys are sent to the documents, so that texts do not move; more are joined by shuffle.
+    """
+    left_out = keys.toDF("__left_out")
+    if left_out.count() <= SENT_ROWS:
+        left_out = F.broadcast(left_out)
+    return docs.join(left_out, row_key(docs) == F.col("__left_out"), "left_anti")
+
+
 def each(column: pa.Array, rows: int = 128) -> Iterator:
     """The values of a column, few of them Python objects at a time."""
     for at in range(0, len(column), rows):

@@ -79,3 +79,12 @@ def test_proximity(spark, docs):
     assert got == {(0, "1", 0, 4), (1, "1", 5, 7), (3, "2", 0, 1)}
     whole = D.build_index(docs("any term is there"))
     assert whole.where("term is not null").count() == 4
+
+
+def test_rows_of_one_id_or_none_go_one_by_one(docs):
+    item = " ".join(f"w{i}" for i in range(40))
+    items = docs(item).withColumnRenamed("doc_id", "item_id")
+    bad, good = "x " + item, "y " * 30
+    frame = docs((None, bad), (None, good), (None, None), (7, bad), (7, good), (7, bad), (8, "z " * 30), (9, bad)).repartition(3)
+    left = D.without_contaminated(frame, items).collect()
+    assert sorted(left, key=str) == sorted([(None, good), (None, None), (7, good), (8, "z " * 30)], key=str)
