@@ -65,17 +65,6 @@ def doc_texts(docs: DataFrame) -> DataFrame:
 SENT_ROWS = 1_000_000  # rows of a few numbers that may be sent to all tasks
 
 
-def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id, null included, is in ``ids`` (a written table of one column doc_id).
-
-    Up to SENT_ROWS ids are sent to the documents, so that texts do not move; more are joined by shuffle.
-    """
-    left_out = ids.select(F.col("doc_id").alias("__left_out"))
-    if left_out.count() <= SENT_ROWS:
-        left_out = F.broadcast(left_out)
-    return docs.join(left_out, docs["doc_id"].eqNullSafe(F.col("__left_out")), "left_anti")
-
-
 def row_key(docs: DataFrame) -> Column:
     """A 64-bit hash of a row's doc_id and text: rows of one key are copies under one id, or under none."""
     return F.xxhash64(docs["doc_id"].cast("long"), text_of(docs))
