@@ -10,8 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.llm import oracles
 from ordermill.llm.bpe import encode_and_decode
 from ordermill.llm.decontamination import contamination
+from ordermill.llm.hard_negatives import hard_negatives
 from ordermill.llm.jaccard_join import jaccard_classes
 from ordermill.llm.lm_score import score_documents
 from ordermill.llm.pii import KINDS, find_spans
@@ -39,8 +41,8 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_oracles() -> dict[str, str]:
-    """None of these operators can be said in SQL as a whole; tests/llm holds them against plain versions."""
-    return {}
+    """The queries that SQL can say as a whole; tests/llm holds the others against plain versions."""
+    return oracles.all_oracles()
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,3 +142,13 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Base and model log10 probability of every document, learnt from the training folds."""
     return score_documents(_documents(spark, folder))
+
+
+@_register
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of the rows whose id is divisible by 100, some labels moved on by one first."""
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    label = F.col("label").cast("long")
+    moved = F.when(F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False)), (label + 1) % 10).otherwise(label)
+    vectors = rows.select("vec_id", moved.alias("label"), (F.col("vec_id") % 100 == 0).alias("anchor"), F.col("embedding").alias("vector"))
+    return hard_negatives(vectors)

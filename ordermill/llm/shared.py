@@ -81,6 +81,31 @@ def without_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return docs.join(left_out, row_key(docs) == F.col("__left_out"), "left_anti")
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that ``df`` does not have yet, whatever the case of its own."""
+    taken = {name.lower() for name in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def to_bytes(**columns) -> bytes:
+    """Columns of one length as one compressed string."""
+    batch = pa.record_batch([pa.array(values) if not isinstance(values, pa.Array) else values for values in columns.values()], list(columns))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def from_bytes(data: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data).read_next_batch()
+
+
 def each(column: pa.Array, rows: int = 128) -> Iterator:
     """The values of a column, few of them Python objects at a time."""
     for at in range(0, len(column), rows):
