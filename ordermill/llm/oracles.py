@@ -30,6 +30,50 @@ WITH usable AS (
 SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
 """
 
+_PHRASE_COLLOCATIONS = """
+WITH texts AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), pieces AS (
+    SELECT row_number() OVER () AS piece, lang, list_filter(string_split_regex(part, '[ \\t]+'), lambda w: w <> '') AS words
+    FROM (SELECT doc, lang, unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')) AS part FROM texts)
+), totals AS (
+    SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang
+), counts AS (
+    SELECT lang, len(phrase) AS size, phrase, count(*) AS f
+    FROM (
+        SELECT lang, unnest(flatten(list_transform([1, 2, 3], lambda m:
+            list_transform(range(1, len(words) - m + 2), lambda i: words[i : i + m - 1])))) AS phrase
+        FROM pieces
+    )
+    GROUP BY ALL HAVING count(*) >= 10
+), cuts AS (
+    SELECT c.lang, c.size, c.phrase, c.f AS a, k.k, x.f AS l, y.f AS r,
+           (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+    FROM counts c
+    JOIN (SELECT unnest([1, 2]) AS k) k ON k.k < c.size
+    JOIN counts x ON x.lang = c.lang AND x.phrase = c.phrase[1 : k.k]
+    JOIN counts y ON y.lang = c.lang AND y.phrase = c.phrase[k.k + 1 :]
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, part, max(a) AS most
+    FROM (
+        SELECT lang, phrase[1 : 2] AS part, a FROM lowest WHERE size = 3
+        UNION ALL SELECT lang, phrase[2 : 3], a FROM lowest WHERE size = 3
+    )
+    GROUP BY ALL
+), ranked AS (
+    SELECT w.lang, array_to_string(w.phrase, ' ') AS phrase, a, l, r, t.n, score
+    FROM lowest w JOIN totals t USING (lang) LEFT JOIN inside i ON i.lang = w.lang AND i.part = w.phrase
+    WHERE i.most IS NULL OR 100 * i.most < 50 * w.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked QUALIFY rank <= 2000
+"""
+
 
 def all_oracles() -> dict[str, str]:
-    return {"op12_hard_negatives": _HARD_NEGATIVES}
+    return {"op12_hard_negatives": _HARD_NEGATIVES, "op13_phrase_collocations": _PHRASE_COLLOCATIONS}

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from ordermill.llm import oracles
 from ordermill.llm.bpe import encode_and_decode
+from ordermill.llm.collocations import collocations
 from ordermill.llm.decontamination import contamination
 from ordermill.llm.hard_negatives import hard_negatives
 from ordermill.llm.jaccard_join import jaccard_classes
 from ordermill.llm.lm_score import score_documents
+from ordermill.llm.packing import cut_documents, pack
 from ordermill.llm.pii import KINDS, find_spans
 from ordermill.llm.pii import fit as fit_pii
 from ordermill.llm.quality import score_quality
@@ -152,3 +154,15 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     moved = F.when(F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False)), (label + 1) % 10).otherwise(label)
     vectors = rows.select("vec_id", moved.alias("label"), (F.col("vec_id") % 100 == 0).alias("anchor"), F.col("embedding").alias("vector"))
     return hard_negatives(vectors)
+
+
+@_register
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences of at most 1,024 tokens."""
+    return pack(cut_documents(_documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN))
+
+
+@_register
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 best phrases of two or three words of each language."""
+    return collocations(_documents(spark, folder))
