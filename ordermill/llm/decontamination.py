@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.blocks import pack, store_by_block, unpack
-from ordermill.llm.shared import doc_texts, each, row_key, stage, text_of, without_rows
+from ordermill.llm.shared import each, row_keys, stage, text_of, without_rows
 
 WINDOW = 13
 WORDS = 1_000_000  # per block
@@ -45,7 +45,7 @@ _WORD_BYTES = bytes(
     for b in range(256)
 )
 
-INDEX_SCHEMA = "block long, term binary, positions binary, ord int, doc_id long, start long, n_words long"
+INDEX_SCHEMA = "block long, term binary, positions binary, ord int, doc_id long, mark long, start long, n_words long"
 _INDEX = pa.schema(
     [
         ("block", pa.int64()),
@@ -53,6 +53,7 @@ _INDEX = pa.schema(
         ("positions", pa.binary()),
         ("ord", pa.int32()),
         ("doc_id", pa.int64()),
+        ("mark", pa.int64()),
         ("start", pa.int64()),
         ("n_words", pa.int64()),
     ]
@@ -73,11 +74,11 @@ class _Postings:
         self.terms: list[np.ndarray] = []
         self.places: list[np.ndarray] = []
 
-    def add(self, doc_id: int | None, numbers: np.ndarray) -> None:
+    def add(self, doc_id: int | None, mark: int | None, numbers: np.ndarray) -> None:
         known = np.flatnonzero(numbers >= 0)
         self.terms.append(numbers[known])
         self.places.append(known + self.next)
-        self.documents.append((len(self.documents), doc_id, self.next, len(numbers)))
+        self.documents.append((len(self.documents), doc_id, mark, self.next, len(numbers)))
         self.next += len(numbers) + GAP
 
     def _batch(self, rows: int, **columns) -> pa.RecordBatch:
@@ -88,7 +89,7 @@ class _Postings:
         if not self.documents:
             return
         of_doc = [pa.array(column, f.type) for column, f in zip(zip(*self.documents), list(_INDEX)[3:])]
-        yield self._batch(len(self.documents), **dict(zip(("ord", "doc_id", "start", "n_words"), of_doc)))
+        yield self._batch(len(self.documents), **dict(zip(("ord", "doc_id", "mark", "start", "n_words"), of_doc)))
         terms, places = np.concatenate(self.terms), np.concatenate(self.places)
         order = np.argsort(terms, kind="stable")
         terms, places = terms[order], places[order]
@@ -98,8 +99,11 @@ class _Postings:
         yield self._batch(len(found), term=pa.array(found, pa.binary()), positions=pa.array(lists, pa.binary()))
 
 
-def build_index(docs: DataFrame, items: DataFrame | None = None, words: int = WORDS) -> DataFrame:
-    """The stored index of ``docs``; with ``items``, of their terms only where these are few enough."""
+def build_index(docs: DataFrame, items: DataFrame | None = None, words: int = WORDS, mark: Column | None = None) -> DataFrame:
+    """The stored index of ``docs``; with ``items``, of their terms only where these are few enough.
+
+    ``mark`` is a number kept beside each document's id.
+    """
     vocabulary = _vocabulary(items) if items is not None else None
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +121,7 @@ def build_index(docs: DataFrame, items: DataFrame | None = None, words: int = WO
 
         current = _Postings(TaskContext.get().partitionId() << 32)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), each(batch.column(1))):
+            for doc_id, mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), each(batch.column(2))):
                 found = words_of(text)
                 if current.documents and current.next + len(found) > words:
                     yield from current.batches(names)
@@ -125,10 +129,12 @@ def build_index(docs: DataFrame, items: DataFrame | None = None, words: int = WO
                     if vocabulary is None:
                         known.clear()
                         names.clear()
-                current.add(doc_id, number(found))
+                current.add(doc_id, mark, number(found))
         yield from current.batches(names)
 
-    return store_by_block(doc_texts(docs).mapInArrow(build, INDEX_SCHEMA), "index")
+    mark = F.lit(None) if mark is None else mark
+    rows = docs.select(docs["doc_id"].cast("long"), mark.cast("long").alias("mark"), text_of(docs).alias("text"))
+    return store_by_block(rows.mapInArrow(build, INDEX_SCHEMA), "index")
 
 
 def _item_texts(items: DataFrame) -> DataFrame:
@@ -300,20 +306,20 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(F.sort_array(spans), zero, step, lambda state: state["n"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, items (names, sorted as strings) and contaminated, for every document row."""
-    index = build_index(docs, items)
+def _judged(index: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """doc_id, mark, n_words, n_hit, items and contaminated of every document of an index."""
     matches = phrase_matches(index, items, window)
     hits = matches.groupBy("block", "ord").agg(
         F.sort_array(F.collect_set("item")).alias("items"),
         F.collect_list(F.struct("start", "end")).alias("spans"),
     )
     counted = hits.select("block", "ord", "items", _covered(F.col("spans")).alias("n_hit"))
-    every = index.where(F.col("start").isNotNull()).select("block", "ord", "doc_id", "n_words")
+    every = index.where(F.col("start").isNotNull()).select("block", "ord", "doc_id", "mark", "n_words")
     joined = every.join(counted, ["block", "ord"], "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return joined.select(
         "doc_id",
+        "mark",
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -321,8 +327,15 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     )
 
 
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_hit, items (names, sorted as strings) and contaminated, for every document row."""
+    return _judged(build_index(docs, items), items, window).drop("mark")
+
+
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with all its columns, without contaminated rows: those that share an id, or have none, are judged one by one."""
-    keyed = docs.select(row_key(docs).alias("doc_id"), "text")
-    bad = contamination(keyed, items, window).where("contaminated").select("doc_id").distinct()
+    first, second = row_keys(docs)
+    keyed = docs.select(first.alias("doc_id"), second.alias("mark"), docs["text"])
+    judged = _judged(build_index(keyed, items, mark=F.col("mark")), items, window)
+    bad = judged.where("contaminated").select("doc_id", "mark").distinct()
     return without_rows(docs, stage(bad, "contaminated"))

@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,8 +29,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_new_paths: list[str] = []
+
+
 def new_path(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _new_paths.append(path)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Removes a folder that ``new_path`` named, in whatever store it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What operators stage inside the block is removed at its end, so write results before it ends."""
+    before = len(_new_paths)
+    try:
+        yield
+    finally:
+        while len(_new_paths) > before:
+            drop_path(spark, _new_paths.pop())
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
@@ -65,20 +88,28 @@ def doc_texts(docs: DataFrame) -> DataFrame:
 SENT_ROWS = 1_000_000  # rows of a few numbers that may be sent to all tasks
 
 
-def row_key(docs: DataFrame) -> Column:
-    """A 64-bit hash of a row's doc_id and text: rows of one key are copies under one id, or under none."""
-    return F.xxhash64(docs["doc_id"].cast("long"), text_of(docs))
+def row_keys(docs: DataFrame) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row's doc_id and text: rows that agree in both are copies under one id, or under none."""
+    doc_id, text = docs["doc_id"].cast("long"), text_of(docs)
+    return F.xxhash64(doc_id, text), F.xxhash64(F.lit("second"), doc_id, text)
+
+
+def same_row(docs: DataFrame, node: str, second: str) -> Column:
+    """Whether a row of ``docs`` is the one that a node (its first hash, or its second) and the second hash name."""
+    one, other = row_keys(docs)
+    return (other == F.col(second)) & ((one == F.col(node)) | (other == F.col(node)))
 
 
 def without_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose row_key is in ``keys`` (a written table of one column).
+    """``docs`` without the rows that ``keys`` (a written table of two columns, see ``same_row``) name.
 
     Up to SENT_ROWS keys are sent to the documents, so that texts do not move; more are joined by shuffle.
     """
-    left_out = keys.toDF("__left_out")
+    names = free_names(docs, "left_out", "left_out_too")
+    left_out = keys.toDF(*names)
     if left_out.count() <= SENT_ROWS:
         left_out = F.broadcast(left_out)
-    return docs.join(left_out, row_key(docs) == F.col("__left_out"), "left_anti")
+    return docs.join(left_out, same_row(docs, *names), "left_anti")
 
 
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
