@@ -44,8 +44,8 @@ MAX_WORDS = 3
 CONTAINED = (50, 100)  # share of a phrase's occurrences inside a longer one from which it is dropped
 TOP = 2_000
 MILLION = 1_000_000
-BLOCK = 2_000_000  # words
-PART = 1_000_000  # entries of phrase lists that meet in one part
+BLOCK = 500_000  # words
+PART = 500_000  # entries of phrase lists that meet in one part
 
 # Letters A-Z become small; what ends a piece becomes a line feed.  What is left of blanks separates words.
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
