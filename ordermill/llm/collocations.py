@@ -7,7 +7,7 @@ block.  One round for a length:
 1. Group-count: each block lists its distinct phrases with their counts; the lists meet in parts by a hash of the
    phrase and are summed.  Phrases met ``least`` times or more are frequent and get a number.  The number of
    parts follows from the counted size of the lists.
-2. Semi-join: each block gets back which of its phrases are frequent.
+2. Semi-join: each block gets back the numbers of its frequent phrases.
 3. Merge-join: occurrences left that stand at neighbouring places of one piece are one occurrence of length m + 1.
    Both sides lie in the block in that order, so the join is one pass along it and texts do not move.
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ordermill.llm.blocks import pack, store_by_block, unpack
-from ordermill.llm.shared import each, from_bytes, partitions, stage, text_of, to_bytes
+from ordermill.llm.shared import by_part, each, pack_columns, partitions, stage, text_of, unpack_columns
 
 LEAST = 10  # occurrences of a phrase
 MAX_WORDS = 3
@@ -54,10 +54,11 @@ _BETWEEN = b"\xff"  # between a language and a word: no byte of UTF-8
 
 _BLOCKS = "block long, n long, relation binary, phrases binary"
 _SPLIT = "block long, part long, phrases binary"
-_COUNTED = "block long, answer binary, id long, first long, second long, word string, lang string, n long, total long"
+_COUNTED = "block long, part long, answer binary, id long, first long, second long, word string, lang string, n long, total long"
 _COUNTED_ARROW = pa.schema(
     [
         ("block", pa.int64()),
+        ("part", pa.int64()),
         ("answer", pa.binary()),
         ("id", pa.int64()),
         ("first", pa.int64()),
@@ -107,18 +108,25 @@ class _Block:
         self.runs.append((lang, np.array(places, np.int32)))
 
     def row(self) -> pa.RecordBatch:
-        """Words of all languages numbered on, with their counts."""
-        starts, start, keys = {}, 0, []
+        """Words of all languages in order, numbered so, with their counts."""
+        starts, keys = {}, []
         for lang, words in self.words.items():
-            starts[lang] = start
-            start += len(words)
+            starts[lang] = len(keys)
             head = lang.encode() + _BETWEEN
             keys += [head + word for word in words]
-        places = np.concatenate([np.where(run > 0, run + starts[lang], 0) for lang, run in self.runs])
+        order = sorted(range(len(keys)), key=keys.__getitem__)
+        number = np.zeros(len(keys) + 1, np.int32)
+        number[np.array(order, np.int64) + 1] = np.arange(1, len(keys) + 1)
+        places = number[np.concatenate([np.where(run > 0, run + starts[lang], 0) for lang, run in self.runs])]
         counts = np.bincount(places, minlength=len(keys) + 1)[1:]
-        phrases = to_bytes(key=pa.array(keys, pa.binary()), n=pa.array(counts.astype(np.int64)))
-        columns = [[self.number], [len(keys)], [pack(places)], [phrases]]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["block", "n", "relation", "phrases"])
+        keys = [keys[i] for i in order]
+        return _block_row(self.number, places, _listed_words(keys, counts), len(keys))
+
+
+def _block_row(number: int, relation: np.ndarray | None, phrases: bytes, n: int) -> pa.RecordBatch:
+    row = [[number], [n], [None if relation is None else pack(relation)], [phrases]]
+    types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], ["block", "n", "relation", "phrases"])
 
 
 def _write_words(docs: DataFrame, words: int) -> DataFrame:
@@ -146,6 +154,28 @@ def _write_words(docs: DataFrame, words: int) -> DataFrame:
 
 # -- group-count ---------------------------------------------------------------------------------
 
+# A list of words holds their lengths, counts and bytes, in order; one of longer phrases their first and second ids and
+# counts, in order.  Parts get and answer them in that order, so that no numbers need to travel with them.
+
+
+def _listed_words(keys: list[bytes], counts: np.ndarray) -> bytes:
+    return pack_columns(np.fromiter(map(len, keys), np.int64, len(keys)), counts, data=b"".join(keys))
+
+
+def _listed_pairs(first: np.ndarray, second: np.ndarray, counts: np.ndarray) -> bytes:
+    return pack_columns(np.diff(first, prepend=0), second, counts)
+
+
+def _words_of(payload: bytes) -> tuple[pa.Array, np.ndarray]:
+    (lengths, counts), data = unpack_columns(payload, 2)
+    offsets = np.append(0, np.cumsum(lengths)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)]), counts
+
+
+def _pairs_of(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    (steps, second, counts), _ = unpack_columns(payload, 3)
+    return np.cumsum(steps), second, counts
+
 
 def _mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     h = first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.astype(np.uint64)
@@ -153,40 +183,39 @@ def _mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _split_lists(blocks: DataFrame, parts: int) -> DataFrame:
-    """The phrases of each block dealt to parts by hash, each with its number in the block."""
+def _split(payload: bytes, words: bool, parts: int, lists: bool = True) -> Iterator[tuple[int, np.ndarray, bytes]]:
+    """For each part that a block's list has phrases of: its number, their places in the list, and their own list."""
+    if words:
+        keys, counts = _words_of(payload)
+        keys = keys.to_pylist()
+        part = np.fromiter(map(zlib.crc32, keys), np.int64, len(keys)) % parts
+        listed = lambda some: _listed_words([keys[i] for i in some.tolist()], counts[some])
+    else:
+        first, second, counts = _pairs_of(payload)
+        part = (_mixed(first, second) % np.uint64(parts)).astype(np.int64)
+        listed = lambda some: _listed_pairs(first[some], second[some], counts[some])
+    for number, some in by_part(part):
+        yield number, some, listed(some) if lists else b""
+
 
+def _split_lists(blocks: DataFrame, words: bool, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                phrases = from_bytes(data)
-                if "key" in phrases.schema.names:
-                    hashes = np.fromiter(map(zlib.crc32, phrases.column("key").to_pylist()), np.int64, phrases.num_rows)
-                    part = hashes % parts
-                else:
-                    part = (_mixed(phrases.column("first").to_numpy(), phrases.column("second").to_numpy()) % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                first = np.flatnonzero(np.diff(part[order], prepend=-1))
-                numbers, out = [], []
-                for some in np.split(order, first[1:]) if len(order) else []:
-                    chosen = phrases.take(pa.array(some))
-                    out.append(to_bytes(number=pa.array(some.astype(np.int32)), **dict(zip(chosen.schema.names, chosen.columns))))
-                    numbers.append(int(part[some[0]]))
-                columns = [pa.array([block] * len(out), pa.int64()), pa.array(numbers, pa.int64()), pa.array(out, pa.binary())]
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = [(number, own) for number, _, own in _split(data.as_py(), words, parts)]
+                numbers, lists = zip(*found) if found else ((), ())
+                columns = [pa.array([block] * len(found), pa.int64()), pa.array(numbers, pa.int64()), pa.array(lists, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["block", "part", "phrases"])
 
     return blocks.select("block", "phrases").mapInArrow(run, _SPLIT)
 
 
-def _answers(table: pa.Table, lists: list[pa.RecordBatch], ids: np.ndarray) -> pa.Table:
-    """For each block of a part the numbers there of its frequent phrases, and their ids (0: not frequent)."""
-    out, at = [], 0
-    for some in lists:
-        own = ids[at : at + some.num_rows]
-        at += some.num_rows
-        kept = np.flatnonzero(own)
-        out.append(to_bytes(number=some.column("number").take(pa.array(kept)), id=pa.array(own[kept])))
-    return _counted(len(out), block=table.column("block").combine_chunks(), answer=pa.array(out, pa.binary()))
+def _answers(table: pa.Table, sizes: list[int], ids: np.ndarray) -> pa.Table:
+    """For each block of a part the ids of its phrases there, 0 for those not frequent."""
+    ends = np.cumsum([0, *sizes])
+    out = [pack_columns(ids[a:b]) for a, b in zip(ends, ends[1:])]
+    part = pa.array([table.column("part")[0].as_py()] * len(out), pa.int64())
+    return _counted(len(out), block=table.column("block").combine_chunks(), part=part, answer=pa.array(out, pa.binary()))
 
 
 def _numbered(totals: np.ndarray, least: int, part: int, parts: int) -> np.ndarray:
@@ -198,9 +227,9 @@ def _numbered(totals: np.ndarray, least: int, part: int, parts: int) -> np.ndarr
 def _count_words(least: int, parts: int):
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        lists = [from_bytes(data) for data in table.column("phrases").to_pylist()]
-        keys = pa.chunked_array([some.column("key") for some in lists]).combine_chunks().dictionary_encode()
-        where, counts = keys.indices.to_numpy(), np.concatenate([some.column("n").to_numpy() for some in lists])
+        lists = [_words_of(data) for data in table.column("phrases").to_pylist()]
+        keys = pa.concat_arrays([own for own, _ in lists]).dictionary_encode()
+        where, counts = keys.indices.to_numpy(), np.concatenate([n for _, n in lists])
         totals = np.zeros(len(keys.dictionary), np.int64)
         np.add.at(totals, where, counts)
         ids = _numbered(totals, least, part, parts)
@@ -215,7 +244,7 @@ def _count_words(least: int, parts: int):
             "n": pa.array(totals[kept]),
         }
         all_words = _counted(len(sums), lang=langs.dictionary, total=pa.array(sums))
-        return pa.concat_tables([_answers(table, lists, ids[where]), _counted(len(kept), **frequent), all_words])
+        return pa.concat_tables([_answers(table, [len(own) for own, _ in lists], ids[where]), _counted(len(kept), **frequent), all_words])
 
     return run
 
@@ -223,8 +252,8 @@ def _count_words(least: int, parts: int):
 def _count_pairs(least: int, parts: int, last: bool):
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        lists = [from_bytes(data) for data in table.column("phrases").to_pylist()]
-        first, second, counts = (np.concatenate([some.column(c).to_numpy() for some in lists]) for c in ("first", "second", "n"))
+        lists = [_pairs_of(data) for data in table.column("phrases").to_pylist()]
+        first, second, counts = map(np.concatenate, zip(*lists))
         order = np.lexsort((second, first))
         a, b = first[order], second[order]
         start = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
@@ -237,52 +266,54 @@ def _count_pairs(least: int, parts: int, last: bool):
             return found
         own = np.empty(len(order), np.int64)
         own[order] = np.repeat(ids, np.diff(np.append(start, len(order))))
-        return pa.concat_tables([_answers(table, lists, own), found])
+        return pa.concat_tables([_answers(table, [len(n) for _, _, n in lists], own), found])
 
     return run
 
 
-def _group_count(blocks: DataFrame, words: int, least: int, part_size: int, last: bool) -> DataFrame:
+def _group_count(blocks: DataFrame, words: int, least: int, part_size: int, last: bool) -> tuple[DataFrame, int]:
+    """Answers and frequent phrases of a length, and the number of parts."""
     entries = blocks.agg(F.sum("n")).first()[0] or 0
     parts = max(partitions(blocks.sparkSession), math.ceil(entries / part_size))
     run = _count_words(least, parts) if words == 1 else _count_pairs(least, parts, last)
-    counted = _split_lists(blocks, parts).groupBy("part").applyInArrow(run, _COUNTED)
-    return stage(counted, f"frequent{words}")
+    counted = _split_lists(blocks, words == 1, parts).groupBy("part").applyInArrow(run, _COUNTED)
+    return stage(counted, f"frequent{words}"), parts
 
 
 # -- merge-join ----------------------------------------------------------------------------------
 
 
 def join_neighbours(relation: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The next relation, and its distinct phrases as pairs of ids with their counts.
+    """The next relation, and its distinct phrases as pairs of ids, in order, with their counts.
 
     ``relation`` has a phrase's number (from 1 on) where it starts, 0 elsewhere; ``ids`` the id of each number, 0
     where it is not frequent.  Two phrases join where one starts a place after the other.
     """
     kept = np.where(ids[relation] > 0, relation, 0)
     both = np.flatnonzero((kept[:-1] > 0) & (kept[1:] > 0))
-    codes = kept[both].astype(np.int64) * len(ids) + kept[both + 1]
-    pairs, number, counts = np.unique(codes, return_inverse=True, return_counts=True)
+    order = np.argsort(ids, kind="stable")
+    rank = np.empty(len(ids), np.int64)
+    rank[order] = np.arange(len(ids))
+    pairs, number, counts = np.unique(rank[kept[both]] * len(ids) + rank[kept[both + 1]], return_inverse=True, return_counts=True)
     longer = np.zeros(len(relation), np.int32)
     longer[both] = number + 1
-    return longer, ids[pairs // len(ids)], ids[pairs % len(ids)], counts
+    return longer, ids[order[pairs // len(ids)]], ids[order[pairs % len(ids)]], counts
+
 
+def _extend(blocks: DataFrame, counted: DataFrame, words: bool, parts: int, last: bool, purpose: str) -> DataFrame:
+    """Blocks of the next length; the relation of the ``last`` one is not kept."""
 
-def _extend(blocks: DataFrame, counted: DataFrame, purpose: str) -> DataFrame:
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         number, relation = block.column("block")[0].as_py(), unpack(block.column("relation")[0].as_py())
         ids = np.zeros(block.column("n")[0].as_py() + 1, np.int64)
-        for data in answers.column("answer").to_pylist():
-            answer = from_bytes(data)
-            ids[answer.column("number").to_numpy() + 1] = answer.column("id").to_numpy()
+        given = dict(zip(answers.column("part").to_pylist(), answers.column("answer").to_pylist()))
+        for part, some, _ in _split(block.column("phrases")[0].as_py(), words, parts, lists=False):
+            ids[some + 1] = unpack_columns(given[part], 1)[0][0]
         longer, first, second, counts = join_neighbours(relation, ids)
-        phrases = to_bytes(first=pa.array(first), second=pa.array(second), n=pa.array(counts.astype(np.int64)))
-        row = [[number], [len(counts)], [pack(longer)], [phrases]]
-        types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        return pa.table([pa.array(v, t) for v, t in zip(row, types)], ["block", "n", "relation", "phrases"])
+        return pa.Table.from_batches([_block_row(number, None if last else longer, _listed_pairs(first, second, counts), len(counts))])
 
-    left = blocks.select("block", "n", "relation").groupBy("block")
-    right = counted.where(F.col("answer").isNotNull()).select("block", "answer").groupBy("block")
+    left = blocks.groupBy("block")
+    right = counted.where(F.col("answer").isNotNull()).select("block", "part", "answer").groupBy("block")
     return store_by_block(left.cogroup(right).applyInArrow(run, _BLOCKS), purpose)
 
 
@@ -355,7 +386,7 @@ def collocations(
     cut), n (all words of the language) and score, floor(1000000 a a / (l r)).
     """
     blocks = _write_words(docs, block_words)
-    counted = _group_count(blocks, 1, least, part_size, False)
+    counted, parts = _group_count(blocks, 1, least, part_size, False)
     words = counted.where(F.col("word").isNotNull()).select("id", "lang", "word", "n")
     totals = counted.where(F.col("total").isNotNull()).groupBy("lang").agg(F.sum("total").alias("n"))
 
@@ -363,8 +394,8 @@ def collocations(
     known = words.select("id", "lang", F.array("id").alias("word_ids"), one.alias("heads"), one.alias("tails"), "n")
     lengths, pairs = [], []
     for m in range(2, max_words + 1):
-        blocks = _extend(blocks, counted, f"phrases{m}")
-        counted = _group_count(blocks, m, least, part_size, m == max_words)
+        blocks = _extend(blocks, counted, m == 2, parts, m == max_words, f"phrases{m}")
+        counted, parts = _group_count(blocks, m, least, part_size, m == max_words)
         pairs.append(counted.where(F.col("first").isNotNull()).select("id", "first", "second", "n"))
         known = stage(_joined(pairs[-1], known), f"known{m}")
         lengths.append(known)

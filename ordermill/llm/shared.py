@@ -9,7 +9,10 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,6 +140,44 @@ def from_bytes(data: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(data).read_next_batch()
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, kept for the words seen last."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        self[word] = value = xxhash.xxh64_intdigest(word)
+        return value
+
+
+_COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
+def pack_columns(*columns: np.ndarray, data: bytes = b"") -> bytes:
+    """Columns of 64-bit numbers of one length, and bytes, as one compressed string: all low bytes first, so that the
+    high ones compress away."""
+    size = len(columns[0])
+    planes = np.concatenate([np.asarray(c).astype(np.int64) for c in columns]).view(np.uint8).reshape(-1, 8).T
+    return _COMPRESSOR.compress(size.to_bytes(8, "little") + planes.tobytes() + data)
+
+
+def unpack_columns(payload: bytes, columns: int) -> tuple[np.ndarray, bytes]:
+    raw = _DECOMPRESSOR.decompress(payload)
+    size = int.from_bytes(raw[:8], "little")
+    end = 8 + 8 * size * columns
+    planes = np.frombuffer(raw, np.uint8, 8 * size * columns, 8).reshape(8, -1).T
+    return np.ascontiguousarray(planes).view(np.int64).reshape(columns, size), raw[end:]
+
+
+def by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part's number and the places that have it, in rising order."""
+    if len(part):
+        order = np.argsort(part, kind="stable")
+        first = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1]))
+        for some in np.split(order, first[1:]):
+            yield int(part[some[0]]), some
+
+
 def each(column: pa.Array, rows: int = 128) -> Iterator:
     """The values of a column, few of them Python objects at a time."""
     for at in range(0, len(column), rows):

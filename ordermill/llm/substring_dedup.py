@@ -4,17 +4,19 @@ Super-k-mer partitioning: a window's minimiser is the smallest hash among its ru
 have equal minimisers.  Consecutive windows that share one travel as one packed string to the part their
 minimiser falls to, where sorting finds each window's first occurrence exactly, on the words themselves.
 
-1. Texts are stored once in blocks, bucketed by block, with the distinct minimisers of each block and their
-   counts.  The counts meet by part; a minimiser met once in the whole corpus cannot have a repeated window,
-   and its windows go no further.
+1. Texts are stored once in blocks, bucketed by block, with the starts, sizes and minimisers of each block's
+   super-k-mers, so words are hashed once.  The block's distinct minimisers meet by part and are counted; one met
+   once in the whole corpus cannot have a repeated window, and its windows go no further.
 2. Each block sends its distinct super-k-mers of shared minimisers, each with its earliest place in the block: copies
    inside a block are one string.  The windows of a minimiser met more than HOT times (a passage that
    many documents hold, with their own words around it) go one by one to the part of their own hash instead,
    so that no part gets all of them.
-3. A part sorts the windows of each minimiser and sends back one bit per window: whether this place is the
-   first of all.  The block marks all other places and drops the words they cover.
+3. A part takes the strings of each minimiser.  Equal ones have their first place in common; where several different
+   ones meet, or one may hold a window twice, their windows are sorted.  One bit per window goes back: whether this
+   place is the first of all.  The block marks all other places and drops the words they cover.
 
-Texts never leave their block; only packed strings and bits do.  "Earlier" is by doc_id, then position.
+The number of parts follows from the counted super-k-mers.  Texts never leave their block; only packed strings and
+bits do.  "Earlier" is by doc_id, then position.
 
 Cases: a null text has no words; texts shorter than a window keep all; rows that share a doc_id come in the
 order in which they were stored, rows without one after all others; an empty table gives an empty result; other
@@ -23,6 +25,7 @@ columns are ignored; texts of any length are read whole.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,41 +38,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.blocks import store_by_block
-from ordermill.llm.shared import doc_texts, each, partitions
+from ordermill.llm.shared import WordHashes, by_part, doc_texts, each, pack_columns, partitions, unpack_columns
 
 WINDOW = 20
 GRAM = 5
 HOT = 5_000
 WORDS = 1_500_000  # per block
 LONGEST = 256  # windows in one super-k-mer
+PART = 2_000_000  # super-k-mers whose minimisers meet in one part, about
 NO_ID = (1 << 63) - 1
 
-TABLE = "block long, ord int, doc_id long, text string, part int, payload binary"
+TABLE = "block long, ord int, doc_id long, text string, n long, payload binary"
 _TABLE = pa.schema(
     [
         ("block", pa.int64()),
         ("ord", pa.int32()),
         ("doc_id", pa.int64()),
         ("text", pa.string()),
-        ("part", pa.int32()),
+        ("n", pa.int64()),
         ("payload", pa.binary()),
     ]
 )
 SENT = "block long, part int, payload binary"
+OF_KMERS, OF_STRINGS = -1, -2  # in place of a part: rows a block keeps for itself
 _FACTORS = (np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _PACK, _UNPACK = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
 
 
-class _WordHashes(dict):
-    """64-bit hashes of words, kept for the words seen last."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
 def words_of(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
@@ -119,49 +114,29 @@ def _flags(payload: bytes) -> np.ndarray:
     return np.unpackbits(np.frombuffer(_UNPACK.decompress(payload), np.uint8)) > 0
 
 
-def _pack(*columns: np.ndarray, data: bytes = b"") -> bytes:
-    """Columns of 64-bit numbers of one length, and bytes, as one compressed string."""
-    size = len(columns[0])
-    planes = np.concatenate([np.asarray(c).astype(np.int64) for c in columns]).view(np.uint8).reshape(-1, 8).T
-    return _PACK.compress(size.to_bytes(8, "little") + planes.tobytes() + data)
-
-
-def _unpack(payload: bytes, columns: int) -> tuple[np.ndarray, bytes]:
-    raw = _UNPACK.decompress(payload)
-    size = int.from_bytes(raw[:8], "little")
-    end = 8 + 8 * size * columns
-    planes = np.frombuffer(raw, np.uint8, 8 * size * columns, 8).reshape(8, -1).T
-    return np.ascontiguousarray(planes).view(np.int64).reshape(columns, size), raw[end:]
-
-
-def _by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(part, kind="stable")
-    first = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1])) if len(part) else []
-    for some in np.split(order, first[1:]) if len(part) else []:
-        yield int(part[some[0]]), some
+def _sent(block: int, parts: list[int], payloads: list[bytes]) -> pa.Table:
+    columns = [pa.array([block] * len(parts), pa.int64()), pa.array(parts, pa.int32()), pa.array(payloads, pa.binary())]
+    return pa.table(columns, names=["block", "part", "payload"])
 
 
 # -- 1. blocks and their minimisers --------------------------------------------------------------
 
 
 def _write_blocks(docs: DataFrame, words: int) -> DataFrame:
-    parts = partitions(docs.sparkSession)
+    """A row per document (ord, doc_id, text) and one per block with its n super-k-mers, in order of ord and start."""
 
     def rows(block: int, size: int, **columns) -> pa.RecordBatch:
         columns["block"] = pa.array(np.full(size, block, np.int64))
         return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in _TABLE], schema=_TABLE)
 
-    def minimiser_rows(block: int, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def kmer_row(block: int, found: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         if found:
-            values, where = np.unique(np.concatenate([m for m, _ in found]), return_inverse=True)
-            counts = np.bincount(where, np.concatenate([c for _, c in found])).astype(np.int64)
-            split = list(_by_part((values % np.uint64(parts)).astype(np.int64)))
-            packed = [_pack(np.diff(values[some].view(np.int64), prepend=0), counts[some]) for _, some in split]
-            numbers = pa.array([part for part, _ in split], pa.int32())
-            yield rows(block, len(split), part=numbers, payload=pa.array(packed, pa.binary()))
+            columns = [np.concatenate(column) for column in zip(*found)]
+            payload = pack_columns(np.diff(columns[0], prepend=0), *columns[1:3], columns[3].view(np.int64), columns[4])
+            yield rows(block, 1, n=pa.array([len(columns[0])], pa.int64()), payload=pa.array([payload], pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, block = _WordHashes(), TaskContext.get().partitionId() << 32
+        hashes, block = WordHashes(), TaskContext.get().partitionId() << 32
         size, number, found = 0, 0, []
         for batch in batches:
             at = 0
@@ -170,24 +145,40 @@ def _write_blocks(docs: DataFrame, words: int) -> DataFrame:
                 words_here = words_of(text)
                 if size and size + len(words_here) > words:
                     yield rows(block, i - at, ord=pa.array(numbers, pa.int32()), doc_id=batch.column(0)[at:i], text=batch.column(1)[at:i])
-                    yield from minimiser_rows(block, found)
+                    yield from kmer_row(block, found)
                     at, numbers, block, size, number, found = i, [], block + 1, 0, 0, []
-                _, _, minimisers, counts = super_kmers(words_here, hashes)
-                if len(minimisers):
-                    found.append((minimisers, counts))
+                starts, sizes, minimisers, counts = super_kmers(words_here, hashes)
+                if len(starts):
+                    found.append((np.full(len(starts), number), starts, sizes, minimisers, counts))
                 size += len(words_here)
                 numbers.append(number)
                 number += 1
             rest = batch.num_rows - at
             yield rows(block, rest, ord=pa.array(numbers, pa.int32()), doc_id=batch.column(0)[at:], text=batch.column(1)[at:])
-        yield from minimiser_rows(block, found)
+        yield from kmer_row(block, found)
 
     return store_by_block(doc_texts(docs).mapInArrow(run, TABLE), "texts")
 
 
+def _minimisers(parts: int):
+    """The distinct minimisers of each block with their counts, dealt to parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+                (_, _, _, minimisers, counts), _ = unpack_columns(payload.as_py(), 5)
+                values, where = np.unique(minimisers.view(np.uint64), return_inverse=True)
+                counts = np.bincount(where, counts).astype(np.int64)
+                split = list(by_part((values % np.uint64(parts)).astype(np.int64)))
+                packed = [pack_columns(np.diff(values[some].view(np.int64), prepend=0), counts[some]) for _, some in split]
+                yield from _sent(block, [part for part, _ in split], packed).to_batches()
+
+    return run
+
+
 def _shared(table: pa.Table) -> pa.Table:
     """Of one part: for each block its minimisers that the corpus has more than once, and which are hot."""
-    steps_of = [_unpack(payload, 2)[0] for payload in table.column("payload").to_pylist()]
+    steps_of = [unpack_columns(payload, 2)[0] for payload in table.column("payload").to_pylist()]
     values = [np.cumsum(steps) for steps, _ in steps_of]
     every, where = np.unique(np.concatenate(values), return_inverse=True)
     total = np.bincount(where, np.concatenate([counts for _, counts in steps_of]))
@@ -195,182 +186,196 @@ def _shared(table: pa.Table) -> pa.Table:
     for own in values:
         count = total[np.searchsorted(every, own)]
         kept = count > 1
-        sent.append(_pack(own[kept], count[kept] > HOT))
+        sent.append(pack_columns(own[kept], count[kept] > HOT))
     return pa.table({"block": table.column("block"), "part": table.column("part"), "payload": pa.array(sent, pa.binary())})
 
 
 # -- 2. packed strings ---------------------------------------------------------------------------
 
 
-class _Strings:
-    """The distinct packed strings of one block, and where each of them stands first."""
+class _Block:
+    """The documents of a block in order of doc_id, and its super-k-mers that other places may repeat, in that order.
 
-    def __init__(self, documents: pa.Table, shared: pa.Table):
-        columns = [_unpack(payload, 2)[0] for payload in shared.column("payload").to_pylist()]
+    ``value`` is the minimiser, or 0 where the windows of a hot one go alone; ``bounds`` are a document's in these lists.
+    """
+
+    def __init__(self, table: pa.Table, shared: list[bytes]):
+        documents = table.filter(table.column("ord").is_valid()).sort_by("ord")
+        ids = documents.column("doc_id").fill_null(NO_ID).to_numpy()
+        order = np.argsort(ids, kind="stable")
+        self.doc_ids, self.ords = ids[order], order
+        self.texts = documents.column("text").combine_chunks().take(pa.array(order))
+        kmers = [payload for payload in table.column("payload").to_pylist() if payload is not None]
+        columns = [unpack_columns(payload, 2)[0] for payload in shared]
         known = np.concatenate(columns, 1) if columns else np.zeros((2, 0), np.int64)
-        order = np.argsort(known[0].view(np.uint64))
-        self.known, self.hot = known[0].view(np.uint64)[order], known[1][order] > 0
-        self.first: dict[tuple[int, bytes], tuple[int, int, int]] = {}
-        self.sizes: dict[tuple[int, bytes], int] = {}
-        documents = documents.sort_by("ord")
-        self.ids = [NO_ID if i is None else i for i in documents.column("doc_id").to_pylist()]
-        self.ords, self.texts = documents.column("ord").to_pylist(), documents.column("text").to_pylist()
-        self.hashes = _WordHashes()
-
-    def of_text(self, words: list[bytes]) -> Iterator[tuple[tuple[int, bytes], int, int]]:
-        """(key, start, windows) of the strings of a text that other places may repeat.
-
-        The key is the string with its minimiser, or with 0 where the windows of a hot one go alone.
-        """
-        if not len(self.known):
-            return
-        starts, sizes, minimisers, _ = super_kmers(words, self.hashes)
-        at = np.minimum(np.searchsorted(self.known, minimisers), len(self.known) - 1)
-        kept = np.flatnonzero(self.known[at] == minimisers)
-        values = minimisers.view(np.int64)[kept].tolist()
-        for value, start, size, hot in zip(values, starts[kept].tolist(), sizes[kept].tolist(), self.hot[at[kept]].tolist()):
-            if hot:
-                for alone in range(start, start + size):
-                    yield (0, b" ".join(words[alone : alone + WINDOW])), alone, 1
-            else:
-                yield (value, b" ".join(words[start : start + size + WINDOW - 1])), start, size
-
-    def gather(self) -> None:
-        for doc_id, ord_, text in zip(self.ids, self.ords, self.texts):
-            for key, start, size in self.of_text(words_of(text)):
-                place = (doc_id, ord_, start)
-                before = self.first.get(key)
-                if before is None or place < before:
-                    self.first[key] = place
-                    self.sizes[key] = size
-
-
-def _part_of(key: tuple[int, bytes], parts: int) -> int:
-    value, string = key
+        self.start = self.size = self.value = self.again = np.zeros(0, np.int64)
+        self.bounds = np.zeros(len(order) + 1, np.int64)
+        if kmers and known.shape[1]:
+            self._keep(unpack_columns(kmers[0], 5)[0], known, order)
+
+    def _keep(self, kmers: np.ndarray, known: np.ndarray, order: np.ndarray) -> None:
+        steps, start, size, minimiser, count = kmers
+        by_value = np.argsort(known[0])
+        values, hot = known[0][by_value], known[1][by_value] > 0
+        at = np.minimum(np.searchsorted(values, minimiser), len(values) - 1)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        document = rank[np.cumsum(steps)]
+        kept = np.flatnonzero(values[at] == minimiser)
+        kept = kept[np.argsort(document[kept], kind="stable")]
+        hot, document, start, size = hot[at[kept]], document[kept], start[kept], size[kept]
+        value, again = np.where(hot, 0, minimiser[kept]), np.where(hot, 0, count[kept] > 1)
+        times = np.where(hot, size, 1)
+        within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        self.start = np.repeat(start, times) + within
+        self.size = np.repeat(np.where(hot, 1, size), times)
+        self.value, self.again = np.repeat(value, times), np.repeat(again, times)
+        self.bounds = np.searchsorted(np.repeat(document, times), np.arange(len(order) + 1))
+
+
+def _part_of(value: int, string: bytes, parts: int) -> int:
     return (value % (1 << 64) if value else xxhash.xxh64_intdigest(string)) % parts
 
 
 def _send(parts: int):
-    """The packed strings of a block, one row per part."""
-
-    def run(documents: pa.Table, shared: pa.Table) -> pa.Table:
-        strings = _Strings(documents, shared)
-        strings.gather()
-        keys = list(strings.first)
-        part = np.fromiter((_part_of(key, parts) for key in keys), np.int64, len(keys))
-        block, numbers, payloads = documents.column("block")[:1].to_pylist(), [], []
-        for number, some in _by_part(part):
-            chosen = sorted(keys[i] for i in some)
-            places = np.array([strings.first[key] for key in chosen], np.int64).reshape(-1, 3).T
-            values = np.array([value for value, _ in chosen], np.int64)
-            lengths = np.array([len(string) for _, string in chosen], np.int64)
-            numbers.append(number)
-            payloads.append(_pack(values, lengths, *places, data=b"".join(string for _, string in chosen)))
-        blocks = pa.array(block * len(numbers), pa.int64())
-        return pa.table({"block": blocks, "part": pa.array(numbers, pa.int32()), "payload": pa.array(payloads, pa.binary())})
+    """The distinct packed strings of a block, one row per part; and for the block itself which of them each of its
+    super-k-mers is, and the part each went to.
+
+    Strings are numbered in the order of their first places, and stand in that order in each part's row.
+    """
+
+    def run(table: pa.Table, shared: pa.Table) -> pa.Table:
+        number = table.column("block")[0].as_py()
+        block = _Block(table, shared.column("payload").to_pylist())
+        known: dict[tuple[int, bytes], int] = {}
+        numbers, part, where = np.zeros(len(block.start), np.int64), [], []
+        starts, sizes, values = block.start.tolist(), block.size.tolist(), block.value.tolist()
+        for document in np.flatnonzero(np.diff(block.bounds)).tolist():
+            words = words_of(block.texts[document].as_py())
+            for at in range(block.bounds[document], block.bounds[document + 1]):
+                start = starts[at]
+                key = (values[at], b" ".join(words[start : start + sizes[at] + WINDOW - 1]))
+                numbers[at] = known.setdefault(key, len(known))
+                if len(known) > len(part):
+                    part.append(_part_of(*key, parts))
+                    where.append((at, document))
+        if not known:
+            return _sent(number, [], [])
+        strings = [string for _, string in known]
+        part, (first, document) = np.array(part), np.array(where).T
+        lengths = np.fromiter(map(len, strings), np.int64, len(strings))
+        places = block.doc_ids[document], block.ords[document], block.start[first]
+        columns = [block.value[first], lengths, block.size[first], block.again[first], *places]
+        split = list(by_part(part))
+        payloads = [pack_columns(*[c[some] for c in columns], data=b"".join(map(strings.__getitem__, some.tolist()))) for _, some in split]
+        return _sent(number, [OF_KMERS, OF_STRINGS, *[p for p, _ in split]], [pack_columns(numbers), pack_columns(part), *payloads])
 
     return run
 
 
 def _first_places(table: pa.Table) -> pa.Table:
     """Of one part: for each block one bit per window of its strings, whether it is the first of all."""
+    groups: dict = {}  # by minimiser, or window where hot: distinct strings, each with its first place
+    offsets, bits = [], []
     blocks = table.column("block").to_pylist()
-    entries = []  # (minimiser, string, place, row, number of the string in its row)
-    counts = []
     for row, payload in enumerate(table.column("payload").to_pylist()):
-        columns, data = _unpack(payload, 5)
-        ends = np.cumsum(columns[1]).tolist()
-        strings = [data[a:b] for a, b in zip([0, *ends], ends)]
-        for at, (value, doc_id, ord_, start) in enumerate(columns[[0, 2, 3, 4]].T.tolist()):
-            entries.append((value, strings[at], (doc_id, blocks[row], ord_, start), row, at))
-        counts.append([string.count(b" ") + 2 - WINDOW for string in strings])
-    offsets = [np.cumsum([0, *sizes]) for sizes in counts]
-    bits = [np.zeros(int(offset[-1]), bool) for offset in offsets]
-    entries.sort(key=lambda e: (e[0], e[1] if not e[0] else b"", e[2]))
-    lo = 0
-    while lo < len(entries):
-        hi = lo + 1
-        value = entries[lo][0]
-        while hi < len(entries) and entries[hi][0] == value and (value or entries[hi][1] == entries[lo][1]):
-            hi += 1
-        _mark_first(entries[lo:hi], offsets, bits)
-        lo = hi
+        columns, data = unpack_columns(payload, 7)
+        ends = np.cumsum(columns[1])
+        offsets.append(np.cumsum(np.append(0, columns[2])))
+        bits.append(np.zeros(int(offsets[-1][-1]), bool))
+        lists = [column.tolist() for column in (columns[0], ends - columns[1], ends, *columns[3:])]
+        for at, (value, lo, hi, again, doc_id, ord_, start) in enumerate(zip(*lists)):
+            string = data[lo:hi]
+            place = (doc_id, blocks[row], ord_, start)
+            group = groups.setdefault(value or string, {})
+            before = group.get(string)
+            if before is None or place < before[0]:
+                group[string] = (place, row, at, again or before is not None and before[3])
+    for group in groups.values():
+        if len(group) == 1 and not (only := next(iter(group.values())))[3]:
+            _, row, at, _ = only
+            bits[row][offsets[row][at] : offsets[row][at + 1]] = True
+        else:
+            _mark_first(group, offsets, bits)
     sent = [_bits(row) for row in bits]
     return pa.table({"block": table.column("block"), "part": table.column("part"), "payload": pa.array(sent, pa.binary())})
 
 
-def _mark_first(entries: list[tuple], offsets: list[np.ndarray], bits: list[np.ndarray]) -> None:
-    """Sets the bits of the first places among the strings of one minimiser: its windows sorted by words, then place."""
+def _mark_first(group: dict[bytes, tuple], offsets: list[np.ndarray], bits: list[np.ndarray]) -> None:
+    """Sets the bits of the first places among different strings of one minimiser: windows sorted by words, then place."""
     windows = []
-    for _, string, (doc_id, block, ord_, start), row, at in entries:
-        words = string.split(b" ")
+    for string, ((*document, start), row, at, _) in group.items():
+        words, base = string.split(b" "), int(offsets[row][at])
         for k in range(len(words) - WINDOW + 1):
-            windows.append((b" ".join(words[k : k + WINDOW]), doc_id, block, ord_, start + k, row, at, k))
+            windows.append((b" ".join(words[k : k + WINDOW]), *document, start + k, row, base + k))
     windows.sort()
     before = None
-    for window, *_, row, at, k in windows:
+    for window, *_, row, at in windows:
         if window != before:
-            bits[row][offsets[row][at] + k] = True
+            bits[row][at] = True
             before = window
 
 
 # -- 3. removal ----------------------------------------------------------------------------------
 
 
-def _remove(parts: int):
-    def run(documents: pa.Table, answers: pa.Table) -> pa.Table:
-        shared = answers.filter(answers.column("shared"))
-        given = answers.filter(pc.invert(answers.column("shared")))
-        strings = _Strings(documents, shared)
-        strings.gather()
-        keys = list(strings.first)
-        part = np.fromiter((_part_of(key, parts) for key in keys), np.int64, len(keys))
-        bits_of = dict(zip(given.column("part").to_pylist(), given.column("payload").to_pylist()))
-        first: dict[tuple[int, bytes], np.ndarray] = {}
-        for number, some in _by_part(part):
-            bits = _flags(bits_of[number])
-            at = 0
-            for key in sorted(keys[i] for i in some):
-                first[key] = bits[at : at + strings.sizes[key]]
-                at += strings.sizes[key]
-        ids, n_words, n_removed, kept = [], [], [], []
-        for doc_id, ord_, text in zip(strings.ids, strings.ords, strings.texts):
-            words = words_of(text)
+def _repeated(block: _Block, given: dict[int, bytes]) -> np.ndarray:
+    """For every window of the block's super-k-mers, one after the other: whether it also starts earlier."""
+    gone = np.ones(int(block.size.sum()), bool)
+    if len(gone):
+        (numbers,), _ = unpack_columns(given[OF_KMERS], 1)
+        (part,), _ = unpack_columns(given[OF_STRINGS], 1)
+        _, first = np.unique(numbers, return_index=True)
+        sizes, starts = block.size[first], (np.cumsum(block.size) - block.size)[first]
+        for number, some in by_part(part):
+            size = sizes[some]
+            windows = np.arange(size.sum()) + np.repeat(starts[some] - (np.cumsum(size) - size), size)
+            gone[windows] = ~_flags(given[number])[: len(windows)]
+    return gone
+
+
+def _remove(table: pa.Table, answers: pa.Table) -> pa.Table:
+    shared = answers.column("shared")
+    given = answers.filter(pc.invert(shared))
+    block = _Block(table, answers.filter(shared).column("payload").to_pylist())
+    gone = _repeated(block, dict(zip(given.column("part").to_pylist(), given.column("payload").to_pylist())))
+    ends = np.append(0, np.cumsum(block.size))
+    start = np.arange(len(gone)) + np.repeat(block.start - ends[:-1], block.size)
+    bounds = ends[block.bounds].tolist()
+    n_words, n_removed, kept = [], [], []
+    for text, lo, hi in zip(each(block.texts), bounds, bounds[1:]):
+        words = words_of(text)
+        n_words.append(len(words))
+        at = start[lo:hi][gone[lo:hi]] if lo < hi else start[:0]
+        if len(at):
             cover = np.zeros(len(words) + 1, np.int64)
-            for key, start, size in strings.of_text(words):
-                again = ~first[key] if strings.first[key] == (doc_id, ord_, start) else np.ones(size, bool)
-                at = start + np.flatnonzero(again)
-                np.add.at(cover, at, 1)
-                np.add.at(cover, at + WINDOW, -1)
-            stays = np.cumsum(cover)[:-1] == 0
-            ids.append(None if doc_id == NO_ID else doc_id)
-            n_words.append(len(words))
-            n_removed.append(int(len(words) - stays.sum()))
-            left = words if not n_removed[-1] else [words[i] for i in np.flatnonzero(stays).tolist()]
-            kept.append(b" ".join(left).decode())
-        return pa.table(
-            {
-                "doc_id": pa.array(ids, pa.int64()),
-                "n_words": pa.array(n_words, pa.int64()),
-                "n_removed": pa.array(n_removed, pa.int64()),
-                "kept": pa.array(kept, pa.string()),
-            }
-        )
-
-    return run
+            np.add.at(cover, at, 1)
+            np.add.at(cover, at + WINDOW, -1)
+            words = [words[i] for i in np.flatnonzero(np.cumsum(cover)[:-1] == 0).tolist()]
+        n_removed.append(n_words[-1] - len(words))
+        kept.append(b" ".join(words).decode())
+    return pa.table(
+        {
+            "doc_id": pa.array(block.doc_ids, mask=block.doc_ids == NO_ID),
+            "n_words": pa.array(n_words, pa.int64()),
+            "n_removed": pa.array(n_removed, pa.int64()),
+            "kept": pa.array(kept, pa.string()),
+        }
+    )
 
 
 def remove_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_words, n_removed and kept (the words left, joined by a blank) of every document row."""
-    parts = partitions(docs.sparkSession)
     table = _write_blocks(docs, words)
-    documents = table.where(F.col("ord").isNotNull()).select("block", "ord", "doc_id", "text")
-    minimisers = table.where(F.col("part").isNotNull()).select("block", "part", "payload")
-
-    shared = store_by_block(minimisers.groupBy("part").applyInArrow(_shared, SENT), "shared")
-    by_block = documents.groupBy("block")
-    strings = by_block.cogroup(shared.groupBy("block")).applyInArrow(_send(parts), SENT)
-    bits = strings.groupBy("part").applyInArrow(_first_places, SENT)
-    answers = shared.withColumn("shared", F.lit(True)).unionByName(bits.withColumn("shared", F.lit(False)))
+    n = table.agg(F.sum("n")).first()[0] or 0
+    parts = max(partitions(docs.sparkSession), math.ceil(n / PART))
+    counted = table.where(F.col("n").isNotNull()).select("block", "payload").mapInArrow(_minimisers(parts), SENT)
+
+    shared = store_by_block(counted.groupBy("part").applyInArrow(_shared, SENT), "shared")
+    by_block = table.select("block", "ord", "doc_id", "text", "payload").groupBy("block")
+    strings = store_by_block(by_block.cogroup(shared.groupBy("block")).applyInArrow(_send(parts), SENT), "strings")
+    bits = strings.where("part >= 0").groupBy("part").applyInArrow(_first_places, SENT)
+    given = strings.where("part < 0").unionByName(bits).withColumn("shared", F.lit(False))
+    answers = shared.withColumn("shared", F.lit(True)).unionByName(given)
     schema = "doc_id long, n_words long, n_removed long, kept string"
-    return by_block.cogroup(answers.groupBy("block")).applyInArrow(_remove(parts), schema)
+    return by_block.cogroup(answers.groupBy("block")).applyInArrow(_remove, schema)

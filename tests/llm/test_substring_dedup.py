@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 
@@ -9,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ordermill.llm import queries
 from ordermill.llm import substring_dedup as S
 
 
@@ -47,9 +49,10 @@ def answer(df):
     return sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept"]) for r in df.collect())
 
 
-@pytest.mark.parametrize("words,hot", [(200, 5000), (S.WORDS, 5), (400, 0)])
-def test_removal(docs, monkeypatch, words, hot):
+@pytest.mark.parametrize("words,hot,part", [(200, 5000, 50), (S.WORDS, 5, S.PART), (400, 0, 300)])
+def test_removal(docs, monkeypatch, words, hot, part):
     monkeypatch.setattr(S, "HOT", hot)
+    monkeypatch.setattr(S, "PART", part)
     given = texts(words + hot)
     frame = docs(*given).withColumn("part", F.lit("clash")).withColumn("block", F.lit(0)).repartition(3, "text")
     assert answer(S.remove_repeats(frame, words)) == plain(list(enumerate(given)))
@@ -66,6 +69,15 @@ def test_ids_that_repeat_or_are_missing(docs):
 
 def test_super_kmers_cover_all_windows_once():
     words = [w.encode() for w in (texts(3)[30] + " x" * 900).split()]
-    starts, sizes, minimisers, counts = S.super_kmers(words, S._WordHashes())
+    starts, sizes, minimisers, counts = S.super_kmers(words, S.WordHashes())
     assert np.concatenate([np.arange(a, a + n) for a, n in zip(starts, sizes)]).tolist() == list(range(len(words) - 19))
     assert sizes.max() == S.LONGEST and counts.max() == 2 and len(minimisers) == len(starts)
+
+
+def test_registered_query_against_looking_every_window_up(spark):
+    folder = "/root/testdata/sf0.001"
+    got = queries.all_queries()["op3_substring_dedup"](spark, folder)
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    expected = sorted((doc_id, n, gone, digest(left)) for doc_id, n, gone, left in plain(rows))
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()) == expected
