@@ -215,6 +215,40 @@ def _violations(source: str) -> str:
     return "SELECT " + ", ".join(counts) + f" FROM {source}"
 
 
+def _frame(name: str, keys: list[str]) -> str:
+    every = ["region", "product_category", "product_name", "order_year", "order_month"]
+    columns = [key if key in keys else f"CAST(NULL AS {'INTEGER' if key.startswith('order') else 'VARCHAR'}) AS {key}" for key in every]
+    return f"""SELECT '{name}' AS frame, {', '.join(columns)}, count(order_id) AS total_orders, sum(quantity) AS total_quantity,
+                      {_revenue()} AS total_revenue
+               FROM clean WHERE {' AND '.join(f'{key} IS NOT NULL' for key in keys)} GROUP BY {', '.join(keys)}"""
+
+
+def _reasons() -> str:
+    """The names of the broken rules of a stretched row, in rule order."""
+    tests = [(f"{name.strip()}_not_null", f"{name.strip()} IS NULL") for name in _LOAD.split(",")]
+    lengths = {"order_id": 50, "customer_name": 150, "region": 100, "product_category": 100, "product_name": 150, "payment_method": 50}
+    tests += [(f"{name}_length", f"length({name}) > {n}") for name, n in lengths.items()]
+    bounds = {"quantity": ("2147483648", 0), "unit_price": ("100000000", 2), "discount": ("10", 4), "total_amount": ("10000000000", 2)}
+    tests += [(f"{name}_range", f"round(abs(CAST({name} AS DOUBLE)), {places}) >= {n}") for name, (n, places) in bounds.items()]
+    return f"concat_ws(',', {', '.join(f'CASE WHEN {test} THEN {chr(39)}{name}{chr(39)} END' for name, test in tests)})"
+
+
+_JUDGED = f"judged AS (SELECT *, {_reasons()} AS reasons FROM stretched)"
+
+
+def _lenient_batches() -> str:
+    return _with(
+        _raw(False),
+        _clean_steps("one", where=_FIRST),
+        _clean_steps("two", where=_SECOND),
+        _stored("stored_one", "one"),
+        _stored("stored_two", "two"),
+    ) + """SELECT * REPLACE ('a' || order_id AS order_id) FROM stored_one
+           UNION ALL
+           SELECT * REPLACE ('A' || order_id || ' ' AS order_id) FROM stored_two
+           WHERE order_id NOT IN (SELECT order_id FROM stored_one)"""
+
+
 def all_oracles() -> dict[str, str]:
     def null_tokens(column: str) -> str:
         return f"CASE WHEN {column} NOT IN ({_NA}) THEN {column} END AS {column}"
@@ -224,6 +258,55 @@ def all_oracles() -> dict[str, str]:
         # sources and sinks
         "read_raw": _with(_DIRTY)
         + f"SELECT {', '.join(null_tokens(t) for t in texts)}, quantity, unit_price, discount FROM raw",
+        "read_raw_split": _with(_DIRTY)
+        + ", split AS (SELECT * REPLACE ('a \"new' || chr(10) || 'line\", ' || trim(product_name, ' ') AS product_name) FROM raw) "
+        + " UNION ALL ".join(
+            f"SELECT {', '.join(null_tokens(t) for t in texts)}, quantity, unit_price, discount, '{files}' AS files FROM split"
+            for files in ("whole", "torn")
+        ),
+        "read_mixed_headers": _with(_DIRTY)
+        + f"SELECT {', '.join(null_tokens(t) for t in texts)}, quantity, unit_price, discount FROM raw",
+        "load_key_index": _TWO + "SELECT * FROM stored",
+        "load_atomic": _TWO + "SELECT * FROM stored",
+        "summary_delta": _TWO + "SELECT * FROM summary",
+        "summary_cancelled": _TWO.rstrip()
+        + ", left_over AS (SELECT * FROM stored WHERE NOT (payment_method = '1-URGENT' OR order_year = 1997 AND order_month = 3)),"
+        + _summary_of("summary_left", "left_over")
+        + " SELECT * FROM summary_left",
+        "load_quarantine": _CLEAN.rstrip()
+        + ","
+        + _stretched().rstrip()
+        + f", {_JUDGED}, sound AS (SELECT * FROM judged WHERE reasons = ''),"
+        + _stored("stored", "sound")
+        + " SELECT * FROM stored",
+        "reject_rows": _CLEAN.rstrip()
+        + ","
+        + _stretched().rstrip()
+        + f""", {_JUDGED} SELECT order_id, region, strftime(order_date, '%Y-%m-%d') AS order_date, reasons
+             FROM judged WHERE reasons <> ''""",
+        "dedup_lenient": _CLEAN
+        + f"""SELECT CASE WHEN l_suppkey % 2 = 1 THEN 'é-' || order_id || ' ' ELSE 'E-' || order_id END AS order_id, quantity, unit_price
+              FROM clean_present QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY {_ORDER}) = 1""",
+        "load_lenient_conflict": _lenient_batches(),
+        "agg_all": _CLEAN
+        + " UNION ALL ".join(
+            _frame(name, keys)
+            for name, keys in {
+                "region": ["region"],
+                "category": ["product_category"],
+                "product": ["product_name"],
+                "month": ["order_year", "order_month"],
+                "month_region": ["order_year", "order_month", "region"],
+            }.items()
+        ),
+        "sql_top_products": _LOADED
+        + f"""SELECT product_name, CAST(sum(quantity) AS BIGINT) AS units_sold, {_revenue(digits=22)} AS total_revenue
+              FROM stored GROUP BY product_name ORDER BY total_revenue DESC, product_name LIMIT 12""",
+        "sql_region_share": _LOADED
+        + f""", revenues AS (SELECT region, {_revenue(digits=22)} AS revenue FROM stored
+                             WHERE order_date BETWEEN DATE '1997-01-01' AND DATE '1998-06-30' GROUP BY region)
+             SELECT region, revenue, CAST(CAST(revenue AS DOUBLE) / CAST(sum(revenue) OVER () AS DOUBLE) AS DECIMAL(7,4)) AS share
+             FROM revenues""",
         "load_projection": _with(_DIRTY, _clean_steps("clean"), _stored("stored", "clean")) + "SELECT * FROM stored",
         "append_load": _TWO + "SELECT * FROM stored",
         "load_new_orders_only": _TWO + "SELECT * FROM fresh",

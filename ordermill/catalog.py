@@ -20,6 +20,7 @@ from ordermill.operators.disposition import dispose_rows
 from ordermill.plans import reports
 from ordermill.plans.pipeline import ingest, run_pipeline
 from ordermill.plans.scratch import new_folder
+from ordermill.plans.versions import Change, VersionedMart, ingest_atomic
 from ordermill.plans.warehouse import (
     Warehouse,
     known_orders,
@@ -27,7 +28,7 @@ from ordermill.plans.warehouse import (
     new_orders,
     summary_projection,
 )
-from ordermill.schemas import LOAD_COLUMNS, REQUIRED_COLUMNS, RUN_LOG, SUMMARY, TEXT_COLUMNS, TRANSACTIONS
+from ordermill.schemas import LOAD_COLUMNS, REJECTS, REQUIRED_COLUMNS, RUN_LOG, SUMMARY, TEXT_COLUMNS, TRANSACTIONS
 from ordermill.sources import read_raw as read_files
 from ordermill.sources.star import STAR_ORDER, raw_sales
 from ordermill.streaming import run_incremental
@@ -133,6 +134,34 @@ def read_raw(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.parse_numbers(read_files(spark, drop)).select(*REQUIRED_COLUMNS)
 
 
+@_register
+def read_raw_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with line breaks inside quoted fields, and a copy with a quote left open near its end, read to that line."""
+    drop, torn = new_folder(spark, "csv"), new_folder(spark, "torn")
+    raw = _dirty(spark, folder).withColumn("product_name", F.concat(F.lit('a "new'), F.lit("\n"), F.lit('line", '), F.trim("product_name")))
+    write_csv(raw, drop)
+    end = spark.createDataFrame([('x,1998-01-01,"never closed,West,a,b,1,2,0,Cash',), ("y,1998-01-01,lost,West,a,b,1,2,0,Cash",)], "value string")
+    lines = spark.read.option("lineSep", "\x00").text(drop).select(F.rtrim("value", F.lit("\n")).alias("value"))
+    with_end = lines.select(F.concat_ws("\n", "value", F.lit("\n".join(row.value for row in end.collect()))).alias("value"))
+    with_end.write.text(torn)
+    whole = cleaning.parse_numbers(read_files(spark, drop)).select(*REQUIRED_COLUMNS, F.lit("whole").alias("files"))
+    cut = cleaning.parse_numbers(read_files(spark, torn, on_open_quote="stop")).select(*REQUIRED_COLUMNS, F.lit("torn").alias("files"))
+    return whole.unionByName(cut)
+
+
+@_register
+def read_mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Files whose columns stand in different orders, one with a column more, read together by name."""
+    drop, raw = new_folder(spark, "csv"), _dirty(spark, folder)
+    orders = [REQUIRED_COLUMNS, list(reversed(REQUIRED_COLUMNS)), [*REQUIRED_COLUMNS[5:], "note", *REQUIRED_COLUMNS[:5]]]
+    turn = F.pmod(F.xxhash64("order_id"), F.lit(len(orders)))
+    keep_space = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    for i, columns in enumerate(orders):
+        some = raw.where(turn == i).withColumn("note", F.lit("late")).select(*columns)
+        some.write.mode("append").options(header="true", escape='"', **keep_space).csv(drop)
+    return cleaning.parse_numbers(read_files(spark, drop, mixed_headers=True)).select(*REQUIRED_COLUMNS)
+
+
 @_register
 def load_projection(spark: SparkSession, folder: str) -> DataFrame:
     return project_for_load(_clean(spark, folder))
@@ -156,6 +185,110 @@ def load_new_orders_only(spark: SparkSession, folder: str) -> DataFrame:
     return _kept(warehouse, project_for_load(fresh))
 
 
+@_register
+def load_key_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The transactions after two overlapping batches, stored orders looked up in the index of ids."""
+    root = new_folder(spark, "mart")
+    warehouse = Warehouse(spark, root, "mart_" + root.rsplit("-", 1)[-1], key_index={"shards": 16, "expected": 4_000_000})
+    raw = raw_sales(spark, folder)
+    _load(warehouse, raw.where(_in_first_batch()), "first")
+    _load(warehouse, raw.where(_in_second_batch()), "second", on_conflict="ignore")
+    return _stored(warehouse, TRANSACTIONS).select(*LOAD_COLUMNS)
+
+
+def _committed_in_two_batches(spark: SparkSession, folder: str, between: Callable[[VersionedMart, DataFrame], None] | None = None) -> VersionedMart:
+    mart = VersionedMart(spark, new_folder(spark, "mart"))
+    raw = raw_sales(spark, folder)
+    first, second = raw.where(_in_first_batch()), raw.where(_in_second_batch())
+    ingest_atomic(mart, lambda: (first, [ISO_DATE]), "first", order_by=STAR_ORDER)
+    if between is not None:
+        between(mart, second)
+    ingest_atomic(mart, lambda: (second, [ISO_DATE]), "second", order_by=STAR_ORDER, on_conflict="ignore")
+    return mart
+
+
+class _DyingMart(VersionedMart):
+    """One whose runs die after all their writes and before the commit."""
+
+    def _commit(self, change: Change) -> None:
+        raise InterruptedError("killed")
+
+
+@_register
+def load_atomic(spark: SparkSession, folder: str) -> DataFrame:
+    """The transactions after two batches, the second one tried once before by a run that died between its writes."""
+
+    def dies_between_the_writes(mart: VersionedMart, batch: DataFrame) -> None:
+        dying = _DyingMart(spark, mart.root)
+        try:
+            ingest_atomic(dying, lambda: (batch, [ISO_DATE]), "killed", order_by=STAR_ORDER, on_conflict="ignore")
+        except InterruptedError:
+            pass
+
+    return _committed_in_two_batches(spark, folder, dies_between_the_writes).table(TRANSACTIONS).select(*LOAD_COLUMNS)
+
+
+@_register
+def summary_delta(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary after two batches, each adding its own sums to the stored ones."""
+    return _committed_in_two_batches(spark, folder).table(SUMMARY).drop("refreshed_at")
+
+
+@_register
+def summary_cancelled(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary after two batches and the cancellation of every order of one payment method or a whole month."""
+    mart = _committed_in_two_batches(spark, folder)
+    cancelled = mart.table(TRANSACTIONS).where("payment_method = '1-URGENT' OR order_year = 1997 AND order_month = 3")
+    with mart.staging() as stage, mart.change() as change:
+        mart.cancel(change, cancelled, stage)
+    return mart.table(SUMMARY).drop("refreshed_at")
+
+
+def _quarantined(spark: SparkSession, folder: str) -> Warehouse:
+    warehouse = _new_warehouse(spark)
+    with warehouse.staging() as stage:
+        sound, _ = warehouse.quarantine(_stretched(_clean(spark, folder)), "run", stage)
+        warehouse.load_transactions(sound)
+    return warehouse
+
+
+@_register
+def load_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The transactions of input of which many rows break a constraint and are set apart."""
+    return _stored(_quarantined(spark, folder), TRANSACTIONS).select(*LOAD_COLUMNS)
+
+
+@_register
+def reject_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows set apart, with their reasons."""
+    rejected = _stored(_quarantined(spark, folder), REJECTS)
+    return rejected.select("order_id", "region", "order_date", F.array_join("reasons", ",").alias("reasons"))
+
+
+def _spelt(raw: DataFrame, letter: str, tail: str = "") -> DataFrame:
+    return raw.withColumn("order_id", F.concat(F.lit(letter), "order_id", F.lit(tail)))
+
+
+@_register
+def dedup_lenient(spark: SparkSession, folder: str) -> DataFrame:
+    """First copies where ids that differ in case or trailing blanks are one, spelt as in the first copy."""
+    odd = F.col("l_suppkey") % 2 == 1
+    present = _present(spark, folder)
+    spelt = present.withColumn("order_id", F.when(odd, F.concat(F.lit("é-"), "order_id", F.lit(" "))).otherwise(F.concat(F.lit("E-"), "order_id")))
+    return cleaning.keep_first(spelt, STAR_ORDER, lenient=True).select("order_id", "quantity", "unit_price")
+
+
+@_register
+def load_lenient_conflict(spark: SparkSession, folder: str) -> DataFrame:
+    """Two overlapping batches whose ids differ in case: a store that ignores it has the orders of the first already."""
+    warehouse, raw = _new_warehouse(spark), raw_sales(spark, folder)
+    with warehouse.staging() as stage:
+        for some, letter, tail in ((_in_first_batch(), "a", ""), (_in_second_batch(), "A", " ")):
+            batch = stage(cleaning.clean_sales(_spelt(raw.where(some), letter, tail), STAR_ORDER), "batch")
+            warehouse.load_transactions(batch, on_conflict="ignore", lenient=True)
+    return _stored(warehouse, TRANSACTIONS).select(*LOAD_COLUMNS)
+
+
 @_register
 def summary_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """The summary after two batches, the second replacing the months and regions it has."""
@@ -345,6 +478,12 @@ def monthly_region_summary(spark: SparkSession, folder: str) -> DataFrame:
     return aggregates.monthly_region_summary(_clean(spark, folder))
 
 
+@_register
+def agg_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The totals of all report frames from one scan and one shuffle."""
+    return aggregates.all_totals(_clean(spark, folder))
+
+
 # -- reports ----------------------------------------------------------------------------------
 
 
@@ -447,6 +586,26 @@ def incremental_redelivery(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(warehouse, TRANSACTIONS).select(*LOAD_COLUMNS)
 
 
+def _by_function(spark: SparkSession, folder: str, query: str, params: dict) -> DataFrame:
+    warehouse = _new_warehouse(spark)
+    _load(warehouse, raw_sales(spark, folder), "all")
+    warehouse.create_report_functions()
+    return _kept(warehouse, warehouse.run_query(query, params))
+
+
+@_register
+def sql_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    """The best products by a SQL function that returns a table."""
+    return _by_function(spark, folder, "SELECT * FROM sql_top_products(:n)", {"n": 12})
+
+
+@_register
+def sql_region_share(spark: SparkSession, folder: str) -> DataFrame:
+    """Each region's share of the revenue of a period, by a SQL function that returns a table."""
+    period = {"since": date(1997, 1, 1), "until": date(1998, 6, 30)}
+    return _by_function(spark, folder, "SELECT * FROM sql_region_share(:since, :until)", period)
+
+
 def _sheet(name: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         """A report sheet as exported: loaded, reported, written and read back."""

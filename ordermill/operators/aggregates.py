@@ -72,3 +72,44 @@ def monthly_totals(df: DataFrame) -> DataFrame:
 def monthly_region_summary(df: DataFrame) -> DataFrame:
     """The monthly totals in key order."""
     return monthly_totals(df).orderBy("order_year", "order_month", "region")
+
+
+# The keys of each report frame, and by which of its columns a frame of all totals tells it from the others.
+FRAMES = {
+    "region": ["region"],
+    "category": ["product_category"],
+    "product": ["product_name"],
+    "month": ["order_year", "order_month"],
+    "month_region": ["order_year", "order_month", "region"],
+}
+FRAME_KEYS = ["region", "product_category", "product_name", "order_year", "order_month"]
+
+
+def all_totals(df: DataFrame) -> DataFrame:
+    """The totals of all frames at once: ``frame``, its keys (the others are null), orders, quantity and revenue.
+
+    Grouping sets read the rows once and shuffle partial sums once.  A row without a key of a frame is left out of
+    that frame alone.
+    """
+    sets = [[F.col(key) for key in keys] for keys in FRAMES.values()]
+    orders, quantity, revenue = F.count("order_id"), F.sum("quantity"), F.sum("total_amount")
+    frame_of = F.lit(None).cast("string")
+    for name, keys in FRAMES.items():
+        grouped = sum(1 << (len(FRAME_KEYS) - 1 - i) for i, key in enumerate(FRAME_KEYS) if key not in keys)
+        present = F.lit(True)
+        for key in keys:
+            present = present & F.col(key).isNotNull()
+        frame_of = F.when((F.col("_grouping") == grouped) & present, name).otherwise(frame_of)
+    totals = df.groupingSets(sets, *FRAME_KEYS).agg(
+        F.grouping_id().alias("_grouping"),
+        orders.alias("total_orders"),
+        quantity.alias("total_quantity"),
+        revenue.alias("total_revenue"),
+    )
+    return totals.select(frame_of.alias("frame"), *FRAME_KEYS, "total_orders", "total_quantity", "total_revenue").where("frame IS NOT NULL")
+
+
+def split_frames(totals: DataFrame) -> dict[str, DataFrame]:
+    """The frames of ``all_totals`` (staged by the caller, so that it is computed once), each with its own keys."""
+    measures = ["total_orders", "total_quantity", "total_revenue"]
+    return {name: totals.where(F.col("frame") == name).select(*keys, *measures) for name, keys in FRAMES.items()}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.functions import ISO_DATE, blank_to_null, in_range, parse_date, parse_number, round2, title_case
-from ordermill.schemas import MANDATORY_VALUES, NUMBER_COLUMNS, REQUIRED_COLUMNS, TEXT_COLUMNS
+from ordermill.schemas import LENIENT_COLLATION, MANDATORY_VALUES, NUMBER_COLUMNS, REQUIRED_COLUMNS, TEXT_COLUMNS
 
 
 def validate_schema(df: DataFrame) -> None:
@@ -88,13 +88,20 @@ def drop_missing(df: DataFrame) -> DataFrame:
     return df
 
 
-def keep_first(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+def order_key(lenient: bool = False) -> Column:
+    """What makes two order ids the same: the text, or with ``lenient`` the text but for case, accents and trailing blanks."""
+    return F.collate(F.col("order_id"), LENIENT_COLLATION) if lenient else F.col("order_id")
+
+
+def keep_first(df: DataFrame, order_by: Sequence[str], lenient: bool = False) -> DataFrame:
     """The first row of each ``order_id`` in the given order; rows without an id count as one order.
 
+    With ``lenient`` ids that a store without regard to case would take for one are one, spelt as in the first row.
+
     Spark turns ``row_number() = 1`` into a group limit ahead of the shuffle, so each map task
     sends at most one row per order and a very frequent id does not gather in one task.
     """
-    in_order = Window.partitionBy("order_id").orderBy(*order_by)
+    in_order = Window.partitionBy(order_key(lenient)).orderBy(*order_by)
     return df.withColumn("_copy", F.row_number().over(in_order)).where("_copy = 1").drop("_copy")
 
 
@@ -132,12 +139,13 @@ def clean_sales(
     order_by: Sequence[str],
     layouts: Sequence[str] = (ISO_DATE,),
     on_bad_number: str = "fail",
+    lenient: bool = False,
 ) -> DataFrame:
     """All rules in order.  Input columns beyond the required ones are kept."""
     return (
         conform(df, layouts, on_bad_number)
         .transform(drop_missing)
-        .transform(keep_first, order_by)
+        .transform(keep_first, order_by, lenient)
         .transform(drop_bad_quantity)
         .transform(drop_bad_price)
         .transform(derive)

@@ -28,12 +28,18 @@ def ingest(
     on_conflict: str = "error",
     refresh: str = "batch",
     run_id: str | None = None,
+    on_violation: str = "error",
 ) -> dict:
     """Clean, load, refresh the summary and log the run; a failure is logged and raised again.
 
     ``extract`` returns the raw rows and the date layouts.  The rows are scanned once: one job
     cleans, counts and stages them, and everything after reads the staged table.
+
+    Rows that break a constraint of the table fail the run, or with ``on_violation="quarantine"`` go to the table of
+    rejects with their reasons; such a run is PARTIAL, and these rows count as rejected.
     """
+    if on_violation not in ("error", "quarantine"):
+        raise ValueError(f"on_violation must be 'error' or 'quarantine', not {on_violation!r}")
     if on_bad_number not in ("fail", "null"):
         raise ValueError(f"on_bad_number must be 'fail' or 'null', not {on_bad_number!r}")
     with AuditedRun(warehouse, source_name, run_id) as run, warehouse.staging() as stage:
@@ -49,6 +55,11 @@ def ingest(
         run.rows |= {name: stats[name] for name in ("rows_cleaned", "rows_rejected")}
         logger.info("%s: %s", source_name, stats)
         clean = kept_rows(disposed)
+        if on_violation == "quarantine":
+            clean, refused = warehouse.quarantine(clean, run.run_id, stage)
+            run.rows["rows_cleaned"] -= refused
+            run.rows["rows_rejected"] += refused
+            run.outcome = "PARTIAL" if refused else run.outcome
         run.rows["rows_loaded"] = warehouse.load_transactions(clean, on_conflict)
         warehouse.refresh_summary(clean, refresh)
     return run.result()

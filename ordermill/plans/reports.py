@@ -10,11 +10,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import display_label, period_of
 from ordermill.plans.warehouse import Warehouse
-from ordermill.schemas import MONTH_KEYS, SUMMARY, TRANSACTIONS
-
-# Compares texts without regard to case, accents and trailing blanks, as the usual collation of
-# relational databases does.
-LENIENT_COLLATION = "UNICODE_CI_AI_RTRIM"
+from ordermill.schemas import LENIENT_COLLATION, MONTH_KEYS, SUMMARY, TRANSACTIONS
 
 
 def _totals_by(df: DataFrame, key: str, lenient: bool, *measures: Column) -> DataFrame:

@@ -16,3 +16,9 @@ def scratch_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A folder name nobody else uses; nothing is created yet."""
     return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder and what it holds, in whatever store it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

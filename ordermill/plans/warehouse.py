@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 from operator import or_
 from typing import Any
@@ -19,11 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ordermill.operators.aggregates import monthly_totals
-from ordermill.operators.constraints import ConstraintError, check_constraints, check_summary
+from ordermill.operators.cleaning import keep_first, order_key
+from ordermill.operators.constraints import BatchProfile, ConstraintError, check_constraints, check_summary
+from ordermill.operators.quarantine import BROKEN, mark_broken, rejected_rows, sound_rows
+from ordermill.plans.key_index import STEPS, KeyIndex
 from ordermill.plans.scratch import scratch_root
 from ordermill.schemas import (
     LOAD_COLUMNS,
     MONTH_KEYS,
+    REJECTS,
+    REJECTS_SCHEMA,
     SUMMARY,
     SUMMARY_SCHEMA,
     TABLE_PARTITIONS,
@@ -36,6 +41,28 @@ SUMMARY_KEYS = [*MONTH_KEYS, "region"]
 SUMMARY_MEASURES = ["total_orders", "total_quantity", "total_revenue", "avg_order_value"]
 
 
+# Arguments, result columns and query of each report function.
+REPORT_FUNCTIONS = {
+    "sql_top_products": (
+        "n INT",
+        "product_name STRING, units_sold BIGINT, total_revenue DECIMAL(22, 2)",
+        """SELECT product_name, units_sold, total_revenue FROM (
+             SELECT product_name, SUM(quantity) AS units_sold, SUM(total_amount) AS total_revenue,
+                    ROW_NUMBER() OVER (ORDER BY SUM(total_amount) DESC, product_name) AS place
+             FROM {transactions} WHERE product_name IS NOT NULL GROUP BY product_name)
+           WHERE place <= sql_top_products.n""",
+    ),
+    "sql_region_share": (
+        "since DATE, until DATE",
+        "region STRING, revenue DECIMAL(22, 2), share DECIMAL(7, 4)",
+        """SELECT region, revenue,
+                  CAST(CAST(revenue AS DOUBLE) / CAST(SUM(revenue) OVER () AS DOUBLE) AS DECIMAL(7, 4)) AS share
+           FROM (SELECT region, SUM(total_amount) AS revenue FROM {transactions}
+                 WHERE order_date BETWEEN sql_region_share.since AND sql_region_share.until GROUP BY region)""",
+    ),
+}
+
+
 class DuplicateOrderError(ValueError):
     """A batch holds an order the transactions table already has."""
 
@@ -60,20 +87,28 @@ def summary_projection(df: DataFrame) -> DataFrame:
     return df.select(*[value.cast(stored[name]).alias(name) for name, value in values.items()])
 
 
-def known_orders(stored: DataFrame, batch: DataFrame, low_id: str | None = None, high_id: str | None = None) -> DataFrame:
-    """Ids of the batch that the stored rows already have.
+def known_orders(
+    stored: DataFrame, batch: DataFrame, low_id: str | None = None, high_id: str | None = None, lenient: bool = False
+) -> DataFrame:
+    """Ids of the batch that the stored rows already have; with ``lenient`` as a store without regard to case has them.
 
     The batch is on the right, so a batch under the broadcast threshold is sent to the stored rows
     and these, the large side, are not shuffled.  The range of batch ids, where the caller knows it,
-    goes to the parquet scan.
+    goes to the parquet scan; it says nothing of ids that differ in case.
     """
+    if lenient:
+        ids = batch.select(order_key(True).alias("_key"))
+        return stored.select("order_id").join(ids, order_key(True) == F.col("_key"), "left_semi")
     if low_id is not None and high_id is not None:
         stored = stored.where(F.col("order_id").between(low_id, high_id))
     return stored.select("order_id").join(batch.select("order_id"), "order_id", "left_semi")
 
 
-def new_orders(batch: DataFrame, known: DataFrame) -> DataFrame:
+def new_orders(batch: DataFrame, known: DataFrame, lenient: bool = False) -> DataFrame:
     """The batch without the orders already known."""
+    if lenient:
+        stored = known.select(order_key(True).alias("_key"))
+        return batch.join(stored, order_key(True) == F.col("_key"), "left_anti")
     return batch.join(known, "order_id", "left_anti")
 
 
@@ -100,14 +135,19 @@ def merge_summary(current: DataFrame, batch: DataFrame) -> DataFrame:
 class Warehouse:
     """The three tables under one folder, as a catalog database.
 
-    A database of this name whose tables lie elsewhere is refused.
+    A database of this name whose tables lie elsewhere is refused.  With ``key_index`` (options of ``KeyIndex``)
+    loads look for stored orders in an index of ids and not in the transactions; a warehouse that has one must be
+    opened so each time.
     """
 
-    def __init__(self, spark: SparkSession, root: str, database: str = "order_mart"):
+    def __init__(self, spark: SparkSession, root: str, database: str = "order_mart", key_index: dict | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.database = database
         self.create_tables()
+        if key_index is None and spark.catalog.tableExists(self._name(STEPS)):
+            raise ValueError(f"{database} has a key index; open it with key_index={{}}")
+        self.keys = None if key_index is None else KeyIndex(self, **key_index)
 
     def _name(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
@@ -192,6 +232,15 @@ class Warehouse:
         with self._in_database():
             self.spark.sql(statement, args=params or {})
 
+    def create_report_functions(self) -> None:
+        """Reports as SQL functions of the database that return tables, for use in any query text.
+
+        ``sql_top_products(n)`` and ``sql_region_share(since, until)``; arguments are parameters, not text.
+        """
+        for name, (arguments, columns, body) in REPORT_FUNCTIONS.items():
+            query = body.format(transactions=self._name(TRANSACTIONS))
+            self.spark.sql(f"CREATE OR REPLACE FUNCTION `{self.database}`.{name}({arguments}) RETURNS TABLE({columns}) RETURN {query}")
+
     # -- staging ------------------------------------------------------------------------------
 
     @contextmanager
@@ -218,27 +267,69 @@ class Warehouse:
 
     # -- loading ------------------------------------------------------------------------------
 
-    def load_transactions(self, batch: DataFrame, on_conflict: str = "error") -> int:
+    def load_transactions(self, batch: DataFrame, on_conflict: str = "error", lenient: bool = False) -> int:
         """Append clean rows with distinct order ids; returns how many were added.
 
         ``on_conflict="error"`` refuses the whole batch when one order is already stored,
-        ``"ignore"`` adds the others.  The batch is read more than once, so stage it.
+        ``"ignore"`` adds the others.  With ``lenient`` ids are one as they are to a store that ignores case, within the
+        batch too (the first by spelling stays).  The batch is read more than once, so stage it.
         """
         if on_conflict not in ("error", "ignore"):
             raise ValueError(f"on_conflict must be 'error' or 'ignore', not {on_conflict!r}")
+        if lenient and self.keys is not None:
+            raise ValueError("the key index compares ids exactly")
+        if lenient:
+            return self._load_lenient(batch, on_conflict)
         profile = check_constraints(batch)
         if not profile.rows:
             return 0
         with self.staging() as stage:
-            known = stage(known_orders(self.table(TRANSACTIONS), batch, profile.low_id, profile.high_id), "known")
+            known = self._stored_ids(batch, profile, stage)
             conflicts = known.count()
             if conflicts and on_conflict == "error":
                 some = [row.order_id for row in known.limit(5).collect()]
                 raise DuplicateOrderError(f"{conflicts} orders are already stored, for example {some}")
             fresh = new_orders(batch, known) if conflicts else batch
-            self.append(load_projection(fresh).withColumn("loaded_at", F.current_timestamp()), TRANSACTIONS)
+            with self._followed(fresh):
+                self.append(load_projection(fresh).withColumn("loaded_at", F.current_timestamp()), TRANSACTIONS)
         return profile.rows - conflicts
 
+    def _load_lenient(self, batch: DataFrame, on_conflict: str) -> int:
+        profile = check_constraints(batch)
+        with self.staging() as stage:
+            distinct = stage(keep_first(batch, ["order_id"], lenient=True), "distinct")
+            known = stage(known_orders(self.table(TRANSACTIONS), distinct, lenient=True), "known")
+            fresh = stage(new_orders(distinct, known, lenient=True), "fresh")
+            added = fresh.count()
+            if added < profile.rows and on_conflict == "error":
+                raise DuplicateOrderError(f"{profile.rows - added} orders differ from others only as the store does not see")
+            if added:
+                self.append(load_projection(fresh).withColumn("loaded_at", F.current_timestamp()), TRANSACTIONS)
+        return added
+
+    def quarantine(self, batch: DataFrame, run_id: str, stage) -> tuple[DataFrame, int]:
+        """The rows that the transactions table may hold, and how many others went to the table of rejects.
+
+        One pass marks every row with the rules it breaks; both sides are read from the marked rows.
+        """
+        marked = stage(mark_broken(batch), "marked")
+        refused = marked.where(F.col(BROKEN) != 0).count()
+        if refused:
+            self.create_table(REJECTS, REJECTS_SCHEMA, [])
+            self.append(rejected_rows(marked, run_id), REJECTS)
+        return sound_rows(marked), refused
+
+    def _stored_ids(self, batch: DataFrame, profile: BatchProfile, stage) -> DataFrame:
+        """Ids of the batch that are stored, staged."""
+        if self.keys is None:
+            return stage(known_orders(self.table(TRANSACTIONS), batch, profile.low_id, profile.high_id), "known")
+        self.keys.ready()
+        suspects = stage(self.keys.suspects(batch.select("order_id")), "suspects")
+        return stage(self.keys.known(suspects), "known")
+
+    def _followed(self, fresh: DataFrame):
+        return nullcontext() if self.keys is None else self.keys.following(fresh.select("order_id"))
+
     def load_dataframe(self, df: DataFrame, table: str, if_exists: str = "append") -> int:
         """Write any frame to a table: ``append``, ``replace``, or ``fail`` when the table exists.
 
@@ -289,6 +380,8 @@ class Warehouse:
             return
         check_constraints(staged)
         self.append(load_projection(staged).withColumn("loaded_at", F.current_timestamp()), TRANSACTIONS, overwrite=True)
+        if self.keys is not None:
+            self.keys.rebuild()
 
     def _load_summary(self, staged: DataFrame, append: bool) -> None:
         check_summary(staged)

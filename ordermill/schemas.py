@@ -132,6 +132,20 @@ NUMBER_LIMITS = {
 RUN_STATUSES = ["SUCCESS", "FAILED", "PARTIAL"]
 LONGEST_SOURCE = 255
 
+# Rows refused by the transactions table, as texts; beside the three tables, for runs that set them apart.
+REJECTS = "rejected_orders"
+REJECTS_SCHEMA = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("rejected_at", T.TimestampType()),
+        T.StructField("reasons", T.ArrayType(T.StringType())),
+        *[T.StructField(name, T.StringType()) for name in LOAD_COLUMNS],
+    ]
+)
+
+# The collation under which a store that ignores case, accents and trailing blanks compares texts.
+LENIENT_COLLATION = "UNICODE_CI_AI_RTRIM"
+
 # Which files a folder has brought; beside the three tables, for recurring runs.
 TAKEN_FILES = "taken_files"
 TAKEN_FILES_SCHEMA = T.StructType(

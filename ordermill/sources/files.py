@@ -19,6 +19,8 @@ from ordermill.functions import ISO_DATE, pick_date_formats
 from ordermill.functions.dates import DATE_LAYOUTS
 from ordermill.operators.cleaning import validate_schema
 from ordermill.schemas import NA_TOKENS
+from ordermill.sources.heads import first_lines
+from ordermill.sources.places import place_columns
 
 # Ascending order of these three is input order: file by name, part of the file, row of the part.
 SOURCE_ORDER = ["_file", "_block", "_row"]
@@ -28,6 +30,10 @@ Paths = str | list[str]
 _BROKEN = "_broken_line"
 
 
+class OpenQuoteError(ValueError):
+    """A file with a quote that is never closed: what follows it cannot be told apart into records."""
+
+
 def csv_options(multi_line: bool, check_header: bool = True) -> dict[str, str]:
     """Reader options: header by name, doubled quotes, optionally line breaks inside quotes.
 
@@ -49,11 +55,6 @@ def csv_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in [*columns, _BROKEN]])
 
 
-def place_columns() -> list[Column]:
-    """File of a row and the offset of the part of the file it was read with."""
-    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
-
-
 def finish_csv(df: DataFrame, columns: list[str], multi_line: bool) -> DataFrame:
     """Number the rows, reject lines with too many fields and null the no-value texts.
 
@@ -97,24 +98,80 @@ def literal_path(name: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", name)
 
 
-def _pieces(spark: SparkSession, path: Paths) -> DataFrame:
+def _pieces(spark: SparkSession, path: Paths, quoted_only: bool = False) -> DataFrame:
     """The text between line ends of any kind, in splits whatever the size of a file.
 
     ``_row`` and ``_part`` order the pieces of a block; ``odd`` is 1 where the piece holds an odd number of quotes.
     A quote in the middle of an unquoted field (``5" pipe``) has letters on both sides and does not count.
+    ``quoted_only`` leaves out lines without any quote before they are looked at more closely.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select("value", *place_columns())
+    if quoted_only:
+        lines = lines.where(F.contains("value", F.lit('"')))
     numbered = lines.withColumn("_row", F.monotonically_increasing_id())
-    cut = numbered.select("_file", "_block", "_row", F.posexplode(F.split("value", "\r")).alias("_part", "text"))
-    without = F.regexp_replace("text", r'(?<=[^",])"(?=[^",])', "")
-    quotes = F.length(without) - F.length(F.replace(without, F.lit('"'), F.lit("")))
-    return cut.withColumn("odd", (quotes % 2).cast("int"))
+    parts = F.split("value", "\r")
+    cut = numbered.select("_file", "_block", "_row", F.size(parts).alias("_parts"), F.posexplode(parts).alias("_part", "text"))
+    bare = F.regexp_replace("text", r'(?<=[^",])"(?=[^",])', "")
+    quotes = F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))
+    return cut.withColumn("odd", F.when(F.contains("text", F.lit('"')), quotes % 2).otherwise(0).cast("int"))
+
+
+def _odd_pieces(spark: SparkSession, path: Paths) -> dict[str, int]:
+    """Files that have line breaks inside quoted fields, each with its number of pieces with an odd number of quotes."""
+    files = _pieces(spark, path, quoted_only=True).where("odd = 1").groupBy("_file").count()
+    return {unquote(row._file): row["count"] for row in files.toLocalIterator()}
+
+
+_PLACE = ["_block", "_row", "_part"]
+
+
+def _open_quotes(spark: SparkSession, path: Paths, n_columns: int) -> DataFrame:
+    """For each file, ``line`` (from 1) and ``place`` of the piece that most likely opens a quote never closed.
 
+    Every block carries both states, begun outside quotes and inside.  A piece speaks for having begun outside where it
+    has no quote and as many fields as the heading, or its first quote stands where a field begins; for inside where
+    its first quote stands where a field ends.  With one quote too many, all states after it are the wrong ones.  So
+    the piece is the one up to which the running evidence, each piece counted with its state's sign, is largest.
+    """
+    block = Window.partitionBy("_file", "_block")
+    earlier_blocks = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = block.orderBy("_row", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    sign = lambda quotes: 1 - 2 * (F.coalesce(quotes, zero) % 2)
+
+    pieces = _pieces(spark, path)
+    lone = F.regexp_replace(F.regexp_replace("text", r'(?<=[^",])"(?=[^",])', ""), '""', "")
+    fields = F.length(lone) - F.length(F.replace(lone, F.lit(","), F.lit(""))) + 1
+    opens, closes = lone.rlike('^([^"]*,)?"'), lone.rlike('^[^"]*"(,|$)')
+    speaks = F.when(~F.contains(lone, F.lit('"')), (fields == n_columns).cast("int"))
+    speaks = speaks.when(opens & ~closes, 1).when(closes & ~opens, -1).otherwise(0)
+    ended = (F.col("_part") > 0) & (F.col("_part") == F.col("_parts") - 1) & (F.col("text") == "")  # after a return
+    pieces = pieces.withColumn("evidence", speaks * sign(F.sum("odd").over(earlier))).withColumn("lines", (~ended).cast("int"))
+
+    of_block = pieces.groupBy("_file", "_block").agg(*[F.sum(c).alias(f"all_{c}") for c in ("odd", "evidence", "lines")])
+    of_block = of_block.withColumn("sign", sign(F.sum("all_odd").over(earlier_blocks)))
+    before = [
+        F.coalesce(F.sum(F.col("sign") * F.col("all_evidence")).over(earlier_blocks), zero).alias("evidence_before"),
+        F.coalesce(F.sum("all_lines").over(earlier_blocks), zero).alias("lines_before"),
+    ]
+    running = pieces.select(
+        "_file",
+        *_PLACE,
+        "odd",
+        F.coalesce(F.sum("evidence").over(earlier), zero).alias("evidence"),
+        (F.coalesce(F.sum("lines").over(earlier), zero) + 1).alias("line"),
+    )
+    found = running.where("odd = 1").join(of_block.select("_file", "_block", "sign", *before), ["_file", "_block"])
+    weight = F.col("evidence_before") + F.col("sign") * F.col("evidence")
+    line = F.col("lines_before") + F.col("line")
+    best = F.max_by(F.struct(line.alias("line"), F.struct(*_PLACE).alias("place")), F.struct(weight, -line))
+    return found.groupBy("_file").agg(best.alias("best")).select("_file", "best.line", "best.place")
 
-def _files_with_line_breaks(spark: SparkSession, path: Paths) -> set[str]:
-    """Files that have line breaks inside quoted fields; what is collected are their names."""
-    files = _pieces(spark, path).where("odd = 1").select("_file").distinct()
-    return {unquote(row._file) for row in files.toLocalIterator()}
+
+def _refuse_open_quotes(spark: SparkSession, files: list[str], n_columns: int) -> None:
+    found = _open_quotes(spark, [literal_path(name) for name in files], n_columns).orderBy("_file").limit(5).collect()
+    named = "; ".join(f"line {row.line} of {unquote(row._file)}" for row in found)
+    raise OpenQuoteError(f"a quote is opened and never closed in {named}" + (f" (and in {len(files) - len(found)} more files)" if len(files) > len(found) else ""))
 
 
 def _records(pieces: DataFrame) -> DataFrame:
@@ -164,10 +221,17 @@ def _records(pieces: DataFrame) -> DataFrame:
     return records.where(~F.col("text").rlike("^[ \t\r\n\ufeff]*$"))
 
 
-def _read_records(spark: SparkSession, path: Paths, columns: list[str], comparable: bool) -> DataFrame:
-    """Rows of files with line breaks inside quoted fields; their headings must be ``columns``."""
+def _read_records(spark: SparkSession, path: Paths, columns: list[str], comparable: bool, cut: bool = False) -> DataFrame:
+    """Rows of files with line breaks inside quoted fields; their headings must be ``columns``.
+
+    ``cut`` reads each file to the line whose quote is never closed.
+    """
     options = {"escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": _BROKEN}
-    records = _records(_pieces(spark, path))
+    pieces = _pieces(spark, path)
+    if cut:
+        ends = _open_quotes(spark, path, len(columns)).select("_file", "place")
+        pieces = pieces.join(ends, "_file").where(F.struct(*_PLACE) < F.col("place")).drop("place")
+    records = _records(pieces)
     if comparable:
         names = ", ".join(f"c{i} string" for i in range(len(columns)))
         found = F.from_csv(F.ltrim(F.col("text"), F.lit("\ufeff")), names, options)
@@ -184,25 +248,32 @@ def _read_records(spark: SparkSession, path: Paths, columns: list[str], comparab
     return finish_csv(rows, columns, True)
 
 
-def _by_line_breaks(spark: SparkSession, path: Paths) -> list[tuple[Paths, bool]]:
-    """Paths to read, each with whether its fields hold line breaks."""
-    broken = _files_with_line_breaks(spark, path)
+def _by_line_breaks(spark: SparkSession, path: Paths, n_columns: int, on_open_quote: str) -> list[tuple[Paths, bool, bool]]:
+    """Paths to read, each with whether its fields hold line breaks and whether a quote is never closed."""
+    broken = _odd_pieces(spark, path)
     if not broken:
-        return [(path, False)]
+        return [(path, False, False)]
+    open_ = [name for name, n in broken.items() if n % 2]
+    if open_ and on_open_quote == "fail":
+        _refuse_open_quotes(spark, sorted(open_), n_columns)
     names = [row.path for row in list_files(spark, path).select("path").toLocalIterator()]
-    plain = [literal_path(name) for name in names if name not in broken]
-    groups: list[tuple[Paths, bool]] = [([literal_path(name) for name in names if name in broken], True)]
-    return groups + [(plain, False)] if plain else groups
+    groups = []
+    for breaks, unclosed in ((True, False), (True, True), (False, False)):
+        some = [literal_path(name) for name in names if (name in broken, broken.get(name, 0) % 2 == 1) == (breaks, unclosed)]
+        if some:
+            groups.append((some, breaks, unclosed))
+    return groups
 
 
-def _read_csv(spark: SparkSession, path: Paths, multi_line: bool | None) -> DataFrame:
+def _read_csv(spark: SparkSession, path: Paths, multi_line: bool | None, on_open_quote: str) -> DataFrame:
     columns, comparable = _header(spark, path)
     if not comparable and len(_files_by_header(spark, path)) > 1:
         raise ValueError("the files have different headers; read them with mixed_headers=True")
     parts = []
-    for files, breaks in [(path, False)] if multi_line is False else _by_line_breaks(spark, path):
+    groups = [(path, False, False)] if multi_line is False else _by_line_breaks(spark, path, len(columns), on_open_quote)
+    for files, breaks, unclosed in groups:
         if breaks:
-            parts.append(_read_records(spark, files, columns, comparable))
+            parts.append(_read_records(spark, files, columns, comparable, unclosed))
         else:
             scan = spark.read.schema(csv_schema(columns)).options(**csv_options(False, comparable)).csv(files)
             parts.append(finish_csv(scan.select("*", *place_columns()), columns, False))
@@ -211,12 +282,9 @@ def _read_csv(spark: SparkSession, path: Paths, multi_line: bool | None) -> Data
 
 def _files_by_header(spark: SparkSession, path: Paths) -> list[list[str]]:
     """File names grouped by header line: one name per file, as in Spark's own listing of the path."""
-    lines = spark.read.text(path).select("value", *place_columns()).where("_block = 0")
-    numbered = lines.withColumn("_row", F.monotonically_increasing_id())
-    per_file = numbered.groupBy("_file").agg(F.min_by("value", "_row").alias("header"))
     groups: dict[str, list[str]] = {}
-    for file, header in per_file.orderBy("header", "_file").toLocalIterator():
-        groups.setdefault(header, []).append(literal_path(unquote(file)))
+    for file, header in first_lines(list_files(spark, path)).orderBy("header", "path").toLocalIterator():
+        groups.setdefault(header, []).append(literal_path(file))
     return list(groups.values())
 
 
@@ -233,6 +301,7 @@ def read_raw(
     fmt: str = "csv",
     multi_line: bool | None = None,
     mixed_headers: bool = False,
+    on_open_quote: str = "fail",
 ) -> DataFrame:
     """Raw rows of files or folders, with the ``SOURCE_ORDER`` columns.
 
@@ -241,7 +310,12 @@ def read_raw(
     are put together in parallel.  ``multi_line=False`` says that there are none and saves the pass.
     ``mixed_headers=True`` admits files whose columns stand in different orders; it costs a look at
     the start of every file.  Raises ``FileNotFoundError`` for an absent path.
+
+    A file with an odd number of quotes has one that is never closed: ``OpenQuoteError`` names its line, or with
+    ``on_open_quote="stop"`` such a file is read to that line.
     """
+    if on_open_quote not in ("fail", "stop"):
+        raise ValueError(f"on_open_quote must be 'fail' or 'stop', not {on_open_quote!r}")
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"fmt must be 'csv' or 'parquet', not {fmt!r}")
     try:
@@ -256,7 +330,7 @@ def read_raw(
         if mixed_headers:
             groups = _files_by_header(spark, path) or groups
         return reduce(
-            _union, [_read_csv(spark, files, multi_line) for files in groups]
+            _union, [_read_csv(spark, files, multi_line, on_open_quote) for files in groups]
         )
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):

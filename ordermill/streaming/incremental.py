@@ -8,8 +8,10 @@ before.  A file that arrives while a call runs is left to the next one.
 A batch is loaded first and noted after.  If the noting is lost, the batch is taken again: orders it had already
 stored are skipped and the months it touches are totalled anew, so taking it again changes nothing.
 
-A delivery that cannot be loaded is logged as FAILED and noted as such, with the others of its batch loaded one
-by one; it is not tried again unless asked for, or written anew, and holds nothing up.
+A delivery whose own content is to blame (a bad number, a broken constraint, a wrong header, a quote left open) is
+logged as FAILED and noted as such, with the others of its batch loaded one by one; it is not tried again unless
+asked for, or written anew, and holds nothing up.  Any other failure, such as a store out of reach, ends the call with
+nothing noted, so the next call takes the same files again.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +41,17 @@ FILE_KEY = ["path", "length", "modified"]
 MAX_FILES = 1000
 
 
+# What an error of Spark says where the rows of a file caused it.
+FAULTS_OF_ROWS = ["USER_RAISED_EXCEPTION", "CSV header does not conform", "MALFORMED_CSV_RECORD", "is not a Parquet file"]
+
+
+def fault_of_delivery(error: Exception) -> bool:
+    """Whether the files themselves are to blame, so that trying again is no use."""
+    if isinstance(error, ValueError):
+        return True
+    return isinstance(error, (PySparkException, Py4JJavaError)) and any(sign in str(error) for sign in FAULTS_OF_ROWS)
+
+
 class Taken(NamedTuple):
     """Batches loaded by a call, and the files it could not load."""
 
@@ -79,25 +94,26 @@ def run_incremental(
 
     with warehouse.staging() as stage:
         waiting = stage(new_files(warehouse, folder, retry_failed), "waiting")
-        batches, failed = 0, []
-        while batch := _next(waiting, max_files):
+        batches, failed, batch = 0, [], []
+        while batch := _next(waiting, max_files, batch[-1] if batch else None):
             loaded, bad = _take(warehouse, folder, batch, options)
             batches += loaded
             failed += bad
-            waiting = stage(waiting.join(_as_rows(warehouse, batch), FILE_KEY, "left_anti"), "waiting")
     if report_folder is not None:
         _report(warehouse, report_folder, top_n, lenient)
     return Taken(batches, failed)
 
 
-def _next(waiting: DataFrame, max_files: int) -> list[tuple]:
-    """The next files to take: names of one batch are all that comes to the driver."""
+def _next(waiting: DataFrame, max_files: int, last: tuple | None) -> list[tuple]:
+    """The next files to take after the ``last`` one: names of one batch are all that comes to the driver."""
+    if last is not None:
+        path, _, modified = last
+        waiting = waiting.where((F.col("modified") > F.lit(modified)) | (F.col("modified") == F.lit(modified)) & (F.col("path") > path))
     return [tuple(row) for row in waiting.orderBy("modified", "path").limit(max_files).collect()]
 
 
-def _as_rows(warehouse: Warehouse, batch: list[tuple], outcome: str | None = None, run_id: str | None = None) -> DataFrame:
-    rows = warehouse.spark.createDataFrame([(*file, outcome, run_id) for file in batch], TAKEN_FILES_SCHEMA).coalesce(1)
-    return rows if outcome else rows.select(*FILE_KEY)
+def _as_rows(warehouse: Warehouse, batch: list[tuple], outcome: str, run_id: str) -> DataFrame:
+    return warehouse.spark.createDataFrame([(*file, outcome, run_id) for file in batch], TAKEN_FILES_SCHEMA).coalesce(1)
 
 
 def _take(warehouse: Warehouse, folder: str, batch: list[tuple], options: dict) -> tuple[int, list[str]]:
@@ -107,6 +123,8 @@ def _take(warehouse: Warehouse, folder: str, batch: list[tuple], options: dict)
     try:
         run_pipeline(warehouse, paths, source_name=folder[-255:], run_id=run_id, **options)
     except Exception as error:
+        if not fault_of_delivery(error):
+            raise
         if len(batch) > 1:
             parts = [_take(warehouse, folder, [file], options) for file in batch]
             return sum(n for n, _ in parts), [path for _, bad in parts for path in bad]

@@ -204,12 +204,11 @@ def test_failed_batch_is_taken_again(warehouse, tmp_path, monkeypatch):
 
     with monkeypatch.context() as patch:
         patch.setattr(Warehouse, "upsert_monthly_summary", broken)
-        batches, failed = take(warehouse, tmp_path)
-    assert batches == 0 and [path.rsplit("/", 1)[-1] for path in failed] == ["1.csv"]
-    assert warehouse.table(TRANSACTIONS).count() == 2
+        with pytest.raises(RuntimeError, match="summary failed"):
+            take(warehouse, tmp_path)
+    assert warehouse.table(TRANSACTIONS).count() == 2 and warehouse.table(TAKEN_FILES).isEmpty()
+    assert take(warehouse, tmp_path) == ONE
     assert take(warehouse, tmp_path) == NOTHING
-    assert take(warehouse, tmp_path, retry_failed=True) == ONE
-    assert take(warehouse, tmp_path, retry_failed=True) == NOTHING
     assert warehouse.table(TRANSACTIONS).count() == 2
     assert summary(warehouse) == {(5, "West"): (1, Decimal("30.00")), (5, "East"): (1, Decimal("0.00"))}
     assert log(warehouse) == [(7, 2, 5, 2, "FAILED"), (7, 2, 5, 0, "SUCCESS")]
@@ -258,6 +257,33 @@ def test_bad_delivery_holds_up_nothing(warehouse, tmp_path):
     assert orders(warehouse) == ["1", "2", "3", "4"]
 
 
+def test_after_an_outage_the_next_call_takes_the_same_files(warehouse, tmp_path, monkeypatch):
+    for i in range(3):
+        write(tmp_path / "drop" / f"{i}.csv", row(order_id=f"o{i}"))
+
+    def unreachable(*_, **__):
+        raise OSError("store unreachable")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "load_transactions", unreachable)
+        with pytest.raises(OSError, match="unreachable"):
+            take(warehouse, tmp_path)
+    assert warehouse.table(TAKEN_FILES).isEmpty()
+    assert take(warehouse, tmp_path) == ONE
+    assert orders(warehouse) == ["o0", "o1", "o2"]
+
+
+def test_quote_left_open_fails_the_delivery_alone(warehouse, tmp_path):
+    write(tmp_path / "drop" / "1.csv", row(order_id="1"))
+    bad = write(tmp_path / "drop" / "2.csv", row(order_id="2"), row(order_id="3"))
+    with open(bad, "a") as file:
+        file.write('x,2023-05-04,"Ines,west,Garden,Rake,3,12.5,0.2,Cash\n')
+    batches, failed = take(warehouse, tmp_path)
+    assert batches == 1 and [path.rsplit("/", 1)[-1] for path in failed] == ["2.csv"]
+    assert take(warehouse, tmp_path, retry_failed=True) == (0, failed)
+    assert any("line 4 of" in (entry.error_message or "") for entry in warehouse.table(RUN_LOG).collect())
+
+
 def test_reports_that_failed_are_written_by_the_next_call(warehouse, tmp_path, monkeypatch):
     write(tmp_path / "drop" / "1.csv", *DIRTY)
     reports = str(tmp_path / "reports")

@@ -12,6 +12,7 @@ from ordermill.operators.cleaning import clean_sales
 from ordermill.schemas import NA_TOKENS, REQUIRED_COLUMNS
 from ordermill.sources import SOURCE_ORDER, infer_layouts, read_raw
 from ordermill.sources import jdbc
+from ordermill.sources.files import OpenQuoteError, list_files
 
 HEADER = ",".join(REQUIRED_COLUMNS)
 
@@ -283,3 +284,69 @@ def test_jdbc_options():
     assert (got["partitionColumn"], got["lowerBound"], got["upperBound"]) == ("id", "1", "100")
     with pytest.raises(ValueError):
         jdbc.read_jdbc(Session, "jdbc:x:y", "t", "id")
+
+
+# -- quotes and headings --------------------------------------------------------------------------
+
+
+def with_open_quote(lines, at, end="\n", breaks=True):
+    """A file whose line ``at`` (from 1, the heading included) opens a quote; others hold line breaks and doubled quotes."""
+    out = [HEADER]
+    for i in range(2, lines + 1):
+        name = f'"Ines {i}, ""the{end}long"" one"' if breaks and i % 7 == 0 else f"Ines {i}"
+        out.append(f"N-{i},2023-05-04,{name},west,Garden,Rake,3,12.5,0.2,Cash")
+    out[at - 1] = out[at - 1].replace(",Garden,", ',"Garden,')
+    return end.join(out) + end
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("at,split", [(10, "128m"), (300, "2k"), (2, "1k"), (399, "3k")])
+def test_quote_left_open_is_named_by_its_line(spark, tmp_path, end, at, split):
+    (tmp_path / "a.csv").write_bytes(with_open_quote(400, at, end).encode())
+    (tmp_path / "b.csv").write_bytes(with_open_quote(9, 5, end, breaks=False).replace('"Garden', "Garden").encode())
+    # A line break inside quotes is a line of the file as well.
+    line = at + sum(1 for i in range(2, at) if i % 7 == 0)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        with pytest.raises(OpenQuoteError, match=rf"line {line} of .*a\.csv"):
+            read_raw(spark, str(tmp_path))
+        rows = read_raw(spark, str(tmp_path), on_open_quote="stop").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    of_a = sorted(int(r.order_id[2:]) for r in rows if r._file.endswith("a.csv"))
+    assert of_a == list(range(2, at)) and len(rows) == len(of_a) + 8
+    assert all(r.region == "west" for r in rows)
+
+
+def test_even_numbers_of_quotes_are_no_fault(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(with_open_quote(60, 10).replace('"Garden', "Garden"))
+    assert read_raw(spark, str(tmp_path)).count() == 59
+    with pytest.raises(ValueError, match="on_open_quote"):
+        read_raw(spark, str(tmp_path), on_open_quote="skip")
+
+
+def test_first_lines_cost_the_same_for_files_of_any_size(spark, tmp_path):
+    import gzip
+
+    from ordermill.sources.heads import READ, first_lines, read_heads
+
+    small, large = HEADER + "\r\nx", HEADER + "\n" + "y" * 5_000_000
+    (tmp_path / "a b%20.csv").write_text(small)
+    (tmp_path / "large.csv").write_text(large)
+    (tmp_path / "packed.csv.gz").write_bytes(gzip.compress(large.encode()))
+    (tmp_path / "wide.csv").write_text("c" * (3 * READ) + "\n")
+    heads = {r.path.rsplit("/", 1)[-1]: r for r in read_heads(list_files(spark, str(tmp_path))).collect()}
+    assert {name: r.header for name, r in heads.items() if name != "wide.csv"} == {"a b%20.csv": HEADER, "large.csv": HEADER, "packed.csv.gz": HEADER}
+    assert heads["wide.csv"].header == "c" * 3 * READ
+    assert heads["large.csv"].bytes == heads["packed.csv.gz"].bytes == READ
+    names = {r.path: r.header for r in first_lines(list_files(spark, str(tmp_path))).collect()}
+    assert names == {r.path: r.header for r in heads.values()}
+
+
+def test_first_lines_of_a_store_only_spark_reads(spark, tmp_path, monkeypatch):
+    from ordermill.sources import heads
+
+    (tmp_path / "a b.csv").write_text(HEADER + "\nx\n")
+    monkeypatch.setattr(heads, "_within_reach", lambda path: False)
+    rows = heads.first_lines(list_files(spark, str(tmp_path))).collect()
+    assert [(r.path.rsplit("/", 1)[-1], r.header) for r in rows] == [("a b.csv", HEADER)]
