@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ordermill.llm.shared import stage, text_of
+from ordermill.llm.shared import partitions, stage, text_of
 
 SHARDS = 40
 BUCKETS = 4096
@@ -94,7 +94,11 @@ def number_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
     placed = counted.withColumn("offset", F.coalesce(F.sum("copies").over(rank), F.lit(0)))
     placed = placed.join(F.broadcast(starts), "bucket")  # at most BUCKETS rows
     first = F.col("start") + F.col("offset")
-    runs = placed.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(RUN).cast("long"))))
+    # Rows with more copies than a run are unfolded run by run; a given number of partitions, so that these few small
+    # rows are not brought together again before they are unfolded.
+    unfold = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(RUN).cast("long")))
+    single = placed.where(F.col("copies") <= RUN).withColumn("run", F.lit(0).cast("long"))
+    runs = single.unionByName(placed.where(F.col("copies") > RUN).withColumn("run", unfold).repartition(partitions(rows.sparkSession), *keys, "run"))
     last = F.least(F.col("run") + RUN, F.col("copies")) - 1
     each = runs.withColumn("at", F.explode(F.sequence(F.col("run"), last)))
     return each.withColumn("row_number", first + F.col("at")).select(*keys, "row_number")

@@ -1,7 +1,7 @@
 """Token counts for every context limit from one exact histogram of encoded lengths.
 
-Documents are encoded once and aggregated by length; all answers come from that histogram, whose size is
-the number of distinct lengths and not the number of documents.  Suffix sums over it tell, for every
+Documents are encoded once and aggregated by length; the histogram is written out, and all answers come from it.  Its
+size is the number of distinct lengths and not the number of documents.  Suffix sums over it tell, for every
 limit L, how many documents are longer, how many tokens remain when each document is cut at L, and which
 quantile L is.  The sums run in two levels (blocks of lengths, then lengths in a block), so that no task
 needs the whole histogram.
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ordermill.llm.shared import doc_texts, each
+from ordermill.llm.shared import doc_texts, each, stage
 
 BLOCK = 512  # lengths per block of the two-level sums
 
@@ -50,7 +50,37 @@ def encoded_lengths(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def length_histogram(lengths: DataFrame) -> DataFrame:
-    return lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    """n_docs of every n_tokens, written out: the answers read it several times, the texts are encoded once."""
+    return stage(lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
+
+
+def totals_at(histogram: DataFrame, limits: list[int]) -> DataFrame:
+    """docs_over, tokens_over, truncated_total and tokens_lost at each of the given limits, whether a document has it or not.
+
+    One aggregate with partial results over histogram rows times limits.
+    """
+    if any(limit < 0 for limit in limits):
+        raise ValueError("limits must not be negative")
+    n, docs = F.col("n_tokens"), F.col("n_docs")
+    at = F.explode(F.array(*[F.lit(limit).cast("long") for limit in sorted(set(limits))]))
+    over, zero = n > F.col("context_limit"), F.lit(0)
+    sums = {
+        "docs_over": F.when(over, docs).otherwise(zero),
+        "tokens_over": F.when(over, n * docs).otherwise(zero),
+        "truncated_total": F.least(n, F.col("context_limit")) * docs,
+        "tokens_lost": F.greatest(n - F.col("context_limit"), zero) * docs,
+    }
+    rows = histogram.select("n_tokens", "n_docs", at.alias("context_limit"))
+    return rows.groupBy("context_limit").agg(*[F.sum(value).cast("long").alias(name) for name, value in sums.items()])
+
+
+def quantile_lengths(report: DataFrame, shares: list[float]) -> dict[float, int | None]:
+    """For each share the shortest length that so many of the documents do not exceed; None without documents."""
+    if any(not 0 < share <= 1 for share in shares):
+        raise ValueError("shares lie above 0 and up to 1")
+    found = [F.min(F.when(F.col("quantile") >= share, F.col("context_limit"))).alias(f"s{i}") for i, share in enumerate(shares)]
+    row = report.agg(*found).first()
+    return dict(zip(shares, row))
 
 
 def context_report(histogram: DataFrame) -> DataFrame:

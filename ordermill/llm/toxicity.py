@@ -2,12 +2,14 @@
 
 A word's vector is the mean of the embeddings of its character n-grams and of the word itself, hashed to
 BUCKETS rows; misspelt or unseen words share most n-grams with their kin.  The vectors of a passage of
-PASSAGE words are averaged and go into a softmax over two classes; a document is as toxic as its most toxic
+PASSAGE words are averaged and go into a softmax over two classes; passages begin every STRIDE words and overlap, so
+that a phrase of so many words lies whole in one of them wherever it stands.  A document is as toxic as its most toxic
 passage, so that a few words count in a long text as in a short one.  Training alternates: score all
 passages of the sample, take each document's highest, and step embeddings and softmax together (Adam).
 
 Only labels of rows outside the held-out fold are used, and of those at most TRAIN_TOXIC toxic and
-TRAIN_CLEAN clean rows, those first by a hash of their id.  The sample is fitted in one task; the model has a fixed size
+TRAIN_CLEAN clean rows, those first by a hash of their id, one row of each id (the first by a hash of its text).  The
+sample is fitted in one task; the model has a fixed size
 and is sent to all tasks.  Scoring needs one pass over the texts and no shuffle.
 
 Cases: a null or empty text has no passage and scores what the bias says; rows without an id are held in
@@ -33,6 +35,7 @@ BUCKETS = 1 << 17
 DIMENSIONS = 8
 NGRAMS = (3, 4, 5)
 PASSAGE = 6
+STRIDE = 3
 CHUNK = 50_000  # words or passages worked on at once while training
 SHORTEST = 6  # a passage's mean is over this many words at least
 TRAIN_TOXIC = 3_000
@@ -53,13 +56,19 @@ def words_of(text: str | None) -> list[str]:
 def subwords(word: str) -> list[int]:
     """The buckets of a word: its n-grams, with marks at its ends, and the word as a whole."""
     marked = f"<{word}>"
-    parts = [marked[i : i + n] for n in NGRAMS for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(part.encode()) % BUCKETS for part in [*parts, f"={marked}"]]
+    crc32, below = zlib.crc32, BUCKETS - 1
+    if word.isascii():
+        data = marked.encode()
+        found = [crc32(data[i : i + n]) & below for n in NGRAMS for i in range(len(data) - n + 1)]
+    else:
+        found = [crc32(marked[i : i + n].encode()) & below for n in NGRAMS for i in range(len(marked) - n + 1)]
+    found.append(crc32(f"={marked}".encode()) & below)
+    return found
 
 
 def passages(n: int) -> np.ndarray:
-    """Where the passages of a text of ``n`` words start."""
-    return np.arange(0, n, PASSAGE)
+    """Where the passages of a text of ``n`` words start: every STRIDE words, the last one reaching the end."""
+    return np.arange(0, max(n - PASSAGE + STRIDE, 1), STRIDE)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -115,11 +124,11 @@ def train(rows: Iterator[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarra
 
     lengths = np.array([len(doc) for doc in docs])
     flat = np.concatenate(docs)
-    per_doc = -(-lengths // PASSAGE)
+    per_doc = 1 + -(-np.maximum(lengths - PASSAGE, 0) // STRIDE)
     doc_of = np.repeat(np.arange(len(docs)), per_doc)
     doc_first = np.cumsum(per_doc) - per_doc
     in_doc = np.arange(len(doc_of)) - doc_first[doc_of]
-    starts = (np.cumsum(lengths) - lengths)[doc_of] + in_doc * PASSAGE
+    starts = (np.cumsum(lengths) - lengths)[doc_of] + in_doc * STRIDE
     ends = np.minimum(starts + PASSAGE, np.cumsum(lengths)[doc_of])
     spans = np.maximum(ends - starts, SHORTEST)
 
@@ -130,7 +139,8 @@ def train(rows: Iterator[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarra
         toward = weights[:, 1] - weights[:, 0]
         line = table @ toward
         score = np.concatenate([np.add.reduceat(line[buckets[at]], first[part] - at.start) for part, at in chunks]) / sizes
-        score_of = np.add.reduceat(score[flat], starts) / spans
+        sums = np.append(0, np.cumsum(score[flat], dtype=np.float64))
+        score_of = (sums[ends] - sums[starts]) / spans
         if step <= WARM_UP:
             chosen, share = np.arange(len(doc_of)), (1 / per_doc)[doc_of]
         else:
@@ -174,7 +184,9 @@ def _sample(labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     """The fitted model as one number per bucket and the bias: all that scoring two classes needs."""
     sample = F.broadcast(_sample(labels))  # TRAIN_TOXIC + TRAIN_CLEAN rows of two numbers at most
-    rows = doc_texts(docs).join(sample, "doc_id").repartition(1).sortWithinPartitions("doc_id", "text")
+    found = doc_texts(docs).join(sample, "doc_id").groupBy("doc_id", "toxic")
+    rows = found.agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    rows = rows.select("text", "toxic", "doc_id").repartition(1).sortWithinPartitions("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labelled = (row for batch in batches for row in zip(each(batch.column("text")), batch.column("toxic").to_pylist()))
@@ -198,12 +210,13 @@ class WordScores(dict):
 
     def __init__(self, line: np.ndarray):
         super().__init__()
-        self.line = line
+        self.line = line.tolist()
 
     def __missing__(self, word: str) -> float:
         if len(self) > 200_000:
             self.clear()
-        self[word] = value = float(self.line[subwords(word)].mean())
+        found = subwords(word)
+        self[word] = value = sum(map(self.line.__getitem__, found)) / len(found)
         return value
 
 
@@ -212,10 +225,11 @@ def text_score(text: str | None, scores: WordScores, bias: float) -> float:
     words = words_of(text)
     logit = bias
     if words:
-        values = np.array(list(map(scores.__getitem__, words)))
+        sums = np.zeros(len(words) + 1)
+        np.cumsum(np.fromiter(map(scores.__getitem__, words), np.float64, len(words)), out=sums[1:])
         starts = passages(len(words))
-        spans = np.maximum(np.diff(np.append(starts, len(words))), SHORTEST)
-        logit += float((np.add.reduceat(values, starts) / spans).max())
+        ends = np.minimum(starts + PASSAGE, len(words))
+        logit += float(((sums[ends] - sums[starts]) / np.maximum(ends - starts, SHORTEST)).max())
     return float(1 / (1 + np.exp(-min(max(logit, -50.0), 50.0))))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.quality import RULES, measure, score_quality
 from ordermill.llm.sharding import feistel, number_rows, permute, shard_documents
-from ordermill.llm.token_counts import context_report, encoded_lengths, encoder, length_histogram
+from ordermill.llm.token_counts import context_report, encoded_lengths, encoder, length_histogram, quantile_lengths, totals_at
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 ODD = [None, "", " \t\n", "a", "a b", "x " * 3000, "é ü # *", "one two three one two three", "l\nl\n \n\nl"]
@@ -95,6 +95,14 @@ def test_row_numbers_count_repeated_rows(spark):
     assert spread == 70000  # 70,001 copies in a row
 
 
+def test_a_million_equal_rows_are_numbered_by_several_tasks(spark):
+    rows = spark.range(1_000_000).select(F.lit(1).alias("k")).union(spark.range(1000).select(F.col("id") + 10))
+    got = number_rows(rows, ["k"]).withColumn("task", F.spark_partition_id())
+    assert got.agg(F.countDistinct("row_number")).first()[0] == 1_001_000
+    shares = [r["count"] for r in got.where("k = 1").groupBy("task").count().collect()]
+    assert len(shares) > 2 and max(shares) < 700_000
+
+
 def test_shards(docs, as_dicts):
     given = ODD + ["same"] * 100 + texts(2, 150)
     frame = docs(*given)
@@ -119,7 +127,16 @@ def test_context_report(docs, as_dicts):
     encode = encoder(RANKS, public_tokenizers.PATTERN).encode_ordinary
     want = [len(encode(t or "")) for t in given]
     assert [lengths[i]["n_tokens"] for i in range(len(given))] == want
-    report = context_report(length_histogram(encoded_lengths(docs(*given), RANKS, public_tokenizers.PATTERN))).collect()
+    histogram = length_histogram(encoded_lengths(docs(*given), RANKS, public_tokenizers.PATTERN))
+    report = context_report(histogram)
+    shares = [0.01, 0.5, 0.9, 1.0]
+    assert quantile_lengths(report, shares) == {q: next(w for w in sorted(want) if sum(x <= w for x in want) >= q * len(want)) for q in shares}
+    limits = [0, 1, 7, max(want) + 5, *want[:3]]
+    for r in totals_at(histogram, limits).collect():
+        over = [w for w in want if w > r["context_limit"]]
+        cut = sum(min(w, r["context_limit"]) for w in want)
+        assert (r["docs_over"], r["tokens_over"], r["truncated_total"], r["tokens_lost"]) == (len(over), sum(over), cut, sum(want) - cut)
+    report = report.collect()
     assert sorted(r["context_limit"] for r in report) == sorted(set(want))
     for r in report:
         limit = r["context_limit"]
@@ -130,4 +147,13 @@ def test_context_report(docs, as_dicts):
         assert r["tokens_lost"] == sum(want) - r["truncated_total"]
         assert r["quantile"] == pytest.approx(sum(w <= limit for w in want) / len(want))
     empty = encoded_lengths(docs(), RANKS, public_tokenizers.PATTERN)
-    assert context_report(length_histogram(empty)).count() == 0
+    nothing = context_report(length_histogram(empty))
+    assert nothing.count() == 0 and quantile_lengths(nothing, [0.5]) == {0.5: None}
+    for wrong in (lambda: totals_at(nothing, [-1]), lambda: quantile_lengths(nothing, [0.0])):
+        with pytest.raises(ValueError):
+            wrong()
+
+
+def test_repeated_and_missing_ids_count_each(docs):
+    lengths = encoded_lengths(docs((1, "a b"), (1, "a b"), (None, "a b"), (2, None)), RANKS, public_tokenizers.PATTERN)
+    assert sorted(tuple(r) for r in length_histogram(lengths).collect()) == [(0, 1), (2, 3)]

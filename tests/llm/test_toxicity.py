@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +68,38 @@ def test_sample_is_bounded(corpus, monkeypatch):
     monkeypatch.setattr(T, "TRAIN_TOXIC", 7)
     monkeypatch.setattr(T, "TRAIN_CLEAN", 9)
     assert T._sample(labels).groupBy("toxic").count().orderBy("toxic").collect() == [(0, 9), (1, 7)]
+
+
+def test_a_phrase_counts_alike_wherever_it_stands():
+    line = np.zeros(T.BUCKETS, np.float32)
+    for bad in ("blort", "snargle", "wuggish"):
+        line[T.subwords(bad)] = 30
+    scores = T.WordScores(line)
+    plain = [f"w{i}" for i in range(40)]
+    found = {T.text_score(" ".join(plain[:at] + ["blort", "snargle", "wuggish"] + plain[at:]), scores, -8.0) for at in range(12)}
+    assert max(found) - min(found) < 0.02 and min(found) > 0.9
+    assert T.text_score("x blort y", scores, -8.0) < 0.5
+    for n in range(1, 30):
+        starts = T.passages(n)
+        assert starts[0] == 0 and starts[-1] + T.PASSAGE >= n and (n <= T.PASSAGE or starts[-1] < n)
+    assert T.subwords("né") == [zlib.crc32(p.encode()) % T.BUCKETS for p in ("<né", "né>", "<né>", "=<né>")]
+
+
+def test_one_row_of_each_sampled_id_is_learnt_from(spark, monkeypatch):
+    real = T.train
+
+    def train(rows):
+        kept = list(rows)
+        assert len(kept) == 2
+        return real(iter(kept))
+
+    monkeypatch.setattr(T, "train", train)
+    docs = spark.createDataFrame([(2, f"text {i}") for i in range(500)] + [(3, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(2, 0), (3, 1)], "doc_id long, toxic int")
+    T.fit(docs, labels)
+
+
+def test_repeated_rows_score_alike(docs):
+    labels = docs((1, "x")).select("doc_id", F.lit(0).alias("toxic"))
+    rows = T.toxicity(docs((5, "a b"), (5, "a b"), (None, "a b"), (5, None)), labels).collect()
+    assert len(rows) == 4 and len({r["score"] for r in rows}) == 1
