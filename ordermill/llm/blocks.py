@@ -132,12 +132,13 @@ class _Block:
         yield self._batch(len(packed), part=parts, words=pa.array(packed, pa.binary()))
 
 
-def store_by_block(rows: DataFrame, purpose: str) -> DataFrame:
-    """``rows`` written to the shared folder in buckets by ``block``: grouping by block moves nothing then."""
+def store_by_block(rows: DataFrame, purpose: str, column: str = "block") -> DataFrame:
+    """``rows`` written to the shared folder in buckets by ``block``, or another column: grouping or joining by it moves
+    nothing then."""
     spark = rows.sparkSession
     path = new_path(spark, purpose)
     name = "blocks_" + path.rsplit("-", 1)[-1]
-    writer = rows.write.bucketBy(partitions(spark), "block").option("path", path).option("compression", "zstd")
+    writer = rows.write.bucketBy(partitions(spark), column).option("path", path).option("compression", "zstd")
     writer.format("parquet").saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the files stay; the frame knows them and their buckets

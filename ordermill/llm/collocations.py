@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ordermill.llm.blocks import pack, store_by_block, unpack
-from ordermill.llm.shared import by_part, each, pack_columns, partitions, stage, text_of, unpack_columns
+from ordermill.llm.shared import SENT_ROWS, by_part, each, pack_columns, partitions, stage, text_of, unpack_columns
 
 LEAST = 10  # occurrences of a phrase
 MAX_WORDS = 3
@@ -45,7 +45,7 @@ CONTAINED = (50, 100)  # share of a phrase's occurrences inside a longer one fro
 TOP = 2_000
 MILLION = 1_000_000
 BLOCK = 500_000  # words
-PART = 500_000  # entries of phrase lists that meet in one part
+PART = 1_000_000  # entries of phrase lists that meet in one part
 
 # Letters A-Z become small; what ends a piece becomes a line feed.  What is left of blanks separates words.
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -331,32 +331,32 @@ def lowest_cut(heads: list[int], tails: list[int], a: int) -> tuple[int, int, in
     return score, heads[k - 1], tails[words - k - 1]
 
 
-def _scored(phrases: DataFrame) -> DataFrame:
-    """id, lang, word_ids, a, l, r and score of phrases with their heads and tails."""
+def _scored(phrases: DataFrame, langs: DataFrame) -> DataFrame:
+    """lang, word_ids, a, l, r and score of phrases with their heads and tails."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            heads, tails, a = (batch.column(i).to_pylist() for i in (2, 3, 4))
+            heads, tails = (batch.column(i).to_pylist() for i in (2, 3))
+            a = [counts[-1] for counts in heads]
             found = zip(*map(lowest_cut, heads, tails, a)) if a else ([], [], [])
             score, left, right = (pa.array(values, pa.int64()) for values in found)
-            columns = [batch.column(0), batch.column(1), batch.column(4), left, right, score]
+            columns = [*batch.columns[:2], pa.array(a, pa.int64()), left, right, score]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "word_ids", "a", "l", "r", "score"])
 
-    rows = phrases.select("lang", "word_ids", "heads", "tails", F.col("n").alias("a"))
+    rows = phrases.withColumn("id", F.get("word_ids", F.lit(0))).join(langs, "id").select("lang", "word_ids", "heads", "tails")
     return rows.mapInArrow(run, "lang string, word_ids array<long>, a long, l long, r long, score long")
 
 
 def _joined(pairs: DataFrame, shorter: DataFrame) -> DataFrame:
-    """Phrases of a length with what is known of their first and last words: language, words, counts."""
-    heads = shorter.select(F.col("id").alias("first"), "lang", "word_ids", "heads")
+    """Phrases of a length with what is known of their first and last words: the words, and the counts of their heads
+    and tails; the last of either is their own."""
+    heads = shorter.select(F.col("id").alias("first"), "word_ids", "heads")
     tails = shorter.select(F.col("id").alias("second"), F.element_at("word_ids", -1).alias("last_word"), "tails")
     return pairs.join(heads, "first").join(tails, "second").select(
         "id",
-        "lang",
         F.array_append("word_ids", F.col("last_word")).alias("word_ids"),
         F.array_append("heads", F.col("n")).alias("heads"),
         F.array_append("tails", F.col("n")).alias("tails"),
-        "n",
     )
 
 
@@ -367,7 +367,8 @@ def _not_contained(phrases: DataFrame, longer: DataFrame, share: tuple[int, int]
     """
     inside = longer.select(F.col("first").alias("id"), "n").unionByName(longer.select(F.col("second").alias("id"), "n"))
     inside = inside.groupBy("id").agg(F.max("n").alias("most"))
-    kept = F.col("most").isNull() | (F.lit(share[1]) * F.col("most").cast("decimal(38,0)") < F.lit(share[0]) * F.col("n").cast("decimal(38,0)"))
+    own, wide = F.element_at("heads", -1), "decimal(38,0)"
+    kept = F.col("most").isNull() | (F.lit(share[1]) * F.col("most").cast(wide) < F.lit(share[0]) * own.cast(wide))
     return phrases.join(inside, "id", "left").where(kept).drop("most")
 
 
@@ -390,19 +391,24 @@ def collocations(
     words = counted.where(F.col("word").isNotNull()).select("id", "lang", "word", "n")
     totals = counted.where(F.col("total").isNotNull()).groupBy("lang").agg(F.sum("total").alias("n"))
 
-    one = F.array("n")
-    known = words.select("id", "lang", F.array("id").alias("word_ids"), one.alias("heads"), one.alias("tails"), "n")
+    # Tables of frequent phrases are kept by id, so that they are not shuffled for the joins; a word table of no more
+    # than SENT_ROWS rows of a few numbers goes to all tasks.
+    few = words.count() <= SENT_ROWS
+    langs = words.select("id", "lang")
+    known = words.select("id", F.array("id").alias("word_ids"), F.array("n").alias("heads"), F.array("n").alias("tails"))
+    if few:
+        known = F.broadcast(known)
     lengths, pairs = [], []
     for m in range(2, max_words + 1):
         blocks = _extend(blocks, counted, m == 2, parts, m == max_words, f"phrases{m}")
         counted, parts = _group_count(blocks, m, least, part_size, m == max_words)
         pairs.append(counted.where(F.col("first").isNotNull()).select("id", "first", "second", "n"))
-        known = stage(_joined(pairs[-1], known), f"known{m}")
+        known = store_by_block(_joined(pairs[-1], known), f"known{m}", "id")
         lengths.append(known)
     kept = [_not_contained(phrases, longer, contained) for phrases, longer in zip(lengths, pairs[1:])] + lengths[-1:]
-    scored = _scored(kept[0])
+    scored = _scored(kept[0], langs)
     for more in kept[1:]:
-        scored = scored.unionByName(_scored(more))
+        scored = scored.unionByName(_scored(more, langs))
 
     best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc())
     scored = scored.withColumn("place", F.rank().over(best)).where(F.col("place") <= top).drop("place")

@@ -11,7 +11,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.llm.quality import RULES, measure, score_quality
+from ordermill.llm import quality
+from ordermill.llm.quality import RULES, measure, score_quality, vote_counts
 from ordermill.llm.sharding import feistel, number_rows, permute, shard_documents
 from ordermill.llm.token_counts import context_report, encoded_lengths, encoder, length_histogram, quantile_lengths, totals_at
 
@@ -57,22 +58,73 @@ def test_measures(docs, as_dicts):
         assert {k: got[i][k] for k in want} == want
 
 
-def test_posterior_rejects_what_most_rules_reject_and_keeps_the_rest(docs, as_dicts):
+def prose(dice, words=120):
+    word = lambda: "".join(dice.choice("abcdefgh") for _ in range(dice.choice([4, 6, 8])))
+    return "".join(word() + (".\n" if i % 12 == 11 else " ") for i in range(words))
+
+
+def test_posterior_rejects_what_several_rules_reject_and_keeps_the_rest(docs, as_dicts):
     dice = random.Random(3)
-    word = lambda: "".join(dice.choice("abcdefgh") for _ in range(6))
-    good = [" ".join(word() for _ in range(120)) for _ in range(40)]
-    one_flaw = [" ".join(word() + "##" * (i % 3 == 0) for i in range(120)) for _ in range(3)]
-    junk = ["#$% " * 20 + "\n" + "\n".join(["q#"] * 200) for _ in range(6)]
-    got = as_dicts(score_quality(docs(*good, *one_flaw, *junk)))
-    kept = [got[i]["kept"] for i in range(len(got))]
-    assert kept == [True] * 43 + [False] * 6
+    good = [prose(dice) for _ in range(60)]
+    one_flaw = [prose(dice).replace(".\n", "\n") for _ in range(3)] + [prose(dice) + " 12 34 56 78 90 11 22 33" * 2 for _ in range(2)]
+    junk = [prose(dice).replace(" ", " ### ").replace(".\n", " |\n") for _ in range(6)]  # passes the base
+    failing = ["#$% " * 20 + "\n" + "\n".join(["q#"] * 200) for _ in range(4)]
+    scored = score_quality(docs(*good, *one_flaw, *junk, *failing))
+    got = as_dicts(scored)
+    assert [got[i]["kept"] for i in range(len(got))] == [True] * 65 + [False] * 10
+    assert [got[i]["base_failed"] for i in range(len(got))] == [False] * 71 + [True] * 4
     for row in got.values():
         assert row["base_failed"] == (row["n_words"] < 50 or 100 * row["n_repeat_words"] > 50 * row["n_words"])
         assert len(row["votes"]) == len(RULES)
+    counts = {r["rule"]: (r["good"], r["bad"], r["abstained"]) for r in vote_counts(scored).collect()}
+    assert all(sum(n) == len(got) for n in counts.values()) and counts["letters"][1] >= 6 and counts["ended_lines"][1] >= 9
+
+
+def plain_estimate(patterns, rounds):
+    """EM over (votes, n), on plain numbers."""
+    prior, good, bad = quality.START
+    for _ in range(rounds):
+        weights = []
+        for votes, _ in patterns:
+            odds = prior / (1 - prior)
+            for v, g, b in zip(votes, good, bad):
+                odds *= g / (1 - b) if v > 0 else (1 - g) / b if v < 0 else 1
+            weights.append(odds / (1 + odds))
+        total = sum(n for _, n in patterns)
+        prior = min(max(sum(w * n for w, (_, n) in zip(weights, patterns)) / total, 0.2), 0.995)
+        good, bad = [], []
+        for at in range(len(RULES)):
+            cast = [(w, n, votes[at]) for w, (votes, n) in zip(weights, patterns) if votes[at]]
+            right_good, cast_good = sum(w * n for w, n, v in cast if v > 0), sum(w * n for w, n, _ in cast)
+            right_bad, cast_bad = sum((1 - w) * n for w, n, v in cast if v < 0), sum((1 - w) * n for w, n, _ in cast)
+            good.append(min(max((right_good + 9) / (cast_good + 10), 0.55), 0.995))
+            bad.append(min(max((right_bad + 0.5) / (cast_bad + 1), 1 - good[-1]), 0.98))
+    return prior, good, bad
+
+
+def test_estimate_is_plain_em(spark):
+    dice = random.Random(5)
+    patterns = [([dice.choice([1, 1, 1, 0]) for _ in RULES], dice.randint(1, 90)) for _ in range(12)]
+    patterns += [([dice.choice([-1, -1, 0, 1]) for _ in RULES], dice.randint(1, 9)) for _ in range(8)]
+    found = quality.estimate(spark.createDataFrame(patterns, "votes array<int>, n long"), 5)
+    prior, good, bad = plain_estimate(patterns, 5)
+    assert [found.prior, *found.on_good, *found.on_bad] == pytest.approx([prior, *good, *bad])
+
+
+def test_quality_of_labelled_documents(spark):
+    """Rejects beyond the base, held against labels that had no part in them."""
+    folder = "/root/testdata/sf0.01"
+    scored = score_quality(spark.read.parquet(f"{folder}/documents.parquet"))
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    rejected = scored.where("NOT base_failed AND NOT kept").join(labels, "doc_id").groupBy("quality").count().collect()
+    found = {r["quality"]: r["count"] for r in rejected}
+    passed = scored.where("kept").join(labels, "doc_id").where("quality = 0").count()
+    assert found[0] >= 20 and found.get(1, 0) <= 1 and passed <= 1
 
 
 def test_quality_of_nothing_and_clashing_columns(docs):
     assert score_quality(docs()).count() == 0
+    assert [r["kept"] for r in score_quality(docs((1, "a"), (1, "a"), (None, None))).collect()] == [False] * 3
     clash = docs("a b c").withColumn("n_words", F.lit("x")).withColumn("votes", F.lit(1)).withColumn("w", F.lit(1))
     assert score_quality(clash).first()["n_words"] == 3
 
