@@ -7,10 +7,16 @@ nodes of one document that are equal but for case and separators, or alike in fo
 skip potential however far apart they are.  Loopy message passing spreads labels along both, so that a
 second, odd spelling of a number found elsewhere in the document is found too.
 
-The potentials are fitted to the corpus with the pattern matches as labels: shapes, neighbours and repeats
-of all documents are counted (tables of bounded size), unary weights are a softmax over the shape counts, chain
-and skip weights log odds of the pair counts.  Each node has at most three edges, so a document of any
-length costs time in proportion to its nodes.
+All potentials are estimated together by pseudo-likelihood: each node's label given its shape and the labels it has
+edges to.  The corpus is counted by such situations (at most 2,880 shapes times labels of six neighbours; a few thousand
+in practice), and the weights are fitted to the table.  Labels are the pattern matches.  As a pattern's own matches say
+nothing of what it misses, every match is also held out as if it had been missed: it is planted in odd and partial
+spellings, repeating itself from afar, which keep its label, and alone with other digits, which is no
+personal data (but where the spelling has an at sign or the usual shape).  Planted
+nodes count at the rate at which the corpus itself repeats its matches in spellings the patterns miss; such nodes, of
+unknown label, are left out.  So an odd shape alone says little, and what it repeats decides.
+
+Each node has at most six edges, so a document of any length costs time in proportion to its nodes.
 
 A token gets a label when its probability is at least ADD_FROM, in documents without any pattern match too;
 matches of the patterns always stay.
@@ -46,7 +52,7 @@ LABELS = OTHER + 1
 ADD_FROM = 0.9
 NEAR = 60  # characters between neighbours that share a chain potential
 ROUNDS = 12
-MOST_WEIGHT = 6.0
+MOST_WEIGHT = 12.0
 SKIPS = ("equal", "alike")
 
 _PRIVATE = re.compile(r"[0-9@]")
@@ -109,13 +115,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def _shape(text: str) -> tuple[int, ...]:
     """What the unary potential sees: each entry below the number in SHAPE_SIZES."""
-    n = sum("0" <= c <= "9" for c in text)
+    digits = _digits(text)
+    n = len(digits)
     size = sum(n >= least for least in (1, 3, 7, 9, 12, 16, 17, 20))
     letters = any(c.isalpha() for c in text)
-    return size, min(text.count("@"), 1), min(text.count("."), 4), min(text.count("-"), 3), int(text[:1] == "+"), int(letters)
+    return size, min(text.count("@"), 1), min(text.count("."), 4), min(text.count("-"), 3), int(text[:1] == "+"), int(letters), int(12 <= n <= 19 and _luhn(digits))
 
 
-SHAPE_SIZES = (9, 2, 5, 4, 2, 2)
+SHAPE_SIZES = (9, 2, 5, 4, 2, 2, 2)
 
 
 def nodes_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -162,26 +169,78 @@ def edges_of(text: str, nodes: list[tuple[int, int, int]]) -> dict[str, list[tup
 
 # -- fitting -------------------------------------------------------------------------------------
 
+NOBODY = LABELS  # in place of a neighbour's label where there is none
+LEAST_RATE = 0.01  # of planted nodes
+STEPS, STEP, SHRINK = 1_500, 0.05, 1e-6
+REAL, PLANTED, RATE = 0, 1, 2  # what a count is of
+
+
+def respelt(text: str, kind: int) -> list[str]:
+    """Odd and partial spellings of a match."""
+    plain = text.replace(" ", "").replace("(", "").replace(")", "")
+    if kind == 0:
+        name, host = text.split("@", 1)
+        return [f"{name}@{host.replace('.', '[.]')}", f"{name}[@]{host}", f"{name}@{host.rsplit('.', 1)[0].replace('.', '-')}"]
+    if kind == 1:
+        return [text.replace(".", mark) for mark in ("-", "[.]", ",", "_")]
+    digits = _digits(text)
+    groups = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+    head = "+" if kind == 3 and text[:1] == "+" else ""
+    return [".".join(groups), "/".join(groups), "_".join(groups), f"{plain[: len(plain) - 3]}xxx", f"{head}{digits[:4]}/{digits[4:]}"]
+
+
+def _other_digits(text: str) -> str:
+    """The text with other digits and letters in the same places."""
+    return "".join(chr(48 + (ord(c) - 41) % 10) if "0" <= c <= "9" else "x" if c.isalpha() else c for c in text)
+
+
+def tells_little(odd: str, match: str, kind: int) -> bool:
+    """Whether an odd spelling alone could be anything: not where it has an at sign or the shape of the match itself."""
+    return kind != 0 and _shape(odd)[:-1] != _shape(match)[:-1]
+
+
+def _situations(text: str) -> Iterator[tuple[int, ...]]:
+    """The situations of a document's nodes: what is counted, the label, the shape and the neighbours' labels (before,
+    after, two equal and two alike ones)."""
+    nodes = nodes_of(text, base_spans(text))
+    edges = edges_of(text, nodes)
+    labels = [label for _, _, label in nodes]
+    before, after = [NOBODY] * len(nodes), [NOBODY] * len(nodes)
+    for a, b in edges["chain"]:
+        after[a], before[b] = labels[b], labels[a]
+    skips = {kind: [[] for _ in nodes] for kind in SKIPS}
+    for kind in SKIPS:
+        for a, b in edges[kind]:
+            skips[kind][a].append(labels[b])
+            skips[kind][b].append(labels[a])
+    two = lambda found: tuple(sorted([*found, NOBODY, NOBODY][:2]))
+    for i, (start, end, label) in enumerate(nodes):
+        equal, alike = two(skips["equal"][i]), two(skips["alike"][i])
+        repeats_match = any(other != OTHER for other in skips["equal"][i])
+        if repeats_match:
+            yield RATE, int(label == OTHER)  # a match repeated as such, or in a spelling that the patterns miss
+        if label != OTHER or not repeats_match:
+            yield REAL, label, *_shape(text[start:end]), before[i], after[i], *equal, *alike
+        if label != OTHER:
+            match = text[start:end]
+            for odd in respelt(match, label):
+                if any(e - s > len(odd) // 2 for s, _, e in base_spans(odd)):
+                    continue
+                same, like = (a == b for a, b in zip(_keys(odd), _keys(match)))
+                if same or like:
+                    beside = two([label] if same else []), two([label] if like and not same else [])
+                    yield PLANTED, label, *_shape(odd), *two([]), *beside[0], *beside[1]
+                    if tells_little(odd, match, label):
+                        yield PLANTED, OTHER, *_shape(_other_digits(odd)), *two([]), *two([]), *two([])
+
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (shape, label), of neighbouring labels and of repeats that agree or not, as keys of numbers."""
+    """Counts of situations, as keys of numbers."""
     counts: Counter = Counter()
     for batch in batches:
         for text in each(batch.column(1)):
-            if not text or not _PRIVATE.search(text):
-                continue
-            nodes = nodes_of(text, base_spans(text))
-            edges = edges_of(text, nodes)
-            for start, end, label in nodes:
-                counts[(0, label, *_shape(text[start:end]))] += 1
-            for a, b in edges["chain"]:
-                counts[(1, nodes[a][2], nodes[b][2])] += 1
-            for number, kind in enumerate(SKIPS):
-                for a, b in edges[kind]:
-                    one, other = nodes[a][2], nodes[b][2]
-                    # That the patterns miss an equal token says nothing against it; of alike ones it does.
-                    if (one, other) != (OTHER, OTHER) and (kind == "alike" or OTHER not in (one, other)):
-                        counts[(2, number, int(one == other))] += 1
+            if text and _PRIVATE.search(text):
+                counts.update(_situations(text))
     keys = pa.array([list(key) for key in counts], pa.list_(pa.int32()))
     yield pa.RecordBatch.from_arrays([keys, pa.array(list(counts.values()), pa.int64())], ["key", "n"])
 
@@ -198,35 +257,52 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
+def _weighted(counts: dict[tuple[int, ...], int]) -> dict[tuple[int, ...], np.ndarray]:
+    """The weight of each label in each situation (shape and neighbours): planted nodes at the corpus's own rate, and
+    frequent situations by the logarithm of their count, so that they do not drown rare ones."""
+    odd, usual = counts.get((RATE, 1), 0), counts.get((RATE, 0), 0)
+    rate = max(LEAST_RATE, odd / max(odd + usual, 1))
+    seen: dict[tuple[int, ...], np.ndarray] = {}
+    for key, n in counts.items():
+        if key[0] != RATE:
+            seen.setdefault(key[2:], np.zeros(LABELS))[key[1]] += n * (rate if key[0] == PLANTED else 1)
+    return {key: row * (np.log1p(row.sum()) / row.sum()) for key, row in seen.items()}
+
+
+def fit_potentials(counts: dict[tuple[int, ...], int]) -> dict[str, np.ndarray]:
+    """Unary, chain and skip weights that make the pseudo-likelihood of the counted situations largest."""
+    weights = {"unary": np.zeros((sum(SHAPE_SIZES) + 1, LABELS))} | {kind: np.zeros((LABELS, LABELS)) for kind in ("chain", *SKIPS)}
+    seen = _weighted(counts)
+    if not seen:
+        return weights
+    keys, target = np.array(list(seen), np.int64), np.array(list(seen.values()))
+    n = len(SHAPE_SIZES)
+    x = np.stack([_one_hot(key) for key in keys[:, :n]])
+    hot = np.eye(LABELS + 1)[:, :LABELS]  # no neighbour: all zeros
+    before, after = hot[keys[:, n]], hot[keys[:, n + 1]]
+    equal, alike = (hot[keys[:, n + k]] + hot[keys[:, n + k + 1]] for k in (2, 4))
+    mass = target.sum(1, keepdims=True)
+    moments = {name: (np.zeros_like(w), np.zeros_like(w)) for name, w in weights.items()}
+    for step in range(1, STEPS + 1):
+        logits = x @ weights["unary"] + before @ weights["chain"] + after @ weights["chain"].T + equal @ weights["equal"] + alike @ weights["alike"]
+        error = (_softmax(logits) * mass - target) / mass.sum()
+        slopes = {"unary": x.T @ error, "chain": before.T @ error + error.T @ after}
+        for kind, found in (("equal", equal), ("alike", alike)):
+            slope = found.T @ error
+            slopes[kind] = slope + slope.T  # such edges have no direction
+        for name, weight in weights.items():
+            slope = slopes[name] + SHRINK * weight
+            mean, square = moments[name]
+            mean += 0.1 * (slope - mean)
+            square += 0.001 * (slope * slope - square)
+            weight -= STEP * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+    return {name: np.clip(w, -MOST_WEIGHT, MOST_WEIGHT) for name, w in weights.items()}
+
+
 def fit(docs: DataFrame) -> dict[str, np.ndarray]:
-    """Unary, chain and skip weights, from counts over all documents."""
+    """The potentials, from counts over all documents."""
     counted = doc_texts(docs).mapInArrow(_count, "key array<int>, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    rows = [(tuple(row["key"]), row["n"]) for row in counted.collect()]  # at most one per shape, label and pair
-    shapes = sorted({key[2:] for key, _ in rows if key[0] == 0})
-    unary = np.zeros((sum(SHAPE_SIZES) + 1, LABELS))
-    if shapes:
-        place = {shape: i for i, shape in enumerate(shapes)}
-        seen = np.full((len(shapes), LABELS), 1e-3)
-        for key, n in rows:
-            if key[0] == 0:
-                seen[place[key[2:]], key[1]] += n
-        x = np.stack([_one_hot(shape) for shape in shapes])
-        weight = np.log1p(seen.sum(1))  # frequent shapes do not drown rare ones
-        target = seen / seen.sum(1, keepdims=True)
-        for _ in range(400):
-            error = (_softmax(x @ unary) - target) * weight[:, None]
-            unary -= 1.0 * (x.T @ error / weight.sum() + 1e-4 * unary)
-    pairs = np.full((LABELS, LABELS), 0.5)
-    agree = np.ones((2, 2))
-    for key, n in rows:
-        if key[0] == 1:
-            pairs[key[1], key[2]] += n
-        elif key[0] == 2:
-            agree[key[1], key[2]] += n
-    chain = np.log(pairs * pairs.sum() / np.outer(pairs.sum(1), pairs.sum(0)))
-    weights = np.clip(np.log(agree[:, 1] / agree[:, 0]), 0, MOST_WEIGHT)
-    skips = {kind: weight * np.eye(LABELS) for kind, weight in zip(SKIPS, weights)}
-    return {"unary": unary, "chain": np.clip(chain, -1, 1), **skips}
+    return fit_potentials({tuple(row["key"]): row["n"] for row in counted.toLocalIterator()})
 
 
 # -- inference -----------------------------------------------------------------------------------

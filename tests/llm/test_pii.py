@@ -45,7 +45,7 @@ def test_patterns(text):
 
 def test_long_runs_take_linear_time():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+" * 200_000, "a@" * 100_000, "+1 " * 70_000):
-        P.spans_of(text, {"unary": np.zeros((25, 5)), "chain": np.zeros((5, 5)), "equal": np.zeros((5, 5)), "alike": np.zeros((5, 5))})
+        P.spans_of(text, {"unary": np.zeros((sum(P.SHAPE_SIZES) + 1, 5)), "chain": np.zeros((5, 5)), "equal": np.zeros((5, 5)), "alike": np.zeros((5, 5))})
 
 
 def corpus(seed=5):
@@ -81,9 +81,9 @@ def test_repeats_in_other_spelling_are_added_and_clean_texts_left_alone(docs, as
     for i, text in enumerate(texts):
         matched = [(s["start"], P.KINDS.index(s["kind"]), s["end"]) for s in got[i]["spans"] if s["matched"]]
         assert matched == plain(text or "")
-    for i, row in got.items():  # what is added repeats something matched, in the same or another spelling
+    for i, row in got.items():  # what is added repeats something matched, or is a card that ran on into the next number
         keys = {m: {P._keys(texts[i][s["start"] : s["end"]])[0] for s in row["spans"] if s["matched"] == m} for m in (True, False)}
-        assert keys[False] <= keys[True]
+        assert all(len(key) == 16 and P._luhn(key) for key in keys[False] - keys[True])
     assert P.find_spans(docs(), P.fit(docs())).count() == 0
 
 
@@ -118,3 +118,77 @@ def test_messages_on_a_tree_are_exact():
     for i in range(4):
         want = joint.sum(tuple(k for k in range(4) if k != i))
         assert np.allclose(got[i], want / want.sum(), atol=1e-3)
+
+
+def planted(seed, texts):
+    """Texts with a match repeated in an odd spelling, and others with such a token alone: (text, spans to find)."""
+    dice = random.Random(seed)
+    out = []
+    for text in texts:
+        base = [span for span in P.base_spans(text)]
+        if not base:
+            continue
+        start, kind, end = dice.choice(base)
+        odd = dice.choice(P.respelt(text[start:end], kind))
+        if P.base_spans(odd) or not any(a == b for a, b in zip(P._keys(odd), P._keys(text[start:end]))):
+            continue
+        filler = " lorem ipsum dolor" * dice.choice([1, 40])
+        whole = f"{text}{filler} {odd} sit amet"
+        at = len(text) + len(filler) + 1
+        out.append((whole, {(P.KINDS[kind], at, at + len(odd))}))
+        if P.tells_little(odd, text[start:end], kind):
+            out.append((f"lorem{filler} {P._other_digits(odd)} sit amet", set()))
+    return out
+
+
+def test_recall_and_false_spans_of_planted_spellings(docs, as_dicts):
+    model = P.fit(docs(*corpus()))
+    cases = planted(8, corpus(6))
+    got = as_dicts(P.find_spans(docs(*[text for text, _ in cases]), model))
+    wanted = found = false = 0
+    for i, (text, spans) in enumerate(cases):
+        added = {(s["kind"], s["start"], s["end"]) for s in got[i]["spans"] if not s["matched"]}
+        # Cards that run on into the next number are missed by the pattern and rightly added.
+        wrong = [s for s in added - spans if not (s[0] == "card" and P._luhn(text[s[1] : s[2]]))]
+        wanted, found, false = wanted + len(spans), found + len(spans & added), false + len(wrong)
+    print(f"{found} of {wanted} planted spellings found, {false} false spans in {len(cases)} texts")
+    assert wanted > 150 and found >= 0.9 * wanted and false <= 0.02 * len(cases)
+
+
+def test_pseudo_likelihood_is_at_its_largest():
+    dice = random.Random(4)
+    counts = {}
+    for _ in range(40):
+        shape = tuple(dice.randrange(n) for n in P.SHAPE_SIZES)
+        key = (dice.choice([P.REAL, P.PLANTED]), dice.randrange(P.LABELS), *shape, *[dice.randrange(P.LABELS + 1) for _ in range(6)])
+        counts[key] = dice.randint(1, 50)
+    model = P.fit_potentials(counts)
+    seen = P._weighted(counts)
+
+    def value(m):
+        total = 0.0
+        for key, target in seen.items():
+            logits = P._one_hot(key[:7]) @ m["unary"]
+            near = [("chain", key[7], False), ("chain", key[8], True), *[("equal", k, False) for k in key[9:11]], *[("alike", k, False) for k in key[11:13]]]
+            for kind, label, turned in near:
+                if label != P.NOBODY:
+                    logits = logits + (m[kind].T if turned else m[kind])[label]
+            total += float(target @ (logits - np.log(np.exp(logits).sum())))
+        return total
+
+    best = value(model)
+    zero = {name: w * 0 for name, w in model.items()}
+    assert best > value(zero) * 0.2
+    steps = np.random.default_rng(1)
+    for name in model:
+        for _ in range(3):
+            move = steps.normal(size=model[name].shape) * 0.1
+            move = move + move.T if name in P.SKIPS else move
+            assert value(model | {name: model[name] + move}) <= best + 0.05
+    assert np.allclose(model["equal"], model["equal"].T) and np.allclose(model["alike"], model["alike"].T)
+
+
+def test_repeated_and_missing_ids(docs):
+    text = "card 4111111111111111 and 4111.1111.1111.1111"
+    rows = P.find_spans(docs((1, text), (1, text), (None, text), (2, None)), P.fit(docs(*corpus()))).collect()
+    assert len(rows) == 4 and len({str(r["spans"]) for r in rows if r["doc_id"] != 2}) == 1
