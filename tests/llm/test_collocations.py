@@ -11,7 +11,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermill.llm import collocations as C
-from ordermill.llm import queries
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -98,14 +97,3 @@ def test_neighbours_join_within_pieces():
     assert (longer > 0).tolist() == [True, True, False, False, True, False, False, False, False]
     _, first, _, _ = C.join_neighbours(relation, np.array([0, 70, 0, 90]))
     assert len(first) == 0
-
-
-def test_registered_query_against_its_sql(spark):
-    duckdb = pytest.importorskip("duckdb")
-    folder = "/root/testdata/sf0.001"
-    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
-    got = queries.all_queries()["op13_phrase_collocations"](spark, folder)
-    columns = ", ".join(got.columns)
-    expected = duckdb.sql(f"SELECT {columns} FROM ({queries.all_oracles()['op13_phrase_collocations']})").fetchall()
-    assert answer(got) == sorted(expected) and expected
-    assert [tuple(r) for r in answer(got)] == plain([(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()])

