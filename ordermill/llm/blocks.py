@@ -132,9 +132,8 @@ class _Block:
         yield self._batch(len(packed), part=parts, words=pa.array(packed, pa.binary()))
 
 
-def store_by_block(rows: DataFrame, purpose: str, column: str = "block") -> DataFrame:
-    """``rows`` written to the shared folder in buckets by ``block``, or another column: grouping or joining by it moves
-    nothing then."""
+def store(rows: DataFrame, purpose: str, column: str) -> tuple[DataFrame, str]:
+    """``rows`` written to the shared folder in buckets by ``column``, and the folder they lie in."""
     spark = rows.sparkSession
     path = new_path(spark, purpose)
     name = "blocks_" + path.rsplit("-", 1)[-1]
@@ -142,7 +141,13 @@ def store_by_block(rows: DataFrame, purpose: str, column: str = "block") -> Data
     writer.format("parquet").saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the files stay; the frame knows them and their buckets
-    return table
+    return table, path
+
+
+def store_by_block(rows: DataFrame, purpose: str, column: str = "block") -> DataFrame:
+    """``rows`` written to the shared folder in buckets by ``block``, or another column: grouping or joining by it moves
+    nothing then."""
+    return store(rows, purpose, column)[0]
 
 
 def write_blocks(

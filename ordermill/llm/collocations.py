@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ordermill.llm.blocks import pack, store_by_block, unpack
-from ordermill.llm.shared import SENT_ROWS, by_part, each, pack_columns, partitions, stage, text_of, unpack_columns
+from ordermill.llm.blocks import pack, store, store_by_block, unpack
+from ordermill.llm.shared import SENT_ROWS, by_part, drop_path, each, pack_columns, partitions, stage, text_of, unpack_columns
 
 LEAST = 10  # occurrences of a phrase
 MAX_WORDS = 3
@@ -129,7 +129,7 @@ def _block_row(number: int, relation: np.ndarray | None, phrases: bytes, n: int)
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], ["block", "n", "relation", "phrases"])
 
 
-def _write_words(docs: DataFrame, words: int) -> DataFrame:
+def _write_words(docs: DataFrame, words: int) -> tuple[DataFrame, str]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block(TaskContext.get().partitionId() << 32)
         for batch in batches:
@@ -149,7 +149,7 @@ def _write_words(docs: DataFrame, words: int) -> DataFrame:
             yield block.row()
 
     texts = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"), text_of(docs).alias("text"))
-    return store_by_block(texts.mapInArrow(run, _BLOCKS), "words")
+    return store(texts.mapInArrow(run, _BLOCKS), "words", "block")
 
 
 # -- group-count ---------------------------------------------------------------------------------
@@ -300,7 +300,7 @@ def join_neighbours(relation: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray,
     return longer, ids[order[pairs // len(ids)]], ids[order[pairs % len(ids)]], counts
 
 
-def _extend(blocks: DataFrame, counted: DataFrame, words: bool, parts: int, last: bool, purpose: str) -> DataFrame:
+def _extend(blocks: DataFrame, counted: DataFrame, words: bool, parts: int, last: bool, purpose: str) -> tuple[DataFrame, str]:
     """Blocks of the next length; the relation of the ``last`` one is not kept."""
 
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
@@ -314,7 +314,7 @@ def _extend(blocks: DataFrame, counted: DataFrame, words: bool, parts: int, last
 
     left = blocks.groupBy("block")
     right = counted.where(F.col("answer").isNotNull()).select("block", "part", "answer").groupBy("block")
-    return store_by_block(left.cogroup(right).applyInArrow(run, _BLOCKS), purpose)
+    return store(left.cogroup(right).applyInArrow(run, _BLOCKS), purpose, "block")
 
 
 # -- scores --------------------------------------------------------------------------------------
@@ -386,7 +386,8 @@ def collocations(
     Returns lang, rank, phrase, a (its occurrences), l and r (those of the two sides of its lowest-scoring
     cut), n (all words of the language) and score, floor(1000000 a a / (l r)).
     """
-    blocks = _write_words(docs, block_words)
+    spark = docs.sparkSession
+    blocks, folder = _write_words(docs, block_words)
     counted, parts = _group_count(blocks, 1, least, part_size, False)
     words = counted.where(F.col("word").isNotNull()).select("id", "lang", "word", "n")
     totals = counted.where(F.col("total").isNotNull()).groupBy("lang").agg(F.sum("total").alias("n"))
@@ -400,11 +401,14 @@ def collocations(
         known = F.broadcast(known)
     lengths, pairs = [], []
     for m in range(2, max_words + 1):
-        blocks = _extend(blocks, counted, m == 2, parts, m == max_words, f"phrases{m}")
+        blocks, longer = _extend(blocks, counted, m == 2, parts, m == max_words, f"phrases{m}")
+        drop_path(spark, folder)  # written out, the longer relation stands alone
+        folder = longer
         counted, parts = _group_count(blocks, m, least, part_size, m == max_words)
         pairs.append(counted.where(F.col("first").isNotNull()).select("id", "first", "second", "n"))
         known = store_by_block(_joined(pairs[-1], known), f"known{m}", "id")
         lengths.append(known)
+    drop_path(spark, folder)
     kept = [_not_contained(phrases, longer, contained) for phrases, longer in zip(lengths, pairs[1:])] + lengths[-1:]
     scored = _scored(kept[0], langs)
     for more in kept[1:]:
