@@ -30,6 +30,7 @@ from ordermill.plans.warehouse import (
 )
 from ordermill.schemas import LOAD_COLUMNS, REJECTS, REQUIRED_COLUMNS, RUN_LOG, SUMMARY, TEXT_COLUMNS, TRANSACTIONS
 from ordermill.sources import read_raw as read_files
+from ordermill.sources.places import place_columns
 from ordermill.sources.star import STAR_ORDER, raw_sales
 from ordermill.streaming import run_incremental
 
@@ -134,18 +135,31 @@ def read_raw(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.parse_numbers(read_files(spark, drop)).select(*REQUIRED_COLUMNS)
 
 
+def _write_torn(spark: SparkSession, source: str, folder: str) -> None:
+    """Each file of ``source``, in a folder of its own, with a line at its end that leaves a quote open, and one after it.
+
+    Lines go one by one, sorted within their file, so no file is ever held whole.
+    """
+    name = F.element_at(F.split("_file", "/"), -1).alias("file")
+    lines = spark.read.option("lineSep", "\n").text(source).select("value", *place_columns())
+    lines = lines.select(name, "_block", F.monotonically_increasing_id().alias("_row"), "value")
+    ends = ["x,1998-01-01,\"never closed,West,a,b,1,2,0,Cash", "y,1998-01-01,lost,West,a,b,1,2,0,Cash"]
+    last = lines.groupBy("file").agg(F.max("_block").alias("_block"))
+    after = F.explode(F.array(*[F.struct((F.lit(2**62) + i).alias("_row"), F.lit(end).alias("value")) for i, end in enumerate(ends)]))
+    added = last.select("file", "_block", after.alias("end")).select("file", "_block", "end._row", "end.value")
+    ordered = lines.unionByName(added).repartition("file").sortWithinPartitions("file", "_block", "_row")
+    ordered.select("file", "value").write.partitionBy("file").text(folder)
+
+
 @_register
 def read_raw_split(spark: SparkSession, folder: str) -> DataFrame:
     """Files with line breaks inside quoted fields, and a copy with a quote left open near its end, read to that line."""
     drop, torn = new_folder(spark, "csv"), new_folder(spark, "torn")
     raw = _dirty(spark, folder).withColumn("product_name", F.concat(F.lit('a "new'), F.lit("\n"), F.lit('line", '), F.trim("product_name")))
     write_csv(raw, drop)
-    end = spark.createDataFrame([('x,1998-01-01,"never closed,West,a,b,1,2,0,Cash',), ("y,1998-01-01,lost,West,a,b,1,2,0,Cash",)], "value string")
-    lines = spark.read.option("lineSep", "\x00").text(drop).select(F.rtrim("value", F.lit("\n")).alias("value"))
-    with_end = lines.select(F.concat_ws("\n", "value", F.lit("\n".join(row.value for row in end.collect()))).alias("value"))
-    with_end.write.text(torn)
+    _write_torn(spark, drop, torn)
     whole = cleaning.parse_numbers(read_files(spark, drop)).select(*REQUIRED_COLUMNS, F.lit("whole").alias("files"))
-    cut = cleaning.parse_numbers(read_files(spark, torn, on_open_quote="stop")).select(*REQUIRED_COLUMNS, F.lit("torn").alias("files"))
+    cut = cleaning.parse_numbers(read_files(spark, f"{torn}/*", on_open_quote="stop")).select(*REQUIRED_COLUMNS, F.lit("torn").alias("files"))
     return whole.unionByName(cut)
 
 

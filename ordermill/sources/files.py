@@ -131,7 +131,8 @@ def _open_quotes(spark: SparkSession, path: Paths, n_columns: int) -> DataFrame:
     Every block carries both states, begun outside quotes and inside.  A piece speaks for having begun outside where it
     has no quote and as many fields as the heading, or its first quote stands where a field begins; for inside where
     its first quote stands where a field ends.  With one quote too many, all states after it are the wrong ones.  So
-    the piece is the one up to which the running evidence, each piece counted with its state's sign, is largest.
+    the piece is the one for which the evidence before it, each piece counted with its state's sign, less that after
+    it, is largest; twice the evidence before it and its own differ from that by the sum over the file.
     """
     block = Window.partitionBy("_file", "_block")
     earlier_blocks = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -158,11 +159,11 @@ def _open_quotes(spark: SparkSession, path: Paths, n_columns: int) -> DataFrame:
         "_file",
         *_PLACE,
         "odd",
-        F.coalesce(F.sum("evidence").over(earlier), zero).alias("evidence"),
+        (2 * F.coalesce(F.sum("evidence").over(earlier), zero) + F.col("evidence")).alias("evidence"),
         (F.coalesce(F.sum("lines").over(earlier), zero) + 1).alias("line"),
     )
     found = running.where("odd = 1").join(of_block.select("_file", "_block", "sign", *before), ["_file", "_block"])
-    weight = F.col("evidence_before") + F.col("sign") * F.col("evidence")
+    weight = 2 * F.col("evidence_before") + F.col("sign") * F.col("evidence")
     line = F.col("lines_before") + F.col("line")
     best = F.max_by(F.struct(line.alias("line"), F.struct(*_PLACE).alias("place")), F.struct(weight, -line))
     return found.groupBy("_file").agg(best.alias("best")).select("_file", "best.line", "best.place")

@@ -350,3 +350,32 @@ def test_first_lines_of_a_store_only_spark_reads(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(heads, "_within_reach", lambda path: False)
     rows = heads.first_lines(list_files(spark, str(tmp_path))).collect()
     assert [(r.path.rsplit("/", 1)[-1], r.header) for r in rows] == [("a b.csv", HEADER)]
+
+
+def test_torn_copies_keep_the_lines_of_each_file_in_order(spark, tmp_path):
+    from ordermill.catalog import _write_torn
+
+    source, torn = tmp_path / "whole", tmp_path / "torn"
+    source.mkdir()
+    for name in ("part-0.csv", "part-1.csv"):
+        (source / name).write_text(with_open_quote(300, 2).replace('"Garden', "Garden"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        _write_torn(spark, str(source), str(torn))
+        rows = read_raw(spark, f"{torn}/*", on_open_quote="stop").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    for name in ("part-0.csv", "part-1.csv"):
+        (copy,) = (torn / f"file={name}").glob("part-*")
+        lines = copy.read_text().split("\n")
+        assert "\n".join(lines[:-3]) + "\n" == (source / name).read_text()
+        assert '"never closed' in lines[-3] and "lost" in lines[-2]
+    assert sorted(r.order_id for r in rows) == sorted(2 * [f"N-{i}" for i in range(2, 301)])
+    assert "file" not in rows[0].asDict()
+
+
+def test_the_line_between_an_open_quote_and_a_broken_record_is_not_taken_for_it(spark, tmp_path):
+    """Line 6 opens the quote; the next record holds a line break, so the piece after it opens one as well."""
+    (tmp_path / "a.csv").write_text(with_open_quote(40, 6))
+    with pytest.raises(OpenQuoteError, match=r"line 6 of .*a\.csv"):
+        read_raw(spark, str(tmp_path))
