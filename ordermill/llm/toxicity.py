@@ -124,13 +124,19 @@ def train(rows: Iterator[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarra
 
     lengths = np.array([len(doc) for doc in docs])
     flat = np.concatenate(docs)
+    given_docs = len(docs)
+    del docs
     per_doc = 1 + -(-np.maximum(lengths - PASSAGE, 0) // STRIDE)
-    doc_of = np.repeat(np.arange(len(docs)), per_doc)
     doc_first = np.cumsum(per_doc) - per_doc
-    in_doc = np.arange(len(doc_of)) - doc_first[doc_of]
-    starts = (np.cumsum(lengths) - lengths)[doc_of] + in_doc * STRIDE
-    ends = np.minimum(starts + PASSAGE, np.cumsum(lengths)[doc_of])
-    spans = np.maximum(ends - starts, SHORTEST)
+    # A number per passage or word is held in as few bytes as it needs: other tasks' memory stands beside this one's.
+    doc_of = np.repeat(np.arange(given_docs, dtype=np.int32), per_doc)
+    starts = np.arange(len(doc_of), dtype=np.int32)
+    starts -= doc_first.astype(np.int32)[doc_of]
+    starts *= STRIDE
+    starts += (np.cumsum(lengths) - lengths).astype(np.int32)[doc_of]
+    ends = np.minimum(starts + np.int32(PASSAGE), np.cumsum(lengths).astype(np.int32)[doc_of])
+    spans = np.maximum(ends - starts, SHORTEST).astype(np.int8)
+    sums = np.zeros(len(flat) + 1)
 
     states = [[np.zeros_like(x), np.zeros_like(x)] for x in (table, weights, bias)]
     target = np.stack([1 - labels, labels], 1)
@@ -139,8 +145,11 @@ def train(rows: Iterator[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarra
         toward = weights[:, 1] - weights[:, 0]
         line = table @ toward
         score = np.concatenate([np.add.reduceat(line[buckets[at]], first[part] - at.start) for part, at in chunks]) / sizes
-        sums = np.append(0, np.cumsum(score[flat], dtype=np.float64))
-        score_of = (sums[ends] - sums[starts]) / spans
+        np.take(score, flat, out=sums[1:], mode="clip")
+        np.cumsum(sums[1:], out=sums[1:])
+        score_of = sums[ends]
+        score_of -= sums[starts]
+        score_of /= spans
         if step <= WARM_UP:
             chosen, share = np.arange(len(doc_of)), (1 / per_doc)[doc_of]
         else:
@@ -149,9 +158,9 @@ def train(rows: Iterator[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarra
             chosen = at[np.unique(doc_of[at], return_index=True)[1]]
             share = np.ones(len(chosen))
         doc = doc_of[chosen]
-        logit = np.bincount(doc, share * score_of[chosen], len(docs)) + bias[1] - bias[0]
+        logit = np.bincount(doc, share * score_of[chosen], given_docs) + bias[1] - bias[0]
         good = 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
-        error = (np.stack([1 - good, good], 1) - target) * weight_of[:, None] / len(docs)
+        error = (np.stack([1 - good, good], 1) - target) * weight_of[:, None] / given_docs
         pull = error[:, 1]
         by_word = np.zeros(len(sizes))
         for lo in range(0, len(chosen), CHUNK):
@@ -164,7 +173,7 @@ def train(rows: Iterator[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarra
             by_bucket += np.bincount(buckets[at], np.repeat(by_word[part] / sizes[part], sizes[part]), BUCKETS)
         down = (table.T @ by_bucket).astype(np.float32)
         slope = np.outer(by_bucket, toward).astype(np.float32)
-        slope += DECAY / len(docs) * table
+        slope += DECAY / given_docs * table
         _adam(weights, np.stack([-down, down], 1), states[1], step)
         _adam(table, slope, states[0], step)
         _adam(bias, error.sum(0).astype(np.float32), states[2], step)

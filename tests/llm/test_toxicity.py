@@ -103,3 +103,22 @@ def test_repeated_rows_score_alike(docs):
     labels = docs((1, "x")).select("doc_id", F.lit(0).alias("toxic"))
     rows = T.toxicity(docs((5, "a b"), (5, "a b"), (None, "a b"), (5, None)), labels).collect()
     assert len(rows) == 4 and len({r["score"] for r in rows}) == 1
+
+
+def test_training_holds_few_bytes_per_passage():
+    """Numbers per passage and word are narrow: 1.5 million words are fitted within 32 bytes each beside their texts."""
+    import tracemalloc
+
+    words = [f"w{i}" for i in range(500)]
+    dice = np.random.default_rng(3)
+    text = " ".join(words[i] for i in dice.integers(0, 500, 15_000))
+    steps, T.STEPS = T.STEPS, 2
+    tracemalloc.start()
+    try:
+        T.train(iter([(text, i % 2) for i in range(100)]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        T.STEPS = steps
+    fixed = 9 * T.BUCKETS * T.DIMENSIONS * 4  # the table, its slopes and Adam's states
+    assert peak - fixed < 32 * 1_500_000
