@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions import ISO_DATE, strip_space, title_case
@@ -31,7 +31,7 @@ from ordermill.plans.warehouse import (
 from ordermill.schemas import LOAD_COLUMNS, REJECTS, REQUIRED_COLUMNS, RUN_LOG, SUMMARY, TEXT_COLUMNS, TRANSACTIONS
 from ordermill.sources import read_raw as read_files
 from ordermill.sources.places import place_columns
-from ordermill.sources.star import STAR_ORDER, raw_sales
+from ordermill.sources.star import STAR_NEAR, STAR_ORDER, raw_sales
 from ordermill.streaming import run_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,13 +63,17 @@ def _dirty(spark: SparkSession, folder: str) -> DataFrame:
     return raw_sales(spark, folder, blank_keys=True)
 
 
+def _cleaned(raw: DataFrame) -> DataFrame:
+    return cleaning.clean_sales(raw, STAR_ORDER, near=STAR_NEAR)
+
+
 def _clean(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_sales(_dirty(spark, folder), STAR_ORDER)
+    return _cleaned(_dirty(spark, folder))
 
 
 def _transactions(spark: SparkSession, folder: str) -> DataFrame:
     """What the transactions table holds after loading every clean row."""
-    return project_for_load(cleaning.clean_sales(raw_sales(spark, folder), STAR_ORDER))
+    return project_for_load(_cleaned(raw_sales(spark, folder)))
 
 
 def _summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,7 +110,7 @@ def _kept(warehouse: Warehouse, result: DataFrame) -> DataFrame:
 
 
 def _load(warehouse: Warehouse, raw: DataFrame, name: str, **options) -> dict:
-    return ingest(warehouse, lambda: (raw, [ISO_DATE]), name, order_by=STAR_ORDER, **options)
+    return ingest(warehouse, lambda: (raw, [ISO_DATE]), name, order_by=STAR_ORDER, near=STAR_NEAR, **options)
 
 
 def _loaded_in_two_batches(spark: SparkSession, folder: str, refresh: str) -> Warehouse:
@@ -118,8 +122,13 @@ def _loaded_in_two_batches(spark: SparkSession, folder: str, refresh: str) -> Wa
 
 
 def write_csv(df: DataFrame, folder: str, mode: str = "errorifexists") -> None:
-    """Raw columns as CSV files whose rows, over all files, stand in input order."""
-    in_order = df.orderBy("order_id", *STAR_ORDER).select(*REQUIRED_COLUMNS)
+    """Raw columns as CSV files; the copies of an order stand in one file, in input order.
+
+    A window by the columns that the lines are joined by sorts the rows where they are; its filter, which keeps
+    every row, only keeps the window in the plan.
+    """
+    copy = F.row_number().over(Window.partitionBy(*STAR_NEAR, "order_id").orderBy(*STAR_ORDER))
+    in_order = df.withColumn("_copy", copy).where("_copy > 0").select(*REQUIRED_COLUMNS)
     keep_space = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     in_order.write.mode(mode).options(header="true", escape='"', **keep_space).csv(folder)
 
@@ -194,7 +203,7 @@ def load_new_orders_only(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _new_warehouse(spark)
     raw = raw_sales(spark, folder)
     _load(warehouse, raw.where(_in_first_batch()), "first")
-    batch = cleaning.clean_sales(raw.where(_in_second_batch()), STAR_ORDER)
+    batch = _cleaned(raw.where(_in_second_batch()))
     fresh = new_orders(batch, known_orders(warehouse.table(TRANSACTIONS), batch))
     return _kept(warehouse, project_for_load(fresh))
 
@@ -214,10 +223,10 @@ def _committed_in_two_batches(spark: SparkSession, folder: str, between: Callabl
     mart = VersionedMart(spark, new_folder(spark, "mart"))
     raw = raw_sales(spark, folder)
     first, second = raw.where(_in_first_batch()), raw.where(_in_second_batch())
-    ingest_atomic(mart, lambda: (first, [ISO_DATE]), "first", order_by=STAR_ORDER)
+    ingest_atomic(mart, lambda: (first, [ISO_DATE]), "first", order_by=STAR_ORDER, near=STAR_NEAR)
     if between is not None:
         between(mart, second)
-    ingest_atomic(mart, lambda: (second, [ISO_DATE]), "second", order_by=STAR_ORDER, on_conflict="ignore")
+    ingest_atomic(mart, lambda: (second, [ISO_DATE]), "second", order_by=STAR_ORDER, near=STAR_NEAR, on_conflict="ignore")
     return mart
 
 
@@ -235,7 +244,7 @@ def load_atomic(spark: SparkSession, folder: str) -> DataFrame:
     def dies_between_the_writes(mart: VersionedMart, batch: DataFrame) -> None:
         dying = _DyingMart(spark, mart.root)
         try:
-            ingest_atomic(dying, lambda: (batch, [ISO_DATE]), "killed", order_by=STAR_ORDER, on_conflict="ignore")
+            ingest_atomic(dying, lambda: (batch, [ISO_DATE]), "killed", order_by=STAR_ORDER, near=STAR_NEAR, on_conflict="ignore")
         except InterruptedError:
             pass
 
@@ -289,7 +298,7 @@ def dedup_lenient(spark: SparkSession, folder: str) -> DataFrame:
     odd = F.col("l_suppkey") % 2 == 1
     present = _present(spark, folder)
     spelt = present.withColumn("order_id", F.when(odd, F.concat(F.lit("é-"), "order_id", F.lit(" "))).otherwise(F.concat(F.lit("E-"), "order_id")))
-    return cleaning.keep_first(spelt, STAR_ORDER, lenient=True).select("order_id", "quantity", "unit_price")
+    return cleaning.keep_first(spelt, STAR_ORDER, lenient=True, near=STAR_NEAR).select("order_id", "quantity", "unit_price")
 
 
 @_register
@@ -298,7 +307,7 @@ def load_lenient_conflict(spark: SparkSession, folder: str) -> DataFrame:
     warehouse, raw = _new_warehouse(spark), raw_sales(spark, folder)
     with warehouse.staging() as stage:
         for some, letter, tail in ((_in_first_batch(), "a", ""), (_in_second_batch(), "A", " ")):
-            batch = stage(cleaning.clean_sales(_spelt(raw.where(some), letter, tail), STAR_ORDER), "batch")
+            batch = stage(_cleaned(_spelt(raw.where(some), letter, tail)).select(*LOAD_COLUMNS), "batch")
             warehouse.load_transactions(batch, on_conflict="ignore", lenient=True)
     return _stored(warehouse, TRANSACTIONS).select(*LOAD_COLUMNS)
 
@@ -381,10 +390,11 @@ def summary_constraints(spark: SparkSession, folder: str) -> DataFrame:
 def load_replace(spark: SparkSession, folder: str) -> DataFrame:
     """A table of one layout replaced by one of another."""
     warehouse = _new_warehouse(spark)
-    clean = _clean(spark, folder)
-    warehouse.load_dataframe(clean.select("order_id", "region"), "orders_by_method")
-    by_method = clean.groupBy("payment_method", "order_year").agg(F.count("order_id").alias("orders"))
-    warehouse.load_dataframe(by_method, "orders_by_method", if_exists="replace")
+    with warehouse.staging() as stage:
+        clean = stage(_clean(spark, folder).select("order_id", "region", "payment_method", "order_year"), "clean")
+        warehouse.load_dataframe(clean.select("order_id", "region"), "orders_by_method")
+        by_method = clean.groupBy("payment_method", "order_year").agg(F.count("order_id").alias("orders"))
+        warehouse.load_dataframe(by_method, "orders_by_method", if_exists="replace")
     return _stored(warehouse, "orders_by_method")
 
 
@@ -413,7 +423,7 @@ def _present(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _first_copies(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.keep_first(_present(spark, folder), STAR_ORDER)
+    return cleaning.keep_first(_present(spark, folder), STAR_ORDER, near=STAR_NEAR)
 
 
 @_register
@@ -456,7 +466,7 @@ def date_parts(spark: SparkSession, folder: str) -> DataFrame:
 @_register
 def cleaning_stats(spark: SparkSession, folder: str) -> DataFrame:
     needed = ["order_id", "quantity", "unit_price"]
-    return stage_counts(dispose_rows(_dirty(spark, folder), STAR_ORDER, carry=needed))
+    return stage_counts(dispose_rows(_dirty(spark, folder), STAR_ORDER, carry=needed, near=STAR_NEAR))
 
 
 @_register

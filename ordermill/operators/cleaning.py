@@ -93,15 +93,16 @@ def order_key(lenient: bool = False) -> Column:
     return F.collate(F.col("order_id"), LENIENT_COLLATION) if lenient else F.col("order_id")
 
 
-def keep_first(df: DataFrame, order_by: Sequence[str], lenient: bool = False) -> DataFrame:
+def keep_first(df: DataFrame, order_by: Sequence[str], lenient: bool = False, near: Sequence[str] = ()) -> DataFrame:
     """The first row of each ``order_id`` in the given order; rows without an id count as one order.
 
     With ``lenient`` ids that a store without regard to case would take for one are one, spelt as in the first row.
 
     Spark turns ``row_number() = 1`` into a group limit ahead of the shuffle, so each map task
-    sends at most one row per order and a very frequent id does not gather in one task.
+    sends at most one row per order and a very frequent id does not gather in one task.  ``near`` names columns
+    that the order id decides: input that is split by them already, as a join leaves it, is not shuffled again.
     """
-    in_order = Window.partitionBy(order_key(lenient)).orderBy(*order_by)
+    in_order = Window.partitionBy(*near, order_key(lenient)).orderBy(*order_by)
     return df.withColumn("_copy", F.row_number().over(in_order)).where("_copy = 1").drop("_copy")
 
 
@@ -140,12 +141,13 @@ def clean_sales(
     layouts: Sequence[str] = (ISO_DATE,),
     on_bad_number: str = "fail",
     lenient: bool = False,
+    near: Sequence[str] = (),
 ) -> DataFrame:
     """All rules in order.  Input columns beyond the required ones are kept."""
     return (
         conform(df, layouts, on_bad_number)
         .transform(drop_missing)
-        .transform(keep_first, order_by, lenient)
+        .transform(keep_first, order_by, lenient, near)
         .transform(drop_bad_quantity)
         .transform(drop_bad_price)
         .transform(derive)

@@ -14,6 +14,7 @@ from ordermill.schemas import MONTH_KEYS, SUMMARY_SCHEMA
 
 KEYS = [*MONTH_KEYS, "region"]
 SUMS = ["total_orders", "total_quantity", "total_revenue"]
+SUMMED = [*KEYS, "order_id", "quantity", "total_amount"]  # what the sums are made of
 _TYPES = {field.name: field.dataType for field in SUMMARY_SCHEMA.fields}
 
 
@@ -24,8 +25,7 @@ def monthly_deltas(added: DataFrame | None = None, removed: DataFrame | None = N
     """
     if added is None and removed is None:
         raise ValueError("neither added nor removed rows")
-    needed = [*KEYS, "order_id", "quantity", "total_amount"]
-    signed = [df.select(*needed, F.lit(sign).alias("sign")) for df, sign in ((added, 1), (removed, -1)) if df is not None]
+    signed = [df.select(*SUMMED, F.lit(sign).alias("sign")) for df, sign in ((added, 1), (removed, -1)) if df is not None]
     rows = signed[0] if len(signed) == 1 else signed[0].unionByName(signed[1])
     for key in KEYS:
         rows = rows.where(F.col(key).isNotNull())

@@ -38,12 +38,15 @@ def dispose_rows(
     order_by: Sequence[str],
     layouts: Sequence[str] = (ISO_DATE,),
     carry: Sequence[str] = tuple(REQUIRED_COLUMNS),
+    near: Sequence[str] = (),
 ) -> DataFrame:
     """One row per distinct order: the ``carry`` columns of its first copy, ``copies``, ``disposition``
     and ``bad_numbers`` (texts that are no number, in any copy).
 
     Rows with a missing mandatory value collapse into one row.  The single shuffle is an aggregate
     with partial results on the map side, so frequent ids and missing rows do not gather in one task.
+    ``near`` names columns that the order id decides: input that is split by them already is not shuffled, and missing
+    rows then collapse into one for each of their values.
     """
     validate_schema(df)
     texts = [name for name in NUMBER_COLUMNS if isinstance(df.schema[name].dataType, T.StringType)]
@@ -59,7 +62,7 @@ def dispose_rows(
     )
     per_order = (
         flagged.withColumn("order_id", F.when(~F.col("_missing"), F.col("order_id")))
-        .groupBy("_missing", "order_id")
+        .groupBy(*near, "_missing", "order_id")
         .agg(first.alias("_first"), F.count(F.lit(1)).alias("copies"), F.sum("_bad").alias("bad_numbers"))
         .select("order_id", "_first.*", "copies", "bad_numbers", "_missing")
     )

@@ -29,11 +29,12 @@ def ingest(
     refresh: str = "batch",
     run_id: str | None = None,
     on_violation: str = "error",
+    near: Sequence[str] = (),
 ) -> dict:
     """Clean, load, refresh the summary and log the run; a failure is logged and raised again.
 
     ``extract`` returns the raw rows and the date layouts.  The rows are scanned once: one job
-    cleans, counts and stages them, and everything after reads the staged table.
+    cleans, counts and stages them, and everything after reads the staged table.  ``near`` is that of ``dispose_rows``.
 
     Rows that break a constraint of the table fail the run, or with ``on_violation="quarantine"`` go to the table of
     rejects with their reasons; such a run is PARTIAL, and these rows count as rejected.
@@ -47,7 +48,7 @@ def ingest(
         if set(REQUIRED_COLUMNS) - set(raw.columns):
             run.rows["rows_read"] = raw.count()
         validate_schema(raw)
-        disposed = stage(with_derived(dispose_rows(raw, order_by, layouts)), "disposed")
+        disposed = stage(with_derived(dispose_rows(raw, order_by, layouts, near=near)), "disposed")
         stats = count_dispositions(disposed).first().asDict()
         run.rows["rows_read"] = stats["rows_read"]
         if stats["bad_numbers"] and on_bad_number == "fail":

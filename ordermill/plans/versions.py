@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ordermill.operators.cleaning import validate_schema
 from ordermill.operators.constraints import check_constraints, check_log_row
-from ordermill.operators.deltas import apply_deltas, monthly_deltas
+from ordermill.operators.deltas import SUMMED, apply_deltas, monthly_deltas
 from ordermill.operators.disposition import count_dispositions, dispose_rows, kept_rows, with_derived
 from ordermill.plans.scratch import new_folder, remove_folder
 from ordermill.plans.warehouse import DuplicateOrderError, known_orders, load_projection, new_orders
@@ -59,15 +59,15 @@ class Change:
         self.mart, self.run_id = mart, run_id
         self.records: list[tuple] = []
 
-    def add(self, table: str, rows: DataFrame) -> None:
-        """More rows of a table."""
-        self._write(table, ADD, rows, [])
+    def add(self, table: str, rows: DataFrame) -> DataFrame:
+        """More rows of a table; returns them as they were written."""
+        return self._write(table, ADD, rows, [])
 
     def replace(self, table: str, rows: DataFrame, months: list[Month]) -> None:
         """All rows that a table will have in ``months``; those without any are emptied."""
         self._write(table, REPLACE, rows, sorted(months))
 
-    def _write(self, table: str, kind: str, rows: DataFrame, months: list[Month]) -> None:
+    def _write(self, table: str, kind: str, rows: DataFrame, months: list[Month]) -> DataFrame:
         load, keys = uuid.uuid4().hex, TABLE_PARTITIONS[table]
         ordered = rows.select(*TABLE_SCHEMAS[table].names)
         path = f"{self.mart.root}/{table}/load={load}"
@@ -79,8 +79,9 @@ class Change:
                 raise ValueError(f"rows outside the months to be replaced: {sorted(set(filled) - set(months))}")
         else:
             ordered.write.parquet(path)
-            filled = [WHOLE]
+            written, filled = self.mart.spark.read.schema(TABLE_SCHEMAS[table]).parquet(path), [WHOLE]
         self.records.append((table, kind, load, months, filled))
+        return written
 
 
 class VersionedMart:
@@ -199,15 +200,15 @@ class VersionedMart:
         if conflicts and on_conflict == "error":
             some = [row.order_id for row in known.limit(5).collect()]
             raise DuplicateOrderError(f"{conflicts} orders are already stored, for example {some}")
-        fresh = stage(load_projection(new_orders(batch, known) if conflicts else batch), "fresh")
         if conflicts < profile.rows:
-            change.add(TRANSACTIONS, fresh.withColumn("loaded_at", F.current_timestamp()))
-            self._summarise(change, stage(monthly_deltas(added=fresh), "deltas"))
+            fresh = load_projection(new_orders(batch, known) if conflicts else batch)
+            added = change.add(TRANSACTIONS, fresh.withColumn("loaded_at", F.current_timestamp()))
+            self._summarise(change, stage(monthly_deltas(added=added), "deltas"))
         return profile.rows - conflicts
 
     def cancel(self, change: Change, orders: DataFrame, stage) -> int:
         """Takes stored orders, named by ``order_id``, out of the tables; returns how many there were."""
-        stored = self.table(TRANSACTIONS)
+        stored = self.table(TRANSACTIONS).select(*SUMMED)
         removed = stage(stored.join(orders.select("order_id"), "order_id", "left_semi"), "removed")
         months = [tuple(row) for row in removed.select(*MONTH_KEYS).distinct().collect()]
         if months:
@@ -237,6 +238,7 @@ def ingest_atomic(
     on_bad_number: str = "fail",
     on_conflict: str = "error",
     run_id: str | None = None,
+    near: Sequence[str] = (),
 ) -> dict:
     """Clean, load, bring the summary up to date and log the run, in one commit; returns the counts.
 
@@ -250,7 +252,7 @@ def ingest_atomic(
         with mart.staging() as stage, mart.change(run_id) as change:
             raw, layouts = extract()
             validate_schema(raw)
-            disposed = stage(with_derived(dispose_rows(raw, order_by, layouts)), "disposed")
+            disposed = stage(with_derived(dispose_rows(raw, order_by, layouts, near=near)), "disposed")
             stats = count_dispositions(disposed).first().asDict()
             rows |= {name: stats[name] for name in ("rows_read", "rows_cleaned", "rows_rejected")}
             if stats["bad_numbers"] and on_bad_number == "fail":

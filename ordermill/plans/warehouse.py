@@ -297,9 +297,9 @@ class Warehouse:
     def _load_lenient(self, batch: DataFrame, on_conflict: str) -> int:
         profile = check_constraints(batch)
         with self.staging() as stage:
-            distinct = stage(keep_first(batch, ["order_id"], lenient=True), "distinct")
-            known = stage(known_orders(self.table(TRANSACTIONS), distinct, lenient=True), "known")
-            fresh = stage(new_orders(distinct, known, lenient=True), "fresh")
+            known = stage(known_orders(self.table(TRANSACTIONS), batch, lenient=True), "known")
+            distinct = keep_first(batch.select(*LOAD_COLUMNS), ["order_id"], lenient=True)
+            fresh = stage(distinct if known.isEmpty() else new_orders(distinct, known, lenient=True), "fresh")
             added = fresh.count()
             if added < profile.rows and on_conflict == "error":
                 raise DuplicateOrderError(f"{profile.rows - added} orders differ from others only as the store does not see")
@@ -312,7 +312,7 @@ class Warehouse:
 
         One pass marks every row with the rules it breaks; both sides are read from the marked rows.
         """
-        marked = stage(mark_broken(batch), "marked")
+        marked = stage(mark_broken(batch.select(*LOAD_COLUMNS)), "marked")
         refused = marked.where(F.col(BROKEN) != 0).count()
         if refused:
             self.create_table(REJECTS, REJECTS_SCHEMA, [])

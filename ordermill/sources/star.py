@@ -20,6 +20,9 @@ STAR_ORDER = [
     "l_discount",
 ]
 
+# What the order id decides and the lines are joined by: rows that are split by it need not move to meet their copies.
+STAR_NEAR = ["l_orderkey"]
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -30,7 +33,7 @@ def _every(key: str, n: int) -> Column:
 
 
 def raw_sales(spark: SparkSession, folder: str, blank_keys: bool = False) -> DataFrame:
-    """The ten required columns, as text except the numbers, plus the ``STAR_ORDER`` columns.
+    """The ten required columns, as text except the numbers, plus the ``STAR_ORDER`` and ``STAR_NEAR`` columns.
 
     ``blank_keys=True`` also blanks some regions, categories, products and payment methods, which
     cleaning keeps and the transactions table refuses.
@@ -84,4 +87,5 @@ def raw_sales(spark: SparkSession, folder: str, blank_keys: bool = False) -> Dat
         .alias("discount"),
         payment.alias("payment_method"),
         *STAR_ORDER,
+        *STAR_NEAR,
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ordermill.operators import aggregates
 from ordermill.operators.cleaning import clean_sales, keep_first
-from ordermill.operators.disposition import dispose_rows
+from ordermill.operators.disposition import cleaning_stats, dispose_rows
 from ordermill.plans import reports
 from ordermill.plans.warehouse import Warehouse, known_orders
 from ordermill.schemas import SUMMARY, TRANSACTIONS
@@ -135,3 +135,48 @@ def test_months_prune_partitions(warehouse, raw):
 def test_reports_read_only_their_columns(warehouse):
     read = scanned(reports.revenue_by_month(warehouse.table(SUMMARY)))
     assert read == {"total_revenue", "order_year", "order_month"}
+
+
+def test_copies_that_lie_together_are_not_shuffled(spark, tmp_path):
+    from conftest import GOOD
+
+    data = [{**GOOD, "order_id": f"{i % 20}-{i % 3}", "k": i % 20, "pos": i, "customer_name": GOOD["customer_name"] if i % 7 else ""} for i in range(300)]
+    split = spark.createDataFrame(data).repartition(3, "k")
+    for make in (
+        lambda **near: clean_sales(split, ["pos"], **near).select("order_id", "pos"),
+        lambda **near: dispose_rows(split, ["pos"], **near).where("disposition = 'kept'").select("order_id", "copies"),
+    ):
+        assert shuffles(plan(make())) == 2
+        assert shuffles(plan(make(near=["k"]))) == 1
+        assert sorted(make(near=["k"]).collect()) == sorted(make().collect())
+    counts = [cleaning_stats(dispose_rows(split, ["pos"], **near)).first() for near in ({}, {"near": ["k"]})]
+    assert counts[0] == counts[1] and counts[0]["rows_read"] == 300
+
+
+def test_files_keep_copies_in_order_without_a_sort_of_all_rows(spark, tmp_path):
+    from ordermill.catalog import write_csv
+    from ordermill.schemas import REQUIRED_COLUMNS
+    from ordermill.sources.star import STAR_NEAR, STAR_ORDER
+
+    numbers = [f"cast((id * 7919) % 101 as int) as {name}" for name in STAR_ORDER]
+    texts = [f"cast((id * 7919) % 101 as string) as {name}" for name in REQUIRED_COLUMNS if name != "order_id"]
+    rows = spark.range(500).selectExpr("concat(id % 40, '-', id % 2) as order_id", f"id % 40 as {STAR_NEAR[0]}", *numbers, *texts)
+    write_csv(rows.repartition(4, *STAR_NEAR), str(tmp_path / "csv"))
+    found = {}
+    for file in sorted((tmp_path / "csv").glob("*.csv")):
+        for line in file.read_text().splitlines()[1:]:
+            values = line.split(",")
+            found.setdefault((file.name, values[REQUIRED_COLUMNS.index("order_id")]), []).append(int(values[REQUIRED_COLUMNS.index("quantity")]))
+    assert len(found) == len({order for _, order in found}) == 40
+    assert sum(map(len, found.values())) == 500 and all(values == sorted(values) for values in found.values())
+
+
+def test_both_tables_of_a_replacement_read_rows_cleaned_once(spark, raw, monkeypatch):
+    from ordermill import catalog
+
+    read = []
+    load = Warehouse.load_dataframe
+    monkeypatch.setattr(catalog, "_clean", lambda *_: clean_sales(raw, ["pos"]))
+    monkeypatch.setattr(Warehouse, "load_dataframe", lambda self, df, *a, **k: (read.append(df.inputFiles()), load(self, df, *a, **k)))
+    assert [(r.order_year, r.orders) for r in catalog.load_replace(spark, "").collect()] == [(2023, 10)]
+    assert len(read) == 2 and all("clean_" in file for files in read for file in files)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from datetime import date
 from decimal import Decimal
 
@@ -211,3 +212,21 @@ def test_report_functions(spark, clean, tmp_path):
     assert [(r.region, r.share) for r in share.collect()] == [("East", Decimal("0.2500")), ("West", Decimal("0.7500"))]
     assert warehouse.run_query("SELECT * FROM sql_region_share(:a, :b)", {"a": date(1999, 1, 1), "b": date(1999, 2, 1)}).count() == 0
     warehouse.drop()
+
+
+def test_a_load_writes_its_rows_once_and_a_cancellation_only_what_it_sums(mart, frame, monkeypatch):
+    staged, staging = {}, VersionedMart.staging
+
+    @contextmanager
+    def noting(self):
+        with staging(self) as stage:
+            yield lambda df, purpose: (staged.setdefault(purpose, df.columns), stage(df, purpose))[1]
+
+    monkeypatch.setattr(VersionedMart, "staging", noting)
+    run(mart, frame, row(order_id="1"), row(order_id="2"))
+    with mart.staging() as stage, mart.change() as change:
+        mart.cancel(change, mart.table(TRANSACTIONS).where("order_id = '2'"), stage)
+    assert "fresh" not in staged
+    assert set(staged["removed"]) == {"order_year", "order_month", "region", "order_id", "quantity", "total_amount"}
+    assert [r.order_id for r in mart.table(TRANSACTIONS).collect()] == ["1"]
+    assert [r.total_orders for r in mart.table(SUMMARY).collect()] == [1]
