@@ -31,7 +31,7 @@ from ordermill.plans.warehouse import (
 from ordermill.schemas import LOAD_COLUMNS, REJECTS, REQUIRED_COLUMNS, RUN_LOG, SUMMARY, TEXT_COLUMNS, TRANSACTIONS
 from ordermill.sources import read_raw as read_files
 from ordermill.sources.places import place_columns
-from ordermill.sources.star import STAR_NEAR, STAR_ORDER, raw_sales
+from ordermill.sources.star import STAR_NEAR, STAR_ORDER, joined_once, raw_sales
 from ordermill.streaming import run_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,9 +115,9 @@ def _load(warehouse: Warehouse, raw: DataFrame, name: str, **options) -> dict:
 
 def _loaded_in_two_batches(spark: SparkSession, folder: str, refresh: str) -> Warehouse:
     warehouse = _new_warehouse(spark)
-    raw = raw_sales(spark, folder)
-    _load(warehouse, raw.where(_in_first_batch()), "first", on_conflict="ignore", refresh=refresh)
-    _load(warehouse, raw.where(_in_second_batch()), "second", on_conflict="ignore", refresh=refresh)
+    with joined_once(spark, folder) as raw:
+        _load(warehouse, raw.where(_in_first_batch()), "first", on_conflict="ignore", refresh=refresh)
+        _load(warehouse, raw.where(_in_second_batch()), "second", on_conflict="ignore", refresh=refresh)
     return warehouse
 
 
@@ -201,11 +201,11 @@ def append_load(spark: SparkSession, folder: str) -> DataFrame:
 def load_new_orders_only(spark: SparkSession, folder: str) -> DataFrame:
     """Orders of the second batch that the first one did not bring."""
     warehouse = _new_warehouse(spark)
-    raw = raw_sales(spark, folder)
-    _load(warehouse, raw.where(_in_first_batch()), "first")
-    batch = _cleaned(raw.where(_in_second_batch()))
-    fresh = new_orders(batch, known_orders(warehouse.table(TRANSACTIONS), batch))
-    return _kept(warehouse, project_for_load(fresh))
+    with joined_once(spark, folder) as raw:
+        _load(warehouse, raw.where(_in_first_batch()), "first")
+        batch = _cleaned(raw.where(_in_second_batch()))
+        fresh = new_orders(batch, known_orders(warehouse.table(TRANSACTIONS), batch))
+        return _kept(warehouse, project_for_load(fresh))
 
 
 @_register
@@ -213,20 +213,20 @@ def load_key_index(spark: SparkSession, folder: str) -> DataFrame:
     """The transactions after two overlapping batches, stored orders looked up in the index of ids."""
     root = new_folder(spark, "mart")
     warehouse = Warehouse(spark, root, "mart_" + root.rsplit("-", 1)[-1], key_index={"shards": 16, "expected": 4_000_000})
-    raw = raw_sales(spark, folder)
-    _load(warehouse, raw.where(_in_first_batch()), "first")
-    _load(warehouse, raw.where(_in_second_batch()), "second", on_conflict="ignore")
+    with joined_once(spark, folder) as raw:
+        _load(warehouse, raw.where(_in_first_batch()), "first")
+        _load(warehouse, raw.where(_in_second_batch()), "second", on_conflict="ignore")
     return _stored(warehouse, TRANSACTIONS).select(*LOAD_COLUMNS)
 
 
 def _committed_in_two_batches(spark: SparkSession, folder: str, between: Callable[[VersionedMart, DataFrame], None] | None = None) -> VersionedMart:
     mart = VersionedMart(spark, new_folder(spark, "mart"))
-    raw = raw_sales(spark, folder)
-    first, second = raw.where(_in_first_batch()), raw.where(_in_second_batch())
-    ingest_atomic(mart, lambda: (first, [ISO_DATE]), "first", order_by=STAR_ORDER, near=STAR_NEAR)
-    if between is not None:
-        between(mart, second)
-    ingest_atomic(mart, lambda: (second, [ISO_DATE]), "second", order_by=STAR_ORDER, near=STAR_NEAR, on_conflict="ignore")
+    with joined_once(spark, folder) as raw:
+        first, second = raw.where(_in_first_batch()), raw.where(_in_second_batch())
+        ingest_atomic(mart, lambda: (first, [ISO_DATE]), "first", order_by=STAR_ORDER, near=STAR_NEAR)
+        if between is not None:
+            between(mart, second)
+        ingest_atomic(mart, lambda: (second, [ISO_DATE]), "second", order_by=STAR_ORDER, near=STAR_NEAR, on_conflict="ignore")
     return mart
 
 
@@ -304,8 +304,8 @@ def dedup_lenient(spark: SparkSession, folder: str) -> DataFrame:
 @_register
 def load_lenient_conflict(spark: SparkSession, folder: str) -> DataFrame:
     """Two overlapping batches whose ids differ in case: a store that ignores it has the orders of the first already."""
-    warehouse, raw = _new_warehouse(spark), raw_sales(spark, folder)
-    with warehouse.staging() as stage:
+    warehouse = _new_warehouse(spark)
+    with joined_once(spark, folder) as raw, warehouse.staging() as stage:
         for some, letter, tail in ((_in_first_batch(), "a", ""), (_in_second_batch(), "A", " ")):
             batch = stage(_cleaned(_spelt(raw.where(some), letter, tail)).select(*LOAD_COLUMNS), "batch")
             warehouse.load_transactions(batch, on_conflict="ignore", lenient=True)
@@ -589,10 +589,10 @@ def incremental_run(spark: SparkSession, folder: str) -> DataFrame:
     """Two deliveries of CSV files through the file stream; the summary over the stored rows."""
     drop = new_folder(spark, "drop")
     warehouse = _new_warehouse(spark)
-    raw = raw_sales(spark, folder)
-    for delivery in (_in_first_batch(), _in_second_batch()):
-        write_csv(raw.where(delivery), drop, mode="append")
-        run_incremental(warehouse, drop)
+    with joined_once(spark, folder) as raw:
+        for delivery in (_in_first_batch(), _in_second_batch()):
+            write_csv(raw.where(delivery), drop, mode="append")
+            run_incremental(warehouse, drop)
     return _stored(warehouse, SUMMARY).drop("refreshed_at")
 
 
@@ -601,10 +601,10 @@ def incremental_redelivery(spark: SparkSession, folder: str) -> DataFrame:
     """A delivery, then the folder written anew with all rows, then nothing new; the stored transactions."""
     drop = new_folder(spark, "drop")
     warehouse = _new_warehouse(spark)
-    raw = raw_sales(spark, folder)
-    write_csv(raw.where(_in_first_batch()), drop)
-    run_incremental(warehouse, drop)
-    write_csv(raw, drop, mode="overwrite")
+    with joined_once(spark, folder) as raw:
+        write_csv(raw.where(_in_first_batch()), drop)
+        run_incremental(warehouse, drop)
+        write_csv(raw, drop, mode="overwrite")
     for _ in range(2):
         run_incremental(warehouse, drop)
     return _stored(warehouse, TRANSACTIONS).select(*LOAD_COLUMNS)

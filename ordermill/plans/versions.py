@@ -25,7 +25,7 @@ from ordermill.operators.cleaning import validate_schema
 from ordermill.operators.constraints import check_constraints, check_log_row
 from ordermill.operators.deltas import SUMMED, apply_deltas, monthly_deltas
 from ordermill.operators.disposition import count_dispositions, dispose_rows, kept_rows, with_derived
-from ordermill.plans.scratch import new_folder, remove_folder
+from ordermill.plans.scratch import month_writers, new_folder, remove_folder
 from ordermill.plans.warehouse import DuplicateOrderError, known_orders, load_projection, new_orders
 from ordermill.schemas import MONTH_KEYS, RUN_LOG, RUN_LOG_SCHEMA, SUMMARY, TABLE_PARTITIONS, TABLE_SCHEMAS, TRANSACTIONS
 from ordermill.sources import SOURCE_ORDER
@@ -72,7 +72,8 @@ class Change:
         ordered = rows.select(*TABLE_SCHEMAS[table].names)
         path = f"{self.mart.root}/{table}/load={load}"
         if keys:
-            ordered.hint("rebalance", *keys).write.partitionBy(*keys).parquet(path)
+            with month_writers(self.mart.spark):
+                ordered.write.partitionBy(*keys).parquet(path)
             written = self.mart.spark.read.schema(TABLE_SCHEMAS[table]).parquet(path)
             filled = sorted(tuple(row) for row in written.select(*keys).distinct().collect())
             if not set(filled) <= set(months) and kind == REPLACE:
@@ -150,7 +151,7 @@ class VersionedMart:
             if not TABLE_PARTITIONS[table]:
                 several = [WHOLE]
             with self.change() as change:
-                change.replace(table, self.table(table, months=several), several)
+                change.replace(table, _by_month(table, self.table(table, months=several)), several)
         return len(several)
 
     def vacuum(self) -> list[str]:
@@ -219,7 +220,13 @@ class VersionedMart:
 
     def _summarise(self, change: Change, deltas: DataFrame) -> None:
         months = [tuple(row) for row in deltas.select(*MONTH_KEYS).distinct().collect()]
-        change.replace(SUMMARY, apply_deltas(self.table(SUMMARY, months=months), deltas), months)
+        change.replace(SUMMARY, _by_month(SUMMARY, apply_deltas(self.table(SUMMARY, months=months), deltas)), months)
+
+
+def _by_month(table: str, rows: DataFrame) -> DataFrame:
+    """Rows of a month brought together, for few files; adaptive execution splits a large month and merges small ones."""
+    keys = TABLE_PARTITIONS[table]
+    return rows.hint("rebalance", *keys) if keys else rows
 
 
 def _log_row(mart: VersionedMart, run_id: str, source: str, rows: dict, status: str, began: datetime, error: str | None) -> DataFrame:

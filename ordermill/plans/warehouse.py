@@ -23,7 +23,7 @@ from ordermill.operators.cleaning import keep_first, order_key
 from ordermill.operators.constraints import BatchProfile, ConstraintError, check_constraints, check_summary
 from ordermill.operators.quarantine import BROKEN, mark_broken, rejected_rows, sound_rows
 from ordermill.plans.key_index import STEPS, KeyIndex
-from ordermill.plans.scratch import scratch_root
+from ordermill.plans.scratch import month_writers, scratch_root, session_setting
 from ordermill.schemas import (
     LOAD_COLUMNS,
     MONTH_KEYS,
@@ -164,13 +164,8 @@ class Warehouse:
     @contextmanager
     def _overwrite_mode(self, mode: str):
         """``dynamic``: an overwrite replaces the partitions it has rows for; ``static``: the table."""
-        setting = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(setting)
-        self.spark.conf.set(setting, mode)
-        try:
+        with session_setting(self.spark, "spark.sql.sources.partitionOverwriteMode", mode):
             yield
-        finally:
-            self.spark.conf.set(setting, before)
 
     # -- definition ---------------------------------------------------------------------------
 
@@ -395,15 +390,15 @@ class Warehouse:
     def append(self, df: DataFrame, table: str, overwrite: bool = False) -> None:
         """Insert by column name.
 
-        Rows are brought together by partition first so that no task writes to every month; the
-        hint lets adaptive execution split a month that holds much of the data and merge small ones.
+        Transactions are written from where they are (``month_writers``); rows of the small tables are brought together by
+        partition first.
         """
         self._refuse_unknown(df, table)
         keys = TABLE_PARTITIONS.get(table, [])
         ordered = df.select(*self.table(table).columns)
-        if keys:
+        if keys and table != TRANSACTIONS:
             ordered = ordered.hint("rebalance", *keys)
-        with self._overwrite_mode("static"):
+        with self._overwrite_mode("static"), month_writers(self.spark):
             ordered.write.insertInto(self._name(table), overwrite=overwrite)
 
     # -- summary ------------------------------------------------------------------------------

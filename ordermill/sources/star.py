@@ -7,9 +7,17 @@ has rows to act on at any scale.  No row is left out.
 
 from __future__ import annotations
 
+import math
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.plans.scratch import scratch_root, session_setting
+from ordermill.sources.files import list_files
+
 # Input order of the rows of one order; together they tell all of its copies apart.
 STAR_ORDER = [
     "l_partkey",
@@ -23,6 +31,9 @@ STAR_ORDER = [
 # What the order id decides and the lines are joined by: rows that are split by it need not move to meet their copies.
 STAR_NEAR = ["l_orderkey"]
 
+# Bytes of the lines' files to a bucket of ``joined_once``: at least, where shuffles have as many partitions, and at most.
+SMALL_BUCKET, LARGE_BUCKET = 1 << 20, 1 << 25
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -38,18 +49,18 @@ def raw_sales(spark: SparkSession, folder: str, blank_keys: bool = False) -> Dat
     ``blank_keys=True`` also blanks some regions, categories, products and payment methods, which
     cleaning keeps and the transactions table refuses.
 
-    The small tables are joined first, to the orders; the lines meet the result once, and the parts last.  What a row's
-    order alone decides (date, customer) is said with the order's key, so that filters on it drop orders before the
-    lines are joined and are not computed again for each line.  Which side is broadcast is left to the
-    optimizer's size check.
+    The small tables are joined first, to the orders; the lines meet the parts while they are narrow and the orders last, so
+    the result is split by the order.  What a row's order alone decides (date, customer) is said with the order's
+    key, so that filters on it drop orders before they are joined and are not computed again for each line.  Which
+    side is broadcast is left to the optimizer's size check.
     """
     places = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     customers = table(spark, folder, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     orders = table(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    lines = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    joined = lines.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = table(spark, folder, "lineitem").join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     region = (
         F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("  "), F.col("r_name")))
@@ -89,3 +100,28 @@ def raw_sales(spark: SparkSession, folder: str, blank_keys: bool = False) -> Dat
         *STAR_ORDER,
         *STAR_NEAR,
     )
+
+
+def _buckets(spark: SparkSession, folder: str) -> int:
+    """As many as shuffles have partitions; fewer where these would be tiny, more where they would be large."""
+    size = list_files(spark, f"{folder}/lineitem.parquet").agg(F.sum("length")).first()[0] or 0
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(partitions, math.ceil(size / SMALL_BUCKET)), math.ceil(size / LARGE_BUCKET))
+
+
+@contextmanager
+def joined_once(spark: SparkSession, folder: str, **options) -> Iterator[DataFrame]:
+    """All rows of ``raw_sales``, for deliveries that each take some: joined once and written to a table in the scratch folder.
+
+    The table is bucketed by the ``STAR_NEAR`` columns, so rows read from it are split by the order and are
+    not shuffled to meet their copies.  It is dropped at the end of the block.
+    """
+    database, buckets = f"star_{uuid.uuid4().hex}", _buckets(spark, folder)
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{scratch_root(spark)}/{database}'")
+    try:
+        with session_setting(spark, "spark.sql.shuffle.partitions", buckets):  # the last join splits rows as the buckets do
+            rows = raw_sales(spark, folder, **options).write.format("parquet").option("compression", "zstd")
+            rows.bucketBy(buckets, *STAR_NEAR).saveAsTable(f"`{database}`.raw_sales")
+        yield spark.table(f"`{database}`.raw_sales")
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")

@@ -180,3 +180,63 @@ def test_both_tables_of_a_replacement_read_rows_cleaned_once(spark, raw, monkeyp
     monkeypatch.setattr(Warehouse, "load_dataframe", lambda self, df, *a, **k: (read.append(df.inputFiles()), load(self, df, *a, **k)))
     assert [(r.order_year, r.orders) for r in catalog.load_replace(spark, "").collect()] == [(2023, 10)]
     assert len(read) == 2 and all("clean_" in file for files in read for file in files)
+
+
+def star_tables(spark, folder):
+    """Small order-line tables: 60 orders of three lines, one line in five given twice."""
+    tables = {
+        "region": "SELECT * FROM VALUES (0, 'EAST'), (1, 'WEST') AS t(r_regionkey, r_name)",
+        "nation": "SELECT cast(id AS int) AS n_nationkey, cast(id % 2 AS int) AS n_regionkey FROM range(4)",
+        "customer": "SELECT id AS c_custkey, concat('C', id) AS c_name, cast(id % 4 AS int) AS c_nationkey FROM range(10)",
+        "part": "SELECT id AS p_partkey, concat('P', id) AS p_name, 'BRASS' AS p_type, 5.0D + id AS p_retailprice FROM range(20)",
+        "orders": "SELECT id AS o_orderkey, id % 10 AS o_custkey, date_add(DATE'1998-05-01', cast(id AS int)) AS o_orderdate, '1-URGENT' AS o_orderpriority FROM range(60)",
+        "lineitem": "SELECT id % 60 AS l_orderkey, cast(id DIV 60 AS int) % 3 AS l_linenumber, id % 20 AS l_partkey, id % 9 AS l_suppkey, "
+        "DATE'1998-07-01' AS l_shipdate, 1.0D + id % 5 AS l_quantity, 10.0D AS l_extendedprice, 0.1D AS l_discount FROM range(216)",
+    }
+    for name, query in tables.items():
+        spark.sql(query).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_rows_of_deliveries_are_joined_once_and_lie_by_order(spark, tmp_path):
+    from ordermill.sources.star import STAR_NEAR, STAR_ORDER, joined_once, raw_sales
+
+    folder = star_tables(spark, tmp_path / "star")
+    with joined_once(spark, folder) as rows:
+        for made in (
+            dispose_rows(rows, STAR_ORDER, near=STAR_NEAR),
+            clean_sales(rows.where("order_date <= '1998-06-15'"), STAR_ORDER, near=STAR_NEAR),
+        ):
+            assert shuffles(plan(made)) == 0
+        assert all("lineitem" not in file for file in rows.inputFiles())
+        assert sorted(map(str, rows.collect())) == sorted(map(str, raw_sales(spark, folder).select(*rows.columns).collect()))
+    assert not [database.name for database in spark.catalog.listDatabases() if database.name.startswith("star_")]
+
+
+def test_joined_rows_do_not_move_to_meet_their_copies_when_parts_are_many(spark, tmp_path):
+    from ordermill.sources.star import STAR_NEAR, STAR_ORDER, raw_sales
+
+    folder, setting = star_tables(spark, tmp_path / "star"), "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        raw = raw_sales(spark, folder)
+        assert shuffles(plan(clean_sales(raw, STAR_ORDER, near=STAR_NEAR))) == shuffles(plan(raw.drop("x")))
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_transactions_are_written_without_a_shuffle_by_month(spark, frame, tmp_path, monkeypatch):
+    hints = []
+    kind, setting = type(spark.range(1)), "spark.sql.maxConcurrentOutputFileWriters"
+    hint, before = kind.hint, spark.conf.get(setting)
+    monkeypatch.setattr(kind, "hint", lambda self, name, *a: (hints.append(name), hint(self, name, *a))[1])
+    # More months than a task keeps files open for.
+    dates = [f"{1990 + i // 12}-{i % 12 + 1:02d}-0{day}" for i in range(130) for day in (1, 2)]
+    rows = frame(*[row(order_id=str(i), order_date=date) for i, date in enumerate(dates)])
+    made = Warehouse(spark, str(tmp_path / "mart"), f"mart_{uuid.uuid4().hex}")
+    assert made.load_transactions(clean_sales(rows, ["pos"])) == 260 and not hints
+    stored = made.table(TRANSACTIONS)
+    found = stored.where("year(order_date) = order_year AND month(order_date) = order_month").select("order_id", F.col("order_date").cast("string")).collect()
+    assert sorted(map(tuple, found)) == sorted((str(i), date) for i, date in enumerate(dates))
+    assert spark.conf.get(setting) == before
