@@ -90,6 +90,24 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
+def _groups(lengths: np.ndarray) -> list[tuple[int, int]]:
+    """Documents that follow each other, as first and one after the last, of CHUNK words or a single longer document."""
+    groups, lo, words = [], 0, 0
+    for i, n in enumerate(lengths.tolist()):
+        if words and words + n > CHUNK:
+            groups.append((lo, i))
+            lo, words = i, 0
+        words += n
+    return [*groups, (lo, len(lengths))]
+
+
+def _passages(place, doc, doc_first, starts_of_docs, ends_of_docs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, one after the last, and divisor of passages, given by their places among all and their documents."""
+    starts = (place - doc_first[doc]) * STRIDE + starts_of_docs[doc]
+    ends = np.minimum(starts + PASSAGE, ends_of_docs[doc])
+    return starts, ends, np.maximum(ends - starts, SHORTEST)
+
+
 def train(rows: Iterator[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Embeddings, softmax weights and bias from texts and their 0/1 labels."""
     dice = np.random.default_rng(11)
@@ -98,14 +116,15 @@ def train(rows: Iterator[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarra
     bias = np.array([2.0, -2.0], np.float32)  # one passage is rarely toxic
 
     numbers: dict[str, int] = {}
-    docs, given = [], []
+    held, word_counts, given = array("i"), array("i"), []  # one array of all words' numbers, not one a document
     for text, label in rows:
-        doc = np.array([numbers.setdefault(w, len(numbers)) for w in words_of(text)], np.int32)
-        if len(doc):
-            docs.append(doc)
+        doc = array("i", (numbers.setdefault(w, len(numbers)) for w in words_of(text)))
+        if doc:
+            held.extend(doc)
+            word_counts.append(len(doc))
             given.append(label)
     labels = np.array(given, np.int64)
-    if not docs or labels.min() == labels.max():
+    if not given or labels.min() == labels.max():
         share = labels.mean() if len(labels) else 0.0
         return table * 0, weights * 0, np.array([0, np.log((share + 1e-3) / (1 - share + 1e-3))], np.float32)
 
@@ -122,21 +141,14 @@ def train(rows: Iterator[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarra
         part = slice(lo, min(lo + CHUNK, len(sizes)))
         chunks.append((part, slice(int(first[lo]), int(first[part][-1] + sizes[part][-1]))))
 
-    lengths = np.array([len(doc) for doc in docs])
-    flat = np.concatenate(docs)
-    given_docs = len(docs)
-    del docs
+    flat, lengths = np.frombuffer(held, np.int32), np.frombuffer(word_counts, np.int32).astype(np.int64)
+    given_docs = len(lengths)
+    ends_of_docs = np.cumsum(lengths)
+    starts_of_docs = ends_of_docs - lengths
     per_doc = 1 + -(-np.maximum(lengths - PASSAGE, 0) // STRIDE)
     doc_first = np.cumsum(per_doc) - per_doc
-    # A number per passage or word is held in as few bytes as it needs: other tasks' memory stands beside this one's.
-    doc_of = np.repeat(np.arange(given_docs, dtype=np.int32), per_doc)
-    starts = np.arange(len(doc_of), dtype=np.int32)
-    starts -= doc_first.astype(np.int32)[doc_of]
-    starts *= STRIDE
-    starts += (np.cumsum(lengths) - lengths).astype(np.int32)[doc_of]
-    ends = np.minimum(starts + np.int32(PASSAGE), np.cumsum(lengths).astype(np.int32)[doc_of])
-    spans = np.maximum(ends - starts, SHORTEST).astype(np.int8)
-    sums = np.zeros(len(flat) + 1)
+    # Passages are worked out anew where they are needed: other tasks' memory stands beside this one's.
+    groups = _groups(lengths)
 
     states = [[np.zeros_like(x), np.zeros_like(x)] for x in (table, weights, bias)]
     target = np.stack([1 - labels, labels], 1)
@@ -145,29 +157,43 @@ def train(rows: Iterator[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarra
         toward = weights[:, 1] - weights[:, 0]
         line = table @ toward
         score = np.concatenate([np.add.reduceat(line[buckets[at]], first[part] - at.start) for part, at in chunks]) / sizes
-        np.take(score, flat, out=sums[1:], mode="clip")
-        np.cumsum(sums[1:], out=sums[1:])
-        score_of = sums[ends]
-        score_of -= sums[starts]
-        score_of /= spans
-        if step <= WARM_UP:
-            chosen, share = np.arange(len(doc_of)), (1 / per_doc)[doc_of]
-        else:
-            highest = np.maximum.reduceat(score_of, doc_first)
-            at = np.flatnonzero(score_of == highest[doc_of])
-            chosen = at[np.unique(doc_of[at], return_index=True)[1]]
-            share = np.ones(len(chosen))
-        doc = doc_of[chosen]
-        logit = np.bincount(doc, share * score_of[chosen], given_docs) + bias[1] - bias[0]
+        before = 0.0  # the sum of the scores of all words before the group's
+        chosen = np.zeros(given_docs, np.int64)  # each document's highest passage
+        logit = np.zeros(given_docs)
+        for lo, hi in groups:
+            words = slice(starts_of_docs[lo], ends_of_docs[hi - 1])
+            sums = np.empty(words.stop - words.start + 1)
+            sums[0] = before
+            sums[1:] = score[flat[words]]
+            np.cumsum(sums, out=sums)
+            before = sums[-1]
+            place = _ranges(doc_first[lo:hi], per_doc[lo:hi])
+            doc = np.repeat(np.arange(lo, hi), per_doc[lo:hi])
+            starts, ends, spans = _passages(place, doc, doc_first, starts_of_docs, ends_of_docs)
+            score_of = (sums[ends - words.start] - sums[starts - words.start]) / spans
+            if step <= WARM_UP:
+                logit[lo:hi] = np.bincount(doc - lo, (1 / per_doc)[doc] * score_of, hi - lo)
+            else:
+                highest = np.maximum.reduceat(score_of, doc_first[lo:hi] - place[0])
+                at = np.flatnonzero(score_of == highest[doc - lo])
+                chosen[lo:hi] = place[at[np.unique(doc[at], return_index=True)[1]]]
+                logit[lo:hi] = highest
+        logit = logit + bias[1] - bias[0]
         good = 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
         error = (np.stack([1 - good, good], 1) - target) * weight_of[:, None] / given_docs
         pull = error[:, 1]
         by_word = np.zeros(len(sizes))
-        for lo in range(0, len(chosen), CHUNK):
-            some = chosen[lo : lo + CHUNK]
-            n = (ends - starts)[some]
-            weight = np.repeat(share[lo : lo + CHUNK] / spans[some] * pull[doc[lo : lo + CHUNK]], n)
-            by_word += np.bincount(flat[_ranges(starts[some], n)], weight, len(sizes))
+        used = int(per_doc.sum()) if step <= WARM_UP else given_docs
+        for lo in range(0, used, CHUNK):
+            if step <= WARM_UP:
+                some = np.arange(lo, min(lo + CHUNK, used))
+                doc = np.searchsorted(doc_first, some, side="right") - 1
+                share = (1 / per_doc)[doc]
+            else:
+                some, doc, share = chosen[lo : lo + CHUNK], np.arange(lo, min(lo + CHUNK, used)), 1.0
+            starts, ends, spans = _passages(some, doc, doc_first, starts_of_docs, ends_of_docs)
+            weight = np.repeat(share / spans * pull[doc], ends - starts)
+            by_word += np.bincount(flat[_ranges(starts, ends - starts)], weight, len(sizes))
         by_bucket = np.zeros(BUCKETS)
         for part, at in chunks:
             by_bucket += np.bincount(buckets[at], np.repeat(by_word[part] / sizes[part], sizes[part]), BUCKETS)

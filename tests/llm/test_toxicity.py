@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -122,3 +123,22 @@ def test_training_holds_few_bytes_per_passage():
         T.STEPS = steps
     fixed = 9 * T.BUCKETS * T.DIMENSIONS * 4  # the table, its slopes and Adam's states
     assert peak - fixed < 32 * 1_500_000
+
+
+def test_training_holds_few_bytes_a_word():
+    dice = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(2000)])
+    rows = [(" ".join(words[dice.integers(0, 2000, 2500)]) + " snargle" * (i % 2), i % 2) for i in range(400)]
+
+    def peak_beyond(some):
+        tracemalloc.start()
+        T.train(iter(some))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return peak
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(T, "STEPS", T.WARM_UP + 2)
+        patch.setattr(T, "WARM_UP", 2)
+        more = peak_beyond(rows) - peak_beyond(rows[:100])
+    assert more < 12 * 300 * 2500  # what further words add: their numbers, and room to append
