@@ -224,6 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     rows = rows.select("text", "toxic", "doc_id").repartition(1).sortWithinPartitions("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker left there
         labelled = (row for batch in batches for row in zip(each(batch.column("text")), batch.column("toxic").to_pylist()))
         table, weights, bias = train(labelled)
         line = (table @ (weights[:, 1] - weights[:, 0])).astype(np.float32)

@@ -50,15 +50,33 @@ def raw_sales(spark: SparkSession, folder: str, blank_keys: bool = False) -> Dat
     cleaning keeps and the transactions table refuses.
 
     The small tables are joined first, to the orders; the lines meet the parts while they are narrow and the orders last, so
-    the result is split by the order.  What a row's order alone decides (date, customer) is said with the order's
-    key, so that filters on it drop orders before they are joined and are not computed again for each line.  Which
+    the result is split by the order.  What a row's order alone decides (date, customer, payment) is made before the
+    lines meet the orders, so it is computed once an order, and filters on it drop orders before they are joined.  Which
     side is broadcast is left to the optimizer's size check.
     """
     places = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     customers = table(spark, folder, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-    orders = table(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    payment = F.col("o_orderpriority")
+    if blank_keys:
+        payment = F.when(_every("o_custkey", 59), F.lit(None)).otherwise(payment)
+    orders = (
+        table(spark, folder, "orders")
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .select(
+            "o_orderkey",
+            "o_custkey",
+            "r_name",
+            F.when(_every("o_orderkey", 41), "not_a_date")
+            .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+            .alias("order_date"),
+            F.when(_every("o_orderkey", 37), "")
+            .when(~_every("o_orderkey", 53), F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")))
+            .alias("customer_name"),
+            payment.alias("payment_method"),
+        )
+    )
     lines = table(spark, folder, "lineitem").join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
@@ -67,21 +85,16 @@ def raw_sales(spark: SparkSession, folder: str, blank_keys: bool = False) -> Dat
         .when(F.col("l_linenumber") % 3 == 1, F.concat(F.lower("r_name"), F.lit("\t\u00a0")))
         .otherwise(F.initcap("r_name"))
     )
-    category, product, payment = F.col("p_type"), F.concat(F.lit(" "), F.col("p_name")), F.col("o_orderpriority")
+    category, product = F.col("p_type"), F.concat(F.lit(" "), F.col("p_name"))
     if blank_keys:
         region = F.when(_every("o_custkey", 47), " \u3000").otherwise(region)
         category = F.when(_every("l_partkey", 43), "nan").otherwise(category)
         product = F.when(_every("l_suppkey", 27), "").otherwise(product)
-        payment = F.when(_every("o_custkey", 59), F.lit(None)).otherwise(payment)
 
     return joined.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"),
-        F.when(_every("o_orderkey", 41), "not_a_date")
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
-        .alias("order_date"),
-        F.when(_every("o_orderkey", 37), "")
-        .when(~_every("o_orderkey", 53), F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")))
-        .alias("customer_name"),
+        "order_date",
+        "customer_name",
         region.alias("region"),
         category.alias("product_category"),
         product.alias("product_name"),
@@ -96,7 +109,7 @@ def raw_sales(spark: SparkSession, folder: str, blank_keys: bool = False) -> Dat
         .when(_every("l_partkey", 17), -0.1)
         .when(~_every("l_partkey", 11), F.col("l_discount"))
         .alias("discount"),
-        payment.alias("payment_method"),
+        "payment_method",
         *STAR_ORDER,
         *STAR_NEAR,
     )

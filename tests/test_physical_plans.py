@@ -240,3 +240,21 @@ def test_transactions_are_written_without_a_shuffle_by_month(spark, frame, tmp_p
     found = stored.where("year(order_date) = order_year AND month(order_date) = order_month").select("order_id", F.col("order_date").cast("string")).collect()
     assert sorted(map(tuple, found)) == sorted((str(i), date) for i, date in enumerate(dates))
     assert spark.conf.get(setting) == before
+
+
+def test_what_an_order_decides_is_made_once_an_order(spark, tmp_path):
+    from ordermill.sources.star import raw_sales
+
+    folder = star_tables(spark, tmp_path / "star")
+    text = raw_sales(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    last_join = re.search(r"Join Inner, \(l_orderkey#\d+L? = o_orderkey", text).start()
+    assert "date_format" in text[last_join:] and "date_format" not in text[:last_join]
+
+
+def test_a_filter_on_a_text_that_is_moved_into_a_join_strips_it_at_most_twice(spark, tmp_path):
+    from ordermill.sources.star import STAR_ORDER, raw_sales
+
+    folder = star_tables(spark, tmp_path / "star")
+    text = clean_sales(raw_sales(spark, folder), STAR_ORDER)._jdf.queryExecution().optimizedPlan().toString()
+    condition = next(line for line in text.splitlines() if "Join Inner" in line and "c_name" in line)
+    assert 0 < text[text.index(condition) :].count("RLIKE(trim(") <= 2
