@@ -131,3 +131,65 @@ def test_rounds_read_each_context_once(docs, spark, monkeypatch):
         want.update(zip(hashes[1:-1], hashes[:-2]) if L.in_training(i) else ())
     assert sorted(found) == sorted(want)
     assert sum(int(n.sum()) for *_, n in rows) == sum(want.values())
+
+
+def test_words_of_one_class_are_told_apart_by_what_goes_before(docs, as_dicts, block_words):
+    """Every pair of words counts, not only the class of the next word."""
+    alike = [w for w in (f"w{i}" for i in range(3000)) if L._hash(w.encode()) % L.HASHED == 3][:80]
+    filler = " ".join(f"f{i}" for i in range(L.FREQUENT))  # these have the classes of their own
+    pairs = list(zip(alike[:40], alike[40:]))
+    seen = [f"{filler} {a} {b}" for a, b in pairs] * 8
+    swapped = [f"{filler} {a} {b}" for (a, _), (_, b) in zip(pairs, [*pairs[1:], pairs[0]])]
+    held = [i for i in range(2000) if not L.in_training(i)][: 2 * len(pairs)]
+    rows = [*enumerate(seen, 10_000), *zip(held, [*seen[: len(pairs)], *swapped])]
+    got = as_dicts(L.score_documents(docs(*rows).repartition(3)))
+    right, wrong = held[: len(pairs)], held[len(pairs) :]
+    assert min(got[i]["score"] for i in right) > max(got[i]["score"] for i in wrong) + 0.5
+
+
+def test_triples_are_counted_over_all_blocks(docs, spark, monkeypatch):
+    stored = {}
+    store = L.store_by_block
+    monkeypatch.setattr(L, "store_by_block", lambda rows, purpose, *by: stored.setdefault(purpose, store(rows, purpose, *by)))
+    build = B.write_blocks
+    monkeypatch.setattr(L, "write_blocks", lambda rows, split, counted: build(rows, split, counted, words=50))
+    texts = [None, "a b c a b", "b c a", "a b"] * 30
+    L.score_documents(docs(*texts).repartition(4), 0).count()
+    pairs, triples = Counter(), Counter()
+    for i, text in enumerate(texts):
+        words = [0, 0, *(L.tokens_of(text or ""))]
+        if L.in_training(i):
+            pairs.update(zip(words[1:], words[2:]))
+            triples.update(zip(words, words[1:], words[2:]))
+    got = [L.unpack_columns(bytes(r.payload), 2)[0] for r in stored["triples"].collect()]
+    assert len(got) > 1
+    got = {tuple(each) for found in got for each in found.T.tolist()}
+    assert got == {(pairs[key[1:]], n) for key, n in triples.items()}
+
+
+def test_mixed_probabilities_sum_to_one():
+    """Over all words after each of some contexts, whatever the softmax says of them."""
+    dice = np.random.default_rng(11)
+    texts = [dice.integers(0, 5, 12).tolist() + [5] for _ in range(40)]  # 5 is the end mark
+    pairs, triples, words = Counter(), Counter(), Counter()
+    for text in texts:
+        words.update(text)
+        pairs.update(zip([-1, *text], text))
+        triples.update(zip([-1, -1, *text], [-1, *text], text))
+    softmax = np.array([0.3, 0.2, 0.2, 0.15, 0.1, 0.05])
+    for before, last in [(0, 1), (2, 2), (-1, 3), (-1, -1)]:
+        total = 0.0
+        for word in range(6):
+            text = [w for w in (before, last, word) if w >= 0]
+            tokens = L._Tokens.__new__(L._Tokens)
+            tokens.starts, tokens.sizes = np.array([0]), np.array([len(text)])
+            tokens.counts = np.array([words[w] for w in text])
+            tokens.crcs = np.array([w + 1 for w in text])
+            at = np.unique(tokens.triples(), return_index=True)[1]
+            padded = [-1, -1, *text]
+            answers = L.pack_columns(
+                np.array([pairs[tuple(padded[i + 1 : i + 3])] for i in at]), np.array([triples[tuple(padded[i : i + 3])] for i in at])
+            )
+            totals = type("Totals", (), {"ends": len(texts)})
+            total += math.exp(L._mixed(tokens, [answers], np.log(softmax[text]), totals)[-1])
+        assert total == pytest.approx(1)
