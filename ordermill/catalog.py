@@ -5,9 +5,11 @@ Each callable takes a session and a folder of parquet tables and reads those tab
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from ordermill.operators.disposition import cleaning_stats as stage_counts
 from ordermill.operators.disposition import dispose_rows
 from ordermill.plans import reports
 from ordermill.plans.pipeline import ingest, run_pipeline
-from ordermill.plans.scratch import new_folder
+from ordermill.plans.scratch import month_writers, new_folder, session_setting
 from ordermill.plans.versions import Change, VersionedMart, ingest_atomic
 from ordermill.plans.warehouse import (
     Warehouse,
@@ -30,7 +32,7 @@ from ordermill.plans.warehouse import (
 )
 from ordermill.schemas import LOAD_COLUMNS, REJECTS, REQUIRED_COLUMNS, RUN_LOG, SUMMARY, TEXT_COLUMNS, TRANSACTIONS
 from ordermill.sources import read_raw as read_files
-from ordermill.sources.places import place_columns
+from ordermill.sources.files import list_files
 from ordermill.sources.star import STAR_NEAR, STAR_ORDER, joined_once, raw_sales
 from ordermill.streaming import run_incremental
 
@@ -147,17 +149,29 @@ def read_raw(spark: SparkSession, folder: str) -> DataFrame:
 def _write_torn(spark: SparkSession, source: str, folder: str) -> None:
     """Each file of ``source``, in a folder of its own, with a line at its end that leaves a quote open, and one after it.
 
-    Lines go one by one, sorted within their file, so no file is ever held whole.
+    A task reads a file from its start to its end and writes its lines as they come, so no file is ever held whole and
+    no line is shuffled.
     """
-    name = F.element_at(F.split("_file", "/"), -1).alias("file")
-    lines = spark.read.option("lineSep", "\n").text(source).select("value", *place_columns())
-    lines = lines.select(name, "_block", F.monotonically_increasing_id().alias("_row"), "value")
     ends = ["x,1998-01-01,\"never closed,West,a,b,1,2,0,Cash", "y,1998-01-01,lost,West,a,b,1,2,0,Cash"]
-    last = lines.groupBy("file").agg(F.max("_block").alias("_block"))
-    after = F.explode(F.array(*[F.struct((F.lit(2**62) + i).alias("_row"), F.lit(end).alias("value")) for i, end in enumerate(ends)]))
-    added = last.select("file", "_block", after.alias("end")).select("file", "_block", "end._row", "end.value")
-    ordered = lines.unionByName(added).repartition("file").sortWithinPartitions("file", "_block", "_row")
-    ordered.select("file", "value").write.partitionBy("file").text(folder)
+
+    def with_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = lambda file, values: pa.RecordBatch.from_arrays([pa.array([file] * len(values), pa.string()), values], ["file", "value"])
+        last = None
+        for batch in batches:
+            files = pc.run_end_encode(batch.column(0)) if batch.num_rows else None
+            at = 0
+            for file, end in zip(files.values.to_pylist(), files.run_ends.to_pylist()) if files else ():
+                if last not in (None, file):
+                    yield rows(last, pa.array(ends))
+                yield batch.slice(at, end - at)
+                last, at = file, end
+        if last is not None:
+            yield rows(last, pa.array(ends))
+
+    largest = list_files(spark, source).agg(F.max("length")).first()[0] or 1
+    with session_setting(spark, "spark.sql.files.maxPartitionBytes", largest), session_setting(spark, "spark.sql.files.minPartitionNum", 1), month_writers(spark):
+        lines = spark.read.option("lineSep", "\n").text(source).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), "value")
+        lines.mapInArrow(with_ends, "file string, value string").write.partitionBy("file").text(folder)
 
 
 @_register

@@ -147,7 +147,9 @@ def _open_quotes(spark: SparkSession, path: Paths, n_columns: int) -> DataFrame:
     speaks = F.when(~F.contains(lone, F.lit('"')), (fields == n_columns).cast("int"))
     speaks = speaks.when(opens & ~closes, 1).when(closes & ~opens, -1).otherwise(0)
     ended = (F.col("_part") > 0) & (F.col("_part") == F.col("_parts") - 1) & (F.col("text") == "")  # after a return
-    pieces = pieces.withColumn("evidence", speaks * sign(F.sum("odd").over(earlier))).withColumn("lines", (~ended).cast("int"))
+    # Texts stay where they are: only what they say is brought together by block.
+    pieces = pieces.select("_file", *_PLACE, "odd", speaks.alias("speaks"), (~ended).cast("int").alias("lines"))
+    pieces = pieces.withColumn("evidence", F.col("speaks") * sign(F.sum("odd").over(earlier)))
 
     of_block = pieces.groupBy("_file", "_block").agg(*[F.sum(c).alias(f"all_{c}") for c in ("odd", "evidence", "lines")])
     of_block = of_block.withColumn("sign", sign(F.sum("all_odd").over(earlier_blocks)))
@@ -198,27 +200,25 @@ def _records(pieces: DataFrame) -> DataFrame:
     heading = F.min(F.when((F.col("begins") == 1) & ~F.col("blank"), F.col("number"))).over(block)
     lines = lines.withColumn("_heading", F.when(F.col("_block") == 0, heading))
 
+    # The pieces of a record that lie in one block are joined where they are; only what a block has before its first
+    # record, a row a block, goes to another one.
+    runs = lines.groupBy("_file", "_block", "number").agg(
+        F.array_sort(F.collect_list(F.struct("_row", "_part", "text"))).alias("pieces"), F.max(F.coalesce(F.col("number") == F.col("_heading"), F.lit(False))).alias("heading")
+    )
+    follows = lambda p: F.concat(F.when(p["_part"] == 0, "\n").otherwise("\r"), p["text"])
+    joined = F.transform("pieces", lambda p, i: F.when((i == 0) & (F.col("number") > 0), p["text"]).otherwise(follows(p)))
+    runs = runs.select("_file", "_block", "number", F.array_join(joined, "").alias("text"), "heading")
+
     ends = lines.groupBy("_file", "_block").agg(F.max("number").alias("_last"))
     holder = F.last(F.when(F.col("_last") > 0, F.struct("_block", "_last")), ignorenulls=True).over(before)
     owners = ends.select("_file", "_block", holder.alias("_owner"))
-    placed = lines.join(owners, ["_file", "_block"]).select(
-        "_file",
-        F.when(F.col("number") > 0, F.col("_block")).otherwise(F.col("_owner._block")).alias("_of_block"),
-        F.when(F.col("number") > 0, F.col("number")).otherwise(F.col("_owner._last")).alias("_of_row"),
-        F.coalesce(F.col("number") == F.col("_heading"), F.lit(False)).alias("heading"),
-        F.struct("_block", "_row", "_part", "text").alias("piece"),
-    )
-    together = placed.groupBy("_file", "_of_block", "_of_row").agg(
-        F.array_sort(F.collect_list("piece")).alias("pieces"), F.max("heading").alias("heading")
-    )
-    text = F.array_join(
-        F.transform(
-            "pieces",
-            lambda p, i: F.when(i == 0, p["text"]).otherwise(F.concat(F.when(p["_part"] == 0, "\n").otherwise("\r"), p["text"])),
-        ),
-        "",
+    heads = runs.where("number = 0").join(owners, ["_file", "_block"])
+    tails = heads.groupBy("_file", F.col("_owner._block").alias("_of_block")).agg(
+        F.max("_owner._last").alias("_of_row"), F.array_sort(F.collect_list(F.struct("_block", "text"))).alias("tail")
     )
-    records = together.select("_file", F.col("_of_block").alias("_block"), F.col("_of_row").alias("_row"), text.alias("text"), "heading")
+    tails = tails.select("_file", F.col("_of_block").alias("_block"), "_of_row", F.array_join("tail.text", "").alias("tail"))
+    whole = F.when(F.col("number") == F.col("_of_row"), F.concat("text", "tail")).otherwise(F.col("text"))
+    records = runs.where("number > 0").join(tails, ["_file", "_block"], "left").select("_file", "_block", F.col("number").alias("_row"), whole.alias("text"), "heading")
     return records.where(~F.col("text").rlike("^[ \t\r\n\ufeff]*$"))
 
 
@@ -231,7 +231,7 @@ def _read_records(spark: SparkSession, path: Paths, columns: list[str], comparab
     pieces = _pieces(spark, path)
     if cut:
         ends = _open_quotes(spark, path, len(columns)).select("_file", "place")
-        pieces = pieces.join(ends, "_file").where(F.struct(*_PLACE) < F.col("place")).drop("place")
+        pieces = pieces.join(F.broadcast(ends), "_file").where(F.struct(*_PLACE) < F.col("place")).drop("place")
     records = _records(pieces)
     if comparable:
         names = ", ".join(f"c{i} string" for i in range(len(columns)))

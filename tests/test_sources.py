@@ -379,3 +379,56 @@ def test_the_line_between_an_open_quote_and_a_broken_record_is_not_taken_for_it(
     (tmp_path / "a.csv").write_text(with_open_quote(40, 6))
     with pytest.raises(OpenQuoteError, match=r"line 6 of .*a\.csv"):
         read_raw(spark, str(tmp_path))
+
+
+def shuffles_of(frame, part):
+    """The columns of each row shuffle in the plan whose input holds ``part``."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.split("\n") if "Exchange hashpartitioning" in line and part in line]
+
+
+def test_texts_of_records_are_shuffled_once(spark, tmp_path):
+    """Only by block, to meet the lines beside them; records are put together there."""
+    (tmp_path / "a.csv").write_text(with_open_quote(60, 10, breaks=True))
+    (tmp_path / "b.csv").write_text(with_open_quote(60, 10).replace('"Garden', "Garden"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        records = read_raw(spark, str(tmp_path), on_open_quote="stop")
+        assert not shuffles_of(records, "_of_row")
+        assert records.count() == 8 + 59
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_records_over_many_blocks_are_put_together(spark, tmp_path):
+    """One field of 300 lines lies in many blocks, some of which begin no record; the records around it stay whole."""
+    long = "\n".join(f"line {i}" for i in range(300))
+    names = ["Ines", f'"{long}"', '"a\nb"', "Kim", f'"{long}"']
+    lines = [HEADER, *[f"N-{i},2023-05-04,{name},west,Garden,Rake,3,12.5,0.2,Cash" for i, name in enumerate(names)]]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        rows = read_raw(spark, str(tmp_path)).orderBy("order_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.customer_name for r in rows] == ["Ines", long, "a\nb", "Kim", long]
+
+
+def test_torn_copies_are_made_without_a_shuffle(spark, tmp_path, monkeypatch):
+    from ordermill.catalog import _write_torn
+
+    source = tmp_path / "whole"
+    source.mkdir()
+    for name, n in (("part-0.csv", 300), ("part-1.csv", 5)):
+        (source / name).write_text(with_open_quote(n, 2).replace('"Garden', "Garden"))
+
+    def refuse(*_):
+        raise AssertionError("lines are shuffled")
+
+    frame = type(spark.range(1))
+    monkeypatch.setattr(frame, "repartition", refuse)
+    _write_torn(spark, str(source), str(tmp_path / "torn"))
+    for name in ("part-0.csv", "part-1.csv"):
+        (copy,) = (tmp_path / "torn" / f"file={name}").glob("part-*")
+        assert copy.read_text().startswith((source / name).read_text()) and copy.read_text().count("\n") == (source / name).read_text().count("\n") + 2
